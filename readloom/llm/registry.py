@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 
 _MODULES = {
+    "op4_lsh_forest_near_dedup": "near_dedup",
     "op7_countmin_substring_dedup": "substring_dedup",
 }
 
