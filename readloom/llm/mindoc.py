@@ -57,7 +57,10 @@ def by_owner(doc: np.ndarray, key: np.ndarray, at: np.ndarray):
 
 
 def send(h: np.ndarray, doc: np.ndarray, key: np.ndarray, at: np.ndarray, n_buckets: int):
-    """Record batches of one task's occurrences: decided flags (kind 0) and open entries (kind 1)."""
+    """Record batches of one task's occurrences: decided flags (kind 0) and open entries (kind 1).
+
+    No field that pandas reads as a number is null there: it would become a float.
+    """
     if not len(h):
         return
     opened = first_owner(h, doc) == doc
@@ -70,7 +73,7 @@ def send(h: np.ndarray, doc: np.ndarray, key: np.ndarray, at: np.ndarray, n_buck
     if not opened.all():
         shut = ~opened
         for d, k, a in by_owner(doc[shut], key[shut], at[shut]):
-            add(kind=0, doc_id=d, key=k, at=pack_at(a))
+            add(kind=0, bucket=k % n_buckets, doc_id=d, key=k, at=pack_at(a))
     h, doc, key, at = h[opened], doc[opened], key[opened], at[opened]
     bucket = ((h >> np.uint64(33)) % np.uint64(n_buckets)).astype(np.int64)
     order = np.lexsort((at, key, doc, bucket))
@@ -82,7 +85,7 @@ def send(h: np.ndarray, doc: np.ndarray, key: np.ndarray, at: np.ndarray, n_buck
         owner = np.cumsum(new) - 1
         heads = np.stack([d[new], k[new]], 1)
         gap = np.where(new, a, np.diff(a, prepend=0))
-        add(kind=1, bucket=int(bucket[i]), hashes=h[i:j].tobytes(), owners=squeeze(heads), at=squeeze(np.concatenate([np.diff(owner, prepend=0), gap]).astype(np.uint32)))
+        add(kind=1, bucket=int(bucket[i]), doc_id=0, key=0, hashes=h[i:j].tobytes(), owners=squeeze(heads), at=squeeze(np.concatenate([np.diff(owner, prepend=0), gap]).astype(np.uint32)))
     yield pa.RecordBatch.from_pydict(rows, schema=_SCHEMA)
 
 
@@ -100,11 +103,17 @@ def opened(row_hashes: bytes, row_owners: bytes, row_at: bytes):
 
 
 def settle(pdf):
-    """applyInPandas over one bucket: flags of the occurrences that a smaller document has too."""
+    """applyInPandas over one bucket: flags of the occurrences that a smaller document has too, and
+    those that tasks had decided."""
     import pandas as pd
 
+    is_open = pdf["kind"] == 1
+    done = pdf.loc[~is_open, ["doc_id", "key", "at"]].astype({"doc_id": "int64", "key": "int64"})
+    pdf = pdf[is_open]
+    if not len(pdf):
+        return done
     got = [opened(*x) for x in zip(pdf["hashes"], pdf["owners"], pdf["at"])]
     h, doc, key, at = (np.concatenate(x) for x in zip(*got))
     late = first_owner(h, doc) < doc
     rows = [(d, k, pack_at(a)) for d, k, a in by_owner(doc[late], key[late], at[late])] if late.any() else []
-    return pd.DataFrame(rows, columns=["doc_id", "key", "at"])
+    return pd.concat([done, pd.DataFrame(rows, columns=["doc_id", "key", "at"]).astype({"doc_id": "int64", "key": "int64"})])

@@ -27,7 +27,7 @@ WINDOW = 13
 #: estimate passes more of them on to the exact step; it never loses one.
 DEPTH, MOST_BITS, SHARDS = 2, 28, 32
 #: Windows that a task holds before it sends them.
-HELD = 3_000_000
+HELD = 1_200_000
 _SALT = (np.uint64(0), np.uint64(0x6C62272E07BB0142))
 
 
@@ -155,9 +155,8 @@ def flags(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     n_buckets = max(tables.parts(spark), n >> 24)
     sketch = spark.sparkContext.broadcast(repeated_cells(docs, window, bits))
     keyed = docs.where("doc_id is not null and text is not null").select("doc_id", "text", tables.row_key().alias("key"))
-    sent = tables.stored(keyed.mapInArrow(candidates(window, bits, sketch, n_buckets), mindoc.PACKED), "windows")
-    late = sent.where("kind = 1").select("bucket", "hashes", "owners", "at").groupBy("bucket").applyInPandas(mindoc.settle, mindoc.FLAGS)
-    return sent.where("kind = 0").select("doc_id", "key", "at").unionByName(late)
+    sent = keyed.mapInArrow(candidates(window, bits, sketch, n_buckets), mindoc.PACKED)
+    return sent.groupBy("bucket").applyInPandas(mindoc.settle, mindoc.FLAGS)
 
 
 def _kept_words(text: bytes, packs, window: int) -> tuple[list[bytes], int]:

@@ -20,7 +20,7 @@ BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INV = np.uint64(pow(int(BASE), -1, 2**64))
 _POW: dict[str, np.ndarray] = {"p": np.ones(1, np.uint64), "i": np.ones(1, np.uint64)}
 #: Bytes of text handled at once; one longer document is still handled whole.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 1_000_000
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
