@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 
 _MODULES = {
+    "op1_pfor_tokens": "token_output",
     "op4_lsh_forest_near_dedup": "near_dedup",
     "op5_maxent_lm": "maxent_lm",
     "op7_countmin_substring_dedup": "substring_dedup",
