@@ -6,6 +6,7 @@ import importlib
 
 _MODULES = {
     "op1_pfor_tokens": "token_output",
+    "op2_cross_polytope_ann": "cross_polytope",
     "op4_lsh_forest_near_dedup": "near_dedup",
     "op5_maxent_lm": "maxent_lm",
     "op7_countmin_substring_dedup": "substring_dedup",
