@@ -7,9 +7,11 @@ import importlib
 _MODULES = {
     "op1_pfor_tokens": "token_output",
     "op2_cross_polytope_ann": "cross_polytope",
+    "op3_licence_digests": "licence_scan",
     "op4_lsh_forest_near_dedup": "near_dedup",
     "op5_maxent_lm": "maxent_lm",
     "op7_countmin_substring_dedup": "substring_dedup",
+    "op8_length_buckets": "packing",
 }
 
 
