@@ -89,7 +89,7 @@ def sketches(window: int, bits: int):
 
 
 def merged(bits: int):
-    """applyInPandas over one part: the sum of its sketches, as a bit for each cell of 2 or more."""
+    """applyInPandas over one part: the sum of its sketches (counts up to 2), as a sketch again."""
 
     def run(pdf):
         import pandas as pd
@@ -99,7 +99,7 @@ def merged(bits: int):
             for x in pdf[column]:
                 at = mindoc.unpack_at(x)
                 count[at] = np.minimum(count[at] + weight, 2)
-        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "bits": [np.packbits(count > 1, bitorder="little").tobytes()]})
+        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], **{c: [mindoc.pack_at(np.flatnonzero(count == k))] for c, k in (("ones", 1), ("twos", 2))}})
 
     return run
 
@@ -112,10 +112,13 @@ def sketch_bits(n_bytes: int) -> int:
 def repeated_cells(docs: DataFrame, window: int, bits: int) -> np.ndarray:
     """The merged sketch's bits; its size is set by ``bits`` and not by the input."""
     per = (DEPTH << bits) // SHARDS // 8
-    made = docs.select("text").mapInArrow(sketches(window, bits), "shard int, ones binary, twos binary").groupBy("shard").applyInPandas(merged(bits), "shard int, bits binary")
+    schema = "shard int, ones binary, twos binary"
+    made = tables.folded(docs.select("text").mapInArrow(sketches(window, bits), schema), ["shard"], merged(bits), schema)
     out = np.zeros(per * SHARDS, np.uint8)
-    for r in made.toLocalIterator():
-        out[r["shard"] * per : (r["shard"] + 1) * per] = np.frombuffer(r["bits"], np.uint8)
+    for r in made.select("shard", "twos").toLocalIterator():
+        cell = np.zeros(per * 8, bool)
+        cell[mindoc.unpack_at(r["twos"])] = True
+        out[r["shard"] * per : (r["shard"] + 1) * per] = np.packbits(cell, bitorder="little")
     return out
 
 

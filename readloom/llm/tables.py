@@ -54,3 +54,16 @@ def n_bytes(df: DataFrame, text: str = "text") -> int:
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """Tells apart rows that share a doc_id; rows equal in both are the same work."""
     return F.xxhash64(F.col(doc_id), F.col(text))
+
+
+def folded(df: DataFrame, keys: list[str], merge, schema: str, fan: int = 64) -> DataFrame:
+    """applyInPandas of ``merge`` over the rows of each key, never more than about ``fan`` tasks' rows
+    at once: levels of partial merges come first where df has more partitions than that. ``merge``
+    must take its own output as input."""
+    n = df.rdd.getNumPartitions()
+    df = df.withColumn("_part", F.spark_partition_id())
+    while n > fan:
+        df = df.withColumn("_part", F.floor(F.col("_part") / fan))
+        again = df.groupBy(*keys, "_part").applyInPandas(lambda pdf, m=merge: m(pdf).assign(_part=int(pdf["_part"].iloc[0])), schema + ", _part long")
+        df, n = again, -(-n // fan)
+    return df.drop("_part").groupBy(*keys).applyInPandas(merge, schema)

@@ -49,6 +49,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def hashed(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, hash) of the words of a buffer that ends in white space."""
+    space = SPACE[buf]
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    if len(space) and not space[0]:
+        edge = np.concatenate([[0], edge])
+    start, end = edge[0::2], edge[1::2]
+    p, inv = powers(len(buf))
+    total = np.empty(len(buf) + 1, np.uint64)
+    total[0] = 0
+    np.cumsum(BYTE[buf] * p[: len(buf)], out=total[1:])
+    return start, end, mix((total[end] - total[start]) * inv[start] + (end - start).astype(np.uint64))
+
+
 class Words:
     """Words of a batch of byte strings.
 
@@ -58,25 +72,18 @@ class Words:
 
     __slots__ = ("buf", "start", "end", "doc", "first", "hash")
 
-    def __init__(self, texts: list[bytes], lower: bool):
+    def __init__(self, texts: list[bytes], lower: bool, table: np.ndarray | None = None):
+        """table: what each byte counts as, instead of lower-casing."""
         raw = b"\n".join(texts) + b"\n"
         buf = np.frombuffer(raw, np.uint8)
-        self.buf = LOWER[buf] if lower else buf
-        space = SPACE[self.buf]
-        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
-        if len(space) and not space[0]:
-            edge = np.concatenate([[0], edge])
-        self.start, self.end = edge[0::2], edge[1::2]
+        if table is None and lower:
+            table = LOWER
+        self.buf = buf if table is None else table[buf]
+        self.start, self.end, self.hash = hashed(self.buf)
         sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
         begins = np.concatenate([[0], np.cumsum(sizes)])
         self.first = np.searchsorted(self.start, begins)
         self.doc = np.repeat(np.arange(len(texts)), np.diff(self.first))
-        p, inv = powers(len(self.buf))
-        total = np.empty(len(self.buf) + 1, np.uint64)
-        total[0] = 0
-        np.cumsum(BYTE[self.buf] * p[: len(self.buf)], out=total[1:])
-        h = (total[self.end] - total[self.start]) * inv[self.start]
-        self.hash = mix(h + (self.end - self.start).astype(np.uint64))
 
     def word(self, i: int) -> bytes:
         return self.buf[self.start[i] : self.end[i]].tobytes()
