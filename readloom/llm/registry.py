@@ -11,6 +11,7 @@ _MODULES = {
     "op4_lsh_forest_near_dedup": "near_dedup",
     "op5_maxent_lm": "maxent_lm",
     "op7_countmin_substring_dedup": "substring_dedup",
+    "op9_bm25_decontaminate": "decontaminate",
     "op10_random_indexing_quality": "quality",
     "op8_length_buckets": "packing",
 }
