@@ -7,12 +7,14 @@ value, down to depth 4, so the depth adapts to how crowded that part of the orde
 
 Two texts of similarity s share a region at depth d in one of the trees with probability
 1 - (1 - s**d)**32: at s = 0.75 a miss has a chance of 3e-12 at depth 2 and 5e-6 at depth 4.
-Candidates whose signatures agree in fewer than half of their values are dropped (1e-10 at 0.75).
-All others are confirmed on the full sets of their whole texts.
+Candidates whose signatures agree in fewer than ``AGREE`` values are dropped (1e-7 at 0.75). All
+others are confirmed on the full sets of their whole texts.
 
 Work stays linear in a group of copies: equal sets become one class first; then every document is
 confirmed against the smallest documents of its regions; and only in regions that still hold more
-than one component are all pairs between different components compared, in blocks.
+than one component are all pairs between different components compared, in blocks, by signatures;
+those left are confirmed until a document has one link to a component, with each text sent once to
+its component's task, and a component of many texts to several.
 
 Defined cases: a null, empty or blank text has an empty set and links with nothing; a row with a
 null doc_id is kept and links with nothing; rows that share a doc_id are one document, which links
@@ -35,6 +37,9 @@ TREES, DEPTH, SHALLOW = 32, 4, 2
 REGION = 64
 #: Rows of a region compared at once with as many others.
 BLOCK = 2048
+BUCKET_ROWS = 20_000
+#: Of 128 values, those that must agree: a pair of similarity 0.75 has fewer with a chance of 1e-7.
+AGREE = 70
 _A = np.random.default_rng(41).integers(1, 2**63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -102,41 +107,97 @@ def _regions(batches):
         live &= ~small | edge
 
 
-def _agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """How many of 128 values agree, for each row of x with each row of y."""
-    out = np.zeros((len(x), len(y)), np.uint8)
-    for j in range(x.shape[1]):
-        out += x[:, j, None] == y[None, :, j]
-    return out
-
-
 def _alike(batches):
-    """(a, b, sig_a, sig_b) to the pairs whose signatures agree in half of their values."""
+    """(a, b, sig_a, sig_b) to the pairs whose signatures agree in AGREE of their values."""
     for b in batches:
         x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint32).reshape(-1, TREES * DEPTH) for c in ("sig_a", "sig_b"))
-        yield b.filter(pa.array((x == y).sum(1) * 2 >= TREES * DEPTH)).select(["a", "b"])
+        yield b.filter(pa.array((x == y).sum(1) >= AGREE)).select(["a", "b"])
 
 
-def _across(key, left, right):
-    """cogroup: two blocks of a region to the pairs between different components worth confirming."""
+def _across(pdf):
+    """A bucket's blocks of regions to the pairs of different components whose signatures are near:
+    (probe, comp, targets), the probe's targets in the component of the smaller label."""
+    import pandas as pd
+
+    pdf = pdf.sort_values(["region", "i", "j", "side"], kind="stable")
+    sig = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(-1, TREES * DEPTH)
+    rep, comp, n, side = (pdf[c].to_numpy() for c in ("rep", "comp", "n", "side"))
+    where = pdf[["region", "i", "j"]].to_numpy()
+    cut = np.flatnonzero((where[1:] != where[:-1]).any(1)) + 1
+    found, waiting, size = [], [], 0
+
+    def near():
+        pair = np.unique(np.concatenate(waiting), axis=0)
+        _, first = np.unique(rep[pair], axis=0, return_index=True)
+        pair = pair[first]
+        for k in range(0, len(pair), 50_000):
+            x = pair[k : k + 50_000]
+            found.append(x[(sig[x[:, 0]] == sig[x[:, 1]]).sum(1) >= AGREE])
+
+    for a, b in zip(np.concatenate([[0], cut]), np.append(cut, len(rep))):
+        mid = a + int(np.searchsorted(side[a:b], 1))
+        one = mid in (a, b)
+        left, right = (np.arange(a, b),) * 2 if one else (np.arange(a, mid), np.arange(mid, b))
+        for k in range(0, len(left), 256):
+            x = left[k : k + 256]
+            y = right[k:] if one else right
+            p, q = np.nonzero(_near_sizes(comp, n, x, y))
+            if one:
+                p, q = p[q > p], q[q > p]
+            if len(p):
+                waiting.append(np.stack([x[p], y[q]], 1))
+                size += len(p)
+            if size > 400_000:
+                near()
+                waiting, size = [], 0
+    if waiting:
+        near()
+    got = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+    swap = comp[got[:, 0]] < comp[got[:, 1]]
+    probe, target = np.where(swap, got[:, 1], got[:, 0]), np.where(swap, got[:, 0], got[:, 1])
+    order = np.lexsort((rep[target], comp[target], rep[probe]))
+    p, c, t = rep[probe][order], comp[target][order], rep[target][order]
+    cut = np.flatnonzero((p[1:] != p[:-1]) | (c[1:] != c[:-1])) + 1 if len(p) else []
+    rows = [(p[a], c[a], np.unique(t[a:b]).tobytes()) for a, b in zip(np.concatenate([[0], cut]).astype(int), np.append(cut, len(p)).astype(int)) if b > a]
+    return pd.DataFrame(rows, columns=["probe", "comp", "targets"]).astype({"probe": "int64", "comp": "int64"})
+
+
+def _near_sizes(comp, n, x, y):
+    return (comp[x, None] != comp[None, y]) & (np.minimum(n[x, None], n[None, y]) * 100 >= np.maximum(n[x, None], n[None, y]) * PERCENT)
+
+
+def _joined(pdf):
+    """A bucket of components' members (side 0) and probes (side 1) to one confirmed link for each
+    probe and component that have any."""
     import pandas as pd
 
     out = []
-    if len(left) and len(right):
-        same = int(left["block"].iloc[0]) == int(right["block"].iloc[0])
-        x, y = (np.frombuffer(b"".join(f["sig"]), np.uint32).reshape(-1, TREES * DEPTH) for f in (left, right))
-        a, b = left["rep"].to_numpy(), right["rep"].to_numpy()
-        ca, cb = left["comp"].to_numpy(), right["comp"].to_numpy()
-        na, nb = left["n"].to_numpy(), right["n"].to_numpy()
-        for c in np.unique(ca):
-            mine, rest = np.flatnonzero(ca == c), np.flatnonzero((cb > c) if same else (cb != c))
-            for i in range(0, len(mine) if len(rest) else 0, 256):
-                m = mine[i : i + 256]
-                ok = (_agree(x[m], y[rest]) * 2 >= TREES * DEPTH) & (np.minimum(na[m, None], nb[rest]) * 100 >= np.maximum(na[m, None], nb[rest]) * PERCENT)
-                p, q = np.nonzero(ok)
-                out.append(np.stack([a[m[p]], b[rest[q]]], 1))
-    got = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-    return pd.DataFrame({"a": got.min(1) if len(got) else got[:, 0], "b": got.max(1) if len(got) else got[:, 0]})
+    pdf = pdf.sort_values("side", kind="stable").reset_index(drop=True)
+    texts = utf8(pdf["text"])
+    sets: list[np.ndarray] = []
+    for a, b in chunks(np.fromiter(map(len, texts), np.int64, len(texts))):
+        sh, at = shingles(Words(texts[a:b], lower=True), WORDS)
+        sets += [sh[at[k] : at[k + 1]] for k in range(b - a)]
+    side, rep, comp, sub = (pdf[c].to_numpy() for c in ("side", "rep", "comp", "sub"))
+    member = {(c, s, r): k for k, (c, s, r) in enumerate(zip(comp, sub, rep)) if side[k] == 0}
+    linked = set()
+    for k in np.flatnonzero(side == 1):
+        mine = sets[k]
+        if (rep[k], comp[k]) in linked:
+            continue
+        others = [m for t in np.frombuffer(pdf["targets"].iloc[k], np.int64) if (m := member.get((comp[k], sub[k], t))) is not None]
+        for a in range(0, len(others), 64):
+            part = others[a : a + 64]
+            sizes = np.fromiter((len(sets[m]) for m in part), np.int64, len(part))
+            every = np.concatenate([sets[m] for m in part])
+            at = np.minimum(np.searchsorted(mine, every), len(mine) - 1)
+            both = np.add.reduceat((mine[at] == every).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+            good = np.flatnonzero(100 * both >= PERCENT * (sizes + len(mine) - both))
+            if len(good):
+                out.append((rep[k], rep[part[good[0]]]))
+                linked.add((rep[k], comp[k]))
+                break
+    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
 def _confirmed(batches):
@@ -190,14 +251,25 @@ def groups(docs: DataFrame) -> DataFrame:
     labelled = regions.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("region", "rep", F.coalesce("component", "rep").alias("comp"))
     mixed = labelled.groupBy("region").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo < hi").select("region", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     mixed = tables.stored(mixed, "mixed")
-    rows = labelled.join(mixed, "region").select("region", "rep", "comp", "blocks", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"))
-    rows = tables.stored(rows.join(reps.select("rep", "n", "sig").dropDuplicates(["rep"]), "rep"), "mixed_rows")
-    side = lambda c, d: rows.select("region", "rep", "comp", "n", "sig", F.col("block"), F.explode(F.sequence(F.lit(0) if c == "i" else F.col("block"), F.col("block") if c == "i" else F.col("blocks") - 1)).alias(d)).withColumn(c, F.col("block"))
-    # A row in block k stands left in pairs (k, k..) and right in pairs (..k, k).
-    left, right = side("x", "j").withColumnRenamed("x", "i"), side("i", "x").withColumnRenamed("i", "j").withColumnRenamed("x", "i")
-    more = left.groupBy("region", "i", "j").cogroup(right.groupBy("region", "i", "j")).applyInPandas(_across, "a long, b long").distinct()
-    more = more.join(alike, ["a", "b"], "left_anti")
-    links = links.unionByName(_confirm(tables.stored(more, "pairs"), texts))
+    rows = tables.stored(labelled.join(mixed, "region"), "mixed_rows")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    rows = rows.select("region", "rep", "comp", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("mine"), other.alias("other"))
+    # Block k stands left in the pairs (k, k) and (k, larger), right in (smaller, k).
+    rows = rows.select("region", "rep", "comp", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("side"))
+    n_rows = rows.count()
+    n_buckets = max(n_parts, n_rows // BUCKET_ROWS)
+    rows = rows.join(reps.select("rep", "n", "sig").dropDuplicates(["rep"]), "rep").withColumn("bucket", F.pmod(F.xxhash64("region", "i", "j"), F.lit(n_buckets)))
+    packs = tables.stored(rows.groupBy("bucket").applyInPandas(_across, "probe long, comp long, targets binary"), "packs")
+
+    # One link between a probe and a component is enough: they are one component then.
+    label = texts.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "text", F.coalesce("component", "rep").alias("comp"))
+    subs = label.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("subs")).join(packs.select("comp").distinct(), "comp", "left_semi")
+    subs = tables.stored(subs, "subs")
+    members = label.join(subs, "comp").select(F.lit(0).alias("side"), "rep", "comp", F.pmod(F.xxhash64("rep"), F.col("subs")).cast("int").alias("sub"), F.lit(None).cast("binary").alias("targets"), "text")
+    probes = packs.join(subs, "comp").select(F.col("probe").alias("rep"), "comp", "targets", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)).alias("sub"))
+    probes = probes.join(texts, "rep").select(F.lit(1).alias("side"), "rep", "comp", "sub", "targets", "text")
+    both = members.unionByName(probes).withColumn("bucket", F.pmod(F.xxhash64("comp", "sub"), F.lit(max(n_parts, tables.n_bytes(texts) >> 24))))
+    links = links.unionByName(both.groupBy("bucket").applyInPandas(_joined, "a long, b long"))
     comps = tables.stored(components(links), "components")
 
     changed = reps.join(comps.withColumnRenamed("node", "rep"), "rep", "left").where("members > 1 or component is not null")
