@@ -48,6 +48,8 @@ def first_owner(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 def by_owner(doc: np.ndarray, key: np.ndarray, at: np.ndarray):
     """(doc, key, ascending positions) of each document."""
+    if not len(doc):
+        return
     order = np.lexsort((at, key, doc))
     d, k, a = doc[order], key[order], at[order]
     cut = np.flatnonzero((d[1:] != d[:-1]) | (k[1:] != k[:-1])) + 1

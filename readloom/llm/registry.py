@@ -10,6 +10,7 @@ _MODULES = {
     "op3_licence_digests": "licence_scan",
     "op4_lsh_forest_near_dedup": "near_dedup",
     "op5_maxent_lm": "maxent_lm",
+    "op6_gsaca_suffix_dedup": "suffix_dedup",
     "op7_countmin_substring_dedup": "substring_dedup",
     "op9_bm25_decontaminate": "decontaminate",
     "op10_random_indexing_quality": "quality",

@@ -19,20 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mindoc, tables
-from .words import Words, chunks, mix, utf8, windows
+from . import countmin, mindoc, tables
+from .words import Words, chunks, utf8, windows
 
 WINDOW = 13
-#: Two rows of at most 2**28 cells: 64 MB when merged, whatever the input. With more windows the
-#: estimate passes more of them on to the exact step; it never loses one.
-DEPTH, MOST_BITS, SHARDS = 2, 28, 32
 #: Windows that a task holds before it sends them.
 HELD = 1_200_000
-_SALT = (np.uint64(0), np.uint64(0x6C62272E07BB0142))
-
-
-def cells(h: np.ndarray, row: int, bits: int) -> np.ndarray:
-    return ((mix(h ^ _SALT[row]) if row else h) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _texts(batch: pa.RecordBatch):
@@ -50,78 +42,14 @@ def _window_rows(w: Words, window: int):
     return h[whole], doc, np.flatnonzero(whole) - w.first[doc]
 
 
-def sketches(window: int, bits: int):
-    """mapInArrow: one row for each part of the sketch that a task has cells in."""
-
-    def run(batches):
-        held, n = [], 0
-        for batch in batches:
-            for _, _, w in _texts(batch):
-                h, doc, _ = _window_rows(w, window)
-                order = np.lexsort((h, doc))
-                h, doc = h[order], doc[order]
-                held.append(h[np.concatenate([[True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])])] if len(h) else h)
-                n += len(held[-1])
-                if n >= HELD:
-                    yield from flush(held)
-                    held, n = [], 0
-        if n:
-            yield from flush(held)
-
-    def flush(held):
-        h = np.concatenate(held)
-        size = DEPTH << bits
-        shard, ones, twos = [], [], []
-        for row in range(DEPTH):
-            c, count = np.unique(cells(h, row, bits), return_counts=True)
-            per = size // SHARDS
-            place = (row << bits) + c
-            cut = np.searchsorted(place, np.arange(0, size + 1, per))
-            for s in range(SHARDS):
-                part, many = place[cut[s] : cut[s + 1]] - s * per, count[cut[s] : cut[s + 1]] > 1
-                if len(part):
-                    shard.append(s)
-                    ones.append(mindoc.pack_at(part[~many]))
-                    twos.append(mindoc.pack_at(part[many]))
-        yield pa.RecordBatch.from_pydict({"shard": pa.array(shard, pa.int32()), "ones": pa.array(ones, pa.binary()), "twos": pa.array(twos, pa.binary())})
+def _elements(window: int):
+    def run(batch):
+        for _, _, w in _texts(batch):
+            yield _window_rows(w, window)[:2]
 
     return run
 
 
-def merged(bits: int):
-    """applyInPandas over one part: the sum of its sketches (counts up to 2), as a sketch again."""
-
-    def run(pdf):
-        import pandas as pd
-
-        count = np.zeros((DEPTH << bits) // SHARDS, np.uint8)
-        for column, weight in (("ones", 1), ("twos", 2)):
-            for x in pdf[column]:
-                at = mindoc.unpack_at(x)
-                count[at] = np.minimum(count[at] + weight, 2)
-        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], **{c: [mindoc.pack_at(np.flatnonzero(count == k))] for c, k in (("ones", 1), ("twos", 2))}})
-
-    return run
-
-
-def sketch_bits(n_bytes: int) -> int:
-    """Cells in a row, as a power of 2: four for each window of six-byte words, within bounds."""
-    return int(min(MOST_BITS, max(12, np.ceil(np.log2(max(n_bytes, 1) / 6 * 4)))))
-
-
-def repeated_cells(docs: DataFrame, window: int, bits: int) -> np.ndarray:
-    """The merged sketch's bits; its size is set by ``bits`` and not by the input."""
-    per = (DEPTH << bits) // SHARDS // 8
-    schema = "shard int, ones binary, twos binary"
-    made = tables.folded(docs.select("text").mapInArrow(sketches(window, bits), schema), ["shard"], merged(bits), schema)
-    out = np.zeros(per * SHARDS, np.uint8)
-    for r in made.select("shard", "twos").toLocalIterator():
-        cell = np.zeros(per * 8, bool)
-        cell[mindoc.unpack_at(r["twos"])] = True
-        out[r["shard"] * per : (r["shard"] + 1) * per] = np.packbits(cell, bitorder="little")
-    return out
-
-
 def candidates(window: int, bits: int, sketch, n_buckets: int):
     """mapInArrow: windows whose cells are repeated in both rows, for the exact step."""
 
@@ -133,10 +61,7 @@ def candidates(window: int, bits: int, sketch, n_buckets: int):
             keys = batch.column("key").to_numpy(zero_copy_only=False)
             for a, _, w in _texts(batch):
                 h, doc, at = _window_rows(w, window)
-                maybe = np.ones(len(h), bool)
-                for row in range(DEPTH):
-                    c = cells(h[maybe], row, bits) + (row << bits)
-                    maybe[maybe] = (bit[c >> 3] >> (c & 7).astype(np.uint8)) & 1 > 0
+                maybe = countmin.repeated(bit, h, bits)
                 doc = doc[maybe] + a
                 held.append((h[maybe], ids[doc].astype(np.int64), keys[doc].astype(np.int64), at[maybe]))
                 n += len(doc)
@@ -154,9 +79,9 @@ def flags(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     may have several rows."""
     spark = docs.sparkSession
     n = tables.n_bytes(docs)
-    bits = sketch_bits(n)
+    bits = countmin.sketch_bits(n / 6)
     n_buckets = max(tables.parts(spark), n >> 24)
-    sketch = spark.sparkContext.broadcast(repeated_cells(docs, window, bits))
+    sketch = spark.sparkContext.broadcast(countmin.repeated_cells(docs, _elements(window), bits))
     keyed = docs.where("doc_id is not null and text is not null").select("doc_id", "text", tables.row_key().alias("key"))
     sent = keyed.mapInArrow(candidates(window, bits, sketch, n_buckets), mindoc.PACKED)
     return sent.groupBy("bucket").applyInPandas(mindoc.settle, mindoc.FLAGS)
