@@ -11,7 +11,8 @@ import numpy as np
 import pyarrow as pa
 
 PACKED = "kind int, bucket int, doc_id long, key long, hashes binary, owners binary, at binary"
-FLAGS = "doc_id long, key long, at binary"
+SHARDED = "shard long, heads binary, sizes binary, data binary"
+UNITED = "doc_id long, key long, packs array<binary>"
 _SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("key", pa.int64()), ("hashes", pa.binary()), ("owners", pa.binary()), ("at", pa.binary())])
 
 
@@ -104,18 +105,45 @@ def opened(row_hashes: bytes, row_owners: bytes, row_at: bytes):
     return h, heads[owner, 0], heads[owner, 1], total - base[owner]
 
 
-def settle(pdf):
-    """applyInPandas over one bucket: flags of the occurrences that a smaller document has too, and
-    those that tasks had decided."""
+def sharded(rows: list[tuple[int, int, bytes]], n_shards: int):
+    """(doc, key, pack) entries as one row for each shard of documents."""
+    import pandas as pd
+
+    by: dict[int, list] = {}
+    for r in rows:
+        by.setdefault(r[1] % n_shards, []).append(r)
+    out = [(s, squeeze(np.array([r[:2] for r in part], np.int64)), squeeze(np.array([len(r[2]) for r in part], np.uint32)), b"".join(r[2] for r in part)) for s, part in by.items()]
+    return pd.DataFrame(out, columns=["shard", "heads", "sizes", "data"]).astype({"shard": "int64"})
+
+
+def united(pdf):
+    """applyInPandas over a shard of documents: all packs of each document."""
     import pandas as pd
 
-    is_open = pdf["kind"] == 1
-    done = pdf.loc[~is_open, ["doc_id", "key", "at"]].astype({"doc_id": "int64", "key": "int64"})
-    pdf = pdf[is_open]
-    if not len(pdf):
-        return done
-    got = [opened(*x) for x in zip(pdf["hashes"], pdf["owners"], pdf["at"])]
-    h, doc, key, at = (np.concatenate(x) for x in zip(*got))
-    late = first_owner(h, doc) < doc
-    rows = [(d, k, pack_at(a)) for d, k, a in by_owner(doc[late], key[late], at[late])] if late.any() else []
-    return pd.concat([done, pd.DataFrame(rows, columns=["doc_id", "key", "at"]).astype({"doc_id": "int64", "key": "int64"})])
+    packs: dict[tuple, list[bytes]] = {}
+    for heads, sizes, data in zip(pdf["heads"], pdf["sizes"], pdf["data"]):
+        ends = np.cumsum(unsqueeze(sizes, np.uint32).astype(np.int64)).tolist()
+        a = 0
+        for (d, k), b in zip(unsqueeze(heads, np.int64).reshape(-1, 2).tolist(), ends):
+            packs.setdefault((d, k), []).append(data[a:b])
+            a = b
+    return pd.DataFrame([(d, k, p) for (d, k), p in packs.items()], columns=["doc_id", "key", "packs"]).astype({"doc_id": "int64", "key": "int64"})
+
+
+def settle(n_shards: int):
+    """applyInPandas over one bucket: flags of the occurrences that a smaller document has too, and
+    those that tasks had decided, packed by shards of documents."""
+
+    def run(pdf):
+        is_open = pdf["kind"] == 1
+        done = pdf[~is_open]
+        rows = list(zip(done["doc_id"].tolist(), done["key"].tolist(), done["at"]))
+        pdf = pdf[is_open]
+        if len(pdf):
+            got = [opened(*x) for x in zip(pdf["hashes"], pdf["owners"], pdf["at"])]
+            h, doc, key, at = (np.concatenate(x) for x in zip(*got))
+            late = first_owner(h, doc) < doc
+            rows += [(d, k, pack_at(a)) for d, k, a in by_owner(doc[late], key[late], at[late])]
+        return sharded(rows, n_shards)
+
+    return run

@@ -75,8 +75,7 @@ def candidates(window: int, bits: int, sketch, n_buckets: int):
 
 
 def flags(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, key, at): packed starts of windows that also start in a smaller document; a document
-    may have several rows."""
+    """(doc_id, key, packs): packed starts of windows that also start in a smaller document."""
     spark = docs.sparkSession
     n = tables.n_bytes(docs)
     bits = countmin.sketch_bits(n / 6)
@@ -84,7 +83,7 @@ def flags(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     sketch = spark.sparkContext.broadcast(countmin.repeated_cells(docs, _elements(window), bits))
     keyed = docs.where("doc_id is not null and text is not null").select("doc_id", "text", tables.row_key().alias("key"))
     sent = keyed.mapInArrow(candidates(window, bits, sketch, n_buckets), mindoc.PACKED)
-    return sent.groupBy("bucket").applyInPandas(mindoc.settle, mindoc.FLAGS)
+    return sent.groupBy("bucket").applyInPandas(mindoc.settle(n_buckets), mindoc.SHARDED).groupBy("shard").applyInPandas(mindoc.united, mindoc.UNITED)
 
 
 def _kept_words(text: bytes, packs, window: int) -> tuple[list[bytes], int]:
@@ -101,8 +100,7 @@ def _kept_words(text: bytes, packs, window: int) -> tuple[list[bytes], int]:
 
 def with_flags(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs with ``key`` and ``packs`` (null where no window of the document is repeated)."""
-    found = flags(docs, window).groupBy("doc_id", "key").agg(F.collect_list("at").alias("packs"))
-    found = found.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "packs")
+    found = flags(docs, window).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "packs")
     return docs.join(found, (docs["doc_id"] == found["_id"]) & (tables.row_key() == found["_key"]), "left").drop("_id", "_key")
 
 

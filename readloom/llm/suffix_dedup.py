@@ -36,7 +36,6 @@ HELD_BYTES = 8_000_000
 #: Bytes that one suffix array is built over; a minimizer with more has one of its own.
 PIECE = 1 << 18
 PACKED = "kind int, bucket int, doc_id long, key long, mins binary, starts binary, sizes binary, owners binary, strings binary"
-FLAGS = "doc_id long, key long, spans binary"
 _SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("key", pa.int64()), *((c, pa.binary()) for c in ("mins", "starts", "sizes", "owners", "strings"))])
 
 
@@ -209,19 +208,22 @@ def _same_windows(buf, begin, size, doc):
     return owner[order], order - begin[owner[order]], least
 
 
-def _settle(pdf):
-    """applyInPandas over a bucket: (doc_id, key, spans) of bytes that a smaller document has too."""
-    import pandas as pd
+def _settle(n_shards):
+    """applyInPandas over a bucket: spans of bytes that a smaller document has too, packed by shards of
+    documents."""
 
-    rows = [(d, k, m) for d, k, m, kind in zip(pdf["doc_id"], pdf["key"], pdf["mins"], pdf["kind"]) if kind == 0]
-    pdf = pdf[pdf["kind"] == 1]
-    if len(pdf):
-        h = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["mins"]])
-        start, size = (np.concatenate([mindoc.unsqueeze(x, np.uint32) for x in pdf[c]]).astype(np.int64) for c in ("starts", "sizes"))
-        owners = np.concatenate([mindoc.unsqueeze(x, np.int64).reshape(2, -1) for x in pdf["owners"]], 1)
-        raw = np.concatenate([mindoc.unsqueeze(x, np.uint8) for x in pdf["strings"]])
-        rows += _settled(h, owners[0], owners[1], start, size, raw)
-    return pd.DataFrame(rows, columns=["doc_id", "key", "spans"]).astype({"doc_id": "int64", "key": "int64"})
+    def run(pdf):
+        rows = [(d, k, m) for d, k, m, kind in zip(pdf["doc_id"].tolist(), pdf["key"].tolist(), pdf["mins"], pdf["kind"]) if kind == 0]
+        pdf = pdf[pdf["kind"] == 1]
+        if len(pdf):
+            h = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["mins"]])
+            start, size = (np.concatenate([mindoc.unsqueeze(x, np.uint32) for x in pdf[c]]).astype(np.int64) for c in ("starts", "sizes"))
+            owners = np.concatenate([mindoc.unsqueeze(x, np.int64).reshape(2, -1) for x in pdf["owners"]], 1)
+            raw = np.concatenate([mindoc.unsqueeze(x, np.uint8) for x in pdf["strings"]])
+            rows += _settled(h, owners[0], owners[1], start, size, raw)
+        return mindoc.sharded(rows, n_shards)
+
+    return run
 
 
 def _settled(h, doc, key, start, size, raw):
@@ -287,8 +289,8 @@ def with_spans(docs: DataFrame) -> DataFrame:
     n_buckets = max(tables.parts(spark), n >> 24)
     keyed = docs.where("doc_id is not null and text is not null").select("doc_id", "text", tables.row_key().alias("key"))
     sketch = spark.sparkContext.broadcast(countmin.repeated_cells(keyed, _minimizers, bits))
-    found = keyed.mapInArrow(_sent(bits, sketch, n_buckets), PACKED).groupBy("bucket").applyInPandas(_settle, FLAGS)
-    found = found.groupBy("doc_id", "key").agg(F.collect_list("spans").alias("packs")).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "packs")
+    found = keyed.mapInArrow(_sent(bits, sketch, n_buckets), PACKED).groupBy("bucket").applyInPandas(_settle(n_buckets), mindoc.SHARDED)
+    found = found.groupBy("shard").applyInPandas(mindoc.united, mindoc.UNITED).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "packs")
     return docs.join(found, (docs["doc_id"] == found["_id"]) & (tables.row_key() == found["_key"]), "left").drop("_id", "_key")
 
 
