@@ -6,6 +6,7 @@ for what they write differently.
 
 from __future__ import annotations
 
+import functools
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,6 +67,7 @@ def _dialect(sql: str, spark: bool) -> str:
     return sql if spark else sql.replace("AS STRING)", "AS VARCHAR)")
 
 
+@functools.cache
 def _needs(name: str) -> list[str]:
     """Names of the derived tables that a table's text uses, itself last."""
     out: list[str] = []

@@ -34,10 +34,10 @@ def snv_vbed(snvs: DataFrame) -> DataFrame:
 def snv_calls(snvs: DataFrame) -> DataFrame:
     """One row for each alternative base."""
     x = snvs.select("*", F.explode("alts").alias("alt"))
-    return x.select("sample", "chr", F.col("pos").alias("start"), F.col("pos").alias("stop"), "ref", "alt", _id("stop", "alt", F.col("pos")), F.lit("snv").alias("type"), "depth", count_text(F.col("alleles")).alias("counts"), "con_q", "var_q", "map_q", "hom_het")
+    return x.select("sample", "chr", F.col("pos").alias("start"), F.col("pos").alias("stop"), "ref", "alt", _id("alt", F.col("pos")), F.lit("snv").alias("type"), "depth", count_text(F.col("alleles")).alias("counts"), "con_q", "var_q", "map_q", "hom_het")
 
 
-def _id(stop, alt, at):
+def _id(alt, at):
     return F.concat("chr", F.lit(":"), F.col("pos"), F.lit("-"), at, F.lit("_"), F.col(alt)).alias("call_id")
 
 
@@ -71,7 +71,7 @@ def indel_calls(indels: DataFrame) -> DataFrame:
     bases = F.substr(F.col("allele"), F.lit(2))
     plus = F.col("allele").startswith("+")
     x = x.withColumn("ref", F.when(plus, "-").otherwise(bases)).withColumn("alt", F.when(plus, bases).otherwise("-"))
-    return x.select("sample", "chr", F.col("pos").alias("start"), F.col("call_stop").alias("stop"), "ref", "alt", _id("stop", "allele", F.col("call_stop")), F.when(F.col("del_len") == 0, "ins").otherwise("del").alias("type"), "depth", count_text(F.col("alleles"), True).alias("counts"), "con_q", "var_q", "map_q", "hom_het")
+    return x.select("sample", "chr", F.col("pos").alias("start"), F.col("call_stop").alias("stop"), "ref", "alt", _id("allele", F.col("call_stop")), F.when(F.col("del_len") == 0, "ins").otherwise("del").alias("type"), "depth", count_text(F.col("alleles"), True).alias("counts"), "con_q", "var_q", "map_q", "hom_het")
 
 
 def indel_vbed(indels: DataFrame, genome: DataFrame) -> DataFrame:
