@@ -28,13 +28,18 @@ from . import pfor, tables
 END_ID = 2
 SEGMENT_IDS = 1_000_000
 #: Pieces that a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 600_000
 PARTITION_BYTES = 32 << 20
 STORED = "part int, seg int, n long, doc_ids array<long>, lengths array<long>, data binary"
 #: After these characters' kind a space surely begins a piece: no white space among them.
 _PLAIN = "!-~À-ɏ"
 _ODD = re.compile(f" (?:[^{_PLAIN}]|$)")
 _CUT = re.compile(f"(?= [{_PLAIN}])")
+#: Inside a piece: a letter and an ASCII character that is none never share a token, nor do a printable
+#: character and a line break after it.
+_LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
+_FINE = re.compile(f"(?<=[{_LETTER}])(?=[\\x00-\\x1f!-@\\[-`{{-\\x7f])|(?<=[!-~])(?=\n)")
+_LINE = re.compile(f" ?[{_PLAIN}]+")
 _workers: dict = {}
 
 
@@ -49,15 +54,38 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line_break = line_break[0] if len(line_break) == 1 else None
 
     def learn(self, pieces: set[str]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list(pieces - self.known.keys())
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
+        """Ids of pieces from those of their parts; only parts not met before are encoded."""
+        for memory in (self.known, self.parts):
+            if len(memory) > REMEMBERED:
+                memory.clear()
+        new = {p: _FINE.split(p) for p in pieces - self.known.keys()}
+        unknown = list(set().union(*new.values()) - self.parts.keys())
+        plain = [p for p in unknown if _LINE.fullmatch(p)]
+        for i in range(0, len(plain), 512):
+            self._encode_lines(plain[i : i + 512])
+        other = [p for p in unknown if p not in self.parts]
+        for i in range(0, len(other), 4096):
+            part = other[i : i + 4096]
             for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[p] = np.asarray(e.ids, self.dtype).tobytes()
+                self.parts[p] = np.asarray(e.ids, self.dtype).tobytes()
+        get = self.parts.__getitem__
+        self.known.update((p, b"".join(map(get, fine))) for p, fine in new.items())
+
+    def _encode_lines(self, part: list[str]) -> None:
+        """Ids of parts without white space but a leading space, as lines of one text; a line break
+        between them is a token of its own. Does nothing where the lines can't be told apart."""
+        ids = np.asarray(self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, self.dtype)
+        cut = np.flatnonzero(ids == self.line_break) if self.line_break is not None else ids[:0]
+        if len(cut) == len(part) - 1:
+            raw, size = ids.tobytes(), ids.itemsize
+            begin = np.concatenate([[0], cut + 1]) * size
+            end = np.append(cut, len(ids)) * size
+            self.parts.update((p, raw[a:b]) for p, a, b in zip(part, begin.tolist(), end.tolist()))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.pieces(t) for t in texts]
