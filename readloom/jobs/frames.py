@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +13,25 @@ from ..operators import annotate, calling, coverage, genome, reads, rollup
 from . import domain
 
 
+#: Tables that several jobs read: written once for an application and data folder, so that jobs start
+#: from files instead of repeating the joins behind them.
+STORED = {"genome", "sites", "indels", "regions", "transcripts", "genes", "known", "reads", "classified", "cube", "parsed_variants", "hits", "variants", "tx", "pairs", "effects", "plain_ties"}
+_frames: dict = {}
+
+
+def shared(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder that the cluster names; a temporary one where it names none."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")
+    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def frames(spark: SparkSession, sf_dir: str) -> Frames:
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _frames:
+        _frames[key] = Frames(spark, sf_dir)
+    return _frames[key]
+
+
 class Frames:
     """Lazily built DataFrames of one data folder."""
 
@@ -19,7 +42,12 @@ class Frames:
         made = self.__dict__["_made"]
         if name not in made:
             make = getattr(type(self), f"_{name}", None)
-            made[name] = make(self) if make else domain.table(self.spark, self.sf_dir, name)
+            df = make(self) if make else domain.table(self.spark, self.sf_dir, name)
+            if name in STORED:
+                path = shared(self.spark, name)
+                df.write.parquet(path)
+                df = self.spark.read.schema(df.schema).parquet(path)
+            made[name] = df
         return made[name]
 
     def _sizes(self):

@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..functions.constants import ALIASES, CANONICAL, contigs
 from ..operators import annotate, calling, coverage, genome, intervals, reads, rollup
 from ..sources import text
+from . import frames as made
 from .checks import CALLABLE, HQ, codon, sql
-from .frames import Frames
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -21,7 +17,7 @@ SQL: dict[str, str] = {}
 
 def q(name: str, f, check: str | None = None, *uses: str) -> None:
     """f takes Frames; check selects over the named checking tables."""
-    QUERIES[name] = lambda spark, sf_dir: f(Frames(spark, sf_dir))
+    QUERIES[name] = lambda spark, sf_dir: f(made.frames(spark, sf_dir))
     if check:
         SQL[name] = sql(check, *uses)
 
@@ -40,12 +36,6 @@ def long(df, *columns):
     return df
 
 
-def shared(f: Frames, name: str) -> str:
-    """A new folder for a write and read round trip, in the shared folder if the cluster names one."""
-    base = f.spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
-
-
 _CHR = "CASE {a} " + " ".join(f"WHEN '{a}' THEN '{c}'" for a, c in ALIASES.items()) + " ELSE {a} END"
 _CANON = ", ".join(f"'{c}'" for c in CANONICAL)
 _RANK = "CASE chr " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(contigs())) + " ELSE 999 END"
@@ -175,7 +165,7 @@ q("T11", lambda f: f.effects.drop("called", "mutated"), "SELECT sample, var_id,
 
 # Sources and sinks: what was written is read back.
 def _lines(f, df, name, *partition_by):
-    path = shared(f, name)
+    path = made.shared(f.spark, name)
     text.write_text(df, path, *partition_by)
     return path
 
@@ -186,7 +176,7 @@ def _vbed_read(f):
 
 
 def _tsv(f, df, name):
-    path = shared(f, name)
+    path = made.shared(f.spark, name)
     text.write_tsv(df, path)
     return f.spark.read.csv(path, sep="\t", header=True, schema=df.schema)
 
@@ -197,7 +187,7 @@ q("S1", lambda f: text.read_fastq(f.spark, _lines(f, reads.fastq_text(f.reads.se
 q("S2", lambda f: text.read_sites(f.spark, _lines(f, f.sites.select(F.concat_ws("\t", *_SITE_TEXT, F.lit("I")).alias("value")), "sites")).select(*_SITE_TEXT), f"SELECT {', '.join(_SITE_TEXT)} FROM sites", "sites")
 q("S3", lambda f: text.read_indels(f.spark, _lines(f, f.indels.select(F.concat_ws("\t", "chr", "pos", F.lit("*"), "genotype", "con_q", "var_q", "map_q", "depth", "allele1", "allele2", "n1", "n2", "n_other", F.lit("0"), F.lit("0")).alias("value")), "indels"))[0], "SELECT chr, pos, genotype, con_q, var_q, map_q, depth, allele1, allele2, n1, n2, n_other FROM indels", "indels")
 q("S4", lambda f: text.read_bed(f.spark, _lines(f, f.regions.select(F.concat_ws("\t", "chr", "start", "stop", F.lit("name")).alias("value")), "bed")), "SELECT chr, start, stop FROM regions", "regions")
-q("S5", lambda f: annotate.parse_vbed(_vbed_read(f).withColumn("sample", F.lit("s")).withColumn("idx", F.col("stop").cast("long"))).select("var_id", "sta", "stop", "var_type", "hom_het", F.array_join("alleles", ",").alias("alleles")), "SELECT DISTINCT var_id, CAST(sta AS INT) AS sta, CAST(v_stop AS INT) AS stop, var_type, hom_het, array_to_string(alleles, ',') AS alleles FROM va", "va")
+q("S5", lambda f: annotate.parse_vbed(_vbed_read(f).withColumn("sample", F.lit("s")).withColumn("idx", F.col("stop").cast("long"))).select("var_id", "sta", "stop", "var_type", "hom_het", F.array_join(F.array_sort("alleles"), ",").alias("alleles")), "SELECT DISTINCT var_id, CAST(sta AS INT) AS sta, CAST(v_stop AS INT) AS stop, var_type, hom_het, array_to_string(list_sort(alleles), ',') AS alleles FROM va", "va")
 q("S6", lambda f: text.read_layout(f.spark, _lines(f, f.known.select(F.concat_ws("\t", F.lit("1"), "chr", "sta", "stop", F.concat(F.lit("rs"), "line"), F.lit("0"), "strand", F.lit("A"), F.lit("A"), "obs", F.lit("genomic"), "class", F.lit("u"), F.lit("0"), F.lit("0"), F.lit("u"), F.lit("e"), F.lit("1")).alias("value")), "snp131"), "knownVariants").select("chr", "sta", "stop", "name", "strand", "obs", "class"), "SELECT chr, sta, stop, 'rs' || line AS name, strand, obs, class FROM known", "known")
 q("S7", lambda f: text.gene_models(text.read_layout(f.spark, _lines(f, f.transcripts.select(F.concat_ws("\t", "tx_id", "chr", "strand", "sta", "stop", "c_sta", "c_end", F.size("e_sta"), F.concat(F.array_join("e_sta", ","), F.lit(",")), F.concat(F.array_join("e_end", ","), F.lit(",")), F.lit("p"), F.lit("a")).alias("value")), "knownGene"), "knownGene")).select("tx_id", "chr", "strand", F.array_join("e_sta", ";").alias("e_sta"), F.array_join("e_end", ";").alias("e_end")), "SELECT CAST(tx_id AS VARCHAR) AS tx_id, chr, strand, array_to_string(e_sta, ';') AS e_sta, array_to_string(e_end, ';') AS e_end FROM transcripts", "transcripts")
 q("S8", lambda f: text.gene_map(f.genes.withColumn("line", F.col("tx_id")), "tx_id", "gene_id", "line").join(text.id_set(f.genes.withColumn("id", F.when(F.col("tx_id") % 3 != 0, F.col("tx_id").cast("string"))), "id").select(F.col("id").cast("long").alias("tx_id")), "tx_id", "left_semi"), "SELECT tx_id, gene_id FROM genes WHERE gene_id IS NOT NULL AND tx_id % 3 <> 0", "genes")
@@ -225,10 +215,10 @@ q("K6", lambda f: f.spark.read.text(_lines(f, _LISTS(f).withColumnRenamed("id",
 
 
 def _report(f):
-    path = shared(f, "report")
-    made = rollup.gene_report(f.gene_groups, f.ties, f.variants)
-    made.write.json(path)
-    return f.spark.read.schema(made.schema).json(path)
+    path = made.shared(f.spark, "report")
+    report = rollup.gene_report(f.gene_groups, f.ties, f.variants)
+    report.write.json(path)
+    return f.spark.read.schema(report.schema).json(path)
 
 
 q("K7", lambda f: _report(f).select("sample", "grp", "gene_id", F.size("transcripts").alias("transcripts"), F.aggregate("transcripts", F.lit(0), lambda a, t: a + F.size(t["variants"])).alias("variants")),

@@ -157,7 +157,10 @@ def gene_pieces(transcripts: DataFrame, ss_len: int = 2) -> DataFrame:
         acceptor = F.when(i > 0, row(x["e_sta"] - ss_len, x["e_sta"]))
         return F.filter(F.array(donor, acceptor), lambda y: y.isNotNull())
 
-    every = F.flatten(F.array(*(F.flatten(F.transform(e, lambda x, i, k=k: of(k, x, i))) for k in ("exon", "cds", "splice"))))
+    def pieces(kind):
+        return F.flatten(F.transform(e, lambda x, i: of(kind, x, i)))
+
+    every = F.concat(*(pieces(k) for k in ("exon", "cds", "splice")))
     return transcripts.select("tx_id", "chr", F.explode(every).alias("p")).select("tx_id", "chr", "p.kind", "p.start", "p.stop")
 
 

@@ -16,7 +16,8 @@ def variant_report(ties: DataFrame) -> DataFrame:
 
 def variant_counts(variants: DataFrame) -> DataFrame:
     """(sample, var_type, variants, known, novel and their shares); all types together as 'all'."""
-    by = variants.groupBy("sample", F.explode(F.array(F.col("var_type"), F.lit("all"))).alias("var_type")).agg(F.count("*").alias("variants"), F.count_if(F.col("status") == "known").alias("known"))
+    each = variants.select("sample", "status", F.explode(F.array(F.col("var_type"), F.lit("all"))).alias("var_type"))
+    by = each.groupBy("sample", "var_type").agg(F.count("*").alias("variants"), F.count_if(F.col("status") == "known").alias("known"))
     return by.select("*", (F.col("variants") - F.col("known")).alias("novel"), (F.col("known") / F.col("variants")).alias("known_share"), (1 - F.col("known") / F.col("variants")).alias("novel_share"))
 
 
@@ -68,7 +69,8 @@ def gene_descriptions(gene_groups: DataFrame) -> DataFrame:
 
 def mutation_map(effects: DataFrame, predictions: DataFrame) -> DataFrame:
     """(sample, tx_id, changes): map of amino-acid change to its prediction, zygosity and variant."""
-    x = effects.where("ref_aa <> alt_aa").join(predictions.select("var_id", "tx_id", "allele", "prediction"), ["var_id", "tx_id", "allele"], "left")
+    each = predictions.select("var_id", "tx_id", F.explode(F.array_distinct(F.array("nt1", "nt2"))).alias("allele"), "prediction")
+    x = effects.where("ref_aa <> alt_aa").join(each, ["var_id", "tx_id", "allele"], "left")
     one = x.groupBy("sample", "tx_id", "aa_change").agg(F.min(F.struct(F.coalesce("prediction", F.lit("")).alias("prediction"), "hom_het", "var_id")).alias("v"))
     return one.groupBy("sample", "tx_id").agg(F.map_from_entries(F.collect_list(F.struct("aa_change", "v"))).alias("changes"))
 

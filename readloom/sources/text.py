@@ -116,7 +116,7 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     of a file's first line names the columns, so the header is read on the driver (one line)."""
     lines = spark.read.text(path)
     header = [h.strip() for h in lines.first()[0].lstrip("#").split("\t")]
-    x = lines.where(~F.col("value").startswith("#")).select(F.transform(F.split("value", "\t"), F.trim).alias("c"))
+    x = lines.where(~F.col("value").startswith("#")).select(F.transform(F.split("value", "\t"), lambda v: F.trim(v)).alias("c"))
     x = x.select(*(F.get("c", F.lit(i)).alias(h) for i, h in enumerate(header)))
     part = lambda k: F.regexp_extract("o_snp_id", r"(chr[^:]+):(\d+)\.(\w+)\.(uc\w+\.\d+)", k)
     note = F.split("Comments", ";")
