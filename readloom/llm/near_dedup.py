@@ -185,7 +185,7 @@ def _joined(pdf):
         mine = sets[k]
         if (rep[k], comp[k]) in linked:
             continue
-        others = [m for t in np.frombuffer(pdf["targets"].iloc[k], np.int64) if (m := member.get((comp[k], sub[k], t))) is not None]
+        others = [m for t in np.unique(np.frombuffer(b"".join(pdf["targets"].iloc[k]), np.int64)).tolist() if (m := member.get((comp[k], sub[k], t))) is not None]
         for a in range(0, len(others), 64):
             part = others[a : a + 64]
             sizes = np.fromiter((len(sets[m]) for m in part), np.int64, len(part))
@@ -259,13 +259,15 @@ def groups(docs: DataFrame) -> DataFrame:
     n_rows = rows.count()
     n_buckets = max(n_parts, n_rows // BUCKET_ROWS)
     rows = rows.join(reps.select("rep", "n", "sig").dropDuplicates(["rep"]), "rep").withColumn("bucket", F.pmod(F.xxhash64("region", "i", "j"), F.lit(n_buckets)))
-    packs = tables.stored(rows.groupBy("bucket").applyInPandas(_across, "probe long, comp long, targets binary"), "packs")
+    packs = rows.groupBy("bucket").applyInPandas(_across, "probe long, comp long, targets binary")
+    # A pair comes from many trees: a probe meets a component once.
+    packs = tables.stored(packs.groupBy("probe", "comp").agg(F.collect_list("targets").alias("targets")), "packs")
 
     # One link between a probe and a component is enough: they are one component then.
     label = texts.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "text", F.coalesce("component", "rep").alias("comp"))
     subs = label.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("subs")).join(packs.select("comp").distinct(), "comp", "left_semi")
     subs = tables.stored(subs, "subs")
-    members = label.join(subs, "comp").select(F.lit(0).alias("side"), "rep", "comp", F.pmod(F.xxhash64("rep"), F.col("subs")).cast("int").alias("sub"), F.lit(None).cast("binary").alias("targets"), "text")
+    members = label.join(subs, "comp").select(F.lit(0).alias("side"), "rep", "comp", F.pmod(F.xxhash64("rep"), F.col("subs")).cast("int").alias("sub"), F.lit(None).cast("array<binary>").alias("targets"), "text")
     probes = packs.join(subs, "comp").select(F.col("probe").alias("rep"), "comp", "targets", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)).alias("sub"))
     probes = probes.join(texts, "rep").select(F.lit(1).alias("side"), "rep", "comp", "sub", "targets", "text")
     both = members.unionByName(probes).withColumn("bucket", F.pmod(F.xxhash64("comp", "sub"), F.lit(max(n_parts, tables.n_bytes(texts) >> 24))))
