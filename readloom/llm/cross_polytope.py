@@ -1,8 +1,11 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 A table's hash is three rounds of random signs and fast Hadamard transform, then the nearest signed
-axis; ``hashes`` of them are concatenated so that buckets stay near ``BUCKET`` vectors as data grow.
-A query probes the ``probes`` buckets of each table whose axes it is nearest to. Candidates are
+axis; up to ``n_hashes`` of them are concatenated so that buckets stay near ``BUCKET`` vectors as data
+grow. A query probes the ``probes`` buckets of each table whose axes it is nearest to. Hashes and probes
+come from the data (``plan``): the true neighbours of ``SAMPLE`` queries tell how many probes find the
+share ``RECALL`` of them with each number of hashes, and the cheapest such pair is taken. With one hash
+all buckets can be probed, so there is always one. Candidates are
 compared exactly, in double precision, inside bucket blocks of at most about ``BLOCK`` vectors, so a
 bucket with a third of all vectors is many tasks' work; each block returns the k nearest, ties to the
 smaller id, and the k best of those are the answer. No candidate is dropped before it is compared.
@@ -24,6 +27,11 @@ from . import tables
 
 TABLES, PROBES, NEAREST = 10, 12, 5
 BUCKET, BLOCK = 1024, 4096
+#: Queries whose true neighbours are found, and the share of them that probes must reach: above 0.9 by
+#: what a sample of this size may err.
+SAMPLE, RECALL = 128, 0.95
+#: Comparisons that cost as much as sending one probe.
+SENT = 64
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -89,6 +97,11 @@ def _matrix(column) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def _sides(column) -> int:
+    """Signed axes of a hash of a column's vectors."""
+    return sides(len(column[0]) if len(column) else 1)
+
+
 def _unit(x):
     return x / np.linalg.norm(x / np.abs(x).max(1, keepdims=True), axis=1, keepdims=True) / np.abs(x).max(1, keepdims=True)
 
@@ -98,8 +111,9 @@ def _placed(n_tables, hashes, probes, with_vectors):
 
     def run(batches):
         for batch in batches:
-            for a in range(0, batch.num_rows, 2048):
-                part = batch.slice(a, 2048)
+            rows = max(1, min(2048, (1 << 21) // (probes * min(probes, _sides(batch.column("v"))))))
+            for a in range(0, batch.num_rows, rows):
+                part = batch.slice(a, rows)
                 x = _matrix(part.column("v"))
                 u = _unit(x)
                 for t in range(n_tables):
@@ -149,16 +163,94 @@ def _compared(k):
     return run
 
 
+def sides(dim: int) -> int:
+    return 2 * (1 << max(0, int(dim - 1).bit_length()))
+
+
 def n_hashes(n: int, dim: int) -> int:
-    """Hashes to concatenate so that a bucket has about BUCKET vectors, one at least."""
-    sides = 2 * (1 << max(0, int(dim - 1).bit_length()))
-    return max(1, round(np.log(max(n / BUCKET, 1)) / np.log(sides)))
+    """Hashes to concatenate at most, so that a bucket has about BUCKET vectors; one at least."""
+    return max(1, round(np.log(max(n / BUCKET, 1)) / np.log(sides(dim))))
+
+
+def _closest(s, ids, k):
+    """Places of the k largest of s, one for each id."""
+    order = np.argsort(-s, kind="stable")
+    order = order[s[order] > -2]
+    return order[np.sort(np.unique(ids[order], return_index=True)[1])][:k]
+
+
+def _true(sample, k):
+    """mapInArrow: the k nearest of a task's vectors to each sampled query."""
+
+    def run(batches):
+        q_ids, q = sample.value
+        held = [(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, q.shape[1])))] * len(q)
+        for batch in batches:
+            for a in range(0, batch.num_rows, 2048):
+                part = batch.slice(a, 2048)
+                x, ids = _matrix(part.column("v")), part.column("vec_id").to_numpy(zero_copy_only=False)
+                score = _unit(q) @ _unit(x).T
+                score[q_ids[:, None] == ids] = -9
+                for i, old in enumerate(held):
+                    some = np.flatnonzero(score[i] >= (old[1][-1] if len(old[1]) == k else -2))
+                    if len(some):
+                        both = [np.concatenate(c) for c in zip(old, (ids[some], score[i][some], x[some]))]
+                        best = _closest(both[1], both[0], k)
+                        held[i] = tuple(c[best] for c in both)
+        n = [len(h[0]) for h in held]
+        if sum(n):
+            ids, score, v = (np.concatenate(c) for c in zip(*held))
+            yield pa.RecordBatch.from_pydict({"q": pa.array(np.repeat(np.arange(len(q)), n).astype(np.int32)), "vec_id": pa.array(ids), "score": pa.array(score), "v": pa.array([r.tobytes() for r in v], pa.binary())})
+
+    return run
 
 
-def search(index: DataFrame, queries: DataFrame, k: int = NEAREST, n_tables: int = TABLES, probes: int = PROBES) -> DataFrame:
+def _probes_needed(q, x, hashes, n_tables):
+    """For each row of q and the same row of x, both unit vectors: the fewest probes that find x."""
+    least = np.full(len(q), np.iinfo(np.int64).max)
+    for t in range(n_tables):
+        own, before, last = np.zeros(len(q)), np.zeros((len(q), 1)), None
+        for h in range(hashes):
+            r, other = rotated(q, t, h), rotated(x, t, h)
+            r, other = (np.concatenate([m, -m], 1) for m in (r, other))
+            own += r[np.arange(len(q)), other.argmax(1)]
+            if last is not None:
+                before = (before[:, :, None] + last[:, None, :]).reshape(len(q), -1)
+            last = r
+        for i in range(len(q)):
+            better = np.sort(before[i])
+            n = (len(better) - np.searchsorted(better, own[i] - last[i] + 1e-9, "right")).sum()
+            least[i] = min(least[i], n + 1)
+    return least
+
+
+def plan(index: DataFrame, queries: DataFrame, size, k: int, n_tables: int, probes: int, hashes: int | None = None) -> tuple[int, int]:
+    """(hashes, probes) that find RECALL of the true neighbours of a sample of queries and cost least;
+    ``probes`` at least. hashes: the only number to look at."""
+    n, d = size["n"], size["d"] or 1
+    sampled = queries.orderBy(F.xxhash64("vec_id"), F.xxhash64("v")).limit(SAMPLE).collect()
+    found = None
+    if sampled:
+        q_ids, q = np.array([r["vec_id"] for r in sampled], np.int64), np.array([r["v"] for r in sampled], float)
+        shared = index.sparkSession.sparkContext.broadcast((q_ids, q))
+        best = lambda pdf: pdf.iloc[_closest(pdf["score"].to_numpy(), pdf["vec_id"].to_numpy(), k)]
+        schema = "q int, vec_id long, score double, v binary"
+        found = index.mapInArrow(_true(shared, k), schema).groupBy("q").applyInPandas(best, schema).select("q", "v").collect()
+    options = []
+    for h in [hashes] if hashes else range(1, n_hashes(n, d) + 1):
+        most, p = sides(d) ** h, probes
+        if found:
+            needed = np.sort(_probes_needed(_unit(q[[r["q"] for r in found]]), _unit(np.array([np.frombuffer(r["v"]) for r in found])), h, n_tables))
+            p = max(p, int(needed[int(np.ceil(RECALL * len(needed))) - 1]))
+        p = min(p, most)
+        options.append((p * (n / most + SENT), h, p))
+    return min(options)[1:]
+
+
+def search(index: DataFrame, queries: DataFrame, k: int = NEAREST, n_tables: int = TABLES, probes: int = PROBES, hashes: int | None = None) -> DataFrame:
     """index and queries: (vec_id, v). The k nearest found of each query: query_id, rank, vec_id, score."""
     size = index.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d")).first()
-    hashes = n_hashes(size["n"], size["d"] or 1)
+    hashes, probes = plan(index, queries, size, k, n_tables, probes, hashes)
     counts = index.select("v").mapInArrow(_placed(n_tables, hashes, 1, False), "tab int, bucket long").groupBy("tab", "bucket").count()
     counts = tables.stored(counts.select("tab", "bucket", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "buckets")
     schema = "tab int, bucket long, vec_id long, v binary"

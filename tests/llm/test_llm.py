@@ -241,3 +241,32 @@ def test_empty_tables_and_null_ids(spark, apply):
     rows = [(None, "some words " * 30), (1, "some words " * 30), (1, "some words " * 30), (2, None)]
     out = apply(frame(spark, rows).withColumn("key", F.lit(7)).withColumn("score", F.lit(1)))
     assert out.columns == ["doc_id", "text", "lang", "key", "score"] and out.where("doc_id is null").count() == 1
+
+
+def test_neighbours_with_two_hashes(spark):
+    r = np.random.default_rng(4)
+    x = r.normal(size=(30, 64))[r.integers(0, 30, 1500)] + r.normal(size=(1500, 64))
+    index = cross_polytope.vectors(spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "vec_id long, embedding array<float>"))
+    queries = index.where("vec_id % 50 = 0")
+    got = collections.defaultdict(set)
+    for a in cross_polytope.search(index, queries, hashes=2).collect():
+        got[a.query_id].add(a.vec_id)
+    u = x.astype("float32").astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    hit = sum(len({j for j in np.argsort(-(u @ u[i]))[:6] if j != i} & got[i]) for i in range(0, 1500, 50))
+    assert hit >= 0.9 * 150
+
+
+@pytest.mark.parametrize("bucket", [1, 1024])
+def test_neighbours_past_the_switch(spark, monkeypatch, bucket):
+    monkeypatch.setattr(cross_polytope, "BUCKET", bucket)  # 1: two hashes from 1,500 vectors on
+    r = np.random.default_rng(5)
+    x = r.normal(size=(1500, 64))
+    index = cross_polytope.vectors(spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "vec_id long, embedding array<float>"))
+    got = collections.defaultdict(set)
+    for a in cross_polytope.search(index, index.where("vec_id % 50 = 0")).collect():
+        got[a.query_id].add(a.vec_id)
+    u = x.astype("float32").astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    hit = sum(len({j for j in np.argsort(-(u @ u[i]))[:6] if j != i} & got[i]) for i in range(0, 1500, 50))
+    assert hit >= 0.9 * 150
