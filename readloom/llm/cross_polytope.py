@@ -8,7 +8,8 @@ share ``RECALL`` of them with each number of hashes, and the cheapest such pair
 all buckets can be probed, so there is always one. Candidates are
 compared exactly, in double precision, inside bucket blocks of at most about ``BLOCK`` vectors, so a
 bucket with a third of all vectors is many tasks' work; each block returns the k nearest, ties to the
-smaller id, and the k best of those are the answer. No candidate is dropped before it is compared.
+smaller id, and the k best of those are the answer. No candidate is dropped before it is compared. A
+query with fewer than k candidates is compared with all vectors, in blocks too.
 
 Recall against brute force (k = 5, queries every 50th id) is measured by ``recall``; the README has
 figures. Vectors that are null, zero, of another length than most, or hold null or non-finite
@@ -260,11 +261,35 @@ def search(index: DataFrame, queries: DataFrame, k: int = NEAREST, n_tables: int
     right = right.select("tab", "bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "vec_id", "v")
     keys = ["tab", "bucket", "block"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_compared(k), "query_id long, vec_id long, score double")
+    found = tables.stored(_ranked(found, k), "found")
+    full = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
+    short = tables.stored(queries.join(full, "vec_id", "left_anti"), "short")
+    if short.isEmpty():
+        return found
+    every = _against_all(index, short, k, -(-size["n"] // BLOCK))
+    return _ranked(found.select("query_id", "vec_id", "score").unionByName(every), k)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _bytes(batches):
+    for batch in batches:
+        if batch.num_rows:
+            yield pa.RecordBatch.from_pydict({"vec_id": batch.column("vec_id"), "v": pa.array([r.tobytes() for r in _matrix(batch.column("v"))], pa.binary())})
+
+
+def _against_all(index: DataFrame, queries: DataFrame, k: int, blocks: int) -> DataFrame:
+    """The k nearest of each block of the index, for each query."""
+    left, right = (df.select("vec_id", "v").mapInArrow(_bytes, "vec_id long, v binary") for df in (index, queries))
+    left = left.select(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block"), "vec_id", "v")
+    right = right.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), "vec_id", "v")
+    return left.groupBy("block").cogroup(right.groupBy("block")).applyInPandas(_compared(k), "query_id long, vec_id long, score double")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = vectors(tables.table(spark, sf_dir, "embeddings"))
     return search(index, index.where("vec_id % 50 = 0"))

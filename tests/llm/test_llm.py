@@ -270,3 +270,12 @@ def test_neighbours_past_the_switch(spark, monkeypatch, bucket):
     u /= np.linalg.norm(u, axis=1, keepdims=True)
     hit = sum(len({j for j in np.argsort(-(u @ u[i]))[:6] if j != i} & got[i]) for i in range(0, 1500, 50))
     assert hit >= 0.9 * 150
+
+
+def test_neighbours_of_few(spark):
+    r = np.random.default_rng(6)
+    for n in (1, 2, 3, 6):
+        rows = [(i, [float(a) for a in v]) for i, v in enumerate(r.normal(size=(n, 64)))]
+        index = cross_polytope.vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+        got = cross_polytope.search(index, index).collect()
+        assert sorted((a.query_id, a.vec_id) for a in got) == [(i, j) for i in range(n) for j in range(n) if i != j]
