@@ -9,8 +9,13 @@ any common window does) are ordered by a suffix array: windows with the same fir
 neighbours in it. Suffix arrays are built by linear grouping (``gsaca``) over pieces of a bucket's
 stretches; stretches of one minimizer stay in one piece.
 
+Hot minimizers, with ``HOT`` stretches or more (counted exactly; on large tables a millionth of all
+at least), would make groups that grow with the corpus. Their windows go to buckets one by one,
+by 64-bit hashes of all 50 bytes, so that such a group is spread over all buckets.
+
 Hot strings: a task sends one copy of a stretch, its smallest document's; other copies are settled
-before. Hashes are of 64 bits; equality of windows is confirmed on their bytes.
+before. Hashes are of 64 bits; equality of windows is confirmed on their bytes, but for those of
+hot minimizers.
 
 Defined cases: null is empty; a null doc_id takes part in nothing and stays whole; rows that share a
 doc_id never remove each other's bytes; texts shorter than the window lose nothing. ``apply`` removes
@@ -33,8 +38,12 @@ from .words import BYTE, chunks, mix, powers, utf8
 WINDOW, GRAM = 50, 24
 SIDE = GRAM + (WINDOW - GRAM) // 2
 HELD_BYTES = 8_000_000
-#: Bytes that one suffix array is built over; a minimizer with more has one of its own.
+#: Bytes that one suffix array is built over, and stretches of a minimizer from which it is hot.
 PIECE = 1 << 18
+HOT, SHARE = PIECE >> 6, 1_000_000
+#: Bytes of a bucket's stretches that are settled at once, whole minimizers.
+SLICE = 1_900_000
+COUNTED = 1_200_000
 PACKED = "kind int, bucket int, doc_id long, key long, mins binary, starts binary, sizes binary, owners binary, strings binary"
 _SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("key", pa.int64()), *((c, pa.binary()) for c in ("mins", "starts", "sizes", "owners", "strings"))])
 
@@ -110,6 +119,80 @@ def _by_document(doc, key, start, end):
         yield d, k, _spans(start[at], end[at])
 
 
+def _counting(bits, sketch, n_buckets):
+    """mapInArrow: packed (minimizer, stretches) for each bucket."""
+
+    def send(held):
+        h, c = np.unique(np.concatenate(held), return_counts=True)
+        bucket = ((h >> np.uint64(33)) % np.uint64(n_buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        h, c, bucket = h[order], c[order], bucket[order]
+        begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        parts = list(zip(begin, np.append(begin[1:], len(h))))
+        return pa.RecordBatch.from_pydict({"bucket": pa.array(bucket[begin].astype(np.int32)), "mins": [h[i:j].tobytes() for i, j in parts], "counts": [mindoc.squeeze(c[i:j]) for i, j in parts]})
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            for h, _ in _minimizers(batch):
+                h = h[countmin.repeated(sketch.value, h, bits)]
+                held.append(h)
+                n += len(h)
+                if n >= COUNTED:
+                    yield send(held)
+                    held, n = [], 0
+        if n:
+            yield send(held)
+
+    return run
+
+
+def _most(pdf):
+    """A bucket's minimizers of HOT stretches or more, and how many stretches it has."""
+    import pandas as pd
+
+    h = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["mins"]])
+    c = np.concatenate([mindoc.unsqueeze(x, np.int64) for x in pdf["counts"]])
+    h, at = np.unique(h, return_inverse=True)
+    c = np.bincount(at, c).astype(np.int64)
+    often = c >= pdf["least"].iloc[0]
+    return pd.DataFrame({"mins": [h[often].tobytes()], "counts": [c[often].tobytes()], "n": [int(c.sum())]})
+
+
+def hot_minimizers(keyed: DataFrame, bits: int, sketch, n_buckets: int) -> np.ndarray:
+    """Sorted minimizers whose windows are sent one by one; at most SHARE of them."""
+    counts = keyed.mapInArrow(_counting(bits, sketch, n_buckets), "bucket int, mins binary, counts binary").withColumn("least", F.lit(HOT))
+    rows = counts.groupBy("bucket").applyInPandas(_most, "mins binary, counts binary, n long").collect()
+    h, c = (np.concatenate([np.frombuffer(r[x], t) for r in rows] or [np.zeros(0, t)]) for x, t in (("mins", np.uint64), ("counts", np.int64)))
+    return np.sort(h[c >= -(-sum(r["n"] for r in rows) // SHARE)])
+
+
+def _window_spans(doc, key, at):
+    """Packed spans of the windows that begin at ``at``."""
+    order = np.lexsort((at, key, doc))
+    doc, key, at = doc[order], key[order], at[order]
+    new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]) | (at[1:] > at[:-1] + 1)])
+    begin = np.flatnonzero(new)
+    return _by_document(doc[begin], key[begin], at[begin], at[np.append(begin[1:], len(at)) - 1] + WINDOW)
+
+
+def _send_windows(held, n_buckets):
+    """Windows of hot minimizers: spans settled here (kind 0) and packed windows by bucket (kind 2)."""
+    h, doc, key, at = (np.concatenate(x) for x in zip(*held))
+    rows = {n: [] for n in _SCHEMA.names}
+    opened = mindoc.first_owner(h, doc) == doc
+    shut = ~opened
+    if shut.any():
+        for d, k, spans in _window_spans(doc[shut], key[shut], at[shut]):
+            for n, x in zip(_SCHEMA.names, (0, k % n_buckets, d, k, spans, None, None, None, None)):
+                rows[n].append(x)
+    for batch in mindoc.send(h[opened], doc[opened], key[opened], at[opened], n_buckets):
+        for r in batch.to_pylist():
+            for n, x in zip(_SCHEMA.names, (2, r["bucket"], 0, 0, r["hashes"], r["at"], None, r["owners"], None)):
+                rows[n].append(x)
+    return pa.RecordBatch.from_pydict(rows, schema=_SCHEMA)
+
+
 def _send(held, n_buckets):
     """One task's stretches: spans of those that an earlier document here has too (kind 0), and one
     row of packed stretches for each bucket (kind 1)."""
@@ -140,12 +223,12 @@ def _send(held, n_buckets):
     return pa.RecordBatch.from_pydict(rows, schema=_SCHEMA)
 
 
-def _sent(bits, sketch, n_buckets):
-    """mapInArrow: stretches whose minimizer may be in two documents."""
+def _sent(bits, sketch, n_buckets, hot):
+    """mapInArrow: stretches whose minimizer may be in two documents, those of hot ones as windows."""
 
     def run(batches):
-        bit = sketch.value
-        held, n = [], 0
+        bit, often = sketch.value, hot.value
+        held, n, windows, m = [], 0, [], 0
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             keys = batch.column("key").to_numpy(zero_copy_only=False)
@@ -153,6 +236,18 @@ def _sent(bits, sketch, n_buckets):
                 h, doc, start, end, roll = stretches(buf, begins, ends)
                 maybe = countmin.repeated(bit, h, bits)
                 h, doc, start, end = h[maybe], doc[maybe], start[maybe], end[maybe]
+                if len(often):
+                    is_hot = often[np.minimum(np.searchsorted(often, h), len(often) - 1)] == h
+                    count = (end - start - WINDOW + 1)[is_hot]
+                    owner = np.repeat(doc[is_hot], count)
+                    at = np.repeat(start[is_hot] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(len(owner)) if len(owner) else owner
+                    if len(owner):
+                        windows.append((roll.of(at, WINDOW), ids[a + owner].astype(np.int64), keys[a + owner].astype(np.int64), at - begins[owner]))
+                        m += len(owner)
+                    h, doc, start, end = h[~is_hot], doc[~is_hot], start[~is_hot], end[~is_hot]
+                    if m >= COUNTED:
+                        yield _send_windows(windows, n_buckets)
+                        windows, m = [], 0
                 if not len(h):
                     continue
                 size = end - start
@@ -164,6 +259,8 @@ def _sent(bits, sketch, n_buckets):
                     held, n = [], 0
         if n:
             yield _send(held, n_buckets)
+        if m:
+            yield _send_windows(windows, n_buckets)
 
     return run
 
@@ -214,18 +311,41 @@ def _settle(n_shards):
 
     def run(pdf):
         rows = [(d, k, m) for d, k, m, kind in zip(pdf["doc_id"].tolist(), pdf["key"].tolist(), pdf["mins"], pdf["kind"]) if kind == 0]
+        hot = pdf[pdf["kind"] == 2]
+        if len(hot):
+            h, doc, key, at = (np.concatenate(x) for x in zip(*(mindoc.opened(*r) for r in zip(hot["mins"], hot["owners"], hot["starts"]))))
+            late = mindoc.first_owner(h, doc) < doc
+            if late.any():
+                rows += _window_spans(doc[late], key[late], at[late])
         pdf = pdf[pdf["kind"] == 1]
         if len(pdf):
             h = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["mins"]])
             start, size = (np.concatenate([mindoc.unsqueeze(x, np.uint32) for x in pdf[c]]).astype(np.int64) for c in ("starts", "sizes"))
             owners = np.concatenate([mindoc.unsqueeze(x, np.int64).reshape(2, -1) for x in pdf["owners"]], 1)
             raw = np.concatenate([mindoc.unsqueeze(x, np.uint8) for x in pdf["strings"]])
-            rows += _settled(h, owners[0], owners[1], start, size, raw)
+            for m, part in _slices(h, size, raw):
+                rows += _settled(h[m], owners[0][m], owners[1][m], start[m], size[m], part)
         return mindoc.sharded(rows, n_shards)
 
     return run
 
 
+def _slices(h, size, raw):
+    """Stretches of whole minimizers of about SLICE bytes together, and their bytes."""
+    begin = np.cumsum(size) - size
+    order = np.argsort(h, kind="stable")
+    last = np.flatnonzero(np.append(h[order][1:] != h[order][:-1], True)) + 1
+    total = np.concatenate([[0], np.cumsum(size[order])])
+    a = 0
+    while a < len(order):
+        fits = last[(last > a) & (total[last] <= total[a] + SLICE)]
+        b = int(fits[-1] if len(fits) else last[np.searchsorted(last, a, "right")])
+        m = order[a:b]
+        n = size[m]
+        yield m, raw[np.repeat(begin[m] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        a = b
+
+
 def _settled(h, doc, key, start, size, raw):
     begin = np.concatenate([[0], np.cumsum(size)[:-1]])
     roll = Rolling(raw)
@@ -289,7 +409,8 @@ def with_spans(docs: DataFrame) -> DataFrame:
     n_buckets = max(tables.parts(spark), n >> 24)
     keyed = docs.where("doc_id is not null and text is not null").select("doc_id", "text", tables.row_key().alias("key"))
     sketch = spark.sparkContext.broadcast(countmin.repeated_cells(keyed, _minimizers, bits))
-    found = keyed.mapInArrow(_sent(bits, sketch, n_buckets), PACKED).groupBy("bucket").applyInPandas(_settle(n_buckets), mindoc.SHARDED)
+    hot = spark.sparkContext.broadcast(hot_minimizers(keyed, bits, sketch, n_buckets))
+    found = keyed.mapInArrow(_sent(bits, sketch, n_buckets, hot), PACKED).groupBy("bucket").applyInPandas(_settle(n_buckets), mindoc.SHARDED)
     found = found.groupBy("shard").applyInPandas(mindoc.united, mindoc.UNITED).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "packs")
     return docs.join(found, (docs["doc_id"] == found["_id"]) & (tables.row_key() == found["_key"]), "left").drop("_id", "_key")
 

@@ -279,3 +279,26 @@ def test_neighbours_of_few(spark):
         index = cross_polytope.vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
         got = cross_polytope.search(index, index).collect()
         assert sorted((a.query_id, a.vec_id) for a in got) == [(i, j) for i in range(n) for j in range(n) if i != j]
+
+
+def test_suffix_hot_minimizer(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT", 20)
+    r = random.Random(12)
+    hot = "Licensed under the Apache License, Version 2.0."
+    rows = [(i, f"{' '.join(r.choices(WORDS, k=9))} {hot} {r.choice(['See', 'It is', 'x' * i])} {' '.join(r.choices(WORDS, k=4))}") for i in range(120)]
+    docs = frame(spark, rows).select("doc_id", "text").withColumn("key", F.xxhash64("doc_id", "text"))
+    bits = suffix_dedup.countmin.sketch_bits(1e4)
+    sketch = spark.sparkContext.broadcast(suffix_dedup.countmin.repeated_cells(docs, suffix_dedup._minimizers, bits))
+    often = suffix_dedup.hot_minimizers(docs, bits, sketch, 4)
+    sent = docs.mapInArrow(suffix_dedup._sent(bits, sketch, 4, spark.sparkContext.broadcast(often)), suffix_dedup.PACKED).collect()
+    count = collections.Counter(m for x in sent if x.kind == 1 for m in np.frombuffer(x.mins, np.uint64).tolist())
+    assert len(often) and max(count.values(), default=0) < 20 and len({x.bucket for x in sent if x.kind == 2}) == 4
+    got = {r.doc_id: r for r in suffix_dedup.query(spark, written(tmp_path, spark, rows)).collect()}
+    seen = {}
+    for i, t in rows:
+        b = t.encode()
+        gone = bytearray(len(b))
+        for j in range(len(b) - 49):
+            if seen.setdefault(b[j : j + 50], i) < i:
+                gone[j : j + 50] = b"\1" * 50
+        assert got[i].kept_sha256 == hashlib.sha256(bytes(x for x, g in zip(b, gone) if not g)).hexdigest()
