@@ -9,6 +9,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from . import tables
 
 PACKED = "kind int, bucket int, doc_id long, key long, hashes binary, owners binary, at binary"
 SHARDED = "shard long, heads binary, sizes binary, data binary"
@@ -16,10 +20,14 @@ UNITED = "doc_id long, key long, packs array<binary>"
 _SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("key", pa.int64()), ("hashes", pa.binary()), ("owners", pa.binary()), ("at", pa.binary())])
 
 
-def squeeze(x: np.ndarray) -> bytes:
+#: A name that no table's own column has.
+PACKS = "__readloom_packs"
+
+
+def squeeze(x: np.ndarray, level: int = 1) -> bytes:
     """zstd of an integer array, after the number of its bytes."""
     raw = np.ascontiguousarray(x).tobytes()
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=level).compress(raw, asbytes=True)
 
 
 def unsqueeze(x: bytes, dtype) -> np.ndarray:
@@ -147,3 +155,10 @@ def settle(n_shards: int):
         return sharded(rows, n_shards)
 
     return run
+
+
+def joined(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """docs with the packs (UNITED) of each row in a last column PACKS; docs may have columns of any
+    other name."""
+    found = found.select(F.col("doc_id").alias(f"{PACKS}_id"), F.col("key").alias(f"{PACKS}_key"), F.col("packs").alias(PACKS))
+    return docs.join(found, (F.col("doc_id") == F.col(f"{PACKS}_id")) & (tables.row_key() == F.col(f"{PACKS}_key")), "left").drop(f"{PACKS}_id", f"{PACKS}_key")

@@ -17,7 +17,8 @@ _HEAD = 20
 
 def _packed(x: np.ndarray, width: int) -> np.ndarray:
     """(blocks, ids) to (blocks, bytes)."""
-    bits = ((x[:, :, None] >> np.arange(width, dtype=np.uint32)) & 1).astype(np.uint8)
+    x = np.ascontiguousarray(x, "<u2" if width <= 16 else "<u4")
+    bits = np.unpackbits(x.view(np.uint8).reshape(*x.shape, -1), axis=2, count=width, bitorder="little")
     return np.packbits(bits.reshape(len(x), -1), axis=1, bitorder="little")
 
 

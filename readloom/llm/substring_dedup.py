@@ -82,7 +82,7 @@ def flags(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     n_buckets = max(tables.parts(spark), n >> 24)
     sketch = spark.sparkContext.broadcast(countmin.repeated_cells(docs, _elements(window), bits))
     keyed = docs.where("doc_id is not null and text is not null").select("doc_id", "text", tables.row_key().alias("key"))
-    sent = keyed.mapInArrow(candidates(window, bits, sketch, n_buckets), mindoc.PACKED)
+    sent = keyed.mapInArrow(candidates(window, bits, sketch, n_buckets), mindoc.PACKED).repartition(n_buckets, "bucket")
     return sent.groupBy("bucket").applyInPandas(mindoc.settle(n_buckets), mindoc.SHARDED).groupBy("shard").applyInPandas(mindoc.united, mindoc.UNITED)
 
 
@@ -99,9 +99,8 @@ def _kept_words(text: bytes, packs, window: int) -> tuple[list[bytes], int]:
 
 
 def with_flags(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """docs with ``key`` and ``packs`` (null where no window of the document is repeated)."""
-    found = flags(docs, window).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "packs")
-    return docs.join(found, (docs["doc_id"] == found["_id"]) & (tables.row_key() == found["_key"]), "left").drop("_id", "_key")
+    """docs with a column ``mindoc.PACKS`` (null where no window of the document is repeated)."""
+    return mindoc.joined(docs, flags(docs, window))
 
 
 def apply(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -112,7 +111,7 @@ def apply(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     def run(batches):
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for i, packs in enumerate(batch.column("packs").to_pylist()):
+            for i, packs in enumerate(batch.column(mindoc.PACKS).to_pylist()):
                 if packs and texts[i] is not None:
                     texts[i] = b" ".join(_kept_words(texts[i].encode(), packs, window)[0]).decode()
             at = batch.schema.get_field_index("text")
@@ -128,7 +127,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             rows = []
-            for text, packs in zip(utf8(batch.column("text")), batch.column("packs").to_pylist()):
+            for text, packs in zip(utf8(batch.column("text")), batch.column(mindoc.PACKS).to_pylist()):
                 kept, n = _kept_words(text, packs, WINDOW)
                 rows.append((n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
             n, gone, sha = zip(*rows) if rows else ((), (), ())

@@ -3,23 +3,29 @@
 Every 50-byte window has a minimizer, the smallest hash of its 24-byte strings; neighbouring windows
 that share one form a stretch, and equal windows lie in stretches of the same minimizer wherever they
 are. A count-min sketch of minimizers leaves only stretches whose minimizer may be in two documents
-(it loses none); those go to buckets by minimizer. There, equal stretches are settled by their
-smallest document, and of the others those that share 37 bytes beside the minimizer with another (as
-any common window does) are ordered by a suffix array: windows with the same first 50 bytes are
-neighbours in it. Suffix arrays are built by linear grouping (``gsaca``) over pieces of a bucket's
-stretches; stretches of one minimizer stay in one piece.
+(it loses none); those go to buckets by minimizer, with their bytes. There, equal stretches are
+pre-aggregated to that of the smallest document, and different stretches of one minimizer are ordered
+by a suffix array: windows with the same first 50 bytes are neighbours in it, and of neighbours that
+are equal the smallest document's stays. (Stretches that share fewer than 37 bytes beside the
+minimizer with any other have no common window and stay out; a minimizer with one stretch left has
+nothing to order.) Suffix arrays are built by linear grouping (``gsaca``) over pieces of a bucket's
+stretches; stretches of one minimizer stay in one piece. They stand there as sequences of symbols:
+the bytes before the minimizer, which windows begin at; the minimizer; and the bytes after it, eight
+to a symbol, whose order is that of the bytes.
 
 Hot minimizers, with ``HOT`` stretches or more (counted exactly; on large tables a millionth of all
-at least), would make groups that grow with the corpus. Their windows go to buckets one by one,
-by 64-bit hashes of all 50 bytes, so that such a group is spread over all buckets.
+at least), would make groups that grow with the corpus. Their windows become stretches of their own,
+with the hash of all 50 bytes in place of the minimizer, so that such a group is spread over all
+buckets and equal windows still meet.
 
 Hot strings: a task sends one copy of a stretch, its smallest document's; other copies are settled
-before. Hashes are of 64 bits; equality of windows is confirmed on their bytes, but for those of
-hot minimizers.
+before. Hashes only choose where strings meet: equality is always that of bytes.
 
 Defined cases: null is empty; a null doc_id takes part in nothing and stays whole; rows that share a
-doc_id never remove each other's bytes; texts shorter than the window lose nothing. ``apply`` removes
-whole characters only: one that loses a byte goes.
+doc_id never remove each other's bytes; texts shorter than the window lose nothing; a very long text
+is handled whole; columns besides doc_id and text are kept by ``apply``, whatever their names, and
+ignored by ``query``; an empty table gives no rows. ``apply`` removes whole characters only: one that
+loses a byte goes.
 """
 
 from __future__ import annotations
@@ -37,12 +43,13 @@ from .words import BYTE, chunks, mix, powers, utf8
 
 WINDOW, GRAM = 50, 24
 SIDE = GRAM + (WINDOW - GRAM) // 2
-HELD_BYTES = 8_000_000
-#: Bytes that one suffix array is built over, and stretches of a minimizer from which it is hot.
-PIECE = 1 << 18
-HOT, SHARE = PIECE >> 6, 1_000_000
+#: Bytes of stretches that a task holds before it sends them.
+HELD_BYTES = 24_000_000
+#: Symbols that one suffix array is built over, and stretches of a minimizer from which it is hot.
+PIECE = 1 << 17
+HOT, SHARE = 4096, 1_000_000
 #: Bytes of a bucket's stretches that are settled at once, whole minimizers.
-SLICE = 1_900_000
+SLICE = 2_000_000
 COUNTED = 1_200_000
 PACKED = "kind int, bucket int, doc_id long, key long, mins binary, starts binary, sizes binary, owners binary, strings binary"
 _SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("key", pa.int64()), *((c, pa.binary()) for c in ("mins", "starts", "sizes", "owners", "strings"))])
@@ -167,39 +174,24 @@ def hot_minimizers(keyed: DataFrame, bits: int, sketch, n_buckets: int) -> np.nd
     return np.sort(h[c >= -(-sum(r["n"] for r in rows) // SHARE)])
 
 
-def _window_spans(doc, key, at):
-    """Packed spans of the windows that begin at ``at``."""
-    order = np.lexsort((at, key, doc))
-    doc, key, at = doc[order], key[order], at[order]
-    new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]) | (at[1:] > at[:-1] + 1)])
-    begin = np.flatnonzero(new)
-    return _by_document(doc[begin], key[begin], at[begin], at[np.append(begin[1:], len(at)) - 1] + WINDOW)
+def _inside(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Places begin..begin+size of every string, one string after the other."""
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
-def _send_windows(held, n_buckets):
-    """Windows of hot minimizers: spans settled here (kind 0) and packed windows by bucket (kind 2)."""
-    h, doc, key, at = (np.concatenate(x) for x in zip(*held))
-    rows = {n: [] for n in _SCHEMA.names}
-    opened = mindoc.first_owner(h, doc) == doc
-    shut = ~opened
-    if shut.any():
-        for d, k, spans in _window_spans(doc[shut], key[shut], at[shut]):
-            for n, x in zip(_SCHEMA.names, (0, k % n_buckets, d, k, spans, None, None, None, None)):
-                rows[n].append(x)
-    for batch in mindoc.send(h[opened], doc[opened], key[opened], at[opened], n_buckets):
-        for r in batch.to_pylist():
-            for n, x in zip(_SCHEMA.names, (2, r["bucket"], 0, 0, r["hashes"], r["at"], None, r["owners"], None)):
-                rows[n].append(x)
-    return pa.RecordBatch.from_pydict(rows, schema=_SCHEMA)
+def _classes(raw: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A number for each string, the same for strings of the same bytes."""
+    data, seen = raw.tobytes(), {}
+    return np.fromiter((seen.setdefault(data[b:e], len(seen)) for b, e in zip(begin.tolist(), (begin + size).tolist())), np.int64, len(begin))
 
 
 def _send(held, n_buckets):
     """One task's stretches: spans of those that an earlier document here has too (kind 0), and one
     row of packed stretches for each bucket (kind 1)."""
-    h, doc, key, start, string, size = (np.concatenate([x[i] for x in held]) for i in range(6))
-    raw = np.concatenate([x[6] for x in held])
-    offset = np.concatenate([[0], np.cumsum(size)[:-1]])
-    opened = mindoc.first_owner(string, doc) == doc
+    h, doc, key, start, size = (np.concatenate([x[i] for x in held]) for i in range(5))
+    raw = np.concatenate([x[5] for x in held])
+    offset = np.cumsum(size) - size
+    opened = mindoc.first_owner(_classes(raw, offset, size), doc) == doc
     rows = {n: [] for n in _SCHEMA.names}
 
     def add(**kw):
@@ -218,8 +210,10 @@ def _send(held, n_buckets):
     for i, j in zip(np.concatenate([[0], cut]), np.append(cut, len(mine))):
         if j > i:
             m = mine[i:j]
-            text = b"".join(raw[o : o + s].tobytes() for o, s in zip(offset[m].tolist(), size[m].tolist()))
-            add(kind=1, bucket=int(bucket[i]), doc_id=0, key=0, mins=h[m].tobytes(), starts=mindoc.squeeze(start[m].astype(np.uint32)), sizes=mindoc.squeeze(size[m].astype(np.uint32)), owners=mindoc.squeeze(np.stack([doc[m], key[m]])), strings=mindoc.squeeze(np.frombuffer(text, np.uint8)))
+            d, k, n = doc[m], key[m], size[m]
+            new = np.concatenate([[True], (d[1:] != d[:-1]) | (k[1:] != k[:-1])])
+            heads = np.stack([d[new], k[new], np.diff(np.append(np.flatnonzero(new), len(m)))])
+            add(kind=1, bucket=int(bucket[i]), doc_id=0, key=0, mins=h[m].tobytes(), starts=mindoc.squeeze(start[m].astype(np.uint32)), sizes=mindoc.squeeze(n.astype(np.uint8 if n.max() < 256 else np.uint32)), owners=mindoc.squeeze(heads), strings=mindoc.squeeze(raw[_inside(offset[m], n)], 6))
     return pa.RecordBatch.from_pydict(rows, schema=_SCHEMA)
 
 
@@ -228,52 +222,47 @@ def _sent(bits, sketch, n_buckets, hot):
 
     def run(batches):
         bit, often = sketch.value, hot.value
-        held, n, windows, m = [], 0, [], 0
+        held, n = [], 0
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             keys = batch.column("key").to_numpy(zero_copy_only=False)
             for a, buf, begins, ends in _buffers(batch):
                 h, doc, start, end, roll = stretches(buf, begins, ends)
                 maybe = countmin.repeated(bit, h, bits)
-                h, doc, start, end = h[maybe], doc[maybe], start[maybe], end[maybe]
-                if len(often):
+                h, doc, start, size = h[maybe], doc[maybe], start[maybe], (end - start)[maybe]
+                if len(often) and len(h):
                     is_hot = often[np.minimum(np.searchsorted(often, h), len(often) - 1)] == h
-                    count = (end - start - WINDOW + 1)[is_hot]
-                    owner = np.repeat(doc[is_hot], count)
-                    at = np.repeat(start[is_hot] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(len(owner)) if len(owner) else owner
-                    if len(owner):
-                        windows.append((roll.of(at, WINDOW), ids[a + owner].astype(np.int64), keys[a + owner].astype(np.int64), at - begins[owner]))
-                        m += len(owner)
-                    h, doc, start, end = h[~is_hot], doc[~is_hot], start[~is_hot], end[~is_hot]
-                    if m >= COUNTED:
-                        yield _send_windows(windows, n_buckets)
-                        windows, m = [], 0
-                if not len(h):
-                    continue
-                size = end - start
-                inside = np.repeat(start - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-                held.append((h, ids[a + doc].astype(np.int64), keys[a + doc].astype(np.int64), start - begins[doc], roll.of(start, size), size, buf[inside]))
-                n += len(inside)
-                if n >= HELD_BYTES:
-                    yield _send(held, n_buckets)
-                    held, n = [], 0
+                    count = (size - WINDOW + 1)[is_hot]
+                    at, owner = _inside(start[is_hot], count), np.repeat(doc[is_hot], count)
+                    h, doc, start = (np.concatenate(x) for x in ((h[~is_hot], roll.of(at, WINDOW)), (doc[~is_hot], owner), (start[~is_hot], at)))
+                    size = np.append(size[~is_hot], np.full(len(at), WINDOW))
+                for i, j in [(0, len(h))] if size.sum() <= HELD_BYTES else chunks(size, HELD_BYTES):
+                    o = doc[i:j]
+                    held.append((h[i:j], ids[a + o].astype(np.int64), keys[a + o].astype(np.int64), start[i:j] - begins[o], size[i:j], buf[_inside(start[i:j], size[i:j])]))
+                    n += int(size[i:j].sum())
+                    if n >= HELD_BYTES:
+                        yield _send(held, n_buckets)
+                        held, n = [], 0
         if n:
             yield _send(held, n_buckets)
-        if m:
-            yield _send_windows(windows, n_buckets)
 
     return run
 
 
-def _shared_sides(buf, begin, size, h, group):
-    """Which stretches share the SIDE bytes up to or from their minimizer with another of its group."""
-    roll = Rolling(buf)
-    gram = roll.every(GRAM)
-    owner = np.repeat(np.arange(len(begin)), size - GRAM + 1)
-    at = np.repeat(begin - np.concatenate([[0], np.cumsum(size - GRAM + 1)[:-1]]), size - GRAM + 1) + np.arange(len(owner))
+def _anchors(buf, begin, size, h):
+    """Where each stretch holds its minimizer: (stretch, place in buf) of every occurrence."""
+    gram = Rolling(buf).every(GRAM)
+    count = size - GRAM + 1
+    owner, at = np.repeat(np.arange(len(begin)), count), _inside(begin, count)
     hit = gram[at] == h[owner]
-    owner, at = owner[hit], at[hit]
-    keep = np.bincount(owner, minlength=len(begin)) > 1
+    return owner[hit], at[hit]
+
+
+def _shared_sides(buf, begin, size, owner, at, group):
+    """Which stretches share the SIDE bytes up to or from a minimizer with another of its group; those
+    that hold theirs not once are kept."""
+    keep = np.bincount(owner, minlength=len(begin)) != 1
+    roll = Rolling(buf)
     for back in (SIDE - GRAM, 0):
         ok = (at - back >= begin[owner]) & (at - back + SIDE <= begin[owner] + size[owner])
         o, value = owner[ok], roll.of(at[ok] - back, SIDE) ^ mix(group[owner[ok]].astype(np.uint64))
@@ -282,49 +271,22 @@ def _shared_sides(buf, begin, size, h, group):
     return keep
 
 
-def _same_windows(buf, begin, size, doc):
-    """For each window of a piece's stretches the smallest document that has it: (stretch, offset, doc)."""
-    out = np.zeros(0, np.int64)
-    valid = np.zeros(len(buf), bool)
-    owner = np.zeros(len(buf), np.int64)
-    for k, (b, s) in enumerate(zip(begin, size)):
-        valid[b : b + s - WINDOW + 1] = True
-        owner[b : b + s] = k
-    order = suffix_array(buf)
-    order = order[valid[order]]
-    if not len(order):
-        return out, out, out
-    same = np.zeros(len(order), bool)
-    for i in range(1, len(order), 8192):
-        j = min(i + 8192, len(order))
-        x = buf[order[i - 1 : j, None] + np.arange(WINDOW)]
-        same[i:j] = (x[1:] == x[:-1]).all(1)
-    begins = np.flatnonzero(~same)
-    least = np.minimum.reduceat(doc[owner[order]], begins)
-    least = np.repeat(least, np.diff(np.append(begins, len(order))))
-    return owner[order], order - begin[owner[order]], least
-
-
 def _settle(n_shards):
     """applyInPandas over a bucket: spans of bytes that a smaller document has too, packed by shards of
     documents."""
 
     def run(pdf):
         rows = [(d, k, m) for d, k, m, kind in zip(pdf["doc_id"].tolist(), pdf["key"].tolist(), pdf["mins"], pdf["kind"]) if kind == 0]
-        hot = pdf[pdf["kind"] == 2]
-        if len(hot):
-            h, doc, key, at = (np.concatenate(x) for x in zip(*(mindoc.opened(*r) for r in zip(hot["mins"], hot["owners"], hot["starts"]))))
-            late = mindoc.first_owner(h, doc) < doc
-            if late.any():
-                rows += _window_spans(doc[late], key[late], at[late])
         pdf = pdf[pdf["kind"] == 1]
         if len(pdf):
             h = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["mins"]])
-            start, size = (np.concatenate([mindoc.unsqueeze(x, np.uint32) for x in pdf[c]]).astype(np.int64) for c in ("starts", "sizes"))
-            owners = np.concatenate([mindoc.unsqueeze(x, np.int64).reshape(2, -1) for x in pdf["owners"]], 1)
+            start = np.concatenate([mindoc.unsqueeze(x, np.uint32) for x in pdf["starts"]]).astype(np.int64)
+            size = np.concatenate([mindoc.unsqueeze(x, np.uint8 if int.from_bytes(x[:8], "little") * 8 == len(m) else np.uint32).astype(np.int64) for x, m in zip(pdf["sizes"], pdf["mins"])])
+            heads = np.concatenate([mindoc.unsqueeze(x, np.int64).reshape(3, -1) for x in pdf["owners"]], 1)
+            doc, key = np.repeat(heads[0], heads[2]), np.repeat(heads[1], heads[2])
             raw = np.concatenate([mindoc.unsqueeze(x, np.uint8) for x in pdf["strings"]])
             for m, part in _slices(h, size, raw):
-                rows += _settled(h[m], owners[0][m], owners[1][m], start[m], size[m], part)
+                rows += _settled(h[m], doc[m], key[m], start[m], size[m], part)
         return mindoc.sharded(rows, n_shards)
 
     return run
@@ -338,21 +300,18 @@ def _slices(h, size, raw):
     total = np.concatenate([[0], np.cumsum(size[order])])
     a = 0
     while a < len(order):
-        fits = last[(last > a) & (total[last] <= total[a] + SLICE)]
-        b = int(fits[-1] if len(fits) else last[np.searchsorted(last, a, "right")])
+        b = int(last[max(int(np.searchsorted(total[last], total[a] + SLICE, "right")) - 1, int(np.searchsorted(last, a, "right")))])
         m = order[a:b]
-        n = size[m]
-        yield m, raw[np.repeat(begin[m] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        yield m, raw[_inside(begin[m], size[m])]
         a = b
 
 
 def _settled(h, doc, key, start, size, raw):
-    begin = np.concatenate([[0], np.cumsum(size)[:-1]])
-    roll = Rolling(raw)
-    string = roll.of(begin, size) ^ mix(h)
+    """(doc, key, spans) of the bytes of some stretches, of whole minimizers, that smaller documents have."""
+    begin = np.cumsum(size) - size
+    string = _classes(raw, begin, size)
     late = mindoc.first_owner(string, doc) < doc
     out = list(_by_document(doc[late], key[late], start[late], start[late] + size[late]))
-    del roll
     # One of each string, of its smallest document; repeats in that document follow it.
     order = np.lexsort((start, doc, string))
     head = order[np.concatenate([[True], string[order][1:] != string[order][:-1]])]
@@ -360,59 +319,109 @@ def _settled(h, doc, key, start, size, raw):
     head, group = head[strings[group] > 1], group[strings[group] > 1]
     if not len(head):
         return out
-    pick = lambda m: raw[np.repeat(begin[m] - np.concatenate([[0], np.cumsum(size[m])[:-1]]), size[m]) + np.arange(size[m].sum())]
-    keep = _shared_sides(pick(head), np.concatenate([[0], np.cumsum(size[head])[:-1]]), size[head], h[head], group)
-    head, group = head[keep], group[keep]
     order = np.argsort(group, kind="stable")
     head, group = head[order], group[order]
-    # The spans of a head hold for all that equal it in the same document.
-    twins: dict[int, list[int]] = {}
-    first = dict(zip(string[head].tolist(), head.tolist()))
-    for k in np.flatnonzero(np.isin(string, string[head])).tolist():
-        if doc[k] == doc[first[int(string[k])]]:
-            twins.setdefault(first[int(string[k])], []).append(k)
-    cut = np.concatenate([np.flatnonzero(group[1:] != group[:-1]) + 1, [len(group)]]) if len(group) else []
-    a, total, found = 0, 0, []
-    ends = np.cumsum(size[head] + 1)
-    for c in cut:
-        if ends[c - 1] - total >= PIECE or c == len(group):
-            found += _piece(head[a:c], raw, begin, size, doc)
-            a, total = int(c), ends[c - 1]
+    buf = raw[_inside(begin[head], size[head])]
+    at = np.cumsum(size[head]) - size[head]
+    owner, place = _anchors(buf, at, size[head], h[head])
+    keep = _shared_sides(buf, at, size[head], owner, place, group)
+    anchor = np.full(len(head), -1)
+    anchor[owner] = place - at[owner]
+    # A group aligns at its minimizer if every stretch holds it once; others go byte by byte.
+    once = np.bincount(owner, minlength=len(head)) == 1
+    anchor[np.isin(group, group[~once])] = -1
+    found = []
+    for aligned in (True, False):
+        m = np.flatnonzero(keep & ((anchor >= 0) == aligned))
+        symbols = anchor[m] + 6 if aligned else size[head[m]] + 1
+        last = np.flatnonzero(np.append(group[m][1:] != group[m][:-1], True)) + 1 if len(m) else []
+        a, done, total = 0, 0, np.cumsum(symbols)
+        for c in last:
+            if total[c - 1] - done >= PIECE or c == len(m):
+                found += _piece(m[a:c], head, buf, at, size, doc, anchor if aligned else None, group)
+                a, done = int(c), total[c - 1]
     if found:
-        spans = [(doc[k], key[k], start[k] + s, start[k] + e) for m, s, e in found for k in twins[m]]
-        d, k, s, e = (np.asarray(x, np.int64) for x in zip(*spans))
+        # The spans of a head hold for all that equal it in the same document.
+        first = dict(zip(string[head].tolist(), head.tolist()))
+        twins: dict[int, list[int]] = {}
+        for k in np.flatnonzero(np.isin(string, string[head])).tolist():
+            if doc[k] == doc[first[int(string[k])]]:
+                twins.setdefault(first[int(string[k])], []).append(k)
+        d, k, s, e = (np.asarray(x, np.int64) for x in zip(*((doc[t], key[t], start[t] + s, start[t] + e) for m, s, e in found for t in twins[m])))
         out += _by_document(d, k, s, e)
     return out
 
 
-def _piece(head, raw, begin, size, doc):
-    """Spans of the stretches ``head`` that others of smaller documents have: (stretch, start, end)."""
-    n = size[head]
-    at = np.concatenate([[0], np.cumsum(n + 1)[:-1]])
-    buf = np.zeros(int((n + 1).sum()), np.int64)
-    for a, b, s in zip(at.tolist(), begin[head].tolist(), n.tolist()):
-        buf[a : a + s] = raw[b : b + s].astype(np.int64) + 1
-    owner, offset, least = _same_windows(buf, at, n, doc[head])
-    late = least < doc[head][owner]
-    owner, offset = owner[late], offset[late]
-    order = np.lexsort((offset, owner))
-    owner, offset = owner[order], offset[order]
-    cut = np.flatnonzero((owner[1:] != owner[:-1]) | (offset[1:] > offset[:-1] + 1)) + 1 if len(owner) else np.zeros(0, int)
-    return [(int(head[owner[i]]), int(offset[i]), int(offset[j - 1]) + WINDOW) for i, j in zip(np.concatenate([[0], cut]).astype(int), np.append(cut, len(owner)).astype(int)) if j > i]
+def _symbols(mine, head, buf, at, size, anchor, group):
+    """The sequence of symbols of some stretches, each closed by 0, and for every symbol its stretch and
+    byte in it; -1 for symbols that no window begins at."""
+    n = size[head[mine]]
+    if anchor is None:
+        begin = np.cumsum(n + 1) - n - 1
+        text, owner, byte = np.zeros(int((n + 1).sum()), np.int64), np.zeros(int((n + 1).sum()), np.int64), np.full(int((n + 1).sum()), -1)
+        to = _inside(begin, n)
+        text[to] = buf[_inside(at[mine], n)].astype(np.int64) + 1
+        to = _inside(begin, n - WINDOW + 1)
+        owner[to], byte[to] = np.repeat(np.arange(len(mine)), n - WINDOW + 1), _inside(np.zeros_like(n), n - WINDOW + 1)
+        return text, owner, byte
+    before = anchor[mine]
+    after = n - before - GRAM
+    blocks = -(-after // 8)
+    total = before + 1 + blocks + 1
+    begin = np.cumsum(total) - total
+    text, owner, byte = np.zeros(int(total.sum()), np.int64), np.zeros(int(total.sum()), np.int64), np.full(int(total.sum()), -1)
+    text[_inside(begin, before)] = buf[_inside(at[mine], before)].astype(np.int64) + 1
+    _, rank = np.unique(group[mine], return_inverse=True)
+    text[begin + before] = 257 + rank
+    # Bytes after the minimizer, filled up to whole blocks, as big-endian numbers.
+    tail = np.zeros(int(blocks.sum()) * 8, np.uint8)
+    tail[_inside((np.cumsum(blocks) - blocks) * 8, after)] = buf[_inside(at[mine] + before + GRAM, after)]
+    _, value = np.unique(tail.view(">u8").astype(np.uint64), return_inverse=True)
+    text[_inside(begin + before + 1, blocks)] = 257 + len(mine) + value
+    windows = n - WINDOW + 1
+    to = _inside(begin, windows)
+    owner[to], byte[to] = np.repeat(np.arange(len(mine)), windows), _inside(np.zeros_like(n), windows)
+    return text, owner, byte
+
+
+def _piece(mine, head, buf, at, size, doc, anchor, group):
+    """Spans of the stretches ``mine`` of ``head`` that others of smaller documents have: (stretch,
+    start, end)."""
+    if len(mine) < 2:
+        return []
+    text, owner, byte = _symbols(mine, head, buf, at, size, anchor, group)
+    order = suffix_array(text)
+    order = order[byte[order] >= 0]
+    owner, byte = owner[order], byte[order]
+    place = at[mine][owner] + byte
+    same = np.zeros(len(order), bool)
+    for i in range(1, len(order), 8192):
+        j = min(i + 8192, len(order))
+        x = buf[place[i - 1 : j, None] + np.arange(WINDOW)]
+        same[i:j] = (x[1:] == x[:-1]).all(1)
+    begins = np.flatnonzero(~same)
+    own = doc[head[mine]][owner]
+    least = np.repeat(np.minimum.reduceat(own, begins), np.diff(np.append(begins, len(order))))
+    late = least < own
+    owner, byte = owner[late], byte[late]
+    order = np.lexsort((byte, owner))
+    owner, byte = owner[order], byte[order]
+    cut = np.flatnonzero((owner[1:] != owner[:-1]) | (byte[1:] > byte[:-1] + 1)) + 1 if len(owner) else np.zeros(0, int)
+    return [(int(head[mine[owner[i]]]), int(byte[i]), int(byte[j - 1]) + WINDOW) for i, j in zip(np.concatenate([[0], cut]).astype(int), np.append(cut, len(owner)).astype(int)) if j > i]
 
 
 def with_spans(docs: DataFrame) -> DataFrame:
-    """docs with ``packs``: packed spans of bytes to remove, null where there are none."""
+    """docs with a column ``mindoc.PACKS``: packed spans of bytes to remove, null where there are none."""
     spark = docs.sparkSession
     n = tables.n_bytes(docs)
     bits = countmin.sketch_bits(n / ((WINDOW - GRAM + 2) / 2))
-    n_buckets = max(tables.parts(spark), n >> 24)
+    n_buckets = max(tables.parts(spark), n >> 23)
     keyed = docs.where("doc_id is not null and text is not null").select("doc_id", "text", tables.row_key().alias("key"))
     sketch = spark.sparkContext.broadcast(countmin.repeated_cells(keyed, _minimizers, bits))
     hot = spark.sparkContext.broadcast(hot_minimizers(keyed, bits, sketch, n_buckets))
-    found = keyed.mapInArrow(_sent(bits, sketch, n_buckets, hot), PACKED).groupBy("bucket").applyInPandas(_settle(n_buckets), mindoc.SHARDED)
-    found = found.groupBy("shard").applyInPandas(mindoc.united, mindoc.UNITED).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "packs")
-    return docs.join(found, (docs["doc_id"] == found["_id"]) & (tables.row_key() == found["_key"]), "left").drop("_id", "_key")
+    sent = keyed.mapInArrow(_sent(bits, sketch, n_buckets, hot), PACKED).repartition(n_buckets, "bucket")
+    found = sent.groupBy("bucket").applyInPandas(_settle(n_buckets), mindoc.SHARDED).groupBy("shard").applyInPandas(mindoc.united, mindoc.UNITED)
+    return mindoc.joined(docs, found)
 
 
 def _removed(n: int, packs) -> np.ndarray:
@@ -432,7 +441,7 @@ def apply(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for i, packs in enumerate(batch.column("packs").to_pylist()):
+            for i, packs in enumerate(batch.column(mindoc.PACKS).to_pylist()):
                 if packs:
                     raw = np.frombuffer(texts[i].encode(), np.uint8)
                     gone = _removed(len(raw), packs)
@@ -448,7 +457,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             out = []
-            for text, packs in zip(utf8(batch.column("text")), batch.column("packs").to_pylist()):
+            for text, packs in zip(utf8(batch.column("text")), batch.column(mindoc.PACKS).to_pylist()):
                 gone = _removed(len(text), packs)
                 kept = np.frombuffer(text, np.uint8)[~gone].tobytes() if packs else text
                 runs = int(np.count_nonzero(gone[1:] & ~gone[:-1]) + gone[0]) if packs else 0

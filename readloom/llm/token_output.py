@@ -5,101 +5,145 @@ one row holds a whole file in the format of ``pfor`` and the doc_ids and lengths
 a Parquet folder, so that Spark commits them once whatever tasks are retried, in any store that it
 writes to. ``read`` gives each document its place among all ids from the segments' lengths alone.
 
-A text is cut before single spaces, where the tokenizer's own first step cuts too, and each distinct
-piece of a task is encoded once; the ids are those of the whole text.
+Where the tokenizer's own first step cuts before every space that a visible character follows (a
+byte-level pre-tokenizer with its usual pattern and no normalizer), texts are cut there too, the
+distinct pieces of a chunk are found by Arrow's dictionary encoding, and only pieces not met before
+are encoded; the ids are those of the whole text. Texts with other white space after a space, texts
+that hold the content of an added token, and all texts of other tokenizers are encoded whole.
 
 Defined cases: a null or empty text is its end id alone; null doc_ids come first; rows that share a
-doc_id keep one place each, in the order of their texts' hashes.
+doc_id keep one place each, in the order of their texts' hashes, equal rows one after the other; a
+very long text is one document of its segment; an empty table has no rows; columns besides doc_id and
+text are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import pfor, tables
+from .words import chunks
 
 END_ID = 2
 SEGMENT_IDS = 1_000_000
-#: Pieces that a worker remembers.
-REMEMBERED = 600_000
+#: Pieces that a worker remembers, and bytes of text cut at once (one longer text is cut whole).
+REMEMBERED, CHUNK_BYTES = 2_000_000, 16_000_000
 PARTITION_BYTES = 32 << 20
-STORED = "part int, seg int, n long, doc_ids array<long>, lengths array<long>, data binary"
+STORED = "part int, seg int, before long, n long, doc_ids array<long>, lengths array<long>, data binary"
+#: Partitions (one row each, under 100 bytes) up to which their offsets are broadcast.
+SMALL = 1_000_000
 #: After these characters' kind a space surely begins a piece: no white space among them.
 _PLAIN = "!-~À-ɏ"
-_ODD = re.compile(f" (?:[^{_PLAIN}]|$)")
-_CUT = re.compile(f"(?= [{_PLAIN}])")
-#: Inside a piece: a letter and an ASCII character that is none never share a token, nor do a printable
-#: character and a line break after it.
-_LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
-_FINE = re.compile(f"(?<=[{_LETTER}])(?=[\\x00-\\x1f!-@\\[-`{{-\\x7f])|(?<=[!-~])(?=\n)")
-_LINE = re.compile(f" ?[{_PLAIN}]+")
+_ODD = f" (?:[^{_PLAIN}]|$)"
+#: Lines of one text that are encoded together.
+LINES = 64
 _workers: dict = {}
 
 
 class Encoder:
-    """Ids of whole texts as little-endian 16-bit bytes (32-bit for a larger vocabulary)."""
+    """Ids of whole texts."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        with open(path, encoding="utf-8") as f:
+            made = json.load(f)
+        first = made.get("pre_tokenizer") or {}
+        self.cuts = made.get("normalizer") is None and first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space", True)
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = "|".join([_ODD, *added])
+        line_break = self._encoded(["\n"])[0]
         self.line_break = line_break[0] if len(line_break) == 1 else None
-
-    def learn(self, pieces: set[str]) -> None:
-        """Ids of pieces from those of their parts; only parts not met before are encoded."""
-        for memory in (self.known, self.parts):
-            if len(memory) > REMEMBERED:
-                memory.clear()
-        new = {p: _FINE.split(p) for p in pieces - self.known.keys()}
-        unknown = list(set().union(*new.values()) - self.parts.keys())
-        plain = [p for p in unknown if _LINE.fullmatch(p)]
-        for i in range(0, len(plain), 512):
-            self._encode_lines(plain[i : i + 512])
-        other = [p for p in unknown if p not in self.parts]
-        for i in range(0, len(other), 4096):
-            part = other[i : i + 4096]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.parts[p] = np.asarray(e.ids, self.dtype).tobytes()
-        get = self.parts.__getitem__
-        self.known.update((p, b"".join(map(get, fine))) for p, fine in new.items())
-
-    def _encode_lines(self, part: list[str]) -> None:
-        """Ids of parts without white space but a leading space, as lines of one text; a line break
-        between them is a token of its own. Does nothing where the lines can't be told apart."""
-        ids = np.asarray(self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, self.dtype)
-        cut = np.flatnonzero(ids == self.line_break) if self.line_break is not None else ids[:0]
-        if len(cut) == len(part) - 1:
-            raw, size = ids.tobytes(), ids.itemsize
-            begin = np.concatenate([[0], cut + 1]) * size
-            end = np.append(cut, len(ids)) * size
-            self.parts.update((p, raw[a:b]) for p, a, b in zip(part, begin.tolist(), end.tolist()))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.pieces(t) for t in texts]
-        self.learn(set().union(*cut))
-        get = self.known.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
-
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        if not text:
-            return []
-        if _ODD.search(text):
-            return _CUT.split(text)
-        return _CUT.split(text) if text[0] == " " else text.replace(" ", "\x00 ").split("\x00") if "\x00" not in text else _CUT.split(text)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.ids, self.at = pa.array([], pa.string()), np.zeros(0, self.dtype), np.zeros(1, np.int64)
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        out = []
+        for i in range(0, len(texts), 4096):
+            out += [np.asarray(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts[i : i + 4096], add_special_tokens=False)]
+        return out
+
+    def _lines(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, lengths) of pieces without white space but a leading space: each group of them is
+        encoded as lines of one text, whose line breaks are tokens of their own."""
+        groups = [pieces[i : i + LINES] for i in range(0, len(pieces), LINES)]
+        ids, lengths = [], []
+        for group, x in zip(groups, self._encoded(["\n".join(g) for g in groups])):
+            cut = np.flatnonzero(x == self.line_break)
+            if len(cut) == len(group) - 1:
+                lengths.append(np.diff(np.concatenate([[-1], cut, [len(x)]])) - 1)
+                ids.append(np.delete(x, cut))
+            else:
+                apart = self._encoded(group)
+                lengths.append(np.fromiter(map(len, apart), np.int64, len(apart)))
+                ids += apart
+        return self._joined(ids), np.concatenate(lengths) if lengths else np.zeros(0, np.int64)
+
+    def _joined(self, ids):
+        return np.concatenate(ids) if ids else np.zeros(0, self.dtype)
+
+    def _learn(self, pieces: pa.Array) -> np.ndarray:
+        """Places of distinct pieces among the known ones; only new ones are encoded."""
+        if len(self.known) > REMEMBERED:
+            self.forget()
+        new = pieces.filter(pc.is_null(pc.index_in(pieces, value_set=self.known)))
+        plain = pc.match_substring_regex(new, f"^ ?[{_PLAIN}]+$") if self.line_break is not None else pa.array(np.zeros(len(new), bool))
+        lines, rest = new.filter(plain), new.filter(pc.invert(plain))
+        ids, lengths = self._lines(lines.to_pylist())
+        other = self._encoded(rest.to_pylist())
+        sizes = np.concatenate([np.diff(self.at), lengths, np.fromiter(map(len, other), np.int64, len(other))])
+        self.ids = np.concatenate([self.ids, ids, *other])
+        self.at = np.concatenate([[0], np.cumsum(sizes)])
+        self.known = pa.concat_arrays([self.known, lines, rest])
+        return pc.index_in(pieces, value_set=self.known).to_numpy(zero_copy_only=False)
+
+    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, lengths) of texts cut at their spaces."""
+        parts = pc.split_pattern(texts, " ")
+        begin = parts.offsets.to_numpy().astype(np.int64) - parts.offsets[0].as_py()
+        flat = parts.flatten().dictionary_encode()
+        head = flat.take(pa.array(begin[:-1])).dictionary_decode().dictionary_encode()
+        place = self._learn(pa.concat_arrays([pc.binary_join_element_wise(" ", flat.dictionary, ""), head.dictionary]))
+        n = len(flat.dictionary)
+        row = place[:n][flat.indices.to_numpy()]
+        row[begin[:-1]] = place[n:][head.indices.to_numpy()]
+        size = np.diff(self.at)[row]
+        end = np.cumsum(size)
+        ids = self.ids[np.repeat(self.at[row] - (end - size), size) + np.arange(end[-1])]
+        return ids, np.add.reduceat(size, begin[:-1])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, number of each text's ids)."""
+        if not len(texts):
+            return np.zeros(0, self.dtype), np.zeros(0, np.int64)
+        texts = texts.cast(pa.string()).fill_null("")
+        cut = pc.invert(pc.match_substring_regex(texts, self.odd)).to_numpy(zero_copy_only=False) if self.cuts else np.zeros(len(texts), bool)
+        if cut.all():
+            return self._cut(texts)
+        whole = self._encoded(texts.filter(pa.array(~cut)).to_pylist())
+        lengths = np.zeros(len(texts), np.int64)
+        lengths[~cut] = np.fromiter(map(len, whole), np.int64, len(whole))
+        some = np.zeros(0, self.dtype)
+        if cut.any():
+            some, lengths[cut] = self._cut(texts.filter(pa.array(cut)))
+        out = np.empty(int(lengths.sum()), self.dtype)
+        mine = np.repeat(cut, lengths)
+        out[mine], out[~mine] = some, self._joined(whole)
+        return out, lengths
 
 
 def _encoder(path: str) -> Encoder:
@@ -116,28 +160,36 @@ def _segments(path: str, end_id: int):
 
         part, seg = TaskContext.get().partitionId(), 0
         encoder = _encoder(path)
-        end = np.asarray([end_id], encoder.dtype).tobytes()
-        size = len(end)
-        ids, lengths, held, n = [], [], [], 0
+        held, n, before = [], 0, 0
 
         def segment():
-            data = pfor.encode(np.frombuffer(b"".join(held), encoder.dtype))
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seg], pa.int32()), pa.array([n], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64())), pa.array([data], pa.binary())], ["part", "seg", "n", "doc_ids", "lengths", "data"])
+            doc_ids = pa.concat_arrays([h[0] for h in held])
+            lengths, ids = (np.concatenate([h[i] for h in held]) for i in (1, 2))
+            lists = [pa.ListArray.from_arrays([0, len(x)], x) for x in (doc_ids.cast(pa.int64()), pa.array(lengths, pa.int64()))]
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seg], pa.int32()), pa.array([before], pa.int64()), pa.array([len(ids)], pa.int64()), *lists, pa.array([pfor.encode(ids)], pa.binary())], ["part", "seg", "before", "n", "doc_ids", "lengths", "data"])
 
         for batch in batches:
-            doc_ids = batch.column("doc_id").to_pylist()
-            for a in range(0, len(doc_ids), 512):
-                texts = [t or "" for t in batch.column("text").slice(a, 512).to_pylist()]
-                for doc_id, x in zip(doc_ids[a : a + 512], encoder.encode(texts)):
-                    ids.append(doc_id)
-                    lengths.append(len(x) // size + 1)
-                    held += [x, end]
-                    n += lengths[-1]
+            sizes = pc.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False)
+            for a, b in chunks(sizes, CHUNK_BYTES):
+                ids, lengths = encoder.encode(batch.column("text").slice(a, b - a))
+                lengths = lengths + 1
+                closed = np.empty(len(ids) + len(lengths), encoder.dtype)
+                end = np.cumsum(lengths)
+                is_end = np.zeros(len(closed), bool)
+                is_end[end - 1] = True
+                closed[is_end], closed[~is_end] = end_id, ids
+                i = 0
+                while i < len(lengths):
+                    first = int(end[i] - lengths[i])
+                    j = min(int(np.searchsorted(end, first + SEGMENT_IDS - n)) + 1, len(lengths))
+                    held.append((batch.column("doc_id").slice(a + i, j - i), lengths[i:j], closed[first : end[j - 1]]))
+                    n += int(end[j - 1]) - first
+                    i = j
                     if n >= SEGMENT_IDS:
                         yield segment()
-                        seg += 1
-                        ids, lengths, held, n = [], [], [], 0
-        if ids:
+                        seg, before = seg + 1, before + n
+                        held, n = [], 0
+        if held:
             yield segment()
 
     return run
@@ -145,7 +197,8 @@ def _segments(path: str, end_id: int):
 
 def segments(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     n = max(tables.parts(docs.sparkSession), tables.n_bytes(docs) // PARTITION_BYTES)
-    ordered = docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    key = F.xxhash64("text")
+    ordered = docs.select("doc_id", "text").repartitionByRange(n, "doc_id", key).sortWithinPartitions("doc_id", key)
     return ordered.mapInArrow(_segments(tokenizer, end_id), STORED)
 
 
@@ -154,14 +207,14 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> N
 
 
 def placed(stored: DataFrame) -> DataFrame:
-    """stored with ``start``: ids of all documents before each segment. Only counts are summed: one
-    row a partition is broadcast."""
-    sums = stored.groupBy("part").agg(F.sum("n").alias("n"))
+    """stored with ``start``: ids of all documents before each segment, from counts alone. One row a
+    partition is summed in one task and broadcast; more than SMALL of them are joined as Spark sees fit."""
+    sums = stored.groupBy("part").agg(F.sum("n").alias("ids"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    inside = stored.select("part", "seg", "n").withColumn("inner", F.coalesce(F.sum("n").over(Window.partitionBy("part").orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    starts = inside.join(F.broadcast(offsets), "part").select("part", "seg", (F.col("base") + F.col("inner")).alias("start"))
-    return stored.join(F.broadcast(starts), ["part", "seg"])
+    offsets = sums.select("part", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
+    if sums.count() <= SMALL:
+        offsets = F.broadcast(offsets)
+    return stored.join(offsets, "part").withColumn("start", F.col("base") + F.col("before"))
 
 
 def _documents(batches):
