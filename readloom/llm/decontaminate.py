@@ -127,7 +127,7 @@ class Index:
         self.item, self.impact = owner[order].astype(np.int32), impact[order]
         key = ~plain[order]
         self.key_start = np.concatenate([[0], np.cumsum(key)])[self.start]
-        self.key_item, self.key_impact = self.item[key], self.impact[key]
+        self.keys = np.flatnonzero(key).astype(np.int32)
         # Blocks: each term's postings by BLOCK, with largest impact and last item.
         blocks = -(-counts // BLOCK)
         self.block_start = np.concatenate([[0], np.cumsum(blocks)]).astype(np.int64)
@@ -151,9 +151,9 @@ class Index:
     def hopeful(self, passage: np.ndarray, term: np.ndarray) -> np.ndarray:
         """Passages that may hold an item of the threshold, from distinct (passage, term)."""
         count = (self.key_start[1:] - self.key_start[:-1])[term]
-        at = _places(self.key_start[term], count)
-        pair, inverse = np.unique(np.repeat(passage, count) * len(self.ids) + self.key_item[at], return_inverse=True)
-        bound = np.bincount(inverse, self.key_impact[at], len(pair)) + self.rest[pair % max(len(self.ids), 1)]
+        at = self.keys[_places(self.key_start[term], count)]
+        pair, inverse = np.unique(np.repeat(passage, count) * len(self.ids) + self.item[at], return_inverse=True)
+        bound = np.bincount(inverse, self.impact[at], len(pair)) + self.rest[pair % max(len(self.ids), 1)]
         return np.unique(pair[bound >= self.threshold - 1e-9] // max(len(self.ids), 1))
 
     def parts(self, item: int):
