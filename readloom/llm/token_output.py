@@ -36,7 +36,7 @@ from .words import chunks
 END_ID = 2
 SEGMENT_IDS = 1_000_000
 #: Pieces that a worker remembers, and bytes of text cut at once (one longer text is cut whole).
-REMEMBERED, CHUNK_BYTES = 2_000_000, 16_000_000
+REMEMBERED, CHUNK_BYTES = 500_000, 4_000_000
 PARTITION_BYTES = 32 << 20
 STORED = "part int, seg int, before long, n long, doc_ids array<long>, lengths array<long>, data binary"
 #: Partitions (one row each, under 100 bytes) up to which their offsets are broadcast.
@@ -44,8 +44,8 @@ SMALL = 1_000_000
 #: After these characters' kind a space surely begins a piece: no white space among them.
 _PLAIN = "!-~À-ɏ"
 _ODD = f" (?:[^{_PLAIN}]|$)"
-#: Lines of one text that are encoded together.
-LINES = 64
+#: Lines of one text that are encoded together, and texts that the tokenizer gets at once.
+LINES, TEXTS = 64, 256
 _workers: dict = {}
 
 
@@ -73,8 +73,8 @@ class Encoder:
 
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         out = []
-        for i in range(0, len(texts), 4096):
-            out += [np.asarray(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts[i : i + 4096], add_special_tokens=False)]
+        for i in range(0, len(texts), TEXTS):
+            out += [np.asarray(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts[i : i + TEXTS], add_special_tokens=False)]
         return out
 
     def _lines(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
