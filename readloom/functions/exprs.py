@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .constants import ALIASES, CALLS, CANONICAL, CODONS, HIGH_QUALITY, IUPAC, LAST, READS, contigs
+from .constants import ALIASES, CALLS, CANONICAL, CODONS, CONTIGS, HIGH_QUALITY, IUPAC, LAST, READS
 
 
 def literal_map(d: dict) -> Column:
@@ -31,7 +31,7 @@ def is_canonical(c: Column) -> Column:
 
 
 def contig_rank(c: Column) -> Column:
-    return F.coalesce(F.try_element_at(literal_map({x: i for i, x in enumerate(contigs())}), c), F.lit(LAST))
+    return F.coalesce(F.try_element_at(literal_map({x: i for i, x in enumerate(CONTIGS)}), c), F.lit(LAST))
 
 
 def complement(s: Column) -> Column:

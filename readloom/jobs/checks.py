@@ -37,7 +37,7 @@ CTE = {
     "sc": (["fl"], "SELECT sample, 'all' AS scope, depth, hq FROM fl UNION ALL SELECT sample, 'bed', depth, hq FROM fl WHERE in_bed UNION ALL SELECT sample, chr, depth, hq FROM fl"),
     "tot": (["sc"], "SELECT sample, scope, CAST(sum(depth) AS BIGINT) AS coverage, CAST(count(*) FILTER (WHERE hq) AS BIGINT) AS hq_positions, count(*) AS covered_positions FROM sc GROUP BY ALL"),
     "cum": (["sc"], "SELECT f.sample, f.scope, CAST(f.depth AS INT) AS depth, (SELECT count(*) FROM sc WHERE sc.sample = f.sample AND sc.scope = f.scope AND sc.depth >= f.depth) AS cum FROM (SELECT DISTINCT s.sample, s.scope, d.depth FROM sc s JOIN (SELECT sample, unnest(range(1, m + 1)) AS depth FROM (SELECT sample, max(depth) AS m FROM sc GROUP BY sample) y) d ON s.sample = d.sample) f"),
-    "b80": (["cum", "sc", "beds"], "SELECT sample, min_by(depth + (c - 0.8 * bed_positions) / nullif(c - a, 0), depth) AS base80 FROM (SELECT *, coalesce(lead(c) OVER (PARTITION BY sample ORDER BY depth), 0) AS a FROM (SELECT sample, depth, cum AS c FROM cum WHERE scope = 'bed' UNION ALL SELECT sample, 0, count(*) FILTER (WHERE depth = 0) FROM sc WHERE scope = 'bed' GROUP BY sample) x) y CROSS JOIN beds WHERE a / bed_positions < 0.8 GROUP BY sample"),
+    "b80": (["cum", "sc", "beds"], "SELECT sample, min_by(depth + (c - CAST(0.8 AS DOUBLE) * bed_positions) / nullif(c - a, 0), depth) AS base80 FROM (SELECT *, coalesce(lead(c) OVER (PARTITION BY sample ORDER BY depth), 0) AS a FROM (SELECT sample, depth, cum AS c FROM cum WHERE scope = 'bed' UNION ALL SELECT sample, 0, count(*) FILTER (WHERE depth = 0) FROM sc WHERE scope = 'bed' GROUP BY sample) x) y CROSS JOIN beds WHERE a / bed_positions < 0.8 GROUP BY sample"),
     "rd": (["reads"], "SELECT r.*, CASE run WHEN 'a' THEN 33 ELSE 64 END AS offs, CASE run WHEN 'a' THEN regexp_replace(qual, '#+$', '') ELSE regexp_replace(qual, 'B+$', '') END AS tq FROM reads r"),
     "rt": (["rd"], "SELECT *, left(seq, greatest(length(seq) - (length(qual) - length(tq)), 0)) AS ts FROM rd"),
     "cl": (["rt"], """SELECT sample, run, dir, ordinal, name, ts AS seq, tq AS qual, offs, length(seq) AS bases, length(ts) AS len, regexp_extract(name, '^([^/]+/)', 1) AS pair_key,

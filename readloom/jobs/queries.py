@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..functions.constants import ALIASES, CANONICAL, contigs
+from ..functions.constants import ALIASES, CANONICAL, CONTIGS
 from ..operators import annotate, calling, coverage, genome, intervals, reads, rollup
 from ..sources import text
 from . import frames as made
@@ -22,14 +22,6 @@ def q(name: str, f, check: str | None = None, *uses: str) -> None:
         SQL[name] = sql(check, *uses)
 
 
-def r6(df, *columns):
-    """Doubles rounded to six places, as the checks round them."""
-    for c, kind in df.dtypes:
-        if kind == "double" and (not columns or c in columns):
-            df = df.withColumn(c, F.round(c, 6))
-    return df
-
-
 def long(df, *columns):
     for c in columns:
         df = df.withColumn(c, F.col(c).cast("long"))
@@ -38,7 +30,7 @@ def long(df, *columns):
 
 _CHR = "CASE {a} " + " ".join(f"WHEN '{a}' THEN '{c}'" for a, c in ALIASES.items()) + " ELSE {a} END"
 _CANON = ", ".join(f"'{c}'" for c in CANONICAL)
-_RANK = "CASE chr " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(contigs())) + " ELSE 999 END"
+_RANK = "CASE chr " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(CONTIGS)) + " ELSE 999 END"
 _DIM = "(VALUES " + ", ".join(f"('{c}', {i + 1})" for i, c in enumerate(CANONICAL)) + ") d(chr, idx)"
 _IC = "SELECT sample, chr, pos AS start, {stop} AS stop, {ref} AS ref, {alt} AS alt, chr || ':' || pos || '-' || {stop} || '_' || {name} AS call_id, {type} AS type, depth, counts, con_q, var_q, map_q, hom_het"
 SNV_CALLS = _IC.format(stop="pos", ref="ref", alt="alt", name="alt", type="'snv'") + " FROM (SELECT *, unnest(alts) AS alt FROM sv) x"
@@ -84,39 +76,39 @@ q("J12", lambda f: coverage.gene_pieces(f.transcripts), f"SELECT tx_id, chr, kin
 
 # Aggregations: reads.
 q("AG1", lambda f: reads.offsets(f.reads).select("sample", "run", "n33", "n64", "offset"),
-  "SELECT sample, run, CAST(sum(len(list_filter(string_split(qual, ''), lambda c: ascii(c) < 63))) AS BIGINT) AS n33, CAST(sum(len(list_filter(string_split(qual, ''), lambda c: ascii(c) > 74))) AS BIGINT) AS n64, CASE run WHEN 'a' THEN 33 ELSE 64 END AS \"offset\" FROM (SELECT *, row_number() OVER (PARTITION BY sample, run, dir ORDER BY ordinal) AS rn FROM reads) x WHERE rn <= 250 GROUP BY sample, run", "reads")
-q("AG2", lambda f: r6(reads.rejected(f.classified)), "SELECT sample, reason, reads, round(100 * reads / t, 6) AS pct FROM (SELECT sample, reason, count(*) AS reads, sum(count(*)) OVER (PARTITION BY sample) AS t FROM cl GROUP BY sample, reason) x WHERE reason IS NOT NULL", "cl")
+  "SELECT sample, run, CAST(sum(len(list_filter(string_split(qual, ''), lambda c: c <> '' AND ascii(c) < 63))) AS BIGINT) AS n33, CAST(sum(len(list_filter(string_split(qual, ''), lambda c: c <> '' AND ascii(c) > 74))) AS BIGINT) AS n64, CASE run WHEN 'a' THEN 33 ELSE 64 END AS \"offset\" FROM (SELECT *, row_number() OVER (PARTITION BY sample, run, dir ORDER BY ordinal) AS rn FROM reads) x WHERE rn <= 250 GROUP BY sample, run", "reads")
+q("AG2", lambda f: reads.rejected(f.classified), "SELECT sample, reason, reads, (100 * reads / t) AS pct FROM (SELECT sample, reason, count(*) AS reads, sum(count(*)) OVER (PARTITION BY sample) AS t FROM cl GROUP BY sample, reason) x WHERE reason IS NOT NULL", "cl")
 q("AG2_totals", lambda f: reads.totals(f.classified), "SELECT sample, count(*) AS reads, CAST(sum(bases) AS BIGINT) AS bases FROM cl GROUP BY sample", "cl")
-q("AG3", lambda f: r6(reads.passed(f.classified)), """SELECT x.sample, x.out, x.reads, round(100 * x.reads / p.reads, 6) AS reads_pct_passed, round(100 * x.reads / t.reads, 6) AS reads_pct_all, x.bases, round(100 * x.bases / p.bases, 6) AS bases_pct_passed, round(100 * x.bases / t.bases, 6) AS bases_pct_all
+q("AG3", lambda f: reads.passed(f.classified), """SELECT x.sample, x.out, x.reads, (100 * x.reads / p.reads) AS reads_pct_passed, (100 * x.reads / t.reads) AS reads_pct_all, x.bases, (100 * x.bases / p.bases) AS bases_pct_passed, (100 * x.bases / t.bases) AS bases_pct_all
   FROM (SELECT sample, out, count(*) AS reads, CAST(sum(len) AS BIGINT) AS bases FROM ro GROUP BY ALL UNION ALL SELECT sample, 'total', count(*), CAST(sum(len) AS BIGINT) FROM ro GROUP BY sample) x JOIN (SELECT sample, count(*) AS reads, sum(len) AS bases FROM ro GROUP BY sample) p USING (sample) JOIN (SELECT sample, count(*) AS reads, sum(bases) AS bases FROM cl GROUP BY sample) t USING (sample)""", "ro", "cl")
 _NP = "(SELECT sample, count(*) AS np FROM ro GROUP BY sample) p"
-q("AG4", lambda f: r6(reads.length_histogram(f.classified)), f"SELECT sample, len, count(*) AS reads, round(100 * count(*) / max(np), 6) AS pct FROM cl JOIN {_NP} USING (sample) WHERE reason IS NULL GROUP BY sample, len", "cl", "ro")
-q("AG5", lambda f: r6(reads.gc_histogram(f.classified)), f"SELECT sample, gc, count(*) AS reads, round(100 * count(*) / max(np), 6) AS pct FROM (SELECT sample, CAST(floor(least(round_even(100 * length(regexp_replace(seq, '[^GCgc]', '', 'g')) / len, 1), 99.99999) / 4) * 4 + 2 AS DOUBLE) AS gc FROM cl WHERE reason IS NULL) x JOIN {_NP} USING (sample) GROUP BY sample, gc", "cl", "ro")
-q("AG6", lambda f: r6(reads.position_profile(f.classified)), "SELECT sample, CAST(p AS INT) AS pos, round(sum(ascii(substring(qual, CAST(p AS INT), 1)) - offs) / count(*), 6) AS mean_quality, count(*) FILTER (WHERE upper(substring(seq, CAST(p AS INT), 1)) = 'N') AS n, round(100 * count(*) FILTER (WHERE upper(substring(seq, CAST(p AS INT), 1)) = 'N') / count(*), 6) AS n_pct, count(*) AS bases FROM (SELECT *, unnest(range(1, length(qual) + 1)) AS p FROM cl WHERE reason IS NULL) x GROUP BY sample, p", "cl")
+q("AG4", lambda f: reads.length_histogram(f.classified), f"SELECT sample, len, count(*) AS reads, (100 * count(*) / max(np)) AS pct FROM cl JOIN {_NP} USING (sample) WHERE reason IS NULL GROUP BY sample, len", "cl", "ro")
+q("AG5", lambda f: reads.gc_histogram(f.classified), f"SELECT sample, gc, count(*) AS reads, (100 * count(*) / max(np)) AS pct FROM (SELECT sample, CAST(floor(least(round_even(100 * length(regexp_replace(seq, '[^GCgc]', '', 'g')) / len, 1), 99.99999) / 4) * 4 + 2 AS DOUBLE) AS gc FROM cl WHERE reason IS NULL) x JOIN {_NP} USING (sample) GROUP BY sample, gc", "cl", "ro")
+q("AG6", lambda f: reads.position_profile(f.classified), "SELECT sample, CAST(p AS INT) AS pos, (sum(ascii(substring(qual, CAST(p AS INT), 1)) - offs) / count(*)) AS mean_quality, count(*) FILTER (WHERE upper(substring(seq, CAST(p AS INT), 1)) = 'N') AS n, (100 * count(*) FILTER (WHERE upper(substring(seq, CAST(p AS INT), 1)) = 'N') / count(*)) AS n_pct, count(*) AS bases FROM (SELECT *, unnest(range(1, length(qual) + 1)) AS p FROM cl WHERE reason IS NULL) x GROUP BY sample, p", "cl")
 
 # Aggregations: coverage.
 q("AG7", lambda f: long(coverage.depth_histogram(f.cube), "positions"), "SELECT sample, scope, depth, count(*) AS positions FROM sc GROUP BY ALL", "sc")
 q("AG8", lambda f: coverage.totals(f.cube), "SELECT * FROM tot", "tot")
 q("AG9", lambda f: f.target, "SELECT * FROM beds", "beds")
 _W = "SELECT t.sample, bed_positions, covered_positions AS np, coverage AS cov, hq_positions AS hq, coalesce(b.c, 0) AS bc, coalesce(b.h, 0) AS bh, g, base80 FROM tot t CROSS JOIN beds CROSS JOIN (SELECT sum(size) AS g FROM sizes) z LEFT JOIN (SELECT sample, coverage AS c, hq_positions AS h FROM tot WHERE scope = 'bed') b ON b.sample = t.sample LEFT JOIN b80 ON b80.sample = t.sample WHERE scope = 'all'"
-q("AG10", lambda f: r6(coverage.summary(f.cube, f.target, f.sizes)), f"SELECT sample, bed_positions, np AS pileup_positions, cov AS coverage, CAST(g AS BIGINT) AS genome_size, round(cov / g, 6) AS mean_genome, round(cov / np, 6) AS mean_covered, round(bc / bed_positions, 6) AS mean_bed, hq AS hq_positions, round(hq / g, 6) AS hq_genome, round(hq / np, 6) AS hq_covered, bh AS hq_bed_positions, round(bh / bed_positions, 6) AS hq_bed, bc AS coverage_bed, round(bc / nullif(cov, 0), 6) AS coverage_share, round(bh / nullif(hq, 0), 6) AS hq_share, round(base80, 6) AS base80, round(bc / bed_positions / nullif(base80, 0), 6) AS base80_penalty FROM ({_W}) w", "tot", "beds", "sizes", "b80")
+q("AG10", lambda f: coverage.summary(f.cube, f.target, f.sizes), f"SELECT sample, bed_positions, np AS pileup_positions, cov AS coverage, CAST(g AS BIGINT) AS genome_size, (cov / g) AS mean_genome, (cov / np) AS mean_covered, (bc / bed_positions) AS mean_bed, hq AS hq_positions, (hq / g) AS hq_genome, (hq / np) AS hq_covered, bh AS hq_bed_positions, (bh / bed_positions) AS hq_bed, bc AS coverage_bed, (bc / nullif(cov, 0)) AS coverage_share, (bh / nullif(hq, 0)) AS hq_share, base80 AS base80, (bc / bed_positions / nullif(base80, 0)) AS base80_penalty FROM ({_W}) w", "tot", "beds", "sizes", "b80")
 q("AG11", lambda f: genome.with_total(f.sizes), "SELECT chr, size FROM sizes UNION ALL SELECT 'Total_size', CAST(sum(size) AS BIGINT) FROM sizes", "sizes")
-q("AG12", lambda f: r6(coverage.per_chromosome(f.cube, f.sizes)), f"SELECT s.sample, d.idx, d.chr, coalesce(z.size, 0) AS size, coalesce(hq_positions, 0) AS hq_positions, coalesce(coverage, 0) AS coverage, round(coalesce(coverage, 0) / nullif(z.size, 0), 6) AS mean FROM (SELECT DISTINCT sample FROM sites) s CROSS JOIN {_DIM} LEFT JOIN tot t ON t.sample = s.sample AND t.scope = d.chr LEFT JOIN sizes z ON z.chr = d.chr", "sites", "tot", "sizes")
-q("AG16", lambda f: r6(coverage.gene_coverage(f.sites, f.transcripts)), f"SELECT s.sample, tx_id, kind, count(DISTINCT (chr, p)) AS bases, CAST(coalesce(sum(depth), 0) AS BIGINT) AS coverage, round(coalesce(sum(depth), 0) / count(*), 6) AS mean_depth, round(count(*) FILTER (WHERE hq) / count(*), 6) AS hq_fraction FROM ({_PPOS}) y CROSS JOIN (SELECT DISTINCT sample FROM sites) s LEFT JOIN (SELECT sample, chr, pos - 1 AS p, depth, {HQ} AS hq FROM sites) t USING (sample, chr, p) GROUP BY s.sample, tx_id, kind", "ex", "sites")
+q("AG12", lambda f: coverage.per_chromosome(f.cube, f.sizes), f"SELECT s.sample, d.idx, d.chr, coalesce(z.size, 0) AS size, coalesce(hq_positions, 0) AS hq_positions, coalesce(coverage, 0) AS coverage, (coalesce(coverage, 0) / nullif(z.size, 0)) AS mean FROM (SELECT DISTINCT sample FROM sites) s CROSS JOIN {_DIM} LEFT JOIN tot t ON t.sample = s.sample AND t.scope = d.chr LEFT JOIN sizes z ON z.chr = d.chr", "sites", "tot", "sizes")
+q("AG16", lambda f: coverage.gene_coverage(f.sites, f.transcripts), f"SELECT s.sample, tx_id, kind, count(DISTINCT (chr, p)) AS bases, CAST(coalesce(sum(depth), 0) AS BIGINT) AS coverage, (coalesce(sum(depth), 0) / count(*)) AS mean_depth, (count(*) FILTER (WHERE hq) / count(*)) AS hq_fraction FROM ({_PPOS}) y CROSS JOIN (SELECT DISTINCT sample FROM sites) s LEFT JOIN (SELECT sample, chr, pos - 1 AS p, depth, {HQ} AS hq FROM sites) t USING (sample, chr, p) GROUP BY s.sample, tx_id, kind", "ex", "sites")
 
 # Aggregations: calls.
 _ALT = "SELECT sample, CAST(floor(100 * ((depth - ref_reads) / (depth + 1e-9))) AS BIGINT) AS p FROM pc"
 q("AG13", lambda f: calling.snv_summary(f.snvs), "SELECT sample, count(*) AS snvs, count(*) FILTER (WHERE hom_het = 'hom') AS hom, count(*) FILTER (WHERE hom_het = 'het') AS het, CAST(sum(len(list_filter(alts, lambda a: ref || a IN ('AG', 'GA', 'CT', 'TC')))) AS BIGINT) AS transitions, CAST(sum(len(list_filter(alts, lambda a: ref || a NOT IN ('AG', 'GA', 'CT', 'TC')))) AS BIGINT) AS transversions FROM sv GROUP BY sample", "sv")
 q("AG14", lambda f: calling.base_changes(f.snvs), "SELECT sample, ref, " + ", ".join(f"count(*) FILTER (WHERE alt = '{b}') AS \"{b}\"" for b in "ACGT") + " FROM (SELECT sample, ref, unnest(alts) AS alt FROM sv) x GROUP BY sample, ref", "sv")
 q("AG14_codes", lambda f: calling.code_changes(f.snvs), "SELECT sample, ref, cons AS code, count(*) AS n FROM sv GROUP BY ALL", "sv")
-q("AG15", lambda f: r6(calling.allele_ranks(f.sites)), "SELECT sample, CAST(alleles AS INT) AS alleles, CAST(rank AS INT) AS rank, count(*) AS sites, round(avg(round_even(100 * n / (depth + 1e-9), 2)), 6) AS mean_pct FROM (SELECT sample, depth, n, count(*) OVER w AS alleles, row_number() OVER (PARTITION BY sample, chr, pos ORDER BY n DESC, base) AS rank FROM al WINDOW w AS (PARTITION BY sample, chr, pos)) x GROUP BY ALL", "al")
+q("AG15", lambda f: calling.allele_ranks(f.sites), "SELECT sample, CAST(alleles AS INT) AS alleles, CAST(rank AS INT) AS rank, count(*) AS sites, CAST(sum(CAST(round(100 * round_even(100 * n / (depth + 1e-9), 2)) AS BIGINT)) AS DOUBLE) / 100 / count(*) AS mean_pct FROM (SELECT sample, depth, n, count(*) OVER w AS alleles, row_number() OVER (PARTITION BY sample, chr, pos ORDER BY n DESC, base) AS rank FROM al WINDOW w AS (PARTITION BY sample, chr, pos)) x GROUP BY ALL", "al")
 q("AG17", lambda f: calling.alternative_share(f.sites), f"SELECT z.sample, z.pct, count(y.p) AS sites FROM (SELECT sample, unnest(range(0, max(p) + 1)) AS pct FROM ({_ALT}) y GROUP BY sample) z LEFT JOIN ({_ALT}) y ON y.sample = z.sample AND y.p = z.pct GROUP BY z.sample, z.pct", "pc")
 q("AG18", lambda f: calling.indel_summary(f.called_indels), "SELECT sample, CASE WHEN allele2[1] = '+' THEN 'insertion' ELSE 'deletion' END AS kind, CAST(length(allele2) - 1 AS INT) AS length, count(*) AS n FROM ix GROUP BY ALL", "ix")
 
 # Aggregations: annotation.
 _ONCE = "(SELECT DISTINCT sample, var_id, tag, status FROM ti) x"
 q("AG19", lambda f: rollup.variant_report(f.ties), f"SELECT sample, tag, count(*) AS variants, count(*) FILTER (WHERE status = 'known') AS known, count(*) FILTER (WHERE status = 'novel') AS novel FROM {_ONCE} GROUP BY sample, tag", "ti")
-q("AG19_types", lambda f: r6(rollup.variant_counts(f.variants)), "SELECT sample, vt AS var_type, count(*) AS variants, count(*) FILTER (WHERE status = 'known') AS known, count(*) FILTER (WHERE status = 'novel') AS novel, round(count(*) FILTER (WHERE status = 'known') / count(*), 6) AS known_share, round(1 - count(*) FILTER (WHERE status = 'known') / count(*), 6) AS novel_share FROM (SELECT *, unnest([var_type, 'all']) AS vt FROM vs) x GROUP BY sample, vt", "vs")
+q("AG19_types", lambda f: rollup.variant_counts(f.variants), "SELECT sample, vt AS var_type, count(*) AS variants, count(*) FILTER (WHERE status = 'known') AS known, count(*) FILTER (WHERE status = 'novel') AS novel, (count(*) FILTER (WHERE status = 'known') / count(*)) AS known_share, (1 - count(*) FILTER (WHERE status = 'known') / count(*)) AS novel_share FROM (SELECT *, unnest([var_type, 'all']) AS vt FROM vs) x GROUP BY sample, vt", "vs")
 q("AG20", lambda f: rollup.tag_combinations(f.variants, f.ties), "SELECT sample, tags, count(*) AS variants FROM (SELECT v.sample, v.var_id, coalesce(string_agg(DISTINCT tag, '_' ORDER BY tag), 'no_annotations') AS tags FROM vs v LEFT JOIN ti USING (sample, var_id) GROUP BY v.sample, v.var_id) x GROUP BY ALL", "vs", "ti")
 q("AG21", lambda f: f.sums, 'SELECT sample, tx_id, grp, tag, "any", "sum", hom, het FROM su', "su")
 q("AG22", lambda f: rollup.model_counts(f.groups), "SELECT sample, tag, " + ", ".join(f"count(*) FILTER (WHERE grp = '{g}') AS {g if g != 'all' else chr(34) + 'all' + chr(34)}" for g in rollup.GROUPS) + " FROM gr GROUP BY sample, tag", "gr")
@@ -128,23 +120,23 @@ q("AG25", lambda f: rollup.mutation_map(f.effects, f.predictions).select("sample
 # Windows, order, sets.
 q("W1", lambda f: coverage.cumulative(f.cube), "SELECT sample, scope, depth, cum FROM cum", "cum")
 q("W2", lambda f: coverage.targets(f.regions).select("chr", "start", "stop"), "SELECT chr, CAST(min(p) AS INT) AS start, CAST(max(p) + 1 AS INT) AS stop FROM (SELECT chr, p, p - row_number() OVER (PARTITION BY chr ORDER BY p) AS island FROM (SELECT DISTINCT chr, unnest(range(start, stop)) AS p FROM regions) x) y GROUP BY chr, island", "regions")
-q("W3", lambda f: r6(coverage.base80(f.cube, f.target)), "SELECT sample, round(base80, 6) AS base80 FROM b80", "b80")
+q("W3", lambda f: coverage.base80(f.cube, f.target), "SELECT sample, base80 FROM b80", "b80")
 q("W4", lambda f: text.gene_map(f.known.withColumn("gene", F.when(F.col("line") % 7 == 0, "").otherwise(F.concat(F.lit("g"), F.col("line") % 50))), "chr", "gene", "line"), "SELECT chr AS tx_id, 'g' || arg_max(line, line) % 50 AS gene_id FROM known WHERE line % 7 <> 0 GROUP BY chr", "known")
 q("W5", lambda f: f.effects.select("sample", "var_id", "tx_id", "allele", "exon_no", "rel_start"), "SELECT sample, var_id, tx_id, allele, exon_no, rel_start FROM ef", "ef")
 q("W6", lambda f: calling.parsed(f.sites).select("sample", "chr", "pos", X.count_text(F.col("alleles"), True).alias("ranked")), "SELECT sample, chr, pos, string_agg(base || ':' || n, ',' ORDER BY n DESC, base) AS ranked FROM al GROUP BY ALL", "al")
 q("O1", lambda f: intervals.in_genomic_order(f.sites).select("sample", "chr", "pos", X.contig_rank(F.col("chr")).alias("rank")), f"SELECT sample, chr, pos, {_RANK} AS rank FROM sites", "sites")
 q("O2", lambda f: reads.passed(f.classified).select("sample", "out", "reads"), "SELECT sample, out, count(*) AS reads FROM ro GROUP BY ALL UNION ALL SELECT sample, 'total', count(*) FROM ro GROUP BY sample", "ro")
 q("O3", lambda f: coverage.histogram_report(f.cube, f.target, f.sizes).groupBy("sample").agg(F.max("depth").alias("last"), F.count("*").alias("rows")), "SELECT sample, CAST(least(max(depth), 500) AS INT) AS last, CAST(least(max(depth), 500) + 1 AS BIGINT) AS rows FROM sites GROUP BY sample", "sites")
-q("U1", lambda f: f.classified.groupBy("sample").agg(F.count_distinct("run").alias("runs"), F.count("*").alias("reads")), "SELECT sample, count(DISTINCT run) AS runs, count(*) AS reads FROM cl GROUP BY sample", "cl")
+q("U1", lambda f: reads.pooled(*(f.classified.where(F.col("run") == r) for r in "ab")).groupBy("sample").agg(F.count_distinct("run").alias("runs"), F.count("*").alias("reads")), "SELECT sample, count(DISTINCT run) AS runs, count(*) AS reads FROM cl GROUP BY sample", "cl")
 q("U2", lambda f: f.routed.select("sample", "name", "out"), "SELECT sample, name, out FROM ro", "ro")
-_U3 = "SELECT c.sample, c.depth, coalesce(b.cum, 0) AS n_bed, round(100 * coalesce(b.cum, 0) / bed_positions, 6) AS pct_bed, c.cum AS n_covered, round(100 * c.cum / covered_positions, 6) AS pct_covered, round(100 * c.cum / g, 6) AS pct_genome FROM cum c JOIN (SELECT * FROM tot WHERE scope = 'all') t ON t.sample = c.sample CROSS JOIN beds CROSS JOIN (SELECT sum(size) AS g FROM sizes) z LEFT JOIN (SELECT * FROM cum WHERE scope = 'bed') b ON b.sample = c.sample AND b.depth = c.depth WHERE c.scope = 'all' AND c.depth <= 500"
-q("U3", lambda f: r6(coverage.histogram_report(f.cube, f.target, f.sizes)), f"{_U3} UNION ALL SELECT sample, 0, bed_positions, 100, covered_positions, 100, 100 FROM tot CROSS JOIN beds WHERE scope = 'all'", "cum", "tot", "beds", "sizes")
-q("U4", lambda f: r6(coverage.histogram_by_chromosome(f.cube, f.sizes)), "SELECT sample, depth, " + ", ".join(f"round(coalesce(max(CASE WHEN scope = '{c}' THEN cum / size END), 0), 6) AS {c}" for c in CANONICAL) + " FROM cum LEFT JOIN sizes ON chr = scope WHERE depth <= 500 GROUP BY sample, depth UNION ALL SELECT DISTINCT sample, 0, " + ", ".join("100.0" for _ in CANONICAL) + " FROM sites", "cum", "sizes", "sites")
+_U3 = "SELECT c.sample, c.depth, coalesce(b.cum, 0) AS n_bed, (100 * coalesce(b.cum, 0) / bed_positions) AS pct_bed, c.cum AS n_covered, (100 * c.cum / covered_positions) AS pct_covered, (100 * c.cum / g) AS pct_genome FROM cum c JOIN (SELECT * FROM tot WHERE scope = 'all') t ON t.sample = c.sample CROSS JOIN beds CROSS JOIN (SELECT sum(size) AS g FROM sizes) z LEFT JOIN (SELECT * FROM cum WHERE scope = 'bed') b ON b.sample = c.sample AND b.depth = c.depth WHERE c.scope = 'all' AND c.depth <= 500"
+q("U3", lambda f: coverage.histogram_report(f.cube, f.target, f.sizes), f"{_U3} UNION ALL SELECT sample, 0, bed_positions, 100, covered_positions, 100, 100 FROM tot CROSS JOIN beds WHERE scope = 'all'", "cum", "tot", "beds", "sizes")
+q("U4", lambda f: coverage.histogram_by_chromosome(f.cube, f.sizes), "SELECT sample, depth, " + ", ".join(f"coalesce(max(CASE WHEN scope = '{c}' THEN cum / size END), 0) AS {c}" for c in CANONICAL) + " FROM cum LEFT JOIN sizes ON chr = scope WHERE depth <= 500 GROUP BY sample, depth UNION ALL SELECT DISTINCT sample, 0, " + ", ".join("100.0" for _ in CANONICAL) + " FROM sites", "cum", "sizes", "sites")
 q("U5", lambda f: f.snvs.select("sample", "chr", "pos", F.explode("alts").alias("alt")), "SELECT sample, chr, pos, unnest(alts) AS alt FROM sv", "sv")
 q("U6", lambda f: f.ties.where("tag = 'candidateGenes'").groupBy("sample", "var_id", "tx_id").agg(F.count("*").alias("events")), "SELECT sample, var_id, tx_id, count(*) AS events FROM ti WHERE tag IN ('ss', 'ns', 'cIndel') GROUP BY ALL", "ti")
 
 # Scalar expressions.
-q("O-SC1", lambda f: r6(f.genome.select("chr", "chunk", X.count_of(F.col("seq"), "N").cast("long").alias("n"), X.gc_fraction(F.col("seq")).alias("gc"))), "SELECT chr, chunk, length(seq) - length(replace(seq, 'N', '')) AS n, round(length(regexp_replace(seq, '[^GCgc]', '', 'g')) / length(seq), 6) AS gc FROM genome", "genome")
+q("O-SC1", lambda f: f.genome.select("chr", "chunk", X.count_of(F.col("seq"), "N").cast("long").alias("n"), X.gc_fraction(F.col("seq")).alias("gc")), "SELECT chr, chunk, length(seq) - length(replace(seq, 'N', '')) AS n, (length(regexp_replace(seq, '[^GCgc]', '', 'g')) / length(seq)) AS gc FROM genome", "genome")
 q("O-SC2", lambda f: calling.parsed(f.sites).select("sample", "chr", "pos", X.count_text(F.col("alleles")).alias("counts"), F.col("parsed").cast("long").alias("parsed"), F.col("deletions").cast("long").alias("deletions"), "mismatch"), "SELECT sample, chr, pos, counts, parsed, deletions, parsed <> depth AS mismatch FROM pc", "pc")
 q("O-SC3", lambda f: f.called_indels.select("sample", "chr", "pos", X.count_text(F.col("alleles"), True).alias("counts")), "SELECT sample, chr, pos, counts FROM ix", "ix")
 q("O-SC4", lambda f: f.genome.select("chr", "chunk", X.reverse_complement(F.col("seq")).alias("rc"), X.complement(F.lower("seq")).alias("c")), "SELECT chr, chunk, reverse(translate(seq, 'ACGT', 'TGCA')) AS rc, translate(lower(seq), 'acgt', 'TGCA') AS c FROM genome", "genome")
@@ -183,7 +175,7 @@ def _tsv(f, df, name):
 
 _SITE_TEXT = ["chr", "pos", "ref", "cons", "con_q", "var_q", "map_q", "depth", "bases"]
 _LISTS = lambda f: rollup.id_lists(f.variants, f.ties, f.gene_groups)
-q("S1", lambda f: text.read_fastq(f.spark, _lines(f, reads.fastq_text(f.reads.select("*", F.lit("1").alias("out"))).select("value"), "fastq").removeprefix("file://")).select("name", "seq", "qual"), "SELECT name, seq, qual FROM reads", "reads")
+q("S1", lambda f: text.read_fastq(f.spark, _fastq(f)).select("name", "seq", "qual"), "SELECT name, seq, qual FROM reads", "reads")
 q("S2", lambda f: text.read_sites(f.spark, _lines(f, f.sites.select(F.concat_ws("\t", *_SITE_TEXT, F.lit("I")).alias("value")), "sites")).select(*_SITE_TEXT), f"SELECT {', '.join(_SITE_TEXT)} FROM sites", "sites")
 q("S3", lambda f: text.read_indels(f.spark, _lines(f, f.indels.select(F.concat_ws("\t", "chr", "pos", F.lit("*"), "genotype", "con_q", "var_q", "map_q", "depth", "allele1", "allele2", "n1", "n2", "n_other", F.lit("0"), F.lit("0")).alias("value")), "indels"))[0], "SELECT chr, pos, genotype, con_q, var_q, map_q, depth, allele1, allele2, n1, n2, n_other FROM indels", "indels")
 q("S4", lambda f: text.read_bed(f.spark, _lines(f, f.regions.select(F.concat_ws("\t", "chr", "start", "stop", F.lit("name")).alias("value")), "bed")), "SELECT chr, start, stop FROM regions", "regions")
@@ -192,9 +184,15 @@ q("S6", lambda f: text.read_layout(f.spark, _lines(f, f.known.select(F.concat_ws
 q("S7", lambda f: text.gene_models(text.read_layout(f.spark, _lines(f, f.transcripts.select(F.concat_ws("\t", "tx_id", "chr", "strand", "sta", "stop", "c_sta", "c_end", F.size("e_sta"), F.concat(F.array_join("e_sta", ","), F.lit(",")), F.concat(F.array_join("e_end", ","), F.lit(",")), F.lit("p"), F.lit("a")).alias("value")), "knownGene"), "knownGene")).select("tx_id", "chr", "strand", F.array_join("e_sta", ";").alias("e_sta"), F.array_join("e_end", ";").alias("e_end")), "SELECT CAST(tx_id AS VARCHAR) AS tx_id, chr, strand, array_to_string(e_sta, ';') AS e_sta, array_to_string(e_end, ';') AS e_end FROM transcripts", "transcripts")
 q("S8", lambda f: text.gene_map(f.genes.withColumn("line", F.col("tx_id")), "tx_id", "gene_id", "line").join(text.id_set(f.genes.withColumn("id", F.when(F.col("tx_id") % 3 != 0, F.col("tx_id").cast("string"))), "id").select(F.col("id").cast("long").alias("tx_id")), "tx_id", "left_semi"), "SELECT tx_id, gene_id FROM genes WHERE gene_id IS NOT NULL AND tx_id % 3 <> 0", "genes")
 q("S9", lambda f: f.genes.select("tx_id", *(F.lit(text.layout(n)).alias(n.split(".")[0]) for n in ("knownGene.txt", "ensGene.txt", "snp131.txt"))), "SELECT tx_id, 'knownGene' AS \"knownGene\", 'ensGene' AS \"ensGene\", 'knownVariants' AS snp131 FROM genes", "genes")
-q("S10", lambda f: genome.chunked(text.read_fasta(f.spark, _lines(f, f.genome.groupBy("chr").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "seq"))), lambda x: x["seq"]), "\n").alias("s")).select(F.concat(F.lit(">"), "chr", F.lit(" contig\n"), "s").alias("value")), "fasta"))), "SELECT chr, chunk, seq FROM genome", "genome")
+q("S10", lambda f: text.read_fasta(f.spark, _lines(f, f.genome.groupBy("chr").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "seq"))), lambda x: x["seq"]), "\n").alias("s")).select(F.concat(F.lit(">"), "chr", F.lit(" contig\n"), "s").alias("value")), "fasta")), "SELECT chr, chunk, seq FROM genome", "genome")
 q("S11", lambda f: text.read_predictions(f.spark, _predictions_file(f)).select("var_id", "tag", "status", "tx_id", "prediction"), "SELECT DISTINCT var_id, 'candidateGenes' AS tag, 'novel' AS status, 'uc' || tx_id || '.1' AS tx_id, 'benign' AS prediction FROM ef WHERE ref_aa <> alt_aa", "ef")
-q("S12", lambda f: f.reads.select(F.concat(F.lit("/data/"), "sample", F.lit("."), "run", F.lit(".PE.fastq")).alias("p")).distinct().select("p", text.sample_of(F.col("p"))[0].alias("sample"), text.sample_of(F.col("p"))[1].alias("run")), "SELECT DISTINCT '/data/' || sample || '.' || run || '.PE.fastq' AS p, sample, run FROM reads", "reads")
+q("S12", lambda f: text.with_sample(text.read_fastq(f.spark, _fastq(f))).groupBy("sample", "run").agg(F.count("*").alias("reads")), "SELECT sample, run, count(*) AS reads FROM reads GROUP BY ALL", "reads")
+
+
+def _fastq(f):
+    """FASTQ files of all reads, in a folder for each file name that their sample and run give."""
+    named = f.reads.withColumn("file", F.concat_ws(".", "sample", "run", F.lit("PE"), F.lit("fastq"))).withColumn("out", F.lit("1"))
+    return _lines(f, reads.fastq_text(named, "file").select("value", "file"), "fastq", "file")
 
 
 def _predictions_file(f):
@@ -206,12 +204,12 @@ def _predictions_file(f):
 
 
 q("K1", lambda f: f.spark.read.text(_lines(f, reads.fastq_text(f.routed), "filter", "sample", "out")).where("value like '@%:%/%'").groupBy("sample", "out").agg(F.count("*").alias("reads")), "SELECT sample, out, count(*) AS reads FROM ro GROUP BY ALL", "ro")
-q("K2", lambda f: r6(_tsv(f, coverage.per_chromosome(f.cube, f.sizes), "per_chromosome")), f"SELECT s.sample, d.idx, d.chr, coalesce(z.size, 0) AS size, coalesce(hq_positions, 0) AS hq_positions, coalesce(coverage, 0) AS coverage, round(coalesce(coverage, 0) / nullif(z.size, 0), 6) AS mean FROM (SELECT DISTINCT sample FROM sites) s CROSS JOIN {_DIM} LEFT JOIN tot t ON t.sample = s.sample AND t.scope = d.chr LEFT JOIN sizes z ON z.chr = d.chr", "sites", "tot", "sizes")
+q("K2", lambda f: _tsv(f, coverage.per_chromosome(f.cube, f.sizes), "per_chromosome"), f"SELECT s.sample, d.idx, d.chr, coalesce(z.size, 0) AS size, coalesce(hq_positions, 0) AS hq_positions, coalesce(coverage, 0) AS coverage, (coalesce(coverage, 0) / nullif(z.size, 0)) AS mean FROM (SELECT DISTINCT sample FROM sites) s CROSS JOIN {_DIM} LEFT JOIN tot t ON t.sample = s.sample AND t.scope = d.chr LEFT JOIN sizes z ON z.chr = d.chr", "sites", "tot", "sizes")
 q("K3", lambda f: _tsv(f, coverage.bedgraph(f.sites, True), "bedgraph"), f"SELECT sample, chr, pos AS start, pos + 1 AS stop, concat_ws(':', chr, pos, ref, con_q, map_q, depth) AS name, '+' AS strand, depth AS score FROM sites WHERE {HQ}", "sites")
 q("K4", lambda f: f.spark.read.text(_lines(f, calling.vbed_text(f.vbed), "vbed", "sample")).select("sample", "value"), f"SELECT sample, concat_ws(chr(9), chr, sta, stop, {VBED_DESCR}, qual, '+') AS value FROM vb", "vb")
 q("K5", lambda f: f.spark.read.text(_lines(f, calling.call_text(calling.snv_calls(f.snvs).unionByName(calling.indel_calls(f.called_indels))), "calls", "sample")).select("sample", "value"), CALL_TEXT.format(f"{SNV_CALLS} UNION ALL {INDEL_CALLS}"), "sv", "ix")
-q("K6", lambda f: f.spark.read.text(_lines(f, _LISTS(f).withColumnRenamed("id", "value"), "lists", "level", "grp", "tag", "sample")).groupBy("level", "grp", "tag", "sample").agg(F.count("*").alias("ids")),
-  "SELECT 'variant' AS level, grp, tag, sample, count(DISTINCT var_id) AS ids FROM (SELECT *, unnest(['all', status]) AS grp FROM ti) x GROUP BY ALL UNION ALL SELECT 'transcript', grp, tag, sample, count(DISTINCT tx_id) FROM gr GROUP BY ALL UNION ALL SELECT 'gene', grp, tag, sample, count(DISTINCT gene_id) FROM gg GROUP BY ALL", "ti", "gr", "gg")
+q("K6", lambda f: f.spark.read.text(_lines(f, rollup.id_lines(_LISTS(f), f.genes), "lists", "level", "grp", "tag", "sample")).select("level", "grp", "tag", "sample", "value"),
+  """SELECT DISTINCT 'variant' AS level, grp, tag, sample, var_id AS value FROM (SELECT *, unnest(['all', status]) AS grp FROM ti) x UNION ALL SELECT DISTINCT 'transcript', grp, tag, sample, concat_ws(chr(9), tx_id, description) FROM gr LEFT JOIN (SELECT tx_id, description FROM genes) g USING (tx_id) UNION ALL SELECT DISTINCT 'gene', grp, tag, sample, gene_id || chr(9) || ds FROM gg JOIN (SELECT gene_id, string_agg(DISTINCT description, chr(9) ORDER BY description) AS ds FROM genes WHERE gene_id IS NOT NULL GROUP BY gene_id) d USING (gene_id)""", "ti", "gr", "gg", "genes")
 
 
 def _report(f):

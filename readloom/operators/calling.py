@@ -105,12 +105,13 @@ def code_changes(snvs: DataFrame) -> DataFrame:
 
 def allele_ranks(sites: DataFrame) -> DataFrame:
     """(sample, alleles, rank, sites, mean_pct): mean share of the allele of each rank, at sites with
-    that many alleles; before the deletion filter. Equal counts rank by allele."""
+    that many alleles, summed in whole hundredths so that no order of rows changes it; before the
+    deletion filter. Equal counts rank by allele."""
     s = parsed(sites).where(F.size("alleles") > 0)
     ranked = F.array_sort(F.transform(F.map_entries("alleles"), lambda e: F.struct((-e["value"]).alias("n"), e["key"].alias("key"))))
     x = s.select("sample", "depth", F.size("alleles").alias("alleles"), F.posexplode(ranked).alias("i", "a"))
     share = F.bround(100 * (-F.col("a.n")) / (F.col("depth") + F.lit(1e-9)), 2)
-    return x.groupBy("sample", "alleles", (F.col("i") + 1).alias("rank")).agg(F.count("*").alias("sites"), F.avg(share).alias("mean_pct"))
+    return x.groupBy("sample", "alleles", (F.col("i") + 1).alias("rank")).agg(F.count("*").alias("sites"), (F.sum(F.round(100 * share).cast("long")).cast("double") / 100 / F.count("*")).alias("mean_pct"))
 
 
 def alternative_share(sites: DataFrame) -> DataFrame:

@@ -173,6 +173,6 @@ def gene_coverage(sites: DataFrame, transcripts: DataFrame) -> DataFrame:
     cut = merged.select("tx_id", "chr", "kind", "start", (F.col("stop") - 1).alias("last"))
     hit = intervals.overlapping(points.withColumn("p1", F.col("p0")), cut, "p0", "p1", "start", "last", ["chr"])
     got = hit.groupBy("sample", "tx_id", "kind").agg(F.sum("depth").cast("long").alias("coverage"), F.count_if("hq").alias("hq"))
-    frame = bases.crossJoin(F.broadcast(sites.select("sample").distinct()))
+    frame = bases.crossJoin(sites.select("sample").distinct())
     out = frame.join(got, ["sample", "tx_id", "kind"], "left").na.fill(0, ["coverage", "hq"])
     return out.select("sample", "tx_id", "kind", "bases", "coverage", (F.col("coverage") / F.col("bases")).alias("mean_depth"), (F.col("hq") / F.col("bases")).alias("hq_fraction"))

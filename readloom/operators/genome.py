@@ -29,10 +29,3 @@ def fetch(wanted: DataFrame, genome: DataFrame, key: list[str], chunk: int = CHU
     parts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "part"))), lambda x: x["part"]), "")
     out = got.groupBy(*key, "chr", "start", "len").agg(parts.alias("seq"))
     return out.withColumn("seq", F.when(F.length("seq") == F.col("len"), F.col("seq")))
-
-
-def chunked(fasta: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """(chr, seq) of whole contigs to (chr, chunk, seq)."""
-    n = F.floor((F.length("seq") - 1) / chunk)
-    cut = fasta.where(F.length("seq") > 0).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), n)))
-    return cut.select("chr", "chunk", F.substr(F.col("seq"), (F.col("chunk") * chunk + 1).cast("int"), F.lit(chunk)).alias("seq"))

@@ -5,6 +5,9 @@ reads: sample, run, dir, ordinal, name, seq, qual.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +37,7 @@ def classified(reads: DataFrame, offset: int | None = None, **thresholds) -> Dat
     """reads trimmed, with len, reason (null: passes), qualities' offset, pair_key and valid."""
     if offset is None:
         found = offsets(reads).select("sample", "run", F.coalesce("offset", F.raise_error(F.lit("quality offset can't be told")).cast("int")).alias("offset"))
-        reads = reads.join(F.broadcast(found), ["sample", "run"])
+        reads = reads.join(found, ["sample", "run"])
     else:
         reads = reads.withColumn("offset", F.lit(offset))
     cut = F.length("qual") - trimmed_length(F.col("qual"), F.col("offset"))
@@ -45,22 +48,39 @@ def classified(reads: DataFrame, offset: int | None = None, **thresholds) -> Dat
     return t.withColumn("pair_key", pair_key(F.col("name"))).withColumn("present", valid).withColumn("same_length", F.length("seq") == F.length("qual"))
 
 
-def routed(classified: DataFrame) -> DataFrame:
-    """Passing reads of complete pairs with out: 1 and 2 when both mates pass, S when one does.
+def pooled(*runs: DataFrame) -> DataFrame:
+    """The reads of several runs or read sets together, columns by name."""
+    out = runs[0]
+    for r in runs[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+def paired(classified: DataFrame) -> DataFrame:
+    """classified with mates and passing: how many reads its pair has and how many of them pass.
 
-    Both mates of a pair meet by one shuffle on the pair's key; reads without a mate have no output.
+    Where a pair's name occurs again, the n-th read of one direction is the mate of the n-th of the
+    other. One shuffle on the pair's key serves both windows.
     """
-    pair = Window.partitionBy("sample", "run", "pair_key")
-    ok = F.col("reason").isNull()
-    both = classified.withColumn("mates", F.size(F.collect_set("dir").over(pair))).withColumn("passing", F.count_if(ok).over(pair))
+    key = ["sample", "run", "pair_key"]
+    turn = F.row_number().over(Window.partitionBy(*key, "dir").orderBy("ordinal"))
+    pair = Window.partitionBy(*key, "turn")
+    met = classified.repartition(*key).withColumn("turn", turn)
+    return met.withColumn("mates", F.count("*").over(pair)).withColumn("passing", F.count_if(F.col("reason").isNull()).over(pair))
+
+
+def routed(classified: DataFrame) -> DataFrame:
+    """Passing reads of complete pairs with out: 1 and 2 when both mates pass, S when one does. Reads
+    without a mate have no output."""
     out = F.when(F.col("passing") == 2, F.col("dir").cast("string")).otherwise("S")
-    return both.where(ok & (F.col("mates") == 2)).withColumn("out", out).drop("mates", "passing")
+    return paired(classified).where(F.col("reason").isNull() & (F.col("mates") == 2)).withColumn("out", out).drop("turn", "mates", "passing")
 
 
 def mates(classified: DataFrame) -> DataFrame:
-    """(sample, run, pair_key, pass1, pass2): pairs joined on keys and one flag each."""
-    side = lambda d: classified.where(F.col("dir") == d).select("sample", "run", "pair_key", F.col("reason").isNull().alias(f"pass{d}"))
-    return side(1).join(side(2), ["sample", "run", "pair_key"])
+    """(sample, run, pair_key, pass1, pass2) of complete pairs."""
+    passes = lambda d: F.bool_or((F.col("dir") == d) & F.col("reason").isNull()).alias(f"pass{d}")
+    by = paired(classified).where("mates = 2").groupBy("sample", "run", "pair_key", "turn").agg(passes(1), passes(2))
+    return by.drop("turn")
 
 
 def totals(classified: DataFrame) -> DataFrame:
@@ -103,15 +123,48 @@ def gc_histogram(classified: DataFrame, width: int = 4) -> DataFrame:
     return _share(by, classified)
 
 
-def position_profile(classified: DataFrame) -> DataFrame:
-    """(sample, pos, mean_quality, n, n_pct, bases) for each 1-based place in passing reads."""
-    p = classified.where("reason is null").select("sample", "offset", "seq", F.posexplode(F.split("qual", "")).alias("i", "q")).where("q <> ''")
-    base = F.substr(F.col("seq"), F.col("i") + 1, F.lit(1))
-    by = p.groupBy("sample", (F.col("i") + 1).alias("pos")).agg(F.sum(F.ascii("q") - F.col("offset")).cast("long").alias("quality"), F.count_if(base.isin("N", "n")).alias("n"), F.count("*").alias("bases"))
-    return by.select("sample", "pos", (F.col("quality") / F.col("bases")).alias("mean_quality"), "n", (100 * F.col("n") / F.col("bases")).alias("n_pct"), "bases")
+def _profiled(batches):
+    """mapInArrow: a task's sums (sample, pos, quality, n, bases) of each place, from (sample, offset, seq,
+    qual). Reads are bytes side by side: no row is made for a base."""
+    sums: dict[str, np.ndarray] = {}
+    for batch in batches:
+        sample = batch.column("sample").dictionary_encode()
+        seq, qual = (batch.column(c).fill_null("") for c in ("seq", "qual"))
+        size = pc.binary_length(qual).to_numpy(zero_copy_only=False).astype(np.int64)
+        base = np.zeros(int(size.sum()), np.uint8)
+        have = np.minimum(pc.binary_length(seq).to_numpy(zero_copy_only=False), size)
+        begin = np.cumsum(size) - size
+        pos = np.arange(len(base)) - np.repeat(begin, size)
+        text = np.frombuffer("".join(seq.to_pylist()).encode("latin-1", "replace"), np.uint8)
+        full = pc.utf8_length(seq).to_numpy(zero_copy_only=False).astype(np.int64)
+        inside = pos < np.repeat(have, size)
+        base[inside] = text[(np.repeat(np.cumsum(full) - full, size) + pos)[inside]]
+        q = np.frombuffer("".join(qual.to_pylist()).encode("latin-1", "replace"), np.uint8).astype(np.int64)
+        q = q - np.repeat(batch.column("offset").to_numpy(zero_copy_only=False).astype(np.int64), size)
+        longest, owner = int(size.max(initial=0)), np.repeat(sample.indices.to_numpy(zero_copy_only=False), size)
+        for k, name in enumerate(sample.dictionary.to_pylist()):
+            mine = owner == k
+            p = pos[mine]
+            got = np.stack([np.bincount(p, w, longest) for w in (q[mine], (base[mine] | 32) == ord("n"), np.ones(len(p)))]).astype(np.int64)
+            old = sums.get(name)
+            if old is not None and old.shape[1] > longest:
+                got = np.pad(got, ((0, 0), (0, old.shape[1] - longest)))
+            elif old is not None:
+                old = np.pad(old, ((0, 0), (0, longest - old.shape[1])))
+            sums[name] = got if old is None else old + got
+    for name, x in sums.items():
+        some = np.flatnonzero(x[2])
+        columns = [pa.array([name] * len(some), pa.string()), pa.array(some + 1, pa.int32()), *(pa.array(c[some]) for c in x)]
+        yield pa.RecordBatch.from_arrays(columns, ["sample", "pos", "quality", "n", "bases"])
 
 
-def fastq_text(reads: DataFrame) -> DataFrame:
-    return reads.select("sample", "out", F.concat_ws("\n", "name", "seq", F.lit("+"), "qual").alias("value"))
+def position_profile(classified: DataFrame) -> DataFrame:
+    """(sample, pos, mean_quality, n, n_pct, bases) for each 1-based place in passing reads. Tasks sum
+    their reads by place, so one row a place and task is shuffled."""
+    p = classified.where("reason is null").select("sample", "offset", "seq", "qual").mapInArrow(_profiled, "sample string, pos int, quality long, n long, bases long")
+    by = p.groupBy("sample", "pos").agg(*(F.sum(c).cast("long").alias(c) for c in ("quality", "n", "bases")))
+    return by.select("sample", "pos", (F.col("quality") / F.col("bases")).alias("mean_quality"), "n", (100 * F.col("n") / F.col("bases")).alias("n_pct"), "bases")
 
 
+def fastq_text(reads: DataFrame, *more: str) -> DataFrame:
+    return reads.select("sample", "out", *more, F.concat_ws("\n", "name", "seq", F.lit("+"), "qual").alias("value"))

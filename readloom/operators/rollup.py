@@ -107,6 +107,16 @@ def id_lists(variants: DataFrame, ties: DataFrame, gene_groups: DataFrame) -> Da
     return level(v, "variant").unionByName(level(t, "transcript")).unionByName(level(g, "gene"))
 
 
+def id_lines(lists: DataFrame, genes: DataFrame) -> DataFrame:
+    """id_lists with ``value`` for the id: a transcript's id is followed by its description, a gene's by
+    all of its transcripts' descriptions, between tabs."""
+    known = genes.select("tx_id", "gene_id", "description")
+    tx = known.select(F.lit("transcript").alias("level"), F.col("tx_id").cast("string").alias("id"), F.col("description").alias("d"))
+    gene = gene_descriptions(known.where("gene_id is not null").withColumn("sample", F.lit(""))).select(F.lit("gene").alias("level"), F.col("gene_id").alias("id"), F.col("descriptions").alias("d"))
+    x = lists.join(tx.unionByName(gene), ["level", "id"], "left")
+    return x.select("level", "grp", "tag", "sample", F.concat_ws("\t", "id", "d").alias("value"))
+
+
 def gene_report(gene_groups: DataFrame, ties: DataFrame, variants: DataFrame, tag: str = "candidateGenes") -> DataFrame:
     """Genes of the two strict novel groups with their transcripts, variants and alleles, nested."""
     g = gene_groups.where((F.col("tag") == tag) & F.col("grp").isin("novel_recessive", "novel_homozygous"))

@@ -1,28 +1,93 @@
-"""FASTQ data source: one partition a file; records of four lines, resumed at the next '@' line."""
+"""FASTQ and FASTA data sources.
+
+Files are read where pyarrow finds them: a file or folder that every executor sees, plain or .gz. Plain
+FASTQ files are cut into byte ranges; a range's task starts at the first record that begins in it and
+ends the last one that does. Rows travel as Arrow batches.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+RANGE_BYTES = 64 << 20
+BATCH_ROWS = 10_000
+CHUNK = 256
+
 
 def records(lines):
-    """(number, name, seq, qual) of an iterator of lines. Lines before a name are skipped; a record
+    """(place, name, seq, qual) of an iterator of (place, line). Lines before a name are skipped; a record
     whose third line isn't a '+' line is an error."""
-    it, n = iter(lines), 0
-    for line in it:
+    it = iter(lines)
+    for at, line in it:
         name = line.rstrip("\r\n")
         if not name.startswith("@"):
             continue
-        seq, plus, qual = (next(it, "").rstrip("\r\n") for _ in range(3))
+        seq, plus, qual = (next(it, (0, ""))[1].rstrip("\r\n") for _ in range(3))
         if not plus.startswith("+"):
             raise ValueError(f"no '+' line in the record of {name}")
-        yield n, name, seq, qual
-        n += 1
+        yield at, name, seq, qual
+
+
+def resumed(lines, start: int, stop: int):
+    """(place, line) from the first record that begins at ``start`` or later to the end of the last one
+    that begins before ``stop``. A '@' line is a name, and not qualities, if a '+' line is the second after
+    it: behind qualities comes a name and then a sequence, which has no '+'."""
+    it = iter(lines)
+    held = []
+    if start:
+        for x in it:
+            held = [*held[-2:], x]
+            if len(held) == 3 and held[0][1].startswith("@") and held[2][1].startswith("+"):
+                break
+        else:
+            return
+    inside = 0
+
+    def every():
+        yield from held
+        yield from it
+
+    for at, line in every():
+        if not inside % 4 and at >= stop:
+            return
+        if inside % 4 or line.startswith("@"):
+            inside += 1
+        yield at, line
+
+
+def chunks(lines, size: int = CHUNK):
+    """(contig, number, bases) of a FASTA file's lines: each contig cut into ``size`` bases, the last piece
+    shorter. Lines before the first name are skipped."""
+    name, n, held = None, 0, ""
+    for line in lines:
+        if line.startswith(">"):
+            if name is not None and held:
+                yield name, n, held
+            name, n, held = (line[1:].split() or [""])[0], 0, ""
+        elif name is not None:
+            held += "".join(line.split())
+            whole = len(held) - len(held) % size
+            for i in range(0, whole, size):
+                yield name, n, held[i : i + size]
+                n += 1
+            held = held[whole:]
+    if name is not None and held:
+        yield name, n, held
+
+
+def _batches(rows, schema):
+    """Rows as record batches."""
+    import itertools
+
+    import pyarrow as pa
+
+    it = iter(rows)
+    while part := list(itertools.islice(it, BATCH_ROWS)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part), schema)], schema=schema)
 
 
 class FastqSource(DataSource):
-    """spark.read.format("fastq_reads").load(path): a file or folder in a place that every executor
-    sees; plain or .gz."""
+    """spark.read.format("fastq_reads").load(path)"""
 
     @classmethod
     def name(cls):
@@ -32,27 +97,96 @@ class FastqSource(DataSource):
         return "path string, ordinal long, name string, seq string, qual string"
 
     def reader(self, schema):
-        return FastqReader(self.options["path"])
+        return FastqReader(self.options["path"], int(self.options.get("rangeBytes", RANGE_BYTES)))
+
+
+class FastaSource(DataSource):
+    """spark.read.format("fasta_chunks").load(path)"""
+
+    @classmethod
+    def name(cls):
+        return "fasta_chunks"
+
+    def schema(self):
+        return "chr string, chunk long, seq string"
+
+    def reader(self, schema):
+        return FastaReader(self.options["path"])
 
 
-class FastqReader(DataSourceReader):
+class _Files(DataSourceReader):
     def __init__(self, path):
         self.path = path
 
-    def partitions(self):
+    def _system(self):
+        from pyarrow import fs
+
+        return fs.FileSystem.from_uri(self.path) if "://" in self.path or self.path.startswith("file:") else (fs.LocalFileSystem(), self.path)
+
+    def files(self):
+        """(path, bytes) of the data files."""
         from pyarrow import fs
 
-        system, path = fs.FileSystem.from_uri(self.path) if "://" in self.path else (fs.LocalFileSystem(), self.path)
+        system, path = self._system()
         info = system.get_file_info(path)
-        found = [path] if info.is_file else sorted(f.path for f in system.get_file_info(fs.FileSelector(path, recursive=True)) if f.is_file and f.base_name[0] not in "._")
-        return [InputPartition(p) for p in found]
+        found = [info] if info.is_file else [f for f in system.get_file_info(fs.FileSelector(path, recursive=True)) if f.is_file and f.base_name[0] not in "._"]
+        return sorted((f.path, f.size or 0) for f in found)
 
-    def read(self, partition):
+    def lines(self, path, start=0):
+        """(place, line) from a byte of a plain file on; by number in a compressed one."""
         import io
 
-        from pyarrow import fs
+        system = self._system()[0]
+        if path.endswith(".gz"):
+            with system.open_input_stream(path) as f:
+                yield from enumerate(io.TextIOWrapper(f, "latin-1"))
+            return
+        with system.open_input_file(path) as f:
+            # The line that a range begins in belongs to the range before.
+            f.seek(max(start - 1, 0))
+            lines = io.BufferedReader(f, 1 << 20)
+            at = max(start - 1, 0)
+            if start:
+                at += len(lines.readline())
+            for line in lines:
+                yield at, line.decode("latin-1")
+                at += len(line)
+
+
+class FastqReader(_Files):
+    def __init__(self, path, range_bytes=RANGE_BYTES):
+        super().__init__(path)
+        self.range_bytes = range_bytes
+
+    def partitions(self):
+        out = []
+        for path, size in self.files():
+            step = max(size, 1) if path.endswith(".gz") else self.range_bytes
+            out += [InputPartition((path, a, None if path.endswith(".gz") else a + step)) for a in range(0, max(size, 1), step)]
+        return out or [InputPartition(None)]
+
+    def read(self, partition):
+        import pyarrow as pa
+
+        schema = pa.schema([("path", pa.string()), ("ordinal", pa.int64()), ("name", pa.string()), ("seq", pa.string()), ("qual", pa.string())])
+        if partition.value is None:
+            return
+        path, start, stop = partition.value
+        lines = self.lines(path, start)
+        if stop is not None:
+            lines = resumed(lines, start, stop)
+        yield from _batches(((path, *r) for r in records(lines)), schema)
+
+
+class FastaReader(_Files):
+    """One partition a file, as contigs run on; no contig is held whole."""
+
+    def partitions(self):
+        return [InputPartition(path) for path, _ in self.files()] or [InputPartition(None)]
+
+    def read(self, partition):
+        import pyarrow as pa
 
-        system = fs.FileSystem.from_uri(self.path)[0] if "://" in self.path else fs.LocalFileSystem()
-        with system.open_input_stream(partition.value) as f:
-            for n, name, seq, qual in records(io.TextIOWrapper(f, "ascii")):
-                yield partition.value, n, name, seq, qual
+        if partition.value is not None:
+            schema = pa.schema([("chr", pa.string()), ("chunk", pa.int64()), ("seq", pa.string())])
+            yield from _batches(chunks(line for _, line in self.lines(partition.value)), schema)

@@ -97,20 +97,32 @@ def gene_map(df: DataFrame, transcript: str, gene: str, line: str) -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(chr, seq) of each contig; the name is the first word after '>'."""
-    x = spark.read.option("lineSep", ">").text(path).where(F.trim("value") != "")
-    name = F.regexp_extract("value", r"^(\S+)", 1)
-    return x.select(name.alias("chr"), F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n?", ""), r"\s", "").alias("seq"))
+    """(chr, chunk, seq) of FASTA files in pieces of 256 bases, cut while they are read; the contig's name
+    is the first word after '>'."""
+    from .fastq import FastaSource
+
+    spark.dataSource.register(FastaSource)
+    return spark.read.format("fasta_chunks").load(path)
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """(path, ordinal, name, seq, qual) of FASTQ files read by the package's data source."""
+    """(path, ordinal, name, seq, qual) of FASTQ files read by the package's data source; ordinal is the
+    record's place in its file in bytes (records, in a compressed one)."""
     from .fastq import FastqSource
 
     spark.dataSource.register(FastqSource)
     return spark.read.format("fastq_reads").load(path)
 
 
+def with_sample(df: DataFrame, path: str = "path") -> DataFrame:
+    """df with sample and run by the name in each row's path: of the file, or of the folder that a writer
+    gave that name (``file=name``)."""
+    name = F.col(path)
+    folder = F.regexp_extract(name, r"/file=([^/]+)/", 1)
+    sample, run = sample_of(F.when(folder != "", folder).otherwise(name))
+    return df.withColumn("sample", sample).withColumn("run", run)
+
+
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     """Predictor results: columns by the header line's names, cells trimmed; later '#' lines go. Text
     of a file's first line names the columns, so the header is read on the driver (one line)."""

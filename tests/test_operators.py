@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from readloom.functions import exprs as X
-from readloom.functions.constants import CODONS, contigs
+from readloom.functions.constants import CODONS, CONTIGS
 from readloom.operators import annotate, calling, coverage, intervals, reads
-from readloom.sources.fastq import records
+from readloom.sources import text
+from readloom.sources.fastq import FastqReader, chunks, records
 
 
 def col(spark, rows, expr, names="a string"):
@@ -13,7 +14,7 @@ def col(spark, rows, expr, names="a string"):
 
 
 def test_contigs_and_codons():
-    assert len(contigs()) == 93 and contigs()[9:11] == ["chr5", "chr6"] and contigs()[53] == "chrM"
+    assert len(CONTIGS) == 93 and CONTIGS[9:11] == ["chr5", "chr6"] and CONTIGS[53] == "chrM"
     assert CODONS["ATG"] == "M" and CODONS["TGA"] == "X" and CODONS["AGA"] == "R" and len(CODONS) == 64
 
 
@@ -87,11 +88,11 @@ def test_indels(spark):
     assert {(r.ref, r.alt, r.type) for r in calling.indel_calls(x).collect()} == {("-", "A", "ins"), ("AC", "-", "del")}
 
 
-def test_sample_vbed_rows(spark):
-    lines = [("chr1", 866318, 866319, "G=>A(62;A:62)", 214), ("chr1", 866510, 866510, "C=>*/+CCCT(99;*:68,+CCCT:31)", 2021), ("chr1", 884100, 884101, "A=>M(53;A:37,C:14,D:2)", 134), ("chr1", 1, 2, "nonsense", 1)]
+def test_vbed_rows(spark):
+    lines = [("chr7", 40, 41, "T=>C(9;C:9)", 51), ("chr7", 90, 90, "A=>*/+GTT(30;*:18,+GTT:12)", 77), ("chr7", 12, 13, "C=>R(20;A:11,G:9)", 60), ("chr7", 1, 2, "nonsense", 1)]
     df = spark.createDataFrame(lines, "chr string, sta int, stop int, descr string, qual int").withColumn("sample", F.lit("s")).withColumn("idx", F.col("sta").cast("long"))
     got = {r.sta: (r.var_type, r.hom_het, r.alleles, r.stop) for r in annotate.parse_vbed(df).collect()}
-    assert got == {866318: ("snp", "hom", ["A"], 866319), 866510: ("indel", "het", ["*", "+CCCT"], 866512), 884100: ("snp", "het", ["A", "C"], 884101)}
+    assert got == {40: ("snp", "hom", ["C"], 41), 90: ("indel", "het", ["*", "+GTT"], 92), 12: ("snp", "het", ["A", "G"], 13)}
     assert annotate.bad_vbed(df).count() == 1
 
 
@@ -103,4 +104,31 @@ def test_known_windows(spark):
 
 def test_fastq_records():
     text = ["junk", "@a/1", "ACGT", "+", "@III", "@b/1", "A", "+b", "I"]
-    assert list(records(text)) == [(0, "@a/1", "ACGT", "@III"), (1, "@b/1", "A", "I")]
+    assert list(records(enumerate(text))) == [(1, "@a/1", "ACGT", "@III"), (5, "@b/1", "A", "I")]
+
+
+def test_fastq_ranges(tmp_path):
+    """Whatever the ranges, each record is read once; qualities may begin with '@' or '+'."""
+    want = [(f"@r{i}/1", "ACGT" * (i % 5 + 1), ("@+I!"[i % 4] + "@II") * (i % 5 + 1)) for i in range(40)]
+    (tmp_path / "s1.runA.PE.fastq").write_text("junk\n" + "".join(f"{n}\n{s}\n+\n{q}\n" for n, s, q in want))
+    for size in (1, 7, 40, 101, 100_000):
+        reader = FastqReader(str(tmp_path), size)
+        got = [r for p in reader.partitions() for b in reader.read(p) for r in zip(*(b.column(c).to_pylist() for c in ("name", "seq", "qual")))]
+        assert got == want
+
+
+def test_sources_name_samples_and_chunk_contigs(spark, tmp_path):
+    for name in ("s1.runA.PE.fastq", "s2.runB.PE.fastq"):
+        (tmp_path / name).write_text("@a/1\nACGT\n+\nIIII\n")
+    got = text.with_sample(text.read_fastq(spark, str(tmp_path)))
+    assert {(r["sample"], r["run"], r["seq"]) for r in got.collect()} == {("s1", "runA", "ACGT"), ("s2", "runB", "ACGT")}
+    lines = ["x", ">c1 first", "AC" * 5, "", "G" * 3, ">c2", ">c3", "T"]
+    assert list(chunks(lines, 4)) == [("c1", 0, "ACAC"), ("c1", 1, "ACAC"), ("c1", 2, "ACGG"), ("c1", 3, "G"), ("c3", 0, "T")]
+
+
+def test_repeated_pair_names(spark):
+    rows = [("s", "a", d, i, f"@p/{d}", "A" * 50, ("I" if ok else "!") * 50) for i, (d, ok) in enumerate([(1, 1), (2, 1), (1, 1), (2, 0), (1, 1)])]
+    df = spark.createDataFrame(rows, "sample string, run string, dir int, ordinal int, name string, seq string, qual string")
+    x = reads.classified(df, offset=33)
+    assert sorted((r.ordinal, r.out) for r in reads.routed(x).collect()) == [(0, "1"), (1, "2"), (2, "S")]
+    assert sorted((r.pass1, r.pass2) for r in reads.mates(x).collect()) == [(True, False), (True, True)]
