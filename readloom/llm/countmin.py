@@ -90,7 +90,7 @@ def repeated_cells(docs: DataFrame, elements, bits: int) -> np.ndarray:
     schema = "shard int, ones binary, twos binary"
     made = tables.folded(docs.select("text").mapInArrow(sketches(elements, bits), schema), ["shard"], merged(bits), schema)
     out = np.zeros(per * SHARDS, np.uint8)
-    for r in made.select("shard", "twos").toLocalIterator():
+    for r in made.select("shard", "twos").collect():
         cell = np.zeros(per * 8, bool)
         cell[mindoc.unpack_at(r["twos"])] = True
         out[r["shard"] * per : (r["shard"] + 1) * per] = np.packbits(cell, bitorder="little")

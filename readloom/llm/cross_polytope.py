@@ -5,16 +5,21 @@ axis; up to ``n_hashes`` of them are concatenated so that buckets stay near ``BU
 grow. A query probes the ``probes`` buckets of each table whose axes it is nearest to. Hashes and probes
 come from the data (``plan``): the true neighbours of ``SAMPLE`` queries tell how many probes find the
 share ``RECALL`` of them with each number of hashes, and the cheapest such pair is taken. With one hash
-all buckets can be probed, so there is always one. Candidates are
-compared exactly, in double precision, inside bucket blocks of at most about ``BLOCK`` vectors, so a
-bucket with a third of all vectors is many tasks' work; each block returns the k nearest, ties to the
-smaller id, and the k best of those are the answer. No candidate is dropped before it is compared. A
-query with fewer than k candidates is compared with all vectors, in blocks too.
-
-Recall against brute force (k = 5, queries every 50th id) is measured by ``recall``; the README has
-figures. Vectors that are null, zero, of another length than most, or hold null or non-finite
-components take no part. Rows that share a vec_id are one candidate by their nearest vector, and as a
-query one row each is searched; an empty table gives no rows.
+all buckets can be probed, so there is always one.
+
+Equal vectors are one: of those that share a vector only the k+1 smallest ids can be among anyone's
+nearest, so an index row is a vector with these ids, and equal queries are searched once. Candidates are
+compared exactly, in double precision, inside blocks of at most about ``BLOCK`` vectors and as many
+queries, so a bucket with a third of all vectors, or of all queries, is many tasks' work; each block
+returns the k+1 nearest, ties to the smaller id, and of the best of those a query takes k, without
+itself. No candidate is dropped before it is compared. A query that meets fewer than k+1 ids is compared
+with all vectors, in blocks too.
+
+``recall`` holds a result against brute force; the README has figures. Vectors that are null, zero, of
+another length than most, or hold null or non-finite components take no part, nor do null vec_ids. Rows
+that share a vec_id are one candidate by their nearest vector, and as queries one each if their vectors
+differ; ties go to the smaller vec_id; repeated rows count once; an empty table gives no rows; columns
+besides vec_id and embedding are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -90,11 +95,12 @@ def vectors(df: DataFrame) -> DataFrame:
         & F.exists(e, lambda x: x != 0)
     )
     common = usable.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
-    return usable.where(F.size("embedding") == (common[0]["d"] if common else 0)).select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    return usable.where(F.size("embedding") == (common[0]["d"] if common else 0)).select("vec_id", F.col("embedding").alias("v"))
 
 
 def _matrix(column) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False)
+    """Vectors as rows of doubles."""
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1)
 
 
@@ -107,59 +113,67 @@ def _unit(x):
     return x / np.linalg.norm(x / np.abs(x).max(1, keepdims=True), axis=1, keepdims=True) / np.abs(x).max(1, keepdims=True)
 
 
-def _placed(n_tables, hashes, probes, with_vectors):
-    """mapInArrow: a row for each vector, table and probed bucket."""
+def _placed(n_tables, hashes, probes, carried=()):
+    """mapInArrow: a row for each vector, table and probed bucket, with the columns that are carried;
+    vectors travel as bytes of their own type."""
 
     def run(batches):
         for batch in batches:
             rows = max(1, min(2048, (1 << 21) // (probes * min(probes, _sides(batch.column("v"))))))
             for a in range(0, batch.num_rows, rows):
                 part = batch.slice(a, rows)
-                x = _matrix(part.column("v"))
-                u = _unit(x)
+                u = _unit(_matrix(part.column("v")))
+                held = part.set_column(part.schema.get_field_index("v"), "v", _raw(part.column("v")))
                 for t in range(n_tables):
                     b = buckets(u, t, hashes, probes)
-                    row = np.repeat(np.arange(len(x)), b.shape[1])
+                    row = pa.array(np.repeat(np.arange(len(u)), b.shape[1]))
                     columns = {"tab": pa.array(np.full(len(row), t, np.int32)), "bucket": pa.array(b.ravel())}
-                    if with_vectors:
-                        raw = [r.tobytes() for r in x]
-                        columns |= {"vec_id": part.column("vec_id").take(pa.array(row)), "v": pa.array([raw[r] for r in row], pa.binary())}
-                    yield pa.RecordBatch.from_pydict(columns)
+                    yield pa.RecordBatch.from_pydict(columns | {c: held.column(c).take(row) for c in carried})
 
     return run
 
 
+def _raw(column) -> pa.Array:
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return pa.array([r.tobytes() for r in flat.reshape(len(column), -1)], pa.binary())
+
+
 def cosines(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Cosine of q with each row of x; rows that are equal give equal numbers."""
     dot = (x * q).sum(1)
     return dot / (np.sqrt((x * x).sum(1)) * np.sqrt((q * q).sum()))
 
 
-def nearest(q_ids, q, x_ids, x, k):
-    """The k nearest rows of x for each row of q, but for the one of its own id."""
+def nearest(q, x, ids, k):
+    """For each row of q the k nearest ids: (row of q, id, cosine). ids: (rows of x, ids of each)."""
     rough = _unit(q) @ _unit(x).T
+    owner = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
+    flat = np.concatenate(ids)
     out = []
     for i in range(len(q)):
-        ok = np.flatnonzero(x_ids != q_ids[i])
-        if len(ok) > k:
-            s = rough[i, ok]
-            ok = ok[s >= np.partition(s, len(s) - k)[len(s) - k] - 1e-9]
-        s = cosines(q[i], x[ok])
-        best = np.lexsort((x_ids[ok], -s))[:k]
-        out.append((np.full(len(best), q_ids[i]), x_ids[ok][best], s[best]))
+        s = rough[i]
+        ok = np.flatnonzero(s >= np.partition(s, len(s) - k)[len(s) - k] - 1e-9) if len(s) > k else np.arange(len(s))
+        exact = np.zeros(len(s))
+        exact[ok] = cosines(q[i], x[ok])
+        near = np.zeros(len(s), bool)
+        near[ok] = True
+        mine = np.flatnonzero(near[owner])
+        best = mine[np.lexsort((flat[mine], -exact[owner[mine]]))]
+        best = best[np.sort(np.unique(flat[best], return_index=True)[1])][:k]
+        out.append((np.full(len(best), i), flat[best], exact[owner[best]]))
     return [np.concatenate(c) for c in zip(*out)]
 
 
-def _compared(k):
+def _compared(k, dtype):
     def run(key, index, queries):
         import pandas as pd
 
         if not len(index) or not len(queries):
-            return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
-        x, q = (np.frombuffer(b"".join(f["v"]), np.float64).reshape(len(f), -1) for f in (index, queries))
-        parts = [nearest(queries["vec_id"].to_numpy()[i : i + 512], q[i : i + 512], index["vec_id"].to_numpy(), x, k) for i in range(0, len(q), 512)]
-        a, b, s = (np.concatenate(c) for c in zip(*parts))
-        return pd.DataFrame({"query_id": a, "vec_id": b, "score": s})
+            return pd.DataFrame({"qid": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+        x, q = (np.frombuffer(b"".join(f["v"]), dtype).astype(np.float64).reshape(len(f), -1) for f in (index, queries))
+        qid, ids = queries["qid"].to_numpy(), [np.asarray(i, np.int64) for i in index["ids"]]
+        parts = [nearest(q[i : i + 512], x, ids, k) for i in range(0, len(q), 512)]
+        return pd.DataFrame({"qid": np.concatenate([qid[512 * n + p[0]] for n, p in enumerate(parts)]), "vec_id": np.concatenate([p[1] for p in parts]), "score": np.concatenate([p[2] for p in parts])})
 
     return run
 
@@ -184,14 +198,14 @@ def _true(sample, k):
     """mapInArrow: the k nearest of a task's vectors to each sampled query."""
 
     def run(batches):
-        q_ids, q = sample.value
+        q = sample.value
         held = [(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, q.shape[1])))] * len(q)
         for batch in batches:
             for a in range(0, batch.num_rows, 2048):
                 part = batch.slice(a, 2048)
-                x, ids = _matrix(part.column("v")), part.column("vec_id").to_numpy(zero_copy_only=False)
+                x, ids = _matrix(part.column("v")), part.column("rid").to_numpy(zero_copy_only=False)
                 score = _unit(q) @ _unit(x).T
-                score[q_ids[:, None] == ids] = -9
+                score[score > 1 - 1e-12] = -9  # the query itself
                 for i, old in enumerate(held):
                     some = np.flatnonzero(score[i] >= (old[1][-1] if len(old[1]) == k else -2))
                     if len(some):
@@ -201,7 +215,7 @@ def _true(sample, k):
         n = [len(h[0]) for h in held]
         if sum(n):
             ids, score, v = (np.concatenate(c) for c in zip(*held))
-            yield pa.RecordBatch.from_pydict({"q": pa.array(np.repeat(np.arange(len(q)), n).astype(np.int32)), "vec_id": pa.array(ids), "score": pa.array(score), "v": pa.array([r.tobytes() for r in v], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"q": pa.array(np.repeat(np.arange(len(q)), n).astype(np.int32)), "rid": pa.array(ids), "score": pa.array(score), "v": pa.array([r.tobytes() for r in v], pa.binary())})
 
     return run
 
@@ -229,14 +243,14 @@ def plan(index: DataFrame, queries: DataFrame, size, k: int, n_tables: int, prob
     """(hashes, probes) that find RECALL of the true neighbours of a sample of queries and cost least;
     ``probes`` at least. hashes: the only number to look at."""
     n, d = size["n"], size["d"] or 1
-    sampled = queries.orderBy(F.xxhash64("vec_id"), F.xxhash64("v")).limit(SAMPLE).collect()
+    sampled = queries.orderBy(F.xxhash64("v"), "v").limit(SAMPLE).collect()
     found = None
     if sampled:
-        q_ids, q = np.array([r["vec_id"] for r in sampled], np.int64), np.array([r["v"] for r in sampled], float)
-        shared = index.sparkSession.sparkContext.broadcast((q_ids, q))
-        best = lambda pdf: pdf.iloc[_closest(pdf["score"].to_numpy(), pdf["vec_id"].to_numpy(), k)]
-        schema = "q int, vec_id long, score double, v binary"
-        found = index.mapInArrow(_true(shared, k), schema).groupBy("q").applyInPandas(best, schema).select("q", "v").collect()
+        q = np.array([r["v"] for r in sampled], float)
+        shared = index.sparkSession.sparkContext.broadcast(q)
+        best = lambda pdf: pdf.iloc[_closest(pdf["score"].to_numpy(), pdf["rid"].to_numpy(), k)]
+        schema = "q int, rid long, score double, v binary"
+        found = index.select("rid", "v").mapInArrow(_true(shared, k), schema).groupBy("q").applyInPandas(best, schema).select("q", "v").collect()
     options = []
     for h in [hashes] if hashes else range(1, n_hashes(n, d) + 1):
         most, p = sides(d) ** h, probes
@@ -248,46 +262,83 @@ def plan(index: DataFrame, queries: DataFrame, size, k: int, n_tables: int, prob
     return min(options)[1:]
 
 
+def _distinct(df: DataFrame, k: int) -> DataFrame:
+    """(rid, v, ids): each vector once, with its k+1 smallest ids. Spark cuts groups to that many before
+    it shuffles them."""
+    top = df.withColumn("place", F.dense_rank().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("place") <= k + 1)
+    return top.groupBy("v").agg(F.sort_array(F.collect_set("vec_id")).alias("ids")).withColumn("rid", F.monotonically_increasing_id())
+
+
 def search(index: DataFrame, queries: DataFrame, k: int = NEAREST, n_tables: int = TABLES, probes: int = PROBES, hashes: int | None = None) -> DataFrame:
     """index and queries: (vec_id, v). The k nearest found of each query: query_id, rank, vec_id, score."""
+    dtype = np.dtype("f4" if "float" in index.schema["v"].dataType.simpleString() else "f8")
+    index = tables.stored(_distinct(index, k), "vectors")
+    asked = tables.stored(queries.select("v").distinct().withColumn("qid", F.monotonically_increasing_id()), "queries")
     size = index.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d")).first()
-    hashes, probes = plan(index, queries, size, k, n_tables, probes, hashes)
-    counts = index.select("v").mapInArrow(_placed(n_tables, hashes, 1, False), "tab int, bucket long").groupBy("tab", "bucket").count()
-    counts = tables.stored(counts.select("tab", "bucket", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "buckets")
-    schema = "tab int, bucket long, vec_id long, v binary"
-    left = index.mapInArrow(_placed(n_tables, hashes, 1, True), schema).join(counts, ["tab", "bucket"])
-    left = left.select("tab", "bucket", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), "vec_id", "v")
-    right = queries.mapInArrow(_placed(n_tables, hashes, probes, True), schema).join(counts, ["tab", "bucket"])
-    right = right.select("tab", "bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "vec_id", "v")
-    keys = ["tab", "bucket", "block"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_compared(k), "query_id long, vec_id long, score double")
-    found = tables.stored(_ranked(found, k), "found")
-    full = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
-    short = tables.stored(queries.join(full, "vec_id", "left_anti"), "short")
-    if short.isEmpty():
-        return found
-    every = _against_all(index, short, k, -(-size["n"] // BLOCK))
-    return _ranked(found.select("query_id", "vec_id", "score").unionByName(every), k)
-
-
-def _ranked(found: DataFrame, k: int) -> DataFrame:
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-def _bytes(batches):
+    hashes, probes = plan(index, asked, size, k, n_tables, probes, hashes)
+    blocks = lambda df, name: df.groupBy("tab", "bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
+    left = index.select("v").mapInArrow(_placed(n_tables, hashes, 1), "tab int, bucket long")
+    right = asked.select("v").mapInArrow(_placed(n_tables, hashes, probes), "tab int, bucket long")
+    counts = tables.stored(blocks(left, "blocks").join(blocks(right, "asked"), ["tab", "bucket"]), "buckets")
+    left = index.select("v", "ids").mapInArrow(_placed(n_tables, hashes, 1, ("ids", "v")), "tab int, bucket long, ids array<long>, v binary")
+    right = asked.mapInArrow(_placed(n_tables, hashes, probes, ("qid", "v")), "tab int, bucket long, qid long, v binary")
+    keys = ["tab", "bucket", "block", "part"]
+    mine = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = left.join(counts, ["tab", "bucket"]).select("tab", "bucket", mine("v", "blocks").alias("block"), every("asked").alias("part"), "ids", "v")
+    right = right.join(counts, ["tab", "bucket"]).select("tab", "bucket", mine("qid", "asked").alias("part"), every("blocks").alias("block"), "qid", "v")
+    found = left.groupBy(*keys).cogroup(right.select(*keys, "qid", "v").groupBy(*keys)).applyInPandas(_compared(k + 1, dtype), FOUND)
+    found = tables.stored(_best(found, k + 1), "found")
+    full = found.where(F.col("place") == k + 1).select("qid")
+    short = tables.stored(asked.join(full, "qid", "left_anti"), "short")
+    if not short.isEmpty():
+        more = against_all(index, short, k + 1, dtype)
+        found = _best(found.select("qid", "vec_id", "score").unionByName(more), k + 1)
+    members = queries.join(asked, "v").select(F.col("vec_id").alias("query_id"), "qid").distinct()
+    out = members.join(found, "qid").where("query_id <> vec_id")
+    order = Window.partitionBy("query_id", "qid").orderBy("place")
+    return out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+FOUND = "qid long, vec_id long, score double"
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    found = found.groupBy("qid", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("qid").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+
+
+def _as_bytes(batches):
     for batch in batches:
         if batch.num_rows:
-            yield pa.RecordBatch.from_pydict({"vec_id": batch.column("vec_id"), "v": pa.array([r.tobytes() for r in _matrix(batch.column("v"))], pa.binary())})
-
-
-def _against_all(index: DataFrame, queries: DataFrame, k: int, blocks: int) -> DataFrame:
-    """The k nearest of each block of the index, for each query."""
-    left, right = (df.select("vec_id", "v").mapInArrow(_bytes, "vec_id long, v binary") for df in (index, queries))
-    left = left.select(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block"), "vec_id", "v")
-    right = right.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), "vec_id", "v")
-    return left.groupBy("block").cogroup(right.groupBy("block")).applyInPandas(_compared(k), "query_id long, vec_id long, score double")
+            yield batch.set_column(batch.schema.get_field_index("v"), "v", _raw(batch.column("v")))
+
+
+def against_all(index: DataFrame, queries: DataFrame, k: int, dtype) -> DataFrame:
+    """The k nearest of each block of the index (v, ids), for each query (qid, v)."""
+    blocks, parts = (-(-df.count() // BLOCK) or 1 for df in (index, queries))
+    left = index.select("ids", "v").mapInArrow(_as_bytes, "ids array<long>, v binary")
+    right = queries.select("qid", "v").mapInArrow(_as_bytes, "qid long, v binary")
+    own = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).alias
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias
+    left = left.select(own("v", blocks)("block"), every(parts)("part"), "ids", "v")
+    right = right.select(every(blocks)("block"), own("qid", parts)("part"), "qid", "v")
+    return left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(_compared(k, dtype), FOUND)
+
+
+def recall(found: DataFrame, index: DataFrame, queries: DataFrame, k: int = NEAREST) -> float:
+    """Share of the true k nearest that a result of ``search`` has, by comparing all with all: a
+    neighbour counts as found with a score of at least the k-th true one."""
+    dtype = np.dtype("f4" if "float" in index.schema["v"].dataType.simpleString() else "f8")
+    asked = tables.stored(queries.select("v", "vec_id").distinct().withColumn("qid", F.monotonically_increasing_id()), "queries")
+    true = _best(against_all(_distinct(index, k), asked, k + 1, dtype), k + 1)
+    true = asked.select("qid", F.col("vec_id").alias("query_id")).join(true, "qid").where("query_id <> vec_id")
+    true = true.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy("place"))).where(F.col("rank") <= k)
+    least = true.groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n"))
+    got = found.join(least, "query_id").groupBy("query_id", "n").agg(F.count_if(F.col("score") >= F.col("least") - 1e-12).alias("hit"))
+    x = least.select("query_id", "n").join(got.select("query_id", "hit"), "query_id", "left").agg(F.sum(F.least("hit", "n")), F.sum("n")).first()
+    return (x[0] or 0) / x[1] if x[1] else 1.0
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

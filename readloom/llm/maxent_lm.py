@@ -1,22 +1,27 @@
 """A hashed maximum-entropy language model with class-factored softmax.
 
-Words are looked up by 64-bit hashes. The ``TOP`` most frequent training tokens form ``CLASSES``
-classes by rank; all other tokens share one more class, in which a token with training count c has
-probability (c+1)/(N_rest+V_rest+1), an unseen one included. A token's probability is that of its
+Words are looked up by 64-bit hashes. Every token has a class: the ``TOP`` most frequent training tokens
+form ``HEAD`` classes by rank, all others ``TAIL`` classes by hash. A token's probability is that of its
 class given the two tokens before it, times that of the token within its class. Both are softmaxes
-over weights of features: bias, previous token, the token before it (skip), and for the class also
-both together, hashed to ``PAIRS`` rows.
-
-Training: counts of all (two tokens before, token) of all training texts are gathered by a shuffle;
-their number is bounded by the model's size. Each round, tasks compute expected feature counts
-under the broadcast weights and the driver, from their sums, makes a scaled gradient step. Weights
-start at the unigram model.
+over weights of features: bias, previous token, the token before it (skip), and for the class also both
+together. Features of all tokens count: frequent ones have rows of their own among ``ROWS``, others
+share rows by hash, and pairs share ``PAIRS`` rows. Within a head class the softmax has a place for each
+token (rows for ``WORD_ROWS`` tokens before it); within a tail class a token with training count c has
+probability (c+1)/(N+V+1) of the class's N tokens and V distinct ones, an unseen one included.
+
+Training: tasks write every training text's (two tokens before, token) with its counts, dealt by
+document over ``ROUNDS`` slices, so this table grows with the corpus. Each round takes the next slice:
+tasks sum observed and, under the broadcast weights, expected feature counts; the sums are merged by
+groups and levels, and the driver makes a scaled gradient step with them. Each text is used once.
+Weights start at the unigram model; their number is fixed by the parameters above.
 
 Scoring looks up frequent tokens (at least one ``FREQUENT``-th of all, so at most ``FREQUENT`` of
 them) in a broadcast table and sends the others to their counts by a shuffle.
 
 Defined cases: a null or empty text is its end token alone; a null doc_id counts as training; with
-no training text every token has probability 1/(N+V+1) = 1.
+no training text every token has probability 1/(N+V+1) = 1 in ``base_score``; repeated rows are learned
+from and scored each; a very long text is scored whole, in one pass over its tokens; an empty table
+gives no rows; columns besides doc_id, text and held_out are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,15 +34,19 @@ from pyspark.sql import functions as F
 from . import mindoc, tables
 from .words import Words, chunks, mix, utf8
 
-CLASSES, SIZE = 16, 32
-TOP = CLASSES * SIZE
-OTHER, START = TOP, TOP + 1
-IDS = TOP + 2
-PAIRS = 2048
-CLASS_ROWS, WORD_ROWS = 1 + 2 * IDS + PAIRS, 1 + 2 * IDS
+HEAD, SIZE, TAIL = 16, 32, 48
+TOP, CLASSES = HEAD * SIZE, HEAD + TAIL
+#: Rows of context features for classes, and within classes; half of them for the most frequent tokens.
+ROWS, PAIRS, WORD_ROWS = 2048, 2048, 512
+START = ROWS - 1
+#: What follows a context: a class and a place in it (SIZE in tail classes).
+TARGETS = CLASSES * (SIZE + 1)
+CLASS_FEATURES, WORD_FEATURES = 1 + 2 * ROWS + PAIRS, 1 + 2 * WORD_ROWS
 ROUNDS, RATE, SMOOTH = 6, 0.4, 2.0
 FREQUENT = 1_000_000
-GROUPS = 12
+#: Training tokens to a task of a round, and least tasks; contexts whose softmax is made at once.
+TASK_TOKENS, TASKS, AT_ONCE = 20_000_000, 6, 20_000
+SHARDS = 8
 HELD = 1_200_000
 END = np.uint64(0x51ED270B7A3C9F55)
 
@@ -103,11 +112,18 @@ def _counting(n_buckets):
     return run
 
 
+def tail_class(h: np.ndarray) -> np.ndarray:
+    return HEAD + ((h >> np.uint64(9)) % np.uint64(TAIL)).astype(np.int64)
+
+
 def _counted(pdf):
+    """A bucket's tokens and counts, and the sums of counts and of tokens by tail class."""
     import pandas as pd
 
     k, c = _summed(np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["tokens"]]), np.concatenate([mindoc.unsqueeze(x, np.int64) for x in pdf["counts"]]))
-    return pd.DataFrame({"bucket": [int(pdf["bucket"].iloc[0])], "tokens": [k.tobytes()], "counts": [mindoc.squeeze(c)], "n": [int(c.sum())], "v": [len(k)]})
+    t = tail_class(k) - HEAD
+    n, v = (np.bincount(t, x, TAIL).astype(np.int64).tolist() for x in (c, np.ones(len(k))))
+    return pd.DataFrame({"bucket": [int(pdf["bucket"].iloc[0])], "tokens": [k.tobytes()], "counts": [mindoc.squeeze(c)], "n": [n], "v": [v]})
 
 
 def _frequent(least):
@@ -122,53 +138,69 @@ def _frequent(least):
 
 
 class Vocabulary:
-    """Frequent tokens in order of their hashes, with counts and ids (OTHER beyond the top)."""
+    """Frequent tokens in order of their hashes, with counts and ranks; n, v: training tokens and
+    distinct ones by tail class, of those beyond the top."""
 
     def __init__(self, tokens, counts, n, v):
         order = np.argsort(tokens)
-        self.tokens, self.counts, self.n, self.v = tokens[order], counts[order], n, v
-        self.ids = np.full(len(tokens), OTHER, np.int64)
-        best = np.lexsort((self.tokens, -self.counts))[:TOP]
-        self.ids[best] = np.arange(len(best))
-        self.top = self.counts[best]
+        self.tokens, self.counts = tokens[order], counts[order]
+        rank = np.empty(len(tokens), np.int64)
+        by = np.lexsort((self.tokens, -self.counts))
+        rank[by] = np.arange(len(by))
+        self.rank = rank
+        self.top = self.counts[by[:TOP]]
+        head = tail_class(self.tokens[by[:TOP]]) - HEAD
+        self.n = n - np.bincount(head, self.top, TAIL).astype(np.int64)
+        self.v = v - np.bincount(head, minlength=TAIL)
 
     def find(self, h):
-        """(place, whether it is there) of each token."""
-        at = np.minimum(np.searchsorted(self.tokens, h), max(len(self.tokens) - 1, 0))
-        return at, (self.tokens[at] == h if len(self.tokens) else np.zeros(len(h), bool))
-
-
-def _before(ids, at):
-    """Ids of the first and of the second token before each, START at a text's begin."""
-    one = np.concatenate([[START], ids[:-1]])
+        """(count, rank) of tokens; 0 and the number of frequent tokens for those that aren't frequent."""
+        if not len(self.tokens):
+            return np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
+        at = np.minimum(np.searchsorted(self.tokens, h), len(self.tokens) - 1)
+        known = self.tokens[at] == h
+        return np.where(known, self.counts[at], 0), np.where(known, self.rank[at], len(self.tokens))
+
+    def described(self, h):
+        """(row, target, count) of tokens: the context row that each has, and its target."""
+        u, inverse = np.unique(h, return_inverse=True)
+        count, rank = self.find(u)
+        half = ROWS // 2
+        row = np.where((count > 0) & (rank < half), rank, half + (mix(u) % np.uint64(half - 1)).astype(np.int64))
+        head = (count > 0) & (rank < TOP)
+        target = np.where(head, rank // SIZE * (SIZE + 1) + rank % SIZE, tail_class(u) * (SIZE + 1) + SIZE)
+        return row[inverse], target[inverse], count[inverse]
+
+
+def _before(rows, at):
+    """Rows of the second and of the first token before each, START at a text's begin."""
+    one = np.concatenate([[START], rows[:-1]])
     one[at[:-1]] = START
     two = np.concatenate([[START], one[:-1]])
     two[at[:-1]] = START
     return two, one
 
 
-def _ids(vocabulary, h):
-    u, inverse = np.unique(h, return_inverse=True)
-    place, known = vocabulary.find(u)
-    ids = np.where(known, vocabulary.ids[place] if len(vocabulary.ids) else OTHER, OTHER)
-    return u, inverse, place, known, ids[inverse]
-
-
 def _contexts(shared):
-    """mapInArrow over training texts: packed counts of (two tokens before, token)."""
+    """mapInArrow over training texts: packed counts of (two tokens before, target), for each slice."""
 
     def send(held):
-        code, c = np.unique(np.concatenate(held), return_counts=True)
-        rows = list(_by_bucket((code // (TOP + 1)) % GROUPS, code.astype(np.uint32), c))
-        return pa.RecordBatch.from_pydict({"grp": pa.array([r[0] for r in rows], pa.int32()), "codes": [mindoc.pack_at(r[1].astype(np.int64)) for r in rows], "counts": [mindoc.squeeze(r[2]) for r in rows]})
+        part, code = (np.concatenate(x) for x in zip(*held))
+        rows = []
+        for k, mine in _by_bucket(part, code):
+            u, c = np.unique(mine, return_counts=True)
+            rows.append((k, mindoc.squeeze(np.diff(u, prepend=0)), mindoc.squeeze(c)))
+        k, codes, counts = zip(*rows)
+        return pa.RecordBatch.from_pydict({"slice": pa.array(k, pa.int32()), "codes": pa.array(codes, pa.binary()), "counts": pa.array(counts, pa.binary())})
 
     def run(batches):
         held, n = [], 0
         for batch in batches:
-            for _, _, (h, _, at) in _chunks(batch):
-                ids = _ids(shared.value, h)[-1]
-                two, one = _before(ids, at)
-                held.append((two * IDS + one) * (TOP + 1) + ids)
+            keys = batch.column("key").to_numpy(zero_copy_only=False) % ROUNDS
+            for a, _, (h, doc, at) in _chunks(batch):
+                row, target, _ = shared.value.described(h)
+                two, one = _before(row, at)
+                held.append((keys[a + doc], (two * ROWS + one) * TARGETS + target))
                 n += len(h)
                 if n >= HELD:
                     yield send(held)
@@ -179,125 +211,156 @@ def _contexts(shared):
     return run
 
 
-def _gathered(pdf):
-    import pandas as pd
-
-    k, c = _summed(np.concatenate([mindoc.unpack_at(x) for x in pdf["codes"]]), np.concatenate([mindoc.unsqueeze(x, np.int64) for x in pdf["counts"]]))
-    return pd.DataFrame({"grp": [int(pdf["grp"].iloc[0])], "codes": [mindoc.pack_at(k)], "counts": [mindoc.squeeze(c)]})
-
-
-def _pair_row(two, one):
-    return 1 + 2 * IDS + (mix((two * IDS + one).astype(np.uint64)) % np.uint64(PAIRS)).astype(np.int64)
+def _word_row(row):
+    half = WORD_ROWS // 2
+    return np.where(row == START, WORD_ROWS - 1, np.where(row < half, row, half + row % (half - 1)))
 
 
 class Model:
-    """Weights: classes (CLASS_ROWS, CLASSES+1) and words (WORD_ROWS, CLASSES, SIZE)."""
+    """Weights: classes (CLASS_FEATURES, CLASSES) and words (WORD_FEATURES, HEAD, SIZE)."""
 
-    def __init__(self, top, n):
-        k = len(top)
-        self.classes = np.zeros((CLASS_ROWS, CLASSES + 1), np.float32)
-        self.words = np.zeros((WORD_ROWS, CLASSES, SIZE), np.float32)
+    def __init__(self, vocabulary: Vocabulary):
+        self.classes = np.zeros((CLASS_FEATURES, CLASSES), np.float32)
+        self.words = np.zeros((WORD_FEATURES, HEAD, SIZE), np.float32)
         by = np.zeros(TOP)
-        by[:k] = top
-        by = by.reshape(CLASSES, SIZE)
-        mass = np.append(by.sum(1), max(n - by.sum(), 0) + 1.0)
+        by[: len(vocabulary.top)] = vocabulary.top
+        by = by.reshape(HEAD, SIZE)
+        mass = np.concatenate([by.sum(1), vocabulary.n + 1.0])
         with np.errstate(divide="ignore"):
             self.classes[0] = np.maximum(np.log(mass / mass.sum()), -1e9)
             self.words[0] = np.maximum(np.log(by / np.maximum(by.sum(1, keepdims=True), 1)), -1e9)
 
-    def class_log(self, two, one):
-        z = self.classes[0] + self.classes[1 + one] + self.classes[1 + IDS + two] + self.classes[_pair_row(two, one)]
-        return z - _lse(z)
+    @staticmethod
+    def class_rows(two, one):
+        pair = (mix((two * ROWS + one).astype(np.uint64)) % np.uint64(PAIRS)).astype(np.int64)
+        return np.zeros(len(one), np.int64), 1 + one, 1 + ROWS + two, 1 + 2 * ROWS + pair
 
-    def word_log(self, two, one, cls):
-        z = self.words[0, cls] + self.words[1 + one, cls] + self.words[1 + IDS + two, cls]
-        return z - _lse(z)
+    @staticmethod
+    def word_rows(two, one):
+        return np.zeros(len(one), np.int64), 1 + _word_row(one), 1 + WORD_ROWS + _word_row(two)
 
+    def class_log(self, two, one):
+        return _normal(sum(self.classes[r] for r in self.class_rows(two, one)))
 
-def _lse(z):
-    m = z.max(1, keepdims=True)
-    return m + np.log(np.exp(z - m).sum(1, keepdims=True))
+    def word_log(self, two, one, cls):
+        return _normal(sum(self.words[r, cls] for r in self.word_rows(two, one)))
 
 
-def _feature_counts(two, one, cls, p_class, pair_two, pair_one, pair_cls, p_word):
-    """Sums of class rows (n, CLASSES+1) and of word rows (m, SIZE) over each feature they have."""
-    classes = np.zeros((CLASS_ROWS, CLASSES + 1))
-    zero = np.zeros(len(two), np.int64)
-    for rows in (zero, 1 + one, 1 + IDS + two, _pair_row(two, one)):
-        for c in range(CLASSES + 1):
-            classes[:, c] += np.bincount(rows, p_class[:, c], CLASS_ROWS)
-    words = np.zeros((WORD_ROWS * CLASSES, SIZE))
-    zero = np.zeros(len(pair_two), np.int64)
-    for rows in (zero, 1 + pair_one, 1 + IDS + pair_two):
-        flat = rows * CLASSES + pair_cls
-        for s in range(SIZE):
-            words[:, s] += np.bincount(flat, p_word[:, s], WORD_ROWS * CLASSES)
-    return classes, words
+def _normal(z):
+    z -= z.max(1, keepdims=True)
+    return z - np.log(np.exp(z).sum(1, keepdims=True))
 
 
-def _unpacked(codes, counts):
-    code, c = mindoc.unpack_at(codes), mindoc.unsqueeze(counts, np.int64).astype(float)
-    ctx, target = code // (TOP + 1), code % (TOP + 1)
-    return ctx, target, c
+def _add_rows(total, rows, values):
+    """total[rows] += values, row by row."""
+    order = np.argsort(rows, kind="stable")
+    r = rows[order]
+    begin = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
+    total[r[begin]] += np.add.reduceat(values[order], begin, axis=0)
 
 
-def _expected(shared, observed):
-    """mapInArrow over gathered contexts: expected (or observed) feature counts of a task."""
+def _gradients(shared):
+    """mapInArrow over a slice's contexts: a task's observed and expected feature counts, in shards."""
 
     def run(batches):
-        classes, words, log_p, any_row = 0.0, 0.0, 0.0, False
+        model, some = shared.value, False
+        sums = [[np.zeros(model.classes.shape), np.zeros((WORD_FEATURES * HEAD, SIZE))] for _ in range(2)]
         for batch in batches:
             for codes, counts in zip(batch.column("codes").to_pylist(), batch.column("counts").to_pylist()):
-                any_row = True
-                ctx, target, c = _unpacked(codes, counts)
-                cls = np.minimum(target // SIZE, CLASSES)
-                u, inverse = np.unique(ctx, return_inverse=True)
-                two, one = u // IDS, u % IDS
-                inside = cls < CLASSES
-                pair, where = np.unique(ctx[inside] * CLASSES + cls[inside], return_inverse=True)
-                ptwo, pone, pcls = pair // CLASSES // IDS, pair // CLASSES % IDS, pair % CLASSES
-                if observed:
-                    pc = np.zeros((len(u), CLASSES + 1))
-                    np.add.at(pc, (inverse, cls), c)
-                    pw = np.zeros((len(pair), SIZE))
-                    np.add.at(pw, (where, target[inside] % SIZE), c[inside])
-                else:
-                    model = shared.value
-                    pc = np.exp(model.class_log(two, one)) * np.bincount(inverse, c, len(u))[:, None]
-                    pw = np.exp(model.word_log(ptwo, pone, pcls)) * np.bincount(where, c[inside], len(pair))[:, None]
-                x, y = _feature_counts(two, one, cls, pc, ptwo, pone, pcls, pw)
-                classes, words = classes + x, words + y
-        if any_row:
-            yield pa.RecordBatch.from_pydict({"part": pa.array([0, 1], pa.int32()), "sums": [classes.astype(np.float32).tobytes(), words.astype(np.float32).tobytes()]})
+                code, c = np.cumsum(mindoc.unsqueeze(codes, np.int64)), mindoc.unsqueeze(counts, np.int64).astype(float)
+                ctx, target = np.divmod(code, TARGETS)
+                begin = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]]))
+                some = True
+                for i in range(0, len(begin), AT_ONCE):
+                    a, b = begin[i], begin[i + AT_ONCE] if i + AT_ONCE < len(begin) else len(ctx)
+                    _add(model, sums, ctx[a:b], target[a:b], c[a:b])
+        if some:
+            # Both tables side by side, cut into shards of whole rows.
+            for k, (classes, words) in enumerate(sums):
+                flat = np.concatenate([classes.ravel(), words.ravel()]).astype(np.float32)
+                parts = np.array_split(flat, SHARDS)
+                yield pa.RecordBatch.from_pydict({"shard": pa.array(np.arange(SHARDS) + k * SHARDS, pa.int32()), "sums": pa.array([mindoc.squeeze(p) for p in parts], pa.binary())})
 
     return run
 
 
-def _sums(contexts, f):
-    """Feature counts of all tasks; at most GROUPS rows of the model's size come to the driver."""
-    classes, words = np.zeros((CLASS_ROWS, CLASSES + 1)), np.zeros((WORD_ROWS, CLASSES, SIZE))
-    for r in contexts.mapInArrow(f, "part int, sums binary").toLocalIterator():
-        x = np.frombuffer(r["sums"], np.float32)
-        if r["part"] == 0:
-            classes += x.reshape(classes.shape)
-        else:
-            words += x.reshape(words.shape)
-    return classes, words
+def _add(model, sums, ctx, target, c):
+    begin = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]]))
+    where = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(ctx))))
+    two, one = np.divmod(ctx[begin], ROWS)
+    cls, slot = np.divmod(target, SIZE + 1)
+    seen = np.bincount(where * CLASSES + cls, c, len(begin) * CLASSES).reshape(-1, CLASSES)
+    guess = np.exp(model.class_log(two, one)) * seen.sum(1, keepdims=True)
+    for rows in model.class_rows(two, one):
+        _add_rows(sums[0][0], rows, seen)
+        _add_rows(sums[1][0], rows, guess)
+    inside = np.flatnonzero(cls < HEAD)
+    if not len(inside):
+        return
+    pair, at = np.unique(where[inside] * HEAD + cls[inside], return_inverse=True)
+    p, pcls = np.divmod(pair, HEAD)
+    seen = np.bincount(at * SIZE + slot[inside], c[inside], len(pair) * SIZE).reshape(-1, SIZE)
+    guess = np.exp(model.word_log(two[p], one[p], pcls)) * seen.sum(1, keepdims=True)
+    for rows in model.word_rows(two[p], one[p]):
+        _add_rows(sums[0][1], rows * HEAD + pcls, seen)
+        _add_rows(sums[1][1], rows * HEAD + pcls, guess)
+
+
+def _merged(pdf):
+    import pandas as pd
 
+    total = 0.0
+    for x in pdf["sums"]:
+        total = total + mindoc.unsqueeze(x, np.float32).astype(np.float64)
+    return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "sums": [mindoc.squeeze(total.astype(np.float32))]})
 
-def train(contexts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Model:
+
+def train(contexts: DataFrame, vocabulary: Vocabulary, n: int, rounds: int = ROUNDS) -> Model:
+    """contexts: slice, codes, counts; n: training tokens. The driver gets two tables of the model's size
+    each round."""
     sc = contexts.sparkSession.sparkContext
-    model = Model(vocabulary.top, vocabulary.n)
-    wanted = _sums(contexts, _expected(None, True))
-    for _ in range(rounds):
+    model = Model(vocabulary)
+    schema = "shard int, sums binary"
+    for k in range(rounds):
         shared = sc.broadcast(model)
-        got = _sums(contexts, _expected(shared, False))
+        part = contexts.where(F.col("slice") == k % ROUNDS).select("codes", "counts").coalesce(max(TASKS, n // TASK_TOKENS))
+        got = tables.folded(part.mapInArrow(_gradients(shared), schema), ["shard"], _merged, schema).collect()
         shared.unpersist()
-        for weights, w, g in zip((model.classes, model.words), wanted, got):
-            weights += (RATE * np.clip((w - g) / (g + SMOOTH), -2, 2)).astype(np.float32)
+        if not got:
+            continue
+        flat = [mindoc.unsqueeze(r["sums"], np.float32) for r in sorted(got, key=lambda r: r["shard"])]
+        seen, guess = np.concatenate(flat[:SHARDS]), np.concatenate(flat[SHARDS:])
+        step = (RATE * np.log((seen + SMOOTH) / (guess + SMOOTH))).astype(np.float32)
+        model.classes += step[: model.classes.size].reshape(model.classes.shape)
+        model.words += step[model.classes.size :].reshape(model.words.shape)
     return model
 
 
+def token_logs(vocabulary, model, two, one, target, logs):
+    """log10 probabilities of tokens (less log10(c+1) of those whose count isn't known here): two, one,
+    target of each, and log10(count + 1)."""
+    cls, slot = np.divmod(target, SIZE + 1)
+    p = np.empty(len(target))
+    ctx, where = np.unique(two * ROWS + one, return_inverse=True)
+    order = np.argsort(where, kind="stable")
+    cut = np.searchsorted(where[order], np.arange(0, len(ctx) + AT_ONCE, AT_ONCE))
+    for i, (a, b) in enumerate(zip(cut[:-1], cut[1:])):
+        mine, part = order[a:b], ctx[i * AT_ONCE : (i + 1) * AT_ONCE]
+        p[mine] = model.class_log(part // ROWS, part % ROWS)[where[mine] - i * AT_ONCE, cls[mine]]
+    inside = np.flatnonzero(cls < HEAD)
+    pair, where = np.unique((two[inside] * ROWS + one[inside]) * HEAD + cls[inside], return_inverse=True)
+    order = np.argsort(where, kind="stable")
+    cut = np.searchsorted(where[order], np.arange(0, len(pair) + AT_ONCE, AT_ONCE))
+    for i, (a, b) in enumerate(zip(cut[:-1], cut[1:])):
+        mine, part = order[a:b], pair[i * AT_ONCE : (i + 1) * AT_ONCE]
+        got = model.word_log(part // HEAD // ROWS, part // HEAD % ROWS, part % HEAD)
+        p[inside[mine]] += got[where[mine] - i * AT_ONCE, slot[inside[mine]]]
+    p /= np.log(10)
+    tail = cls >= HEAD
+    p[tail] += logs[tail] - np.log10(vocabulary.n + vocabulary.v + 1.0)[cls[tail] - HEAD]
+    return p
+
+
 def _scores(vocabulary, model, n_buckets):
     """mapInArrow: per text what frequent tokens give (kind 0), and packed other tokens (kind 1)."""
     names = ["kind", "bucket", "doc_id", "key", "n_tokens", "n_known", "logs", "score", "tokens", "owners", "at"]
@@ -317,36 +380,21 @@ def _scores(vocabulary, model, n_buckets):
 
     def run(batches):
         voc, mod = vocabulary.value, model.value
-        rest = np.log10(max(voc.n - voc.top.sum(), 0) + max(voc.v - len(voc.top), 0) + 1)
         held, n = [], 0
         for batch in batches:
             doc_ids = batch.column("doc_id").fill_null(-(2**63)).to_numpy(zero_copy_only=False)
             keys = batch.column("key").to_numpy(zero_copy_only=False)
             out = {x: [] for x in ("n_tokens", "n_known", "logs", "score")}
             for a, b, (h, doc, at) in _chunks(batch):
-                u, inverse, place, known, ids = _ids(voc, h)
-                count = np.where(known, voc.counts[place] if len(voc.counts) else 0, 0)
-                logs, known = np.log10(count + 1.0)[inverse], known[inverse]
-                two, one = _before(ids, at)
-                cls = np.minimum(ids // SIZE, CLASSES)
-                ctx, where = np.unique(two * IDS + one, return_inverse=True)
-                p = mod.class_log(ctx // IDS, ctx % IDS)[where, cls] / np.log(10)
-                inside = np.flatnonzero(cls < CLASSES)
-                pair, where = np.unique((two[inside] * IDS + one[inside]) * CLASSES + cls[inside], return_inverse=True)
-                for i in range(0, len(inside) and len(pair), 100_000):
-                    part = pair[i : i + 100_000]
-                    got = mod.word_log(part // CLASSES // IDS, part // CLASSES % IDS, part % CLASSES)
-                    mine = np.flatnonzero((where >= i) & (where < i + 100_000))
-                    p[inside[mine]] += got[where[mine] - i, ids[inside[mine]] % SIZE] / np.log(10)
-                other = cls == CLASSES
-                p = p.astype(float)
-                p[other] += logs[other] - rest
+                row, target, count = voc.described(h)
+                logs = np.log10(count + 1.0)
+                p = token_logs(voc, mod, *_before(row, at), target, logs)
                 add = lambda x: np.bincount(doc, x, len(at) - 1)
                 out["n_tokens"].append(np.diff(at))
-                out["n_known"].append(add(known.astype(float)).astype(np.int64))
+                out["n_known"].append(add((count > 0).astype(float)).astype(np.int64))
                 out["logs"].append(add(logs))
                 out["score"].append(add(p))
-                open_ = ~known
+                open_ = count == 0
                 if open_.any():
                     held.append((h[open_], doc_ids[a + doc[open_]], keys[a + doc[open_]]))
                     n += int(open_.sum())
@@ -399,27 +447,30 @@ def _totalled(pdf):
     return pd.DataFrame({n: got[n] for n, _ in SUMS}).groupby(["doc_id", "key"], as_index=False).sum()
 
 
+def fit(docs: DataFrame) -> tuple[Vocabulary, Model, DataFrame, int, int, int]:
+    """(vocabulary, model, token counts by bucket, training tokens, distinct ones, buckets) of the rows of
+    docs (doc_id, text, held_out) that aren't held out."""
+    sc = docs.sparkSession.sparkContext
+    n_buckets = max(tables.parts(docs.sparkSession), tables.n_bytes(docs) >> 24)
+    training = docs.where("not held_out").select("text", F.pmod(tables.row_key(), F.lit(1 << 40)).alias("key"))
+    counts = training.select("text").mapInArrow(_counting(n_buckets), "bucket int, tokens binary, counts binary")
+    counts = tables.stored(counts.groupBy("bucket").applyInPandas(_counted, "bucket int, tokens binary, counts binary, n array<long>, v array<long>"), "token-counts")
+    sums = counts.agg(*(F.sum(F.get(c, F.lit(i))).alias(f"{c}{i}") for c in "nv" for i in range(TAIL))).first()
+    n, v = (np.array([sums[f"{c}{i}"] or 0 for i in range(TAIL)], np.int64) for c in "nv")
+    got = counts.select("tokens", "counts").mapInArrow(_frequent(max(2, -(-int(n.sum()) // FREQUENT))), "tokens binary, counts binary").collect()
+    tokens, often = (np.concatenate([np.frombuffer(r[c], t) for r in got] or [np.zeros(0, t)]) for c, t in (("tokens", np.uint64), ("counts", np.int64)))
+    vocabulary = Vocabulary(tokens, often, n, v)
+    contexts = training.mapInArrow(_contexts(sc.broadcast(vocabulary)), "slice int, codes binary, counts binary")
+    contexts = tables.stored(contexts, "contexts", ["slice"])
+    return vocabulary, train(contexts, vocabulary, int(n.sum())), counts, int(n.sum()), int(v.sum()), n_buckets
+
+
 def score(docs: DataFrame) -> DataFrame:
     """docs: doc_id, text, held_out. Returns per row doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score and score (log10)."""
-    spark = docs.sparkSession
-    sc = spark.sparkContext
-    n_buckets = max(tables.parts(spark), tables.n_bytes(docs) >> 24)
-    training = docs.where("not held_out").select("text")
-    counts = training.mapInArrow(_counting(n_buckets), "bucket int, tokens binary, counts binary").groupBy("bucket").applyInPandas(_counted, "bucket int, tokens binary, counts binary, n long, v long")
-    counts = tables.stored(counts, "token-counts")
-    n, v = (int(x or 0) for x in counts.agg(F.sum("n"), F.sum("v")).first())
-    got = counts.select("tokens", "counts").mapInArrow(_frequent(max(2, -(-n // FREQUENT))), "tokens binary, counts binary").collect()
-    tokens = np.concatenate([np.frombuffer(r["tokens"], np.uint64) for r in got]) if got else np.zeros(0, np.uint64)
-    vocabulary = Vocabulary(tokens, np.concatenate([np.frombuffer(r["counts"], np.int64) for r in got]) if got else np.zeros(0, np.int64), n, v)
-    shared = sc.broadcast(vocabulary)
-    packs = "grp int, codes binary, counts binary"
-    salts = 1 + n // 200_000_000
-    contexts = training.mapInArrow(_contexts(shared), packs)
-    if salts > 1:
-        contexts = contexts.groupBy("grp", F.pmod(F.xxhash64("codes"), F.lit(salts)).alias("salt")).applyInPandas(_gathered, packs)
-    contexts = tables.stored(contexts.groupBy("grp").applyInPandas(_gathered, packs), "contexts")
-    model = sc.broadcast(train(contexts, vocabulary))
+    sc = docs.sparkSession.sparkContext
+    vocabulary, model, counts, n, v, n_buckets = fit(docs)
+    shared, model = sc.broadcast(vocabulary), sc.broadcast(model)
     keyed = docs.select("doc_id", "text", tables.row_key().alias("key"))
     schema = "kind int, bucket int, doc_id long, key long, n_tokens long, n_known long, logs double, score double, tokens binary, owners binary, at binary"
     made = tables.stored(keyed.mapInArrow(_scores(shared, model, n_buckets), schema), "scored")

@@ -17,8 +17,10 @@ those left are confirmed until a document has one link to a component, with each
 its component's task, and a component of many texts to several.
 
 Defined cases: a null, empty or blank text has an empty set and links with nothing; a row with a
-null doc_id is kept and links with nothing; rows that share a doc_id are one document, which links
-if any of them does.
+null doc_id is kept and links with nothing; rows that share a doc_id are meant to be one document: of
+different texts under one doc_id some may stay without their links; a very long text is one set;
+repeated rows have one class; an empty table gives no rows; columns besides doc_id and text are kept by
+``apply``, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ REGION = 64
 #: Rows of a region compared at once with as many others.
 BLOCK = 2048
 BUCKET_ROWS = 20_000
+#: Rows of trees that a task sorts, and bytes of a component's texts that are compared in one group.
+SORTED_ROWS, GROUP_BYTES = 2_000_000, 8 << 20
 #: Of 128 values, those that must agree: a pair of similarity 0.75 has fewer with a chance of 1e-7.
 AGREE = 70
 _A = np.random.default_rng(41).integers(1, 2**63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -233,7 +237,7 @@ def groups(docs: DataFrame) -> DataFrame:
     linkable = signed.where("n > 0 and doc_id is not null")
     reps = linkable.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc_id", "key")).alias("r"), F.count("*").alias("members"), F.first("sig").alias("sig"))
     reps = tables.stored(reps.select(F.col("r.doc_id").alias("rep"), F.col("r.key").alias("key"), "h1", "h2", "n", "members", "sig"), "classes")
-    ordered = reps.select("rep", "sig").mapInArrow(_rows_of_trees, "high long, low long, rep long").repartitionByRange(n_parts, "high", "low", "rep").sortWithinPartitions("high", "low", "rep")
+    ordered = reps.select("rep", "sig").mapInArrow(_rows_of_trees, "high long, low long, rep long").repartitionByRange(max(n_parts, reps.count() * TREES // SORTED_ROWS), "high", "low", "rep").sortWithinPartitions("high", "low", "rep")
     regions = tables.stored(ordered.mapInArrow(_regions, "region long, rep long"), "regions")
 
     pivots = tables.stored(regions.groupBy("region").agg(F.min("rep").alias("a"), F.max("rep").alias("top")).where("top > a").select("region", "a"), "pivots")
@@ -265,7 +269,7 @@ def groups(docs: DataFrame) -> DataFrame:
 
     # One link between a probe and a component is enough: they are one component then.
     label = texts.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "text", F.coalesce("component", "rep").alias("comp"))
-    subs = label.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("subs")).join(packs.select("comp").distinct(), "comp", "left_semi")
+    subs = label.groupBy("comp").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.octet_length("text")) / GROUP_BYTES)).cast("int").alias("subs")).join(packs.select("comp").distinct(), "comp", "left_semi")
     subs = tables.stored(subs, "subs")
     members = label.join(subs, "comp").select(F.lit(0).alias("side"), "rep", "comp", F.pmod(F.xxhash64("rep"), F.col("subs")).cast("int").alias("sub"), F.lit(None).cast("array<binary>").alias("targets"), "text")
     probes = packs.join(subs, "comp").select(F.col("probe").alias("rep"), "comp", "targets", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)).alias("sub"))

@@ -3,12 +3,13 @@
 A sequence is a document's words and one end token, cut into pieces of ``MAX_LENGTH``. The global
 histogram of piece lengths (at most ``MAX_LENGTH`` counts, so bounded) goes to the driver, where
 dynamic programming chooses the ``BUCKETS`` boundaries with the least padding in all. A batch is the
-next ``BUDGET // boundary`` pieces of a bucket, in an order that shards of the doc_id's hash give:
+next ``BUDGET // boundary`` pieces of a bucket, in an order that shards of the rows' hashes give:
 pieces are numbered inside a shard, and shards by running sums of their counts, so no bucket is
 sorted in one task.
 
 Defined cases: a null or empty text is its end token alone; a null doc_id is packed like any other;
-an empty table has no batches; repeated rows are packed each.
+an empty table has no batches; repeated rows are packed each; a very long text is many pieces; columns
+besides doc_id and text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -55,16 +56,16 @@ def boundaries(lengths: list[int], counts: list[int], buckets: int = BUCKETS) ->
 
 
 def lengths(docs: DataFrame, words: Column | None = None) -> DataFrame:
-    """(doc_id, n): words of the text and one end token."""
+    """(doc_id, n, row): words of the text and one end token, and the text's hash."""
     words = F.coalesce(F.regexp_count("text", F.lit(tables.WORD)), F.lit(0)) if words is None else words
-    return docs.select("doc_id", (words + 1).cast("long").alias("n"))
+    return docs.select("doc_id", (words + 1).cast("long").alias("n"), F.xxhash64("text").alias("row"))
 
 
 def pieces(sizes: DataFrame, max_length: int = MAX_LENGTH) -> DataFrame:
-    """(doc_id, piece, start, length)."""
-    cut = sizes.select("doc_id", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {max_length}"))).alias("piece"))
+    """(doc_id, row, piece, start, length)."""
+    cut = sizes.select("doc_id", "row", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {max_length}"))).alias("piece"))
     start = F.col("piece") * max_length
-    return cut.select("doc_id", "piece", start.alias("start"), F.least(F.lit(max_length), F.col("n") - start).alias("length"))
+    return cut.select("doc_id", "row", "piece", start.alias("start"), F.least(F.lit(max_length), F.col("n") - start).alias("length"))
 
 
 def pack(docs: DataFrame, max_length: int = MAX_LENGTH, buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
@@ -77,11 +78,11 @@ def pack(docs: DataFrame, max_length: int = MAX_LENGTH, buckets: int = BUCKETS,
     for u in reversed(uppers[:-1]):
         bucket = F.when(F.col("length") <= u, F.lit(u)).otherwise(bucket)
     shards = max(tables.parts(docs.sparkSession), sum(r["count"] for r in histogram) // SHARD_ROWS)
-    cut = cut.select("*", bucket.cast("long").alias("bucket"), F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).alias("shard"))
+    cut = cut.select("*", bucket.cast("long").alias("bucket"), F.pmod(F.xxhash64("doc_id", "piece", "row"), F.lit(shards)).alias("shard"))
     counts = cut.groupBy("bucket", "shard").count()
     before = Window.partitionBy("bucket").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("bucket", "shard", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("bucket", "shard").orderBy("doc_id", "piece", "length")
+    inside = Window.partitionBy("bucket", "shard").orderBy("doc_id", "row", "piece", "length")
     numbered = cut.select("*", F.row_number().over(inside).alias("rn")).join(offsets, ["bucket", "shard"])
     batch = F.expr(f"(before + rn - 1) div greatest(1, {budget} div bucket)")
     return numbered.select("doc_id", "piece", "start", "length", "bucket", batch.alias("batch"), (F.col("bucket") - F.col("length")).alias("padding"))

@@ -14,8 +14,10 @@ doc_id hashes) whose crc32(doc_id) mod 5 is neither 0 (held out) nor 1; rows of
 them set the temperature. Everything else covers all rows.
 
 Defined cases: a null, empty or blank text has the zero vector and so a score of its own; a null
-doc_id is scored and never learned from; a doc_id with several labels takes the largest; without
-labels of both kinds every score is the share of label 1, or 0.5 where there are none.
+doc_id is scored and never learned from; a doc_id with several labels takes the largest, one with
+several texts is learned from by the least, and each of its rows is scored; a very long text is pooled
+whole; without labels of both kinds every score is the share of label 1, or 0.5 where there are none;
+an empty table has no rows; other columns are never inputs and are kept by ``apply``.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ WORDS, SHAPES = 8192, 1024
 SAMPLE, HIDDEN, EPOCHS, THRESHOLD = 20_000, 32, 30, 0.3
 SHARDS = 8
 INPUTS = 3 * DIM + 5
+#: A name that no table's own column has.
+SCORE = "__readloom_score"
 _KIND = np.full(256, ord("a"), np.uint8)
 _KIND[:128] = np.arange(128)
 _KIND[65:91], _KIND[97:123], _KIND[48:58] = ord("A"), ord("a"), ord("0")
@@ -80,16 +84,16 @@ def _contexts(batches):
                         for r in rows:
                             total += np.bincount((r[me][:, None] * DIM + places[other]).ravel(), signs[other].ravel(), len(total))
     if some:
-        part = total.reshape(SHARDS, -1).astype(np.float32)
+        part = total.reshape(SHARDS, -1).astype(np.int64)
         yield pa.RecordBatch.from_pydict({"shard": pa.array(range(SHARDS), pa.int32()), "sums": [p.tobytes() for p in part]})
 
 
 def _added(pdf):
     import pandas as pd
 
-    total = np.zeros((WORDS + SHAPES) * DIM // SHARDS, np.float32)
+    total = np.zeros((WORDS + SHAPES) * DIM // SHARDS, np.int64)
     for x in pdf["sums"]:
-        total += np.frombuffer(x, np.float32)
+        total += np.frombuffer(x, np.int64)
     return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "sums": [total.tobytes()]})
 
 
@@ -97,11 +101,11 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     """(WORDS + SHAPES, DIM) unit vectors, from all documents."""
     schema = "shard int, sums binary"
     made = tables.folded(docs.select("text").mapInArrow(_contexts, schema), ["shard"], _added, schema)
-    out = np.zeros((SHARDS, (WORDS + SHAPES) * DIM // SHARDS), np.float32)
-    for r in made.toLocalIterator():
-        out[r["shard"]] = np.frombuffer(r["sums"], np.float32)
+    out = np.zeros((SHARDS, (WORDS + SHAPES) * DIM // SHARDS))
+    for r in made.collect():
+        out[r["shard"]] = np.frombuffer(r["sums"], np.int64)
     out = out.reshape(-1, DIM)
-    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+    return (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
 def pooled(texts: list[bytes], vectors: np.ndarray) -> np.ndarray:
@@ -186,7 +190,9 @@ def train(docs: DataFrame, labels: DataFrame, vectors) -> Network:
     """vectors: a broadcast of word_vectors. At most SAMPLE rows and their vectors are collected."""
     known = labels.where("doc_id is not null and quality is not null").where(fold() != 0).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "quality", fold().alias("fold"))
+    # Of rows that share a doc_id one text is learned from: SAMPLE rows at most.
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    rows = rows.select("text", "quality", fold().alias("fold"))
 
     def run(batches):
         for batch in batches:
@@ -203,28 +209,25 @@ def train(docs: DataFrame, labels: DataFrame, vectors) -> Network:
     return net
 
 
-def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs with ``score`` at the end (a column of that name is replaced)."""
+def scored(docs: DataFrame, labels: DataFrame, name: str = "score") -> DataFrame:
+    """docs with the score in a last column of that name (one that docs has is replaced)."""
     sc = docs.sparkSession.sparkContext
     vectors = sc.broadcast(word_vectors(docs))
     net = sc.broadcast(train(docs, labels, vectors))
-    docs = docs.drop("score")
-    schema = docs.withColumn("score", F.lit(0.0)).schema
+    docs = docs.drop(name)
+    schema = docs.withColumn(name, F.lit(0.0)).schema
 
     def run(batches):
         for batch in batches:
             p = net.value.probability(pooled(utf8(batch.column("text")), vectors.value).astype(float))
-            yield batch.append_column("score", pa.array(p, pa.float64()))
+            yield batch.append_column(name, pa.array(p, pa.float64()))
 
     return docs.mapInArrow(run, schema)
 
 
 def apply(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs without those that score under the threshold; same columns."""
-    if "score" not in docs.columns:
-        return scored(docs, labels).where(F.col("score") >= threshold).drop("score")
-    kept = docs.withColumnRenamed("score", "_score")
-    return scored(kept, labels).where(F.col("score") >= threshold).drop("score").withColumnRenamed("_score", "score").select(docs.columns)
+    """docs without those that score under the threshold; same columns, whatever their names."""
+    return scored(docs, labels, SCORE).where(F.col(SCORE) >= threshold).select(docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,11 +15,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 def scratch(spark: SparkSession) -> str:
     """The shared folder that the cluster names in spark.checkpoint.dir.
 
-    Where it is unset (a single machine, as in tests) a temporary folder is set.
+    Where it is unset on a single machine, as in tests, a temporary folder is set; elsewhere that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if not current.isDefined() and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = current.get() if current.isDefined() else f"file://{tempfile.mkdtemp(prefix='spark-')}"
         if not current.isDefined():
             spark.sparkContext.setCheckpointDir(path)
