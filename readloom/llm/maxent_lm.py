@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from . import mindoc, tables
 from .words import Words, chunks, mix, utf8
 
-HEAD, SIZE, TAIL = 16, 32, 48
+HEAD, SIZE, TAIL = 16, 32, 24
 TOP, CLASSES = HEAD * SIZE, HEAD + TAIL
 #: Rows of context features for classes, and within classes; half of them for the most frequent tokens.
 ROWS, PAIRS, WORD_ROWS = 2048, 2048, 512
@@ -45,7 +45,7 @@ CLASS_FEATURES, WORD_FEATURES = 1 + 2 * ROWS + PAIRS, 1 + 2 * WORD_ROWS
 ROUNDS, RATE, SMOOTH = 6, 0.4, 2.0
 FREQUENT = 1_000_000
 #: Training tokens to a task of a round, and least tasks; contexts whose softmax is made at once.
-TASK_TOKENS, TASKS, AT_ONCE = 20_000_000, 6, 20_000
+TASK_TOKENS, TASKS, AT_ONCE = 20_000_000, 6, 4096
 SHARDS = 8
 HELD = 1_200_000
 END = np.uint64(0x51ED270B7A3C9F55)
@@ -239,24 +239,51 @@ class Model:
     def word_rows(two, one):
         return np.zeros(len(one), np.int64), 1 + _word_row(one), 1 + WORD_ROWS + _word_row(two)
 
-    def class_log(self, two, one):
-        return _normal(sum(self.classes[r] for r in self.class_rows(two, one)))
+    def class_scores(self, two, one):
+        """(contexts, CLASSES) exponents, not normalised."""
+        _, *rows = self.class_rows(two, one)
+        return _summed_rows(self.classes, rows)
 
-    def word_log(self, two, one, cls):
-        return _normal(sum(self.words[r, cls] for r in self.word_rows(two, one)))
+    def word_scores(self, two, one, cls):
+        """(contexts, SIZE) exponents of the places of a class."""
+        flat = self.words.reshape(-1, SIZE)
+        return _summed_rows(flat, [r * HEAD + cls for r in self.word_rows(two, one)], 0.0)
 
 
-def _normal(z):
+def _summed_rows(table, rows, start=None):
+    z = table[rows[0]]
+    for r in rows[1:]:
+        z += table[r]
+    if start is None:
+        z += table[0]
+    return z
+
+
+def _log_normal(z):
+    """Logarithm of the sum of the exponentials of each row; z is used up."""
+    m = z.max(1)
+    z -= m[:, None]
+    return m + np.log(np.exp(z, out=z).sum(1))
+
+
+def _shares(z, total):
+    """Softmax of each row times its total, in z."""
     z -= z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
+    np.exp(z, out=z)
+    z *= (total / z.sum(1))[:, None]
+    return z
 
 
 def _add_rows(total, rows, values):
     """total[rows] += values, row by row."""
-    order = np.argsort(rows, kind="stable")
-    r = rows[order]
-    begin = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-    total[r[begin]] += np.add.reduceat(values[order], begin, axis=0)
+    if not rows.any():
+        total[0] += values.sum(0)
+        return
+    if (rows[1:] < rows[:-1]).any():
+        order = np.argsort(rows, kind="stable")
+        rows, values = rows[order], values[order]
+    begin = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+    total[rows[begin]] += np.add.reduceat(values, begin, axis=0)
 
 
 def _gradients(shared):
@@ -285,24 +312,23 @@ def _gradients(shared):
 
 
 def _add(model, sums, ctx, target, c):
+    """Adds some contexts' observed counts to sums[0] and the expected ones to sums[1]."""
     begin = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]]))
     where = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(ctx))))
     two, one = np.divmod(ctx[begin], ROWS)
     cls, slot = np.divmod(target, SIZE + 1)
-    seen = np.bincount(where * CLASSES + cls, c, len(begin) * CLASSES).reshape(-1, CLASSES)
-    guess = np.exp(model.class_log(two, one)) * seen.sum(1, keepdims=True)
+    guess = _shares(model.class_scores(two, one), np.bincount(where, c).astype(np.float32))
     for rows in model.class_rows(two, one):
-        _add_rows(sums[0][0], rows, seen)
+        np.add.at(sums[0][0].ravel(), rows[where] * CLASSES + cls, c)
         _add_rows(sums[1][0], rows, guess)
     inside = np.flatnonzero(cls < HEAD)
     if not len(inside):
         return
     pair, at = np.unique(where[inside] * HEAD + cls[inside], return_inverse=True)
     p, pcls = np.divmod(pair, HEAD)
-    seen = np.bincount(at * SIZE + slot[inside], c[inside], len(pair) * SIZE).reshape(-1, SIZE)
-    guess = np.exp(model.word_log(two[p], one[p], pcls)) * seen.sum(1, keepdims=True)
+    guess = _shares(model.word_scores(two[p], one[p], pcls), np.bincount(at, c[inside]).astype(np.float32))
     for rows in model.word_rows(two[p], one[p]):
-        _add_rows(sums[0][1], rows * HEAD + pcls, seen)
+        np.add.at(sums[0][1].ravel(), (rows[at] * HEAD + pcls[at]) * SIZE + slot[inside], c[inside])
         _add_rows(sums[1][1], rows * HEAD + pcls, guess)
 
 
@@ -336,25 +362,32 @@ def train(contexts: DataFrame, vocabulary: Vocabulary, n: int, rounds: int = ROU
     return model
 
 
+def _portions(values, where):
+    """(tokens, values, places among these) of AT_ONCE distinct values after the other."""
+    order = np.argsort(where, kind="stable")
+    cut = np.searchsorted(where[order], np.arange(0, len(values) + AT_ONCE, AT_ONCE))
+    for i, (a, b) in enumerate(zip(cut[:-1], cut[1:])):
+        if b > a:
+            yield order[a:b], values[i * AT_ONCE : (i + 1) * AT_ONCE], where[order[a:b]] - i * AT_ONCE
+
+
 def token_logs(vocabulary, model, two, one, target, logs):
     """log10 probabilities of tokens (less log10(c+1) of those whose count isn't known here): two, one,
     target of each, and log10(count + 1)."""
     cls, slot = np.divmod(target, SIZE + 1)
     p = np.empty(len(target))
     ctx, where = np.unique(two * ROWS + one, return_inverse=True)
-    order = np.argsort(where, kind="stable")
-    cut = np.searchsorted(where[order], np.arange(0, len(ctx) + AT_ONCE, AT_ONCE))
-    for i, (a, b) in enumerate(zip(cut[:-1], cut[1:])):
-        mine, part = order[a:b], ctx[i * AT_ONCE : (i + 1) * AT_ONCE]
-        p[mine] = model.class_log(part // ROWS, part % ROWS)[where[mine] - i * AT_ONCE, cls[mine]]
+    for mine, part, at in _portions(ctx, where):
+        z = model.class_scores(part // ROWS, part % ROWS)
+        p[mine] = z[at, cls[mine]]
+        p[mine] -= _log_normal(z)[at]
     inside = np.flatnonzero(cls < HEAD)
     pair, where = np.unique((two[inside] * ROWS + one[inside]) * HEAD + cls[inside], return_inverse=True)
-    order = np.argsort(where, kind="stable")
-    cut = np.searchsorted(where[order], np.arange(0, len(pair) + AT_ONCE, AT_ONCE))
-    for i, (a, b) in enumerate(zip(cut[:-1], cut[1:])):
-        mine, part = order[a:b], pair[i * AT_ONCE : (i + 1) * AT_ONCE]
-        got = model.word_log(part // HEAD // ROWS, part // HEAD % ROWS, part % HEAD)
-        p[inside[mine]] += got[where[mine] - i * AT_ONCE, slot[inside[mine]]]
+    for mine, part, at in _portions(pair, where):
+        mine = inside[mine]
+        z = model.word_scores(part // HEAD // ROWS, part // HEAD % ROWS, part % HEAD)
+        p[mine] += z[at, slot[mine]]
+        p[mine] -= _log_normal(z)[at]
     p /= np.log(10)
     tail = cls >= HEAD
     p[tail] += logs[tail] - np.log10(vocabulary.n + vocabulary.v + 1.0)[cls[tail] - HEAD]
