@@ -84,7 +84,7 @@ def _rows_of_trees(batches):
 
 
 def _regions(batches):
-    """Sorted rows of one partition to (region, rep), for regions of two documents or more.
+    """Sorted rows of one partition to (region, tree, rep), for regions of two documents or more.
 
     The first and last region of a partition may go on in its neighbours; their rows get a region
     at every depth that they may need.
@@ -107,7 +107,7 @@ def _regions(batches):
         small = (size <= REGION) | (d == DEPTH)
         out = live & small & ((size > 1) | edge)
         if out.any():
-            yield pa.RecordBatch.from_arrays([pa.array(ids[d][out].view(np.int64)), pa.array(rep[out])], ["region", "rep"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[d][out].view(np.int64)), pa.array((high[out] >> 56).astype(np.int32)), pa.array(rep[out])], ["region", "tree", "rep"])
         live &= ~small | edge
 
 
@@ -120,23 +120,29 @@ def _alike(batches):
 
 def _across(pdf):
     """A bucket's blocks of regions to the pairs of different components whose signatures are near:
-    (probe, comp, targets), the probe's targets in the component of the smaller label."""
+    (probe, comp, targets), the probe's targets in the component of the smaller label. Texts that agree in
+    all values of a tree share a region there, so the first such tree has the pair and later ones pass it
+    over."""
     import pandas as pd
 
     pdf = pdf.sort_values(["region", "i", "j", "side"], kind="stable")
     sig = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(-1, TREES * DEPTH)
-    rep, comp, n, side = (pdf[c].to_numpy() for c in ("rep", "comp", "n", "side"))
+    rep, comp, n, side, tree = (pdf[c].to_numpy() for c in ("rep", "comp", "n", "side", "tree"))
     where = pdf[["region", "i", "j"]].to_numpy()
     cut = np.flatnonzero((where[1:] != where[:-1]).any(1)) + 1
     found, waiting, size = [], [], 0
 
     def near():
         pair = np.unique(np.concatenate(waiting), axis=0)
+        pair = pair[np.argsort(tree[pair[:, 0]], kind="stable")]
         _, first = np.unique(rep[pair], axis=0, return_index=True)
         pair = pair[first]
         for k in range(0, len(pair), 50_000):
             x = pair[k : k + 50_000]
-            found.append(x[(sig[x[:, 0]] == sig[x[:, 1]]).sum(1) >= AGREE])
+            same = sig[x[:, 0]] == sig[x[:, 1]]
+            whole = same.reshape(-1, TREES, DEPTH).all(2)
+            before = np.where(whole.any(1), whole.argmax(1), TREES) < tree[x[:, 0]]
+            found.append(x[(same.sum(1) >= AGREE) & ~before])
 
     for a, b in zip(np.concatenate([[0], cut]), np.append(cut, len(rep))):
         mid = a + int(np.searchsorted(side[a:b], 1))
@@ -238,7 +244,7 @@ def groups(docs: DataFrame) -> DataFrame:
     reps = linkable.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc_id", "key")).alias("r"), F.count("*").alias("members"), F.first("sig").alias("sig"))
     reps = tables.stored(reps.select(F.col("r.doc_id").alias("rep"), F.col("r.key").alias("key"), "h1", "h2", "n", "members", "sig"), "classes")
     ordered = reps.select("rep", "sig").mapInArrow(_rows_of_trees, "high long, low long, rep long").repartitionByRange(max(n_parts, reps.count() * TREES // SORTED_ROWS), "high", "low", "rep").sortWithinPartitions("high", "low", "rep")
-    regions = tables.stored(ordered.mapInArrow(_regions, "region long, rep long"), "regions")
+    regions = tables.stored(ordered.mapInArrow(_regions, "region long, tree int, rep long"), "regions")
 
     pivots = tables.stored(regions.groupBy("region").agg(F.min("rep").alias("a"), F.max("rep").alias("top")).where("top > a").select("region", "a"), "pivots")
     shared = regions.join(pivots, "region").where("rep > a").select("a", F.col("rep").alias("b"))
@@ -252,14 +258,14 @@ def groups(docs: DataFrame) -> DataFrame:
     links = tables.stored(_confirm(alike, texts), "links")
     comps = tables.stored(components(links), "components")
 
-    labelled = regions.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("region", "rep", F.coalesce("component", "rep").alias("comp"))
+    labelled = regions.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("region", "tree", "rep", F.coalesce("component", "rep").alias("comp"))
     mixed = labelled.groupBy("region").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo < hi").select("region", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     mixed = tables.stored(mixed, "mixed")
     rows = tables.stored(labelled.join(mixed, "region"), "mixed_rows")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.select("region", "rep", "comp", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("mine"), other.alias("other"))
+    rows = rows.select("region", "tree", "rep", "comp", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("mine"), other.alias("other"))
     # Block k stands left in the pairs (k, k) and (k, larger), right in (smaller, k).
-    rows = rows.select("region", "rep", "comp", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("side"))
+    rows = rows.select("region", "tree", "rep", "comp", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("side"))
     n_rows = rows.count()
     n_buckets = max(n_parts, n_rows // BUCKET_ROWS)
     rows = rows.join(reps.select("rep", "n", "sig").dropDuplicates(["rep"]), "rep").withColumn("bucket", F.pmod(F.xxhash64("region", "i", "j"), F.lit(n_buckets)))
