@@ -15,6 +15,9 @@ _MODULES = {
     "op9_bm25_decontaminate": "decontaminate",
     "op10_random_indexing_quality": "quality",
     "op8_length_buckets": "packing",
+    "op11_merkle_manifest": "merkle",
+    "op12_source_divergence": "divergence",
+    "op13_secret_worklist": "secrets",
 }
 
 
