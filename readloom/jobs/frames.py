@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import annotate, calling, coverage, genome, reads, rollup
+from ..sources.scratch import shared
 from . import domain
 
 
@@ -19,15 +16,6 @@ STORED = {"genome", "sites", "indels", "regions", "transcripts", "genes", "known
 _frames: dict = {}
 
 
-def shared(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder that the cluster names; a temporary one where it names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    base = base or "file://" + tempfile.mkdtemp(prefix="spark-")
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
-
-
 def forget() -> None:
     """Later jobs make their tables anew, as they must after a folder's tables were written again."""
     _frames.clear()

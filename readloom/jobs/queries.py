@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..functions.constants import ALIASES, CANONICAL, CONTIGS
 from ..operators import annotate, calling, coverage, genome, intervals, reads, rollup
-from ..sources import text
+from ..sources import named, ordered, text
 from . import frames as made
 from .checks import CALLABLE, HQ, codon, sql
 
@@ -121,10 +121,16 @@ q("AG25", lambda f: rollup.mutation_map(f.effects, f.predictions).select("sample
 q("W1", lambda f: coverage.cumulative(f.cube), "SELECT sample, scope, depth, cum FROM cum", "cum")
 q("W2", lambda f: coverage.targets(f.regions).select("chr", "start", "stop"), "SELECT chr, CAST(min(p) AS INT) AS start, CAST(max(p) + 1 AS INT) AS stop FROM (SELECT chr, p, p - row_number() OVER (PARTITION BY chr ORDER BY p) AS island FROM (SELECT DISTINCT chr, unnest(range(start, stop)) AS p FROM regions) x) y GROUP BY chr, island", "regions")
 q("W3", lambda f: coverage.base80(f.cube, f.target), "SELECT sample, base80 FROM b80", "b80")
-q("W4", lambda f: text.gene_map(f.known.withColumn("gene", F.when(F.col("line") % 7 == 0, "").otherwise(F.concat(F.lit("g"), F.col("line") % 50))), "chr", "gene", "line"), "SELECT chr AS tx_id, 'g' || arg_max(line, line) % 50 AS gene_id FROM known WHERE line % 7 <> 0 GROUP BY chr", "known")
+# First and last rows by the line numbers of files that were written in a known order.
+q("W4", lambda f: _twice_called(f), "SELECT sample, var_id, qual + CASE WHEN sta % 3 = 0 THEN 1000 ELSE 0 END AS qual FROM va", "va")
+q("W4_known", lambda f: _first_known(f), "SELECT sample, var_id, 'rs' || line AS name FROM hi", "hi")
+q("W4_genes", lambda f: text.gene_map(text.read_numbered(f.spark, _gene_lines(f), "ensGtp").rows["row"], "id", "gene", "ordinal"),
+  "SELECT 't' || tx_id AS tx_id, gene_id || '_' || CASE WHEN tx_id % 4 = 3 THEN 1 ELSE tx_id % 4 END AS gene_id FROM genes WHERE gene_id IS NOT NULL", "genes")
+q("W4_predictions", lambda f: _first_predictions(f), "SELECT var_id, 'uc' || tx_id || '.1' AS tx_id, CASE WHEN sum(ascii(allele)) % 3 = 0 THEN 'second' ELSE 'first' END AS prediction FROM (SELECT DISTINCT var_id, tx_id, allele FROM ef WHERE ref_aa <> alt_aa) x GROUP BY var_id, tx_id", "ef")
 q("W5", lambda f: f.effects.select("sample", "var_id", "tx_id", "allele", "exon_no", "rel_start"), "SELECT sample, var_id, tx_id, allele, exon_no, rel_start FROM ef", "ef")
 q("W6", lambda f: calling.parsed(f.sites).select("sample", "chr", "pos", X.count_text(F.col("alleles"), True).alias("ranked")), "SELECT sample, chr, pos, string_agg(base || ':' || n, ',' ORDER BY n DESC, base) AS ranked FROM al GROUP BY ALL", "al")
-q("O1", lambda f: intervals.in_genomic_order(f.sites).select("sample", "chr", "pos", X.contig_rank(F.col("chr")).alias("rank")), f"SELECT sample, chr, pos, {_RANK} AS rank FROM sites", "sites")
+q("O1", lambda f: ordered.with_ordinals(f.spark, _ordered_sites(f)).select("sample", "chr", "pos", "rank", "ordinal"), f"SELECT sample, chr, pos, {_RANK} AS rank, row_number() OVER (ORDER BY {_RANK}, pos) AS ordinal FROM sites", "sites")
+q("O1_range", lambda f: ordered.read_range(f.spark, _ordered_sites(f), {"rank": 4, "pos": 500}, {"rank": 13, "pos": 2000}).select("sample", "chr", "pos"), f"SELECT sample, chr, pos FROM (SELECT *, {_RANK} AS rank FROM sites) x WHERE (rank > 4 OR rank = 4 AND pos >= 500) AND (rank < 13 OR rank = 13 AND pos <= 2000)", "sites")
 q("O2", lambda f: reads.passed(f.classified).select("sample", "out", "reads"), "SELECT sample, out, count(*) AS reads FROM ro GROUP BY ALL UNION ALL SELECT sample, 'total', count(*) FROM ro GROUP BY sample", "ro")
 q("O3", lambda f: coverage.histogram_report(f.cube, f.target, f.sizes).groupBy("sample").agg(F.max("depth").alias("last"), F.count("*").alias("rows")), "SELECT sample, CAST(least(max(depth), 500) AS INT) AS last, CAST(least(max(depth), 500) + 1 AS BIGINT) AS rows FROM sites GROUP BY sample", "sites")
 q("U1", lambda f: reads.pooled(*(f.classified.where(F.col("run") == r) for r in "ab")).groupBy("sample").agg(F.count_distinct("run").alias("runs"), F.count("*").alias("reads")), "SELECT sample, count(DISTINCT run) AS runs, count(*) AS reads FROM cl GROUP BY sample", "cl")
@@ -162,9 +168,60 @@ def _lines(f, df, name, *partition_by):
     return path
 
 
-def _vbed_read(f):
-    path = _lines(f, calling.vbed_text(f.vbed).select("value"), "vbed")
-    return text.read_vbed(f.spark, path)
+def _in_order(f, df, name, *keys):
+    """Lines (value) in files that follow each other in the keys' order."""
+    path = made.shared(f.spark, name)
+    ordered.write_lines(df, path, list(keys))
+    return path
+
+
+def _named(f, df, name):
+    """Lines (file, value) under the files' names, read back."""
+    path = made.shared(f.spark, name)
+    named.write_named(df, path)
+    return named.read_named(f.spark, path)
+
+
+def _ordered_sites(f):
+    path = made.shared(f.spark, "ordered-sites")
+    ordered.write_ordered(f.sites.withColumn("rank", X.contig_rank(F.col("chr"))), path, ["rank", "pos"])
+    return path
+
+
+def _twice_called(f):
+    """Variants read from a file in which some stand twice, the better one first: the first row stays."""
+    v = f.vbed.select("*", F.explode(F.when(F.col("sta") % 3 == 0, F.array(F.lit(1000), F.lit(0))).otherwise(F.array(F.lit(0)))).alias("more"))
+    v = v.select("sample", "chr", "sta", "descr", (-F.col("more")).alias("turn"), F.concat_ws("\t", "chr", "sta", "stop", "descr", F.col("qual") + F.col("more"), "strand").alias("value"))
+    got = [text.read_vbed(f.spark, _in_order(f, v.where(F.col("sample") == s), "vbed", "turn", "chr", "sta", "descr")).rows["call"].withColumn("sample", F.lit(s)) for s in ("s0", "s1")]
+    return annotate.parse_vbed(got[0].unionByName(got[1]).withColumnRenamed("ordinal", "idx")).select("sample", "var_id", "qual")
+
+
+_known_cells = lambda: [F.lit("1"), "chr", "sta", "stop", F.concat(F.lit("rs"), "line"), F.lit("0"), "strand", F.lit("-"), F.lit("-"), "obs", F.lit("genomic"), "class", F.lit("u"), F.lit("0"), F.lit("0"), F.lit("u"), F.lit("e"), F.lit("1")]
+
+
+def _first_known(f):
+    """The first row of the file for each variant that it has."""
+    path = _in_order(f, f.known.select("line", F.concat_ws("\t", *_known_cells()).alias("value")), "snp131", "line")
+    rows = text.read_numbered(f.spark, path, "knownVariants").rows["row"].drop("line").withColumnRenamed("ordinal", "line")
+    return annotate.known_hits(f.parsed_variants, rows).join(rows.select("line", "name"), "line").select("sample", "var_id", "name")
+
+
+def _gene_lines(f):
+    """Up to four lines for a transcript; the last of four has no gene, and the third none where there are four."""
+    x = f.genes.select("tx_id", "gene_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tx_id") % 4)).alias("turn"))
+    gene = F.when((F.col("tx_id") % 4 == 3) & (F.col("turn") >= 2), F.lit("")).otherwise(F.coalesce(F.concat("gene_id", F.lit("_"), "turn"), F.lit("")))
+    return _in_order(f, x.select("turn", "tx_id", F.concat_ws("\t", gene, F.concat(F.lit("t"), "tx_id"), F.lit("p")).alias("value")), "ensGtp", "turn", "tx_id")
+
+
+def _first_predictions(f):
+    """One row for each id of a predictor's file in which each id stands twice."""
+    e = f.effects.where("ref_aa <> alt_aa").select("var_id", "tx_id", "allele").distinct().groupBy("var_id", "tx_id").agg(F.sum(F.ascii("allele")).alias("n"))
+    x = e.select("var_id", "tx_id", "n", F.explode(F.array(F.lit(1), F.lit(2))).alias("turn"))
+    note = F.when((F.col("n") % 3 == 0) == (F.col("turn") == 1), "second").otherwise("first")
+    x = x.select("turn", "var_id", "tx_id", F.concat_ws("\t", F.concat("var_id", F.lit(";candidateGenes;novel")), F.concat(F.lit("chr1:"), "n", F.lit(".AC.uc"), "tx_id", F.lit(".1")), note).alias("value"))
+    head = f.spark.range(1).select(F.lit(0).alias("turn"), F.lit("").alias("var_id"), F.lit(0).cast("long").alias("tx_id"), F.lit("#Comments\to_snp_id\tprediction").alias("value"))
+    rows = text.read_predictions(f.spark, _in_order(f, head.unionByName(x), "predictions", "turn", "var_id", "tx_id"))
+    return rollup.first_predictions(rows.withColumn("snp_id", F.concat_ws("/", "var_id", "o_snp_id"))).select("var_id", "tx_id", "prediction")
 
 
 def _tsv(f, df, name):
@@ -174,17 +231,71 @@ def _tsv(f, df, name):
 
 
 _SITE_TEXT = ["chr", "pos", "ref", "cons", "con_q", "var_q", "map_q", "depth", "bases"]
+#: What the files of sites, regions and calls have instead of some of their rows, by a number of the row.
+_SPOILT = {"width": 7, "letter": 11, "header": 13}
+
+
+def _spoilt(df, n, width, letter):
+    """df with ``value`` spoilt: a cell less, a letter for a number, a track line before the row."""
+    m = F.pmod(n, F.lit(41))
+    x = df.withColumn("value", F.when(m == _SPOILT["width"], width).when(m == _SPOILT["letter"], letter).when(m == _SPOILT["header"], F.concat(F.lit("track name=x\n"), "value")).otherwise(F.col("value")))
+    return x
+
+
+def _pileup_text(f):
+    site = lambda con_q: F.concat_ws("\t", "chr", "pos", "ref", "cons", con_q, "var_q", "map_q", "depth", "bases", F.lit("I"))
+    sites = f.sites.withColumn("value", site("con_q"))
+    sites = _spoilt(sites, F.col("pos"), F.concat_ws("\t", "chr", "pos", "ref"), site(F.concat(F.lit("q"), "con_q"))).select("value")
+    indel = lambda n1: F.concat_ws("\t", "chr", "pos", F.lit("*"), "genotype", "con_q", "var_q", "map_q", "depth", "allele1", "allele2", n1, "n2", "n_other", F.lit("0"), F.lit("0"))
+    indels = f.indels.withColumn("value", indel("n1"))
+    indels = _spoilt(indels, F.col("pos"), F.concat_ws("\t", "chr", "pos", F.lit("*"), "genotype"), indel(F.lit("many"))).select("value")
+    return _lines(f, sites.unionByName(indels), "pileup")
+
+
+def _bed_text(f):
+    bed = lambda start: F.concat_ws("\t", "chr", start, "stop", F.lit("name"))
+    return _lines(f, _spoilt(f.regions.withColumn("value", bed("start")), F.col("start"), F.concat_ws("\t", "chr", "start"), bed(F.lit("five"))).select("value"), "bed")
+
+
+def _vbed_text(f):
+    line = lambda d: F.concat_ws("\t", "chr", "sta", "stop", d, "qual", "strand")
+    return _lines(f, _spoilt(f.vbed.withColumn("value", line("descr")), F.col("stop"), F.concat_ws("\t", "chr", "sta", "stop"), line(F.replace("descr", F.lit("=>"), F.lit(">")))).select("value"), "vbed")
+
+
+def _bad(r):
+    """Good and bad rows by what is wrong with them, and the counts that came with the one pass."""
+    kinds = [df.groupBy(F.lit(k).alias("what")).agg(F.count("*").alias("n")) for k, df in r.rows.items()]
+    out = r.bad.groupBy(F.col("error").alias("what")).agg(F.count("*").alias("n"))
+    for k in kinds:
+        out = out.unionByName(k)
+    spark = r.bad.sparkSession
+    return out.unionByName(spark.createDataFrame([(f"counted_{k}", n) for k, n in sorted(r.counts.items())], "what string, n long"))
+
+
+def _bad_sql(kinds: dict[str, str], letters: dict[str, str], n: str) -> str:
+    """kinds: the table of each kind of row; letters: the error of a row with a letter."""
+    m = f"({n} % 41)"
+    rows = " UNION ALL ".join(f"SELECT CASE {m} WHEN 7 THEN 'width' WHEN 11 THEN '{letters[k]}' ELSE '{k}' END AS what FROM {t} UNION ALL SELECT 'header' FROM {t} WHERE {m} = 13" for k, t in kinds.items())
+    good = "', '".join(kinds)
+    return f"WITH x AS ({rows}) SELECT what, count(*) AS n FROM x GROUP BY what UNION ALL SELECT 'counted_lines', count(*) FROM x UNION ALL SELECT 'counted_bad', count(*) FROM x WHERE what NOT IN ('{good}')" + "".join(f" UNION ALL SELECT 'counted_{k}', count(*) FROM x WHERE what = '{k}'" for k in kinds)
+
+
+_WELL = "{} % 41 NOT IN (7, 11)"
 _LISTS = lambda f: rollup.id_lists(f.variants, f.ties, f.gene_groups)
 q("S1", lambda f: text.read_fastq(f.spark, _fastq(f)).select("name", "seq", "qual"), "SELECT name, seq, qual FROM reads", "reads")
-q("S2", lambda f: text.read_sites(f.spark, _lines(f, f.sites.select(F.concat_ws("\t", *_SITE_TEXT, F.lit("I")).alias("value")), "sites")).select(*_SITE_TEXT), f"SELECT {', '.join(_SITE_TEXT)} FROM sites", "sites")
-q("S3", lambda f: text.read_indels(f.spark, _lines(f, f.indels.select(F.concat_ws("\t", "chr", "pos", F.lit("*"), "genotype", "con_q", "var_q", "map_q", "depth", "allele1", "allele2", "n1", "n2", "n_other", F.lit("0"), F.lit("0")).alias("value")), "indels"))[0], "SELECT chr, pos, genotype, con_q, var_q, map_q, depth, allele1, allele2, n1, n2, n_other FROM indels", "indels")
-q("S4", lambda f: text.read_bed(f.spark, _lines(f, f.regions.select(F.concat_ws("\t", "chr", "start", "stop", F.lit("name")).alias("value")), "bed")), "SELECT chr, start, stop FROM regions", "regions")
-q("S5", lambda f: annotate.parse_vbed(_vbed_read(f).withColumn("sample", F.lit("s")).withColumn("idx", F.col("stop").cast("long"))).select("var_id", "sta", "stop", "var_type", "hom_het", F.array_join(F.array_sort("alleles"), ",").alias("alleles")), "SELECT DISTINCT var_id, CAST(sta AS INT) AS sta, CAST(v_stop AS INT) AS stop, var_type, hom_het, array_to_string(list_sort(alleles), ',') AS alleles FROM va", "va")
+q("S2", lambda f: text.read_sites(f.spark, _pileup_text(f))[0].select(*_SITE_TEXT), f"SELECT {', '.join(_SITE_TEXT)} FROM sites WHERE {_WELL.format('pos')}", "sites")
+q("S2_bad", lambda f: _bad(text.read_pileup(f.spark, _pileup_text(f))), "SELECT * FROM (" + _bad_sql({"site": "sites", "indel": "indels"}, {"site": "con_q", "indel": "n1"}, "pos") + ") z", "sites", "indels")
+q("S3", lambda f: text.read_indels(f.spark, _pileup_text(f))[0], f"SELECT chr, pos, genotype, con_q, var_q, map_q, depth, allele1, allele2, n1, n2, n_other FROM indels WHERE {_WELL.format('pos')}", "indels")
+q("S4", lambda f: text.read_bed(f.spark, _bed_text(f)).rows["region"].select("chr", "start", "stop"), f"SELECT chr, start, stop FROM regions WHERE {_WELL.format('start')}", "regions")
+q("S4_bad", lambda f: _bad(text.read_bed(f.spark, _bed_text(f))), "SELECT * FROM (" + _bad_sql({"region": "regions"}, {"region": "start"}, "start") + ") z", "regions")
+q("S5", lambda f: annotate.parse_vbed(text.read_vbed(f.spark, _vbed_text(f)).rows["call"].withColumn("sample", F.lit("s")).withColumnRenamed("ordinal", "idx")).select("var_id", "sta", "stop", "var_type", "hom_het", F.array_join(F.array_sort("alleles"), ",").alias("alleles")), f"SELECT DISTINCT var_id, CAST(sta AS INT) AS sta, CAST(v_stop AS INT) AS stop, var_type, hom_het, array_to_string(list_sort(alleles), ',') AS alleles FROM va WHERE {_WELL.format('stop')}", "va")
+q("S5_bad", lambda f: _bad(text.read_vbed(f.spark, _vbed_text(f))), "SELECT * FROM (" + _bad_sql({"call": "vb"}, {"call": "descr"}, "stop") + ") z", "vb")
 q("S6", lambda f: text.read_layout(f.spark, _lines(f, f.known.select(F.concat_ws("\t", F.lit("1"), "chr", "sta", "stop", F.concat(F.lit("rs"), "line"), F.lit("0"), "strand", F.lit("A"), F.lit("A"), "obs", F.lit("genomic"), "class", F.lit("u"), F.lit("0"), F.lit("0"), F.lit("u"), F.lit("e"), F.lit("1")).alias("value")), "snp131"), "knownVariants").select("chr", "sta", "stop", "name", "strand", "obs", "class"), "SELECT chr, sta, stop, 'rs' || line AS name, strand, obs, class FROM known", "known")
 q("S7", lambda f: text.gene_models(text.read_layout(f.spark, _lines(f, f.transcripts.select(F.concat_ws("\t", "tx_id", "chr", "strand", "sta", "stop", "c_sta", "c_end", F.size("e_sta"), F.concat(F.array_join("e_sta", ","), F.lit(",")), F.concat(F.array_join("e_end", ","), F.lit(",")), F.lit("p"), F.lit("a")).alias("value")), "knownGene"), "knownGene")).select("tx_id", "chr", "strand", F.array_join("e_sta", ";").alias("e_sta"), F.array_join("e_end", ";").alias("e_end")), "SELECT CAST(tx_id AS VARCHAR) AS tx_id, chr, strand, array_to_string(e_sta, ';') AS e_sta, array_to_string(e_end, ';') AS e_end FROM transcripts", "transcripts")
 q("S8", lambda f: text.gene_map(f.genes.withColumn("line", F.col("tx_id")), "tx_id", "gene_id", "line").join(text.id_set(f.genes.withColumn("id", F.when(F.col("tx_id") % 3 != 0, F.col("tx_id").cast("string"))), "id").select(F.col("id").cast("long").alias("tx_id")), "tx_id", "left_semi"), "SELECT tx_id, gene_id FROM genes WHERE gene_id IS NOT NULL AND tx_id % 3 <> 0", "genes")
-q("S9", lambda f: f.genes.select("tx_id", *(F.lit(text.layout(n)).alias(n.split(".")[0]) for n in ("knownGene.txt", "ensGene.txt", "snp131.txt"))), "SELECT tx_id, 'knownGene' AS \"knownGene\", 'ensGene' AS \"ensGene\", 'knownVariants' AS snp131 FROM genes", "genes")
-q("S10", lambda f: text.read_fasta(f.spark, _lines(f, f.genome.groupBy("chr").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "seq"))), lambda x: x["seq"]), "\n").alias("s")).select(F.concat(F.lit(">"), "chr", F.lit(" contig\n"), "s").alias("value")), "fasta")), "SELECT chr, chunk, seq FROM genome", "genome")
+q("S9", lambda f: _mixed(f), """SELECT 'ensGtp' AS layout, gene_id AS a, 't' || tx_id AS b, NULL AS error FROM genes WHERE gene_id IS NOT NULL UNION ALL SELECT 'knownIsoforms', '' || tx_id // 2, 't' || tx_id, NULL FROM genes
+  UNION ALL SELECT 'knownVariants', 'rs' || line, '' || sta, NULL FROM known UNION ALL SELECT NULL, NULL, 'what ' || tx_id, 'layout' FROM genes WHERE tx_id % 3 = 0 UNION ALL SELECT NULL, NULL, 'short ' || tx_id, 'width' FROM genes WHERE tx_id % 5 = 0""", "genes", "known")
+q("S10", lambda f: text.read_fasta(f.spark, _fasta(f), runs_on=True), "SELECT chr, chunk, seq FROM genome", "genome")
 q("S11", lambda f: text.read_predictions(f.spark, _predictions_file(f)).select("var_id", "tag", "status", "tx_id", "prediction"), "SELECT DISTINCT var_id, 'candidateGenes' AS tag, 'novel' AS status, 'uc' || tx_id || '.1' AS tx_id, 'benign' AS prediction FROM ef WHERE ref_aa <> alt_aa", "ef")
 q("S12", lambda f: text.with_sample(text.read_fastq(f.spark, _fastq(f))).groupBy("sample", "run").agg(F.count("*").alias("reads")), "SELECT sample, run, count(*) AS reads FROM reads GROUP BY ALL", "reads")
 
@@ -195,19 +306,39 @@ def _fastq(f):
     return _lines(f, reads.fastq_text(named, "file").select("value", "file"), "fastq", "file")
 
 
+def _fasta(f):
+    """The genome as lines of up to 60 bases in files that follow each other."""
+    rows = f.genome.select("chr", "chunk", F.regexp_replace("seq", "(.{60})(?=.)", "$1\n").alias("value"))
+    heads = f.genome.select("chr").distinct().select("chr", F.lit(-1).cast("long").alias("chunk"), F.concat(F.lit(">"), "chr", F.lit(" contig")).alias("value"))
+    return _in_order(f, rows.unionByName(heads), "fasta", "chr", "chunk")
+
+
+def _mixed(f):
+    """A folder with files of three layouts and of an unknown one, by kind."""
+    row = lambda name, *cells: (F.lit(name).alias("file"), F.concat_ws("\t", *cells).alias("value"))
+    t = F.concat(F.lit("t"), "tx_id")
+    x = f.genes.where("gene_id is not null").select(*row("ensGtp.txt", "gene_id", t, F.lit("")))
+    x = x.unionByName(f.genes.select(*row("knownIsoforms.txt", F.floor(F.col("tx_id") / 2), t))).unionByName(f.known.select(*row("snp131.txt", *_known_cells())))
+    x = x.unionByName(f.genes.where("tx_id % 3 = 0").select(*row("notes.txt", F.concat(F.lit("what "), "tx_id")))).unionByName(f.genes.where("tx_id % 5 = 0").select(*row("ensGtp.txt", F.concat(F.lit("short "), "tx_id"))))
+    got = text.read_mixed(f.spark, _lines(f, x, "mixed", "file"))
+    of = lambda k, a, b: text.of_layout(got, k).select(F.lit(k).alias("layout"), F.col(a).alias("a"), F.col(b).cast("string").alias("b"), F.lit(None).cast("string").alias("error"))
+    none = F.lit(None).cast("string")
+    return of("ensGtp", "gene", "id").unionByName(of("knownIsoforms", "cluster", "id")).unionByName(of("knownVariants", "name", "sta")).unionByName(got.bad.select(none.alias("layout"), none.alias("a"), F.col("value").alias("b"), "error"))
+
+
 def _predictions_file(f):
-    """A predictor's file: a header line, a remark and its rows in one folder."""
+    """A predictor's file: a header line, a remark and its rows."""
     rows = f.effects.where("ref_aa <> alt_aa").select("var_id", "tx_id").distinct()
     rows = rows.select(F.lit(1).alias("o"), F.concat_ws(" \t ", F.concat("var_id", F.lit(";candidateGenes;novel")), F.concat(F.lit("chr1:5.AC.uc"), "tx_id", F.lit(".1")), F.lit("benign")).alias("value"))
     head = f.spark.range(1).select(F.explode(F.array(F.struct(F.lit(0).alias("o"), F.lit("#Comments\to_snp_id\tprediction").alias("value")), F.struct(F.lit(2).alias("o"), F.lit("# remark").alias("value")))).alias("x")).select("x.*")
-    return _lines(f, head.unionByName(rows).coalesce(1).sortWithinPartitions("o").select("value"), "predictions")
+    return _in_order(f, head.unionByName(rows), "predictions", "o", "value")
 
 
-q("K1", lambda f: f.spark.read.text(_lines(f, reads.fastq_text(f.routed), "filter", "sample", "out")).where("value like '@%:%/%'").groupBy("sample", "out").agg(F.count("*").alias("reads")), "SELECT sample, out, count(*) AS reads FROM ro GROUP BY ALL", "ro")
+q("K1", lambda f: _named(f, reads.fastq_text(f.routed).select(F.concat_ws(".", "sample", "out", F.lit("fastq")).alias("file"), "value"), "filter").groupBy("file", "value").agg(F.count("*").alias("n")), "SELECT sample || '.' || out || '.fastq' AS file, value, count(*) AS n FROM (SELECT sample, out, unnest([name, seq, '+', qual]) AS value FROM ro) x GROUP BY ALL", "ro")
 q("K2", lambda f: _tsv(f, coverage.per_chromosome(f.cube, f.sizes), "per_chromosome"), f"SELECT s.sample, d.idx, d.chr, coalesce(z.size, 0) AS size, coalesce(hq_positions, 0) AS hq_positions, coalesce(coverage, 0) AS coverage, (coalesce(coverage, 0) / nullif(z.size, 0)) AS mean FROM (SELECT DISTINCT sample FROM sites) s CROSS JOIN {_DIM} LEFT JOIN tot t ON t.sample = s.sample AND t.scope = d.chr LEFT JOIN sizes z ON z.chr = d.chr", "sites", "tot", "sizes")
 q("K3", lambda f: _tsv(f, coverage.bedgraph(f.sites, True), "bedgraph"), f"SELECT sample, chr, pos AS start, pos + 1 AS stop, concat_ws(':', chr, pos, ref, con_q, map_q, depth) AS name, '+' AS strand, depth AS score FROM sites WHERE {HQ}", "sites")
-q("K4", lambda f: f.spark.read.text(_lines(f, calling.vbed_text(f.vbed), "vbed", "sample")).select("sample", "value"), f"SELECT sample, concat_ws(chr(9), chr, sta, stop, {VBED_DESCR}, qual, '+') AS value FROM vb", "vb")
-q("K5", lambda f: f.spark.read.text(_lines(f, calling.call_text(calling.snv_calls(f.snvs).unionByName(calling.indel_calls(f.called_indels))), "calls", "sample")).select("sample", "value"), CALL_TEXT.format(f"{SNV_CALLS} UNION ALL {INDEL_CALLS}"), "sv", "ix")
+q("K4", lambda f: _named(f, calling.vbed_text(f.vbed).select(F.concat("sample", F.lit(".vbed")).alias("file"), "value"), "vbed"), f"SELECT sample || '.vbed' AS file, concat_ws(chr(9), chr, sta, stop, {VBED_DESCR}, qual, '+') AS value FROM vb", "vb")
+q("K5", lambda f: _named(f, calling.call_text(calling.snv_calls(f.snvs).unionByName(calling.indel_calls(f.called_indels))).select(F.concat("sample", F.lit(".calls")).alias("file"), "value"), "calls"), "SELECT sample || '.calls' AS file, value FROM (" + CALL_TEXT.format(f"{SNV_CALLS} UNION ALL {INDEL_CALLS}") + ") z", "sv", "ix")
 q("K6", lambda f: f.spark.read.text(_lines(f, rollup.id_lines(_LISTS(f), f.genes), "lists", "level", "grp", "tag", "sample")).select("level", "grp", "tag", "sample", "value"),
   """SELECT DISTINCT 'variant' AS level, grp, tag, sample, var_id AS value FROM (SELECT *, unnest(['all', status]) AS grp FROM ti) x UNION ALL SELECT DISTINCT 'transcript', grp, tag, sample, concat_ws(chr(9), tx_id, description) FROM gr LEFT JOIN (SELECT tx_id, description FROM genes) g USING (tx_id) UNION ALL SELECT DISTINCT 'gene', grp, tag, sample, gene_id || chr(9) || ds FROM gg JOIN (SELECT gene_id, string_agg(DISTINCT description, chr(9) ORDER BY description) AS ds FROM genes WHERE gene_id IS NOT NULL GROUP BY gene_id) d USING (gene_id)""", "ti", "gr", "gg", "genes")
 
@@ -221,5 +352,5 @@ def _report(f):
 
 q("K7", lambda f: _report(f).select("sample", "grp", "gene_id", F.size("transcripts").alias("transcripts"), F.aggregate("transcripts", F.lit(0), lambda a, t: a + F.size(t["variants"])).alias("variants")),
   "SELECT sample, grp, gene_id, CAST(count(DISTINCT tx_id) AS INT) AS transcripts, CAST(count(*) AS INT) AS variants FROM (SELECT DISTINCT g.sample, g.grp, g.gene_id, g.tx_id, t.var_id FROM gg g JOIN ti t ON t.sample = g.sample AND t.tx_id = g.tx_id AND t.tag = 'candidateGenes' WHERE g.tag = 'candidateGenes' AND g.grp IN ('novel_recessive', 'novel_homozygous')) x GROUP BY ALL", "gg", "ti")
-q("K8", lambda f: f.spark.read.text(_lines(f, rollup.prediction_input(f.variants, f.ties), "pph", "sample")).select("sample", "value"), "SELECT sample, chr || ':' || (v_sta + 1) || ' ' || array_to_string(alleles, '/') || ' #' || var_id || ';candidateGenes;novel' AS value FROM vs WHERE var_type = 'snp' AND status = 'novel' AND (sample, var_id) IN (SELECT sample, var_id FROM ti WHERE tag = 'candidateGenes')", "vs", "ti")
+q("K8", lambda f: _named(f, rollup.prediction_input(f.variants, f.ties).select(F.concat("sample", F.lit(".pph")).alias("file"), "value"), "pph"), "SELECT sample || '.pph' AS file, chr || ':' || (v_sta + 1) || ' ' || array_to_string(alleles, '/') || ' #' || var_id || ';candidateGenes;novel' AS value FROM vs WHERE var_type = 'snp' AND status = 'novel' AND (sample, var_id) IN (SELECT sample, var_id FROM ti WHERE tag = 'candidateGenes')", "vs", "ti")
 q("K9", lambda f: _tsv(f, genome.with_total(f.sizes), "sizes"), "SELECT chr, size FROM sizes UNION ALL SELECT 'Total_size', CAST(sum(size) AS BIGINT) FROM sizes", "sizes")

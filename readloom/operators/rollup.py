@@ -75,11 +75,16 @@ def mutation_map(effects: DataFrame, predictions: DataFrame) -> DataFrame:
     return one.groupBy("sample", "tx_id").agg(F.map_from_entries(F.collect_list(F.struct("aa_change", "v"))).alias("changes"))
 
 
+def first_predictions(predictions: DataFrame) -> DataFrame:
+    """The first row of each snp_id, by line."""
+    first = Window.partitionBy("snp_id").orderBy("line")
+    return predictions.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
+
+
 def merged_predictions(predictions: DataFrame, effects: DataFrame) -> DataFrame:
     """predictions (line, var_id, tx_id, snp_id, nt1, nt2, prediction, status) whose variant and transcript
     are known, first row of each snp_id, one row for each allele."""
-    first = Window.partitionBy("snp_id").orderBy("line")
-    p = predictions.withColumn("rn", F.row_number().over(first)).where("rn = 1")
+    p = first_predictions(predictions)
     x = p.select("var_id", "tx_id", "snp_id", "prediction", F.explode(F.array_distinct(F.array("nt1", "nt2"))).alias("allele"))
     return effects.select("sample", "var_id", "tx_id", "allele", "hom_het", "status").distinct().join(x, ["var_id", "tx_id", "allele"])
 

@@ -1,4 +1,4 @@
-"""FASTQ and FASTA data sources.
+"""FASTQ data source.
 
 Files are read where pyarrow finds them: a file or folder that every executor sees, plain or .gz. Plain
 FASTQ files are cut into byte ranges; a range's task starts at the first record that begins in it and
@@ -11,7 +11,6 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 RANGE_BYTES = 64 << 20
 BATCH_ROWS = 10_000
-CHUNK = 256
 
 
 def records(lines):
@@ -55,26 +54,6 @@ def resumed(lines, start: int, stop: int):
         yield at, line
 
 
-def chunks(lines, size: int = CHUNK):
-    """(contig, number, bases) of a FASTA file's lines: each contig cut into ``size`` bases, the last piece
-    shorter. Lines before the first name are skipped."""
-    name, n, held = None, 0, ""
-    for line in lines:
-        if line.startswith(">"):
-            if name is not None and held:
-                yield name, n, held
-            name, n, held = (line[1:].split() or [""])[0], 0, ""
-        elif name is not None:
-            held += "".join(line.split())
-            whole = len(held) - len(held) % size
-            for i in range(0, whole, size):
-                yield name, n, held[i : i + size]
-                n += 1
-            held = held[whole:]
-    if name is not None and held:
-        yield name, n, held
-
-
 def _batches(rows, schema):
     """Rows as record batches."""
     import itertools
@@ -100,20 +79,6 @@ class FastqSource(DataSource):
         return FastqReader(self.options["path"], int(self.options.get("rangeBytes", RANGE_BYTES)))
 
 
-class FastaSource(DataSource):
-    """spark.read.format("fasta_chunks").load(path)"""
-
-    @classmethod
-    def name(cls):
-        return "fasta_chunks"
-
-    def schema(self):
-        return "chr string, chunk long, seq string"
-
-    def reader(self, schema):
-        return FastaReader(self.options["path"])
-
-
 class _Files(DataSourceReader):
     def __init__(self, path):
         self.path = path
@@ -176,17 +141,3 @@ class FastqReader(_Files):
         if stop is not None:
             lines = resumed(lines, start, stop)
         yield from _batches(((path, *r) for r in records(lines)), schema)
-
-
-class FastaReader(_Files):
-    """One partition a file, as contigs run on; no contig is held whole."""
-
-    def partitions(self):
-        return [InputPartition(path) for path, _ in self.files()] or [InputPartition(None)]
-
-    def read(self, partition):
-        import pyarrow as pa
-
-        if partition.value is not None:
-            schema = pa.schema([("chr", pa.string()), ("chunk", pa.int64()), ("seq", pa.string())])
-            yield from _batches(chunks(line for _, line in self.lines(partition.value)), schema)

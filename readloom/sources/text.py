@@ -1,14 +1,21 @@
-"""Text readers with fixed schemas, and writers. Nothing is inferred; a wrong width fails or goes to
-a frame of bad rows."""
+"""Text readers with fixed schemas, and writers. Nothing is inferred.
+
+Pileup, BED, variant-bed and mixed folders are read by ``lines.routed``: good rows by kind, bad rows with file,
+line and error, every line in one of them. Tables of one layout (``read_layout``) end the job at a wrong width.
+"""
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import calls
+from . import lines
+from .lines import Routed, misfit, numbered, routed, typed
+
 S, I, D = T.StringType(), T.IntegerType(), T.DoubleType()
 
 
@@ -53,30 +60,81 @@ def sample_of(path) -> tuple:
     return part(1, "sample"), part(2, "run")
 
 
-def read_sites(spark: SparkSession, path: str) -> DataFrame:
-    """Site rows of pileup text; indel rows (ref has '*') belong to ``read_indels``."""
-    x = spark.read.text(path).select(F.split("value", "\t").alias("c"))
-    x = x.where(~F.get("c", F.lit(2)).contains("*"))
-    return x.select(*(F.get("c", F.lit(i)).cast(f.dataType).alias(f.name) for i, f in enumerate(SITES)))
+INDELS = _schema("chr:s pos:i star:s genotype:s con_q:i var_q:i map_q:i depth:i allele1:s allele2:s n1:i n2:i n_other:i")
 
 
-INDELS = _schema("chr:s pos:i star:s genotype:s con_q:i var_q:i map_q:i depth:i allele1:s allele2:s n1:i n2:i n_other:i")
+def read_pileup(spark: SparkSession, path: str) -> Routed:
+    """Kinds ``site`` (10 columns) and ``indel`` (15 columns, the reference is '*') of pileup text. A line with fewer
+    than 10 columns, another width for its kind, a text for a number or a '*' within a longer
+    reference is bad."""
+    c = lines.cells()
+    ref = F.get(c, F.lit(2))
+    site, indel = misfit(SITES, c, 10, 10), misfit(INDELS, c, 15, 15)
+    error = F.when(ref == "*", indel).otherwise(F.coalesce(site, F.when(ref.contains("*"), "ref")))
+    indels = [x for x, f in zip(typed(INDELS, c), INDELS) if f.name != "star"]
+    return routed(numbered(spark, path), {"site": typed(SITES, c), "indel": indels}, F.when(ref == "*", "indel").otherwise("site"), error, "pileup")
+
+
+def read_sites(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(site rows, bad rows) of pileup text; indel rows belong to ``read_indels``."""
+    r = read_pileup(spark, path)
+    return r.rows["site"].drop("file", "line", "ordinal"), r.bad
 
 
 def read_indels(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(indel rows, bad rows): 15 columns with ref '*'; another width is bad."""
-    x = spark.read.text(path).select("value", F.split("value", "\t").alias("c")).where(F.get("c", F.lit(2)) == "*")
-    good = x.where(F.size("c") == 15).select(*(F.get("c", F.lit(i)).cast(f.dataType).alias(f.name) for i, f in enumerate(INDELS))).drop("star")
-    return good, x.where(F.size("c") != 15).select("value")
+    """(indel rows, bad rows) of pileup text."""
+    r = read_pileup(spark, path)
+    return r.rows["indel"].drop("file", "line", "ordinal"), r.bad
+
+
+def read_bed(spark: SparkSession, path: str) -> Routed:
+    """Kind ``region``: the first three of three or more columns. Header lines (track, browser, #) are among
+    the bad rows, as ``header``."""
+    c = lines.cells()
+    return routed(numbered(spark, path), {"region": typed(BED, c)}, F.lit("region"), misfit(BED, c, 3), "bed")
+
+
+def read_vbed(spark: SparkSession, path: str) -> Routed:
+    """Kind ``call``: rows whose description is a call (error ``descr`` otherwise). The strand may be missing."""
+    c = lines.cells()
+    got = calls.call(F.get(c, F.lit(3)))
+    error = F.coalesce(misfit(VBED, c, 5, 6), F.when(got.isNull() | calls.kind(got["var"]).isNull(), "descr"))
+    return routed(numbered(spark, path), {"call": typed(VBED, c)}, F.lit("call"), error, "vbed")
+
+
+def file_name(path: Column) -> Column:
+    """The name in a row's path: of the file, or of the folder that a writer gave that name (``file=name``)."""
+    folder = F.regexp_extract(path, r"/file=([^/]+)/", 1)
+    return F.when(folder != "", folder).otherwise(F.regexp_extract(path, r"([^/]+)$", 1))
+
+
+def read_mixed(spark: SparkSession, path: str) -> Routed:
+    """Kind ``row`` of a folder of files of several layouts, each file's told by its name, in one scan: (layout,
+    cells), cells by column name. A line of a file of unknown layout is bad as ``layout``; widths and numbers are
+    checked by the layout. ``of_layout`` gives the table of one layout."""
+    c = lines.cells()
+    name = file_name(F.col("file"))
+    kind, error, names = F.lit(None).cast("string"), F.lit("layout"), F.lit(None).cast("array<string>")
+    for k, (pattern, schema) in reversed(LAYOUTS.items()):
+        mine = name.rlike(pattern)
+        kind = F.when(mine, k).otherwise(kind)
+        error = F.when(mine, misfit(schema, c, len(schema), len(schema))).otherwise(error)
+        names = F.when(mine, F.array(*(F.lit(f.name) for f in schema))).otherwise(names)
+    return routed(numbered(spark, path), {"row": [kind.alias("layout"), F.map_from_arrays(names, c).alias("cells")]}, F.lit("row"), error, "mixed")
 
 
-def read_bed(spark: SparkSession, path: str) -> DataFrame:
-    x = spark.read.text(path).select(F.split("value", "\t").alias("c")).where(F.size("c") >= 3)
-    return x.select(*(F.get("c", F.lit(i)).cast(f.dataType).alias(f.name) for i, f in enumerate(BED)))
+def of_layout(mixed: Routed, kind: str) -> DataFrame:
+    """(file, line, ordinal and the layout's columns) of one layout's rows."""
+    x = mixed.rows["row"].where(F.col("layout") == kind)
+    return x.select("file", "line", "ordinal", *(F.element_at("cells", f.name).cast(f.dataType).alias(f.name) for f in LAYOUTS[kind][1]))
 
 
-def read_vbed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, sep="\t", quote="", schema=VBED)
+def read_numbered(spark: SparkSession, path: str, kind: str | None = None) -> Routed:
+    """Kind ``row``: a table of one layout with ``line`` (in its file) and ``ordinal`` (over the files in order of
+    their paths), for rules of first and last rows."""
+    schema = LAYOUTS[kind or layout(path)][1]
+    c = lines.cells()
+    return routed(numbered(spark, path), {"row": typed(schema, c)}, F.lit("row"), misfit(schema, c, len(schema), len(schema)), "table")
 
 
 def gene_models(df: DataFrame) -> DataFrame:
@@ -96,13 +154,13 @@ def gene_map(df: DataFrame, transcript: str, gene: str, line: str) -> DataFrame:
     return x.select(F.col(transcript).alias("tx_id"), F.col(gene).alias("gene_id"))
 
 
-def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(chr, chunk, seq) of FASTA files in pieces of 256 bases, cut while they are read; the contig's name
-    is the first word after '>'."""
-    from .fastq import FastaSource
+def read_fasta(spark: SparkSession, path: str, runs_on: bool = False) -> DataFrame:
+    """(chr, chunk, seq) of FASTA files in pieces of 256 bases; the contig's name is the first word after '>'.
+    See ``fasta``: a file is read in byte ranges by as many tasks. runs_on: the files, by path, are parts of
+    one text."""
+    from . import fasta
 
-    spark.dataSource.register(FastaSource)
-    return spark.read.format("fasta_chunks").load(path)
+    return fasta.chunked(spark, path, runs_on)
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
@@ -115,24 +173,23 @@ def read_fastq(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_sample(df: DataFrame, path: str = "path") -> DataFrame:
-    """df with sample and run by the name in each row's path: of the file, or of the folder that a writer
-    gave that name (``file=name``)."""
-    name = F.col(path)
-    folder = F.regexp_extract(name, r"/file=([^/]+)/", 1)
-    sample, run = sample_of(F.when(folder != "", folder).otherwise(name))
+    """df with sample and run by the name in each row's path."""
+    folder = F.regexp_extract(path, r"/file=([^/]+)/", 1)
+    sample, run = sample_of(F.when(folder != "", folder).otherwise(F.col(path)))
     return df.withColumn("sample", sample).withColumn("run", run)
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """Predictor results: columns by the header line's names, cells trimmed; later '#' lines go. Text
-    of a file's first line names the columns, so the header is read on the driver (one line)."""
-    lines = spark.read.text(path)
-    header = [h.strip() for h in lines.first()[0].lstrip("#").split("\t")]
-    x = lines.where(~F.col("value").startswith("#")).select(F.transform(F.split("value", "\t"), lambda v: F.trim(v)).alias("c"))
-    x = x.select(*(F.get("c", F.lit(i)).alias(h) for i, h in enumerate(header)))
-    part = lambda k: F.regexp_extract("o_snp_id", r"(chr[^:]+):(\d+)\.(\w+)\.(uc\w+\.\d+)", k)
+    """Predictor results with line (over all files): columns by the names of the first line, cells trimmed; later
+    '#' lines go. The first line is read on the driver. Missing cells and parts are null."""
+    text = numbered(spark, path)
+    first = text.where("ordinal = 1").first()
+    header = [h.strip() for h in first["value"].lstrip("#").split("\t")] if first else ["Comments", "o_snp_id"]
+    x = text.where((F.col("ordinal") > 1) & ~F.col("value").startswith("#")).select("ordinal", F.transform(lines.cells(), lambda v: F.trim(v)).alias("c"))
+    x = x.select(F.col("ordinal").alias("line"), *(F.get("c", F.lit(i)).alias(h) for i, h in enumerate(header)))
     note = F.split("Comments", ";")
-    return x.withColumn("var_id", F.get(note, F.lit(0))).withColumn("tag", F.get(note, F.lit(1))).withColumn("status", F.get(note, F.lit(2))).withColumn("tx_id", part(4))
+    chrom, pos, bases, tx = calls.snp_id(F.col("o_snp_id"))
+    return x.withColumns({"var_id": F.get(note, F.lit(0)), "tag": F.get(note, F.lit(1)), "status": F.get(note, F.lit(2)), "snp_chr": chrom, "snp_pos": pos, "snp_bases": bases, "tx_id": tx})
 
 
 def write_tsv(df: DataFrame, path: str, header: bool = True) -> None:

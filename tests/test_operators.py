@@ -6,7 +6,7 @@ from readloom.functions import exprs as X
 from readloom.functions.constants import CODONS, CONTIGS
 from readloom.operators import annotate, calling, coverage, intervals, reads
 from readloom.sources import text
-from readloom.sources.fastq import FastqReader, chunks, records
+from readloom.sources.fastq import FastqReader, records
 
 
 def col(spark, rows, expr, names="a string"):
@@ -62,15 +62,6 @@ def test_merge_and_points(spark):
         assert got == {10, 29, 49}
 
 
-def test_overlapping_is_brute_force(spark):
-    a = [("chr1", i, 3 * i % 50, 3 * i % 50 + i % 7) for i in range(40)]
-    b = [("chr1", i, 5 * i % 53, 5 * i % 53 + i % 11) for i in range(40)]
-    left, right = spark.createDataFrame(a, "chr string, i int, s int, e int"), spark.createDataFrame(b, "chr string, j int, x int, y int")
-    want = sorted((p[1], r[1]) for p in a for r in b if p[2] <= r[3] and r[2] <= p[3])
-    for size in (1, 4, 1000):
-        assert sorted((r.i, r.j) for r in intervals.overlapping(left, right, "s", "e", "x", "y", ["chr"], size).collect()) == want
-
-
 def test_base80(spark):
     sites = spark.createDataFrame([("s", "chr1", p, "A", "A", 40, 40, 40, d, "", 0) for p, d in enumerate([1, 2, 2, 3, 4])], "sample string, chr string, pos int, ref string, cons string, con_q int, var_q int, map_q int, depth int, bases string, pk int")
     regions = spark.createDataFrame([("chr1", 0, 5)], "chr string, start int, stop int")
@@ -117,13 +108,11 @@ def test_fastq_ranges(tmp_path):
         assert got == want
 
 
-def test_sources_name_samples_and_chunk_contigs(spark, tmp_path):
+def test_sources_name_samples(spark, tmp_path):
     for name in ("s1.runA.PE.fastq", "s2.runB.PE.fastq"):
         (tmp_path / name).write_text("@a/1\nACGT\n+\nIIII\n")
     got = text.with_sample(text.read_fastq(spark, str(tmp_path)))
     assert {(r["sample"], r["run"], r["seq"]) for r in got.collect()} == {("s1", "runA", "ACGT"), ("s2", "runB", "ACGT")}
-    lines = ["x", ">c1 first", "AC" * 5, "", "G" * 3, ">c2", ">c3", "T"]
-    assert list(chunks(lines, 4)) == [("c1", 0, "ACAC"), ("c1", 1, "ACAC"), ("c1", 2, "ACGG"), ("c1", 3, "G"), ("c3", 0, "T")]
 
 
 def test_repeated_pair_names(spark):
