@@ -112,11 +112,11 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS, meta_
     # One shuffle serves both groupings: its keys are keys of each. No hot key: a task sends a term once for each source.
     dealt = rows.mapInArrow(counted, schema).repartition("lang", "term")
     by_source = dealt.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
-    kept = by_source.groupBy("lang", "term").agg(F.sum("df").alias("df"), F.collect_list(F.struct("source", "n")).alias("counts")).where(F.col("df") >= min_docs)
+    kept = by_source.groupBy("lang", "term").agg(F.sum("df").alias("df"), F.map_from_entries(F.collect_list(F.struct("source", "n"))).alias("counts")).where(F.col("df") >= min_docs)
     kept = tables.stored(kept.select("lang", "term", "counts"), "divergence-terms")
 
     groups = rows.select("lang", "source").distinct()
-    sums = kept.select("lang", F.explode("counts").alias("c")).groupBy("lang", F.col("c.source").alias("source")).agg(F.sum("c.n").alias("n"))
+    sums = kept.select("lang", F.explode("counts").alias("source", "n")).groupBy("lang", "source").agg(F.sum("n").alias("n"))
     vocabulary = kept.groupBy("lang").agg(F.count("*").alias("v"))
     each = groups.join(sums, ["lang", "source"], "left").join(vocabulary, "lang", "left").na.fill(0, ["n", "v"])
     each = each.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("source", "n"))).alias("s"), F.max("v").alias("v"))
@@ -130,17 +130,19 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS, meta_
     small = n_bytes <= meta_bytes
 
     # Each term's counts at the places of its language's sources, 0 where it doesn't occur.
-    spread = lambda: F.transform("names", lambda s: F.coalesce(F.try_element_at(F.map_from_entries("counts"), s), F.lit(0).cast("long")))
+    spread = lambda: F.transform("names", lambda s: F.coalesce(F.try_element_at("counts", s), F.lit(0).cast("long")))
     wide = _with_meta(kept, meta, small).withColumn("wide", spread())
     have = F.filter(F.transform("wide", lambda n, i: F.struct(i.alias("i"), n.alias("n"), F.when(n > 0, share(n, F.get("total", i))).alias("p"))), lambda x: x["n"] > 0)
     wide = tables.stored(wide.select("lang", "term", have.alias("have")), "divergence-wide")
     zero = lambda i: F.get("p0", i)
 
-    # Two sources that both have the term, against what each alone would give (below).
+    # Two sources that both have the term, against what each alone would give (below). The sources of a term
+    # are emitted two by two with their shares; the sums see compiled arithmetic.
     x = _with_meta(wide.select("lang", "have", F.explode("have").alias("x")), meta.select("lang", "p0"), small)
-    i, p = F.col("x.i"), F.col("x.p")
-    both = lambda y: diverging(p, y["p"]) - diverging(p, zero(y["i"])) - diverging(zero(i), y["p"]) + diverging(zero(i), zero(y["i"]))
-    together = x.select("lang", i.alias("a"), F.inline(F.transform("have", lambda y: F.struct(y["i"].alias("b"), both(y).alias("value")))))
+    x = x.select("lang", "have", "p0", F.col("x.i").alias("a"), F.col("x.p").alias("p"), zero(F.col("x.i")).alias("pz"))
+    x = x.select("lang", "a", "p", "pz", F.inline(F.transform("have", lambda y: F.struct(y["i"].alias("b"), y["p"].alias("q"), zero(y["i"]).alias("qz")))))
+    p, pz, q, qz = (F.col(c) for c in ("p", "pz", "q", "qz"))
+    together = x.select("lang", "a", "b", (diverging(p, q) - diverging(p, qz) - diverging(pz, q) + diverging(pz, qz)).alias("value"))
     # A source that has the term and any other as if it hadn't, by count.
     by_count = wide.select("lang", F.explode("have").alias("x")).groupBy("lang", "x.i", "x.p").agg(F.count("*").alias("m"))
     by_count = _with_meta(by_count, meta.select("lang", "p0"), small)
