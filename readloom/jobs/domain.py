@@ -41,7 +41,7 @@ TABLES = {
     "cut": "SELECT k, base, s, {EXPLODE:n} AS i FROM filled",
     "genome_k": f"SELECT k, base + i AS chunk, substring(concat(translate({sub('s', f'i * {CHUNK} + 1', str(CHUNK))}, '{AZ}', '{NT}'), repeat('ACGT', 64)), 1, {CHUNK}) AS seq FROM cut",
     "genome": f"SELECT {CHROM} AS chr, chunk, seq FROM genome_k",
-    "glen": f"SELECT CAST(min(n) AS BIGINT) * {CHUNK} AS g FROM (SELECT k, sum(n) AS n FROM fill GROUP BY k) x",
+    "glen": f"SELECT least(CAST(min(n) AS BIGINT) * {CHUNK}, (SELECT greatest(4096, 4 * {div('count(*)', '25')}) FROM lineitem)) AS g FROM (SELECT k, sum(n) AS n FROM fill GROUP BY k) x",
     "pile0": "SELECT k, pos, CAST(sum(qty) AS BIGINT) AS depth, max(con_q) AS con_q, max(var_q) AS var_q, max(map_q) AS map_q, max(pk) AS pk FROM (SELECT l_orderkey % 25 AS k, (l_orderkey * 7 + l_linenumber * 131 + l_partkey * 13) % g + 1 AS pos, CAST(l_quantity AS BIGINT) AS qty, l_partkey % 100 AS con_q, l_orderkey * 3 % 100 AS var_q, l_orderkey % 61 AS map_q, l_partkey AS pk FROM lineitem CROSS JOIN glen) x GROUP BY k, pos",
     "pile1": f"SELECT p.*, {sub('g.seq', '(p.pos - 1) % 256 + 1', '1')} AS ref, {sub(chr(39) + 'ACGTMRWSYK' + chr(39), 'pk % 10 + 1', '1')} AS cons, {div('depth * (pk % 4)', '4')} AS a FROM pile0 p JOIN genome_k g ON p.k = g.k AND {div('p.pos - 1', '256')} = g.chunk",
     "pile2": "SELECT *, CASE WHEN pk % 19 = 0 THEN depth - a ELSE 0 END AS dels FROM pile1",
@@ -62,6 +62,20 @@ TABLES = {
     "reads": f"SELECT concat('s', CAST(doc_id % 4 AS STRING)) AS sample, CASE WHEN b = 0 THEN 'a' ELSE 'b' END AS run, CAST(i % 2 + 1 AS INT) AS dir, doc_id * 1000000 + pair AS ordinal, concat('@', CAST(doc_id AS STRING), ':', CAST(pair AS STRING), '/', CAST(i % 2 + 1 AS STRING)) AS name, translate(win, '{AZ}', CASE WHEN (doc_id + i) % 9 = 0 THEN '{NB}' ELSE '{NT}' END) AS seq, CASE WHEN b = 0 THEN q ELSE translate(q, 'I5+&#', 'hTJEB') END AS qual FROM reads3",
 }
 
+#: What Spark reads instead of the text above, for the same rows: chunks are numbered without the texts, by
+#: runs of documents and then within each, and a text is cut into pieces once.
+SPARK = {
+    "fill": f"SELECT doc_id, doc_id % 25 AS k, CAST(floor(doc_id / 65536) AS BIGINT) AS run, greatest({div('length(s) + 255', '256')}, 1) AS n FROM clean",
+    "filled": """SELECT f.doc_id, f.k, CAST(r.before + sum(f.n) OVER (PARTITION BY f.k, f.run ORDER BY f.doc_id ROWS UNBOUNDED PRECEDING) - f.n AS BIGINT) AS base
+        FROM fill f JOIN (SELECT k, run, sum(sum(n)) OVER (PARTITION BY k ORDER BY run ROWS UNBOUNDED PRECEDING) - sum(n) AS before FROM fill GROUP BY k, run) r ON f.k = r.k AND f.run = r.run""",
+    "cut": f"SELECT k, base, posexplode(CASE WHEN s = '' THEN array('') ELSE regexp_extract_all(s, '.{{{{1,{CHUNK}}}}}', 0) END) AS (i, piece) FROM clean JOIN filled USING (doc_id)",
+    "genome_k": f"SELECT k, base + i AS chunk, substring(concat(translate(piece, '{AZ}', '{NT}'), repeat('ACGT', 64)), 1, {CHUNK}) AS seq FROM cut",
+    # A window has at most 160 letters: a piece of 100 and the next one. The first two windows are there in any case.
+    "reads0": "SELECT doc_id, regexp_extract_all(s, '.{{1,100}}', 0) AS pieces FROM clean WHERE s <> ''",
+    "reads1": f"SELECT doc_id, CAST(i AS BIGINT) AS i, CAST(100 + (doc_id * 3 + i * 7) % 61 AS INT) AS len, two, CASE WHEN (doc_id * 7 + i) % 4 = 0 THEN (doc_id + i) % 130 ELSE 0 END AS t, {div('doc_id', '4')} % 2 AS b, {div('i', '2')} AS pair FROM (SELECT doc_id, posexplode(transform(CASE WHEN size(pieces) = 1 THEN array_append(pieces, '') ELSE pieces END, (p, j) -> concat(p, coalesce(get(pieces, j + 1), '')))) AS (i, two) FROM reads0) x",
+    "reads2": "SELECT *, substring(two, 1, len) AS win FROM reads1",
+}
+
 
 def _dialect(sql: str, spark: bool) -> str:
     sql = sql.replace("{G}", "" if spark else ", 'g'")
@@ -75,7 +89,7 @@ def _needs(name: str) -> list[str]:
     """Names of the derived tables that a table's text uses, itself last."""
     out: list[str] = []
     for other in TABLES:
-        if other != name and re.search(rf"\b(?:FROM|JOIN)\s+{other}\b", TABLES[name]):
+        if other != name and any(re.search(rf"\b(?:FROM|JOIN)\s+{other}\b", x.get(name, "")) for x in (TABLES, SPARK)):
             out += [x for x in _needs(other) if x not in out]
     return [*out, name]
 
@@ -84,7 +98,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived table as a DataFrame."""
     made: dict[str, DataFrame] = {}
     for t in _needs(name):
-        sql = _dialect(TABLES[t], True)
+        sql = _dialect(SPARK.get(t, TABLES[t]), True)
         inputs = {x: made[x] for x in made if re.search(rf"\b(?:FROM|JOIN)\s+{x}\b", sql)}
         for raw in ("documents", "lineitem", "orders", "part", "events"):
             if re.search(rf"\b(?:FROM|JOIN)\s+{raw}\b", sql):

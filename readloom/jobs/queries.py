@@ -68,15 +68,32 @@ q("J8", lambda f: rollup.without_gene(f.groups, f.genes), "SELECT DISTINCT sampl
 q("J9", lambda f: rollup.prediction_ties(rollup.merged_predictions(f.predictions, f.effects.where("ref_aa <> alt_aa"))).groupBy("sample", "tag").agg(F.count("*").alias("ties")),
   "SELECT sample, tag, count(*) AS ties FROM (SELECT DISTINCT e.sample, e.var_id, e.tx_id, e.hom_het, e.status || '_polyphen-2' AS tag FROM ef e JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY var_id, tx_id ORDER BY line) AS rn FROM (SELECT DISTINCT var_id, tx_id, allele, rel_start % 3 AS m, rel_start * 8 + ascii(allele) % 8 AS line FROM ef WHERE ref_aa <> alt_aa) x) y WHERE rn = 1 AND m <> 0) p USING (var_id, tx_id, allele) WHERE ref_aa <> alt_aa) z GROUP BY ALL", "ef")
 q("J10", lambda f: coverage.per_chromosome(f.cube.where("chr <> 'chr3'"), f.sizes).select("sample", "chr", "coverage"), f"SELECT s.sample, d.chr, coalesce(CASE WHEN d.chr <> 'chr3' THEN coverage END, 0) AS coverage FROM (SELECT DISTINCT sample FROM sites) s CROSS JOIN {_DIM} LEFT JOIN tot t ON t.sample = s.sample AND t.scope = d.chr", "sites", "tot")
-q("J11", lambda f: annotate.database_filter(calling.snv_calls(f.snvs), f.known.where("class = 'single' and obs like '_/_'").select("chr", F.col("stop").alias("start"), "stop", F.substr("obs", F.lit(1), F.lit(1)).alias("ref"), F.substr("obs", F.lit(3), F.lit(1)).alias("alt"), (F.col("line") % 10 / 10).alias("score")), 0.3).select("sample", "call_id", "kind", "score"),
-  f"SELECT sample, call_id, CASE WHEN score IS NULL THEN 'filtered' ELSE 'dropped' END AS kind, score FROM ({SNV_CALLS}) c LEFT JOIN (SELECT chr, stop AS start, left(obs, 1) AS ref, right(obs, 1) AS alt, max(line % 10 / 10) AS score FROM known WHERE class = 'single' AND obs LIKE '_/_' AND line % 10 / 10 >= 0.3 GROUP BY ALL) k USING (chr, start, ref, alt)", "sv", "known")
+_J11 = f"SELECT sample, call_id, CASE WHEN score IS NULL THEN 'filtered' ELSE 'dropped' END AS kind, score FROM ({SNV_CALLS}) c LEFT JOIN (SELECT chr, stop AS start, left(obs, 1) AS ref, right(obs, 1) AS alt, max(line % 10 / 10) AS score FROM known WHERE class = 'single' AND obs LIKE '_/_' AND line % 10 / 10 {{}} GROUP BY ALL) k USING (chr, start, ref, alt)"
+q("J11", lambda f: annotate.database_filter(calling.snv_calls(f.snvs), _scores(f), 0.3).select("sample", "call_id", "kind", "score"), _J11.format(">= 0.3"), "sv", "known")
+q("J11_stored", lambda f: annotate.database_filter(calling.snv_calls(f.snvs), _stored_scores(f), 0.6, reverse=True).select("sample", "call_id", "kind", "score"), _J11.format("<= 0.6"), "sv", "known")
+
+
+def _scores(f):
+    """A database of scores of single-base changes."""
+    one = f.known.where("class = 'single' and obs like '_/_'")
+    return one.select("chr", F.col("stop").alias("start"), "stop", F.substr("obs", F.lit(1), F.lit(1)).alias("ref"), F.substr("obs", F.lit(3), F.lit(1)).alias("alt"), (F.col("line") % 10 / 10).alias("score"))
+
+
+def _stored_scores(f):
+    path = made.shared(f.spark, "scores")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    annotate.store_database(_scores(f), name, path, 8)
+    return f.spark.table(name)
+
+
 _PIECES = "SELECT tx_id, chr, 'exon' AS kind, es AS a, ee AS b FROM ex UNION ALL SELECT tx_id, chr, 'cds', lo, hi FROM ex WHERE lo < hi UNION ALL SELECT tx_id, chr, 'splice', ee, ee + 2 FROM ex WHERE i < n - 1 UNION ALL SELECT tx_id, chr, 'splice', es - 2, es FROM ex WHERE i > 0"
 _PPOS = f"SELECT DISTINCT tx_id, chr, kind, unnest(range(a, b)) AS p FROM ({_PIECES}) z"
 q("J12", lambda f: coverage.gene_pieces(f.transcripts), f"SELECT tx_id, chr, kind, a AS start, b AS stop FROM ({_PIECES}) z", "ex")
 
 # Aggregations: reads.
-q("AG1", lambda f: reads.offsets(f.reads).select("sample", "run", "n33", "n64", "offset"),
-  "SELECT sample, run, CAST(sum(len(list_filter(string_split(qual, ''), lambda c: c <> '' AND ascii(c) < 63))) AS BIGINT) AS n33, CAST(sum(len(list_filter(string_split(qual, ''), lambda c: c <> '' AND ascii(c) > 74))) AS BIGINT) AS n64, CASE run WHEN 'a' THEN 33 ELSE 64 END AS \"offset\" FROM (SELECT *, row_number() OVER (PARTITION BY sample, run, dir ORDER BY ordinal) AS rn FROM reads) x WHERE rn <= 250 GROUP BY sample, run", "reads")
+_AG1 = "SELECT sample, run, CAST(sum(len(list_filter(string_split(qual, ''), lambda c: c <> '' AND ascii(c) < 63))) AS BIGINT) AS n33, CAST(sum(len(list_filter(string_split(qual, ''), lambda c: c <> '' AND ascii(c) > 74))) AS BIGINT) AS n64, CASE run WHEN 'a' THEN 33 ELSE 64 END AS \"offset\" FROM (SELECT *, row_number() OVER (PARTITION BY sample, run, dir ORDER BY ordinal) AS rn FROM reads) x WHERE rn <= 250 GROUP BY sample, run"
+q("AG1", lambda f: reads.offsets(f.reads).select("sample", "run", "n33", "n64", "offset"), _AG1, "reads")
+q("AG1_heads", lambda f: reads.offsets_of(text.with_sample(text.read_fastq(f.spark, _mate_files(f), head=reads.HEAD))).select("sample", "run", "n33", "n64", "offset"), _AG1, "reads")
 q("AG2", lambda f: reads.rejected(f.classified), "SELECT sample, reason, reads, (100 * reads / t) AS pct FROM (SELECT sample, reason, count(*) AS reads, sum(count(*)) OVER (PARTITION BY sample) AS t FROM cl GROUP BY sample, reason) x WHERE reason IS NOT NULL", "cl")
 q("AG2_totals", lambda f: reads.totals(f.classified), "SELECT sample, count(*) AS reads, CAST(sum(bases) AS BIGINT) AS bases FROM cl GROUP BY sample", "cl")
 q("AG3", lambda f: reads.passed(f.classified), """SELECT x.sample, x.out, x.reads, (100 * x.reads / p.reads) AS reads_pct_passed, (100 * x.reads / t.reads) AS reads_pct_all, x.bases, (100 * x.bases / p.bases) AS bases_pct_passed, (100 * x.bases / t.bases) AS bases_pct_all
@@ -306,6 +323,14 @@ def _fastq(f):
     return _lines(f, reads.fastq_text(named, "file").select("value", "file"), "fastq", "file")
 
 
+def _mate_files(f):
+    """A FASTQ file for each mate of each sample and run, in order of the reads."""
+    path = made.shared(f.spark, "mates")
+    x = f.reads.select(F.concat_ws(".", "sample", "run", "dir", F.lit("fastq")).alias("file"), "ordinal", F.concat_ws("\n", "name", "seq", F.lit("+"), "qual").alias("value"))
+    named.write_named(ordered.in_order(x, ["file", "ordinal"]), path)
+    return path
+
+
 def _fasta(f):
     """The genome as lines of up to 60 bases in files that follow each other."""
     rows = f.genome.select("chr", "chunk", F.regexp_replace("seq", "(.{60})(?=.)", "$1\n").alias("value"))

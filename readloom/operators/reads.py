@@ -27,8 +27,12 @@ def offsets(reads: DataFrame, head: int = HEAD) -> DataFrame:
     """(sample, run, n33, n64, offset) from the first reads of each mate file: more than 99 % of the
     characters that only one offset has decide; offset is null where they don't."""
     first = Window.partitionBy("sample", "run", "dir").orderBy("ordinal")
-    top = reads.withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= head)
-    n = top.groupBy("sample", "run").agg(F.sum(count_of(F.col("qual"), LOW)).cast("long").alias("n33"), F.sum(count_of(F.col("qual"), HIGH)).cast("long").alias("n64"))
+    return offsets_of(reads.withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= head))
+
+
+def offsets_of(heads: DataFrame) -> DataFrame:
+    """``offsets`` of reads that are the first ones of their files already, as ``read_fastq(.., head=HEAD)`` gives them."""
+    n = heads.groupBy("sample", "run").agg(F.sum(count_of(F.col("qual"), LOW)).cast("long").alias("n33"), F.sum(count_of(F.col("qual"), HIGH)).cast("long").alias("n64"))
     total = F.col("n33") + F.col("n64")
     return n.withColumn("offset", F.when(100 * F.col("n33") / F.nullif(total, F.lit(0)) > 99, 33).when(100 * F.col("n64") / F.nullif(total, F.lit(0)) > 99, 64))
 

@@ -1,4 +1,4 @@
-"""FASTQ data source.
+"""FASTQ data source, with the head of each file and filters on path and place pushed into it.
 
 Files are read where pyarrow finds them: a file or folder that every executor sees, plain or .gz. Plain
 FASTQ files are cut into byte ranges; a range's task starts at the first record that begins in it and
@@ -76,7 +76,8 @@ class FastqSource(DataSource):
         return "path string, ordinal long, name string, seq string, qual string"
 
     def reader(self, schema):
-        return FastqReader(self.options["path"], int(self.options.get("rangeBytes", RANGE_BYTES)))
+        head = self.options.get("head")
+        return FastqReader(self.options["path"], int(self.options.get("rangeBytes", RANGE_BYTES)), int(head) if head else None)
 
 
 class _Files(DataSourceReader):
@@ -118,26 +119,64 @@ class _Files(DataSourceReader):
                 at += len(line)
 
 
+def base_name(path: str) -> str:
+    """A file's path without the part number that a writer of named outputs gave it."""
+    stem, _, part = path.rpartition(".")
+    return stem if len(part) == 5 and part.isdigit() else path
+
+
 class FastqReader(_Files):
-    def __init__(self, path, range_bytes=RANGE_BYTES):
+    """head: only so many first records of each file, its parts taken together; later ranges aren't opened."""
+
+    def __init__(self, path, range_bytes=RANGE_BYTES, head=None):
         super().__init__(path)
-        self.range_bytes = range_bytes
+        self.range_bytes, self.head = range_bytes, head
+        self.paths, self.low, self.high = None, 0, None
+
+    def pushFilters(self, filters):
+        """Filters on the path choose files, filters on the place choose ranges; Spark applies them to the rows as well."""
+        for f in filters:
+            kind, column, value = type(f).__name__, getattr(f, "attribute", None), getattr(f, "value", None)
+            if column == ("path",) and kind in ("EqualTo", "In"):
+                mine = {value} if kind == "EqualTo" else set(value)
+                self.paths = mine if self.paths is None else self.paths & mine
+            elif column == ("ordinal",) and self.head is None:
+                if kind in ("GreaterThan", "GreaterThanOrEqual", "EqualTo"):
+                    self.low = max(self.low, value)
+                if kind in ("LessThan", "LessThanOrEqual", "EqualTo"):
+                    most = value + (kind != "LessThan")
+                    self.high = most if self.high is None else min(self.high, most)
+            yield f
 
     def partitions(self):
+        files = [(p, n) for p, n in self.files() if self.paths is None or p in self.paths]
+        if self.head is not None:
+            by: dict[str, list] = {}
+            for path, _ in files:
+                by.setdefault(base_name(path), []).append((path, 0, None))
+            return [InputPartition(parts) for parts in by.values()] or [InputPartition([])]
         out = []
-        for path, size in self.files():
-            step = max(size, 1) if path.endswith(".gz") else self.range_bytes
-            out += [InputPartition((path, a, None if path.endswith(".gz") else a + step)) for a in range(0, max(size, 1), step)]
-        return out or [InputPartition(None)]
+        for path, size in files:
+            if path.endswith(".gz"):
+                out.append(InputPartition([(path, 0, None)]))
+                continue
+            for a in range(0, max(size, 1), self.range_bytes):
+                if a + self.range_bytes > self.low and (self.high is None or a < self.high):
+                    out.append(InputPartition([(path, a, a + self.range_bytes)]))
+        return out or [InputPartition([])]
 
     def read(self, partition):
+        import itertools
+
         import pyarrow as pa
 
+        def rows():
+            for path, start, stop in partition.value:
+                lines = self.lines(path, start)
+                if stop is not None:
+                    lines = resumed(lines, start, stop)
+                for r in records(lines):
+                    yield (path, *r)
+
         schema = pa.schema([("path", pa.string()), ("ordinal", pa.int64()), ("name", pa.string()), ("seq", pa.string()), ("qual", pa.string())])
-        if partition.value is None:
-            return
-        path, start, stop = partition.value
-        lines = self.lines(path, start)
-        if stop is not None:
-            lines = resumed(lines, start, stop)
-        yield from _batches(((path, *r) for r in records(lines)), schema)
+        yield from _batches(itertools.islice(rows(), self.head), schema)

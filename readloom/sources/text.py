@@ -163,13 +163,16 @@ def read_fasta(spark: SparkSession, path: str, runs_on: bool = False) -> DataFra
     return fasta.chunked(spark, path, runs_on)
 
 
-def read_fastq(spark: SparkSession, path: str) -> DataFrame:
+def read_fastq(spark: SparkSession, path: str, head: int | None = None) -> DataFrame:
     """(path, ordinal, name, seq, qual) of FASTQ files read by the package's data source; ordinal is the
-    record's place in its file in bytes (records, in a compressed one)."""
+    record's place in its file in bytes (records, in a compressed one). head: the first records of each file
+    only, without reading on. Filters on path and ordinal choose files and byte ranges."""
     from .fastq import FastqSource
 
     spark.dataSource.register(FastqSource)
-    return spark.read.format("fastq_reads").load(path)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    reader = spark.read.format("fastq_reads")
+    return (reader if head is None else reader.option("head", head)).load(path)
 
 
 def with_sample(df: DataFrame, path: str = "path") -> DataFrame:

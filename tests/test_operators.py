@@ -121,3 +121,25 @@ def test_repeated_pair_names(spark):
     x = reads.classified(df, offset=33)
     assert sorted((r.ordinal, r.out) for r in reads.routed(x).collect()) == [(0, "1"), (1, "2"), (2, "S")]
     assert sorted((r.pass1, r.pass2) for r in reads.mates(x).collect()) == [(True, False), (True, True)]
+
+
+def test_stored_database_stays_in_its_buckets(spark, tmp_path):
+    rows = [("chr1", i % 50, i % 50, "A", "C" if i % 3 else "G", i / 200) for i in range(200)]
+    db = spark.createDataFrame(rows, "chr string, start int, stop int, ref string, alt string, score double")
+    annotate.store_database(db, "scores_of_a_test", f"file://{tmp_path}/scores", 4)
+    calls = spark.createDataFrame([(f"c{i}", "chr1", i, i, "A", "C") for i in range(0, 80, 3)], "call_id string, chr string, start int, stop int, ref string, alt string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for threshold, reverse in ((None, False), (0.5, False), (0.5, True)):
+            out = annotate.database_filter(calls, spark.table("scores_of_a_test"), threshold, reverse)
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange") == 1, plan
+            fits = lambda s: threshold is None or (s <= threshold if reverse else s >= threshold)
+            best = {}
+            for c, a, b, ref, alt, s in rows:
+                if fits(s) and (ref, alt) == ("A", "C"):
+                    best[a] = max(s, best.get(a, s))
+            assert {(r.call_id, r.kind, r.score) for r in out.collect()} == {(f"c{i}", "dropped" if i in best else "filtered", best.get(i)) for i in range(0, 80, 3)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE scores_of_a_test")

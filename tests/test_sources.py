@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from readloom.functions import calls
 from readloom.operators import annotate
 from readloom.sources import lines, text
+from readloom.sources.fastq import FastqReader
 
 
 @pytest.fixture(params=[23, 400, 1 << 27])
@@ -141,3 +142,28 @@ def test_first_and_last_rows_from_files(spark, tmp_path):
     (tmp_path / "s.vbed").write_text("chr1\t5\t6\tA=>G(9;G:9)\t70\t+\nchr1\t5\t6\tA=>G(8;G:8)\t60\t+\n")
     v = text.read_vbed(spark, str(tmp_path / "s.vbed")).rows["call"].withColumn("sample", F.lit("s")).withColumnRenamed("ordinal", "idx")
     assert [(r.qual, r.idx) for r in annotate.parse_vbed(v).collect()] == [(70, 1)]
+
+
+def test_heads_and_pushed_filters(spark, tmp_path):
+    """The first records of a file cost no more than themselves; filters on path and place open few ranges."""
+    record = lambda i: f"@r{i}/1\nACGT\n+\nIIII\n"
+    (tmp_path / "a.x.1.fastq.00000").write_text("".join(map(record, range(30))))
+    (tmp_path / "a.x.1.fastq.00001").write_text("".join(map(record, range(30, 5000))))
+    (tmp_path / "b.x.1.fastq").write_text("".join(map(record, range(7))))
+    reader = FastqReader(str(tmp_path), 1000, head=50)
+    seen = []
+    lines_of = reader.lines
+    reader.lines = lambda path, start=0: (seen.append(x) or x for x in lines_of(path, start))
+    parts = reader.partitions()
+    got = [n for p in parts for b in reader.read(p) for n in b.column("name").to_pylist()]
+    assert len(parts) == 2 and sorted(got) == sorted([f"@r{i}/1" for i in range(50)] + [f"@r{i}/1" for i in range(7)]) and len(seen) <= 4 * 57 + 1
+    assert text.read_fastq(spark, str(tmp_path), head=50).count() == 57
+    whole = text.read_fastq(spark, str(tmp_path))
+    place = {r.name: r.ordinal for r in whole.where(F.col("path").endswith(".00001")).collect()}
+    path = f"{tmp_path}/a.x.1.fastq.00001"
+    few = whole.where((F.col("path") == path) & (F.col("ordinal") >= place["@r700/1"]) & (F.col("ordinal") < place["@r900/1"]))
+    assert sorted(r.name for r in few.collect()) == [f"@r{i}/1" for i in range(700, 900)]
+    pushed = FastqReader(str(tmp_path), 1000)
+    EqualTo, AtLeast, Less = (type(n, (), {"__init__": lambda self, a, v: self.__dict__.update(attribute=a, value=v)}) for n in ("EqualTo", "GreaterThanOrEqual", "LessThan"))
+    left = list(pushed.pushFilters([EqualTo(("path",), path), AtLeast(("ordinal",), 20_000), Less(("ordinal",), 23_000)]))
+    assert len(left) == 3 and {p.value[0][:2] for p in pushed.partitions()} == {(path, a) for a in (20_000, 21_000, 22_000)}
