@@ -12,7 +12,7 @@ from . import domain
 
 #: Tables that several jobs read: written once for an application and data folder, so that jobs start
 #: from files instead of repeating the joins behind them.
-STORED = {"genome", "sites", "indels", "regions", "transcripts", "genes", "known", "reads", "classified", "cube", "parsed_variants", "hits", "variants", "tx", "pairs", "effects", "plain_ties"}
+STORED = {"genome", "sites", "indels", "regions", "transcripts", "genes", "known", "reads", "classified", "cube", "vbed", "parsed_variants", "hits", "variants", "tx", "pairs", "effects", "plain_ties"}
 _frames: dict = {}
 
 
@@ -91,7 +91,8 @@ class Frames:
         return annotate.candidates(self.variants, self.tx)
 
     def _cds(self):
-        return annotate.coding_sequences(self.tx, self.genome)
+        hit = self.pairs.select("tx_id").distinct()
+        return annotate.coding_sequences(self.tx.join(hit, "tx_id", "left_semi"), self.genome)
 
     def _effects(self):
         return annotate.codon_effects(self.pairs, self.cds, self.genome)

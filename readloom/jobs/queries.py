@@ -39,11 +39,13 @@ CALL_TEXT = "SELECT sample, concat_ws(chr(9), chr, start, stop, ref, alt, 'id:'
 VBED_DESCR = "ref || '=>' || upper(var) || '(' || depth || ';' || counts || ')'"
 
 # Predicates and projections.
-q("P1", lambda f: coverage.canonical(f.sites.withColumn("chr", F.when(F.col("pos") % 2 == 0, F.regexp_replace("chr", "^chr", "")).otherwise(F.when(F.col("pos") % 7 == 0, "chr1_gl000191_random").otherwise(F.col("chr"))))).groupBy("chr").agg(F.count("*").alias("n")),
-  "SELECT chr, count(*) AS n FROM (SELECT " + _CHR.format(a="c") + f" AS chr FROM (SELECT CASE WHEN pos % 2 = 0 THEN replace(chr, 'chr', '') WHEN pos % 7 = 0 THEN 'chr1_gl000191_random' ELSE chr END AS c FROM sites) x) y WHERE chr IN ({_CANON}) GROUP BY chr", "sites")
+_RENAMED = "CASE WHEN pos % 2 = 0 THEN replace(chr, 'chr', '') WHEN pos % 7 = 0 THEN 'chr1_gl000191_random' ELSE chr END"
+q("P1", lambda f: coverage.canonical(f.sites.withColumn("chr", F.when(F.col("pos") % 2 == 0, F.regexp_replace("chr", "^chr", "")).otherwise(F.when(F.col("pos") % 7 == 0, "chr1_gl000191_random").otherwise(F.col("chr"))))).select("sample", "chr", "pos"),
+  "SELECT * FROM (SELECT sample, " + _CHR.format(a="c") + f" AS chr, pos FROM (SELECT sample, pos, {_RENAMED} AS c FROM sites) x) y WHERE chr IN ({_CANON})", "sites")
 q("P2", lambda f: f.classified.select("sample", "name", "seq", "qual"), "SELECT sample, name, seq, qual FROM cl", "cl")
 q("P3", lambda f: f.classified.select("sample", "name", "reason"), "SELECT sample, name, reason FROM cl", "cl")
 q("P4", lambda f: f.classified.select("sample", "name", "present", "same_length"), "SELECT sample, name, length(name) > 0 AND length(seq) > 0 AND length(qual) > 0 AS present, length(seq) = length(qual) AS same_length FROM cl", "cl")
+q("P4_warnings", lambda f: reads.warnings(f.classified), "SELECT sample, run, count(*) AS reads, count(*) FILTER (WHERE NOT (length(name) > 0 AND length(seq) > 0 AND length(qual) > 0)) AS incomplete, count(*) FILTER (WHERE length(seq) <> length(qual)) AS unequal, count(*) FILTER (WHERE (sample, run, pair_key) NOT IN (SELECT (sample, run, pair_key) FROM pr)) AS unpaired FROM cl GROUP BY sample, run", "cl", "pr")
 q("P5", lambda f: f.sites.where(X.high_quality()).select("sample", "chr", "pos", "depth"), f"SELECT sample, chr, pos, depth FROM sites WHERE {HQ}", "sites")
 q("P6", lambda f: f.sites.where(X.callable_site()).select("sample", "chr", "pos", "ref", "cons"), f"SELECT sample, chr, pos, ref, cons FROM sites WHERE {CALLABLE}", "sites")
 q("P7", lambda f: f.snvs.select("sample", "chr", "pos", "ref", "code"), "SELECT sample, chr, pos, ref, cons AS code FROM sv", "sv")
@@ -65,8 +67,8 @@ q("J6", lambda f: f.canonical_tx.select("tx_id", "chr"), "SELECT tx_id, chr FROM
 q("J7", lambda f: genome.fetch(f.transcripts.select("tx_id", "chr", F.col("sta").alias("start"), (F.col("stop") - F.col("sta")).alias("len")), f.genome, ["tx_id"]).select("tx_id", "seq"),
   "SELECT tx_id, CASE WHEN count(*) = max(stop - sta) THEN string_agg(b, '' ORDER BY p) END AS seq FROM (SELECT tx_id, sta, stop, p, substring(seq, CAST(p % 256 + 1 AS INT), 1) AS b FROM (SELECT tx_id, chr, sta, stop, unnest(range(sta, stop)) AS p FROM transcripts) x JOIN genome g ON g.chr = x.chr AND g.chunk = x.p // 256) y GROUP BY tx_id", "transcripts", "genome")
 q("J8", lambda f: rollup.without_gene(f.groups, f.genes), "SELECT DISTINCT sample, tx_id FROM gr WHERE tx_id NOT IN (SELECT tx_id FROM genes WHERE gene_id IS NOT NULL)", "gr", "genes")
-q("J9", lambda f: rollup.prediction_ties(rollup.merged_predictions(f.predictions, f.effects.where("ref_aa <> alt_aa"))).groupBy("sample", "tag").agg(F.count("*").alias("ties")),
-  "SELECT sample, tag, count(*) AS ties FROM (SELECT DISTINCT e.sample, e.var_id, e.tx_id, e.hom_het, e.status || '_polyphen-2' AS tag FROM ef e JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY var_id, tx_id ORDER BY line) AS rn FROM (SELECT DISTINCT var_id, tx_id, allele, rel_start % 3 AS m, rel_start * 8 + ascii(allele) % 8 AS line FROM ef WHERE ref_aa <> alt_aa) x) y WHERE rn = 1 AND m <> 0) p USING (var_id, tx_id, allele) WHERE ref_aa <> alt_aa) z GROUP BY ALL", "ef")
+q("J9", lambda f: rollup.prediction_ties(rollup.merged_predictions(f.predictions, f.effects.where("ref_aa <> alt_aa"))).select("sample", "var_id", "tx_id", "tag", "hom_het"),
+  "SELECT * FROM (SELECT DISTINCT e.sample, e.var_id, e.tx_id, e.hom_het, e.status || '_polyphen-2' AS tag FROM ef e JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY var_id, tx_id ORDER BY line) AS rn FROM (SELECT DISTINCT var_id, tx_id, allele, rel_start % 3 AS m, rel_start * 8 + ascii(allele) % 8 AS line FROM ef WHERE ref_aa <> alt_aa) x) y WHERE rn = 1 AND m <> 0) p USING (var_id, tx_id, allele) WHERE ref_aa <> alt_aa) z", "ef")
 q("J10", lambda f: coverage.per_chromosome(f.cube.where("chr <> 'chr3'"), f.sizes).select("sample", "chr", "coverage"), f"SELECT s.sample, d.chr, coalesce(CASE WHEN d.chr <> 'chr3' THEN coverage END, 0) AS coverage FROM (SELECT DISTINCT sample FROM sites) s CROSS JOIN {_DIM} LEFT JOIN tot t ON t.sample = s.sample AND t.scope = d.chr", "sites", "tot")
 _J11 = f"SELECT sample, call_id, CASE WHEN score IS NULL THEN 'filtered' ELSE 'dropped' END AS kind, score FROM ({SNV_CALLS}) c LEFT JOIN (SELECT chr, stop AS start, left(obs, 1) AS ref, right(obs, 1) AS alt, max(line % 10 / 10) AS score FROM known WHERE class = 'single' AND obs LIKE '_/_' AND line % 10 / 10 {{}} GROUP BY ALL) k USING (chr, start, ref, alt)"
 q("J11", lambda f: annotate.database_filter(calling.snv_calls(f.snvs), _scores(f), 0.3).select("sample", "call_id", "kind", "score"), _J11.format(">= 0.3"), "sv", "known")
@@ -150,17 +152,19 @@ q("O1", lambda f: ordered.with_ordinals(f.spark, _ordered_sites(f)).select("samp
 q("O1_range", lambda f: ordered.read_range(f.spark, _ordered_sites(f), {"rank": 4, "pos": 500}, {"rank": 13, "pos": 2000}).select("sample", "chr", "pos"), f"SELECT sample, chr, pos FROM (SELECT *, {_RANK} AS rank FROM sites) x WHERE (rank > 4 OR rank = 4 AND pos >= 500) AND (rank < 13 OR rank = 13 AND pos <= 2000)", "sites")
 q("O2", lambda f: reads.passed(f.classified).select("sample", "out", "reads"), "SELECT sample, out, count(*) AS reads FROM ro GROUP BY ALL UNION ALL SELECT sample, 'total', count(*) FROM ro GROUP BY sample", "ro")
 q("O3", lambda f: coverage.histogram_report(f.cube, f.target, f.sizes).groupBy("sample").agg(F.max("depth").alias("last"), F.count("*").alias("rows")), "SELECT sample, CAST(least(max(depth), 500) AS INT) AS last, CAST(least(max(depth), 500) + 1 AS BIGINT) AS rows FROM sites GROUP BY sample", "sites")
-q("U1", lambda f: reads.pooled(*(f.classified.where(F.col("run") == r) for r in "ab")).groupBy("sample").agg(F.count_distinct("run").alias("runs"), F.count("*").alias("reads")), "SELECT sample, count(DISTINCT run) AS runs, count(*) AS reads FROM cl GROUP BY sample", "cl")
+q("O3_records", lambda f: text.with_sample(text.read_fastq(f.spark, _mate_files(f), head=reads.HEAD)).select("sample", "run", "name", "seq", "qual"), "SELECT sample, run, name, seq, qual FROM (SELECT *, row_number() OVER (PARTITION BY sample, run, dir ORDER BY ordinal) AS rn FROM reads) x WHERE rn <= 250", "reads")
+q("U1", lambda f: _pooled_sets(f), "SELECT sample, run, CASE WHEN out = 'S' THEN 'SE' ELSE 'PE' END AS read_set, name, seq, qual FROM ro", "ro")
 q("U2", lambda f: f.routed.select("sample", "name", "out"), "SELECT sample, name, out FROM ro", "ro")
 _U3 = "SELECT c.sample, c.depth, coalesce(b.cum, 0) AS n_bed, (100 * coalesce(b.cum, 0) / bed_positions) AS pct_bed, c.cum AS n_covered, (100 * c.cum / covered_positions) AS pct_covered, (100 * c.cum / g) AS pct_genome FROM cum c JOIN (SELECT * FROM tot WHERE scope = 'all') t ON t.sample = c.sample CROSS JOIN beds CROSS JOIN (SELECT sum(size) AS g FROM sizes) z LEFT JOIN (SELECT * FROM cum WHERE scope = 'bed') b ON b.sample = c.sample AND b.depth = c.depth WHERE c.scope = 'all' AND c.depth <= 500"
 q("U3", lambda f: coverage.histogram_report(f.cube, f.target, f.sizes), f"{_U3} UNION ALL SELECT sample, 0, bed_positions, 100, covered_positions, 100, 100 FROM tot CROSS JOIN beds WHERE scope = 'all'", "cum", "tot", "beds", "sizes")
 q("U4", lambda f: coverage.histogram_by_chromosome(f.cube, f.sizes), "SELECT sample, depth, " + ", ".join(f"coalesce(max(CASE WHEN scope = '{c}' THEN cum / size END), 0) AS {c}" for c in CANONICAL) + " FROM cum LEFT JOIN sizes ON chr = scope WHERE depth <= 500 GROUP BY sample, depth UNION ALL SELECT DISTINCT sample, 0, " + ", ".join("100.0" for _ in CANONICAL) + " FROM sites", "cum", "sizes", "sites")
 q("U5", lambda f: f.snvs.select("sample", "chr", "pos", F.explode("alts").alias("alt")), "SELECT sample, chr, pos, unnest(alts) AS alt FROM sv", "sv")
-q("U6", lambda f: f.ties.where("tag = 'candidateGenes'").groupBy("sample", "var_id", "tx_id").agg(F.count("*").alias("events")), "SELECT sample, var_id, tx_id, count(*) AS events FROM ti WHERE tag IN ('ss', 'ns', 'cIndel') GROUP BY ALL", "ti")
+q("U6", lambda f: f.ties.where("tag = 'candidateGenes'").select("sample", "var_id", "tx_id", "exon_no", "hom_het"), "SELECT sample, var_id, tx_id, exon_no, hom_het FROM ti WHERE tag IN ('ss', 'ns', 'cIndel')", "ti")
 
 # Scalar expressions.
 q("O-SC1", lambda f: f.genome.select("chr", "chunk", X.count_of(F.col("seq"), "N").cast("long").alias("n"), X.gc_fraction(F.col("seq")).alias("gc")), "SELECT chr, chunk, length(seq) - length(replace(seq, 'N', '')) AS n, (length(regexp_replace(seq, '[^GCgc]', '', 'g')) / length(seq)) AS gc FROM genome", "genome")
 q("O-SC2", lambda f: calling.parsed(f.sites).select("sample", "chr", "pos", X.count_text(F.col("alleles")).alias("counts"), F.col("parsed").cast("long").alias("parsed"), F.col("deletions").cast("long").alias("deletions"), "mismatch"), "SELECT sample, chr, pos, counts, parsed, deletions, parsed <> depth AS mismatch FROM pc", "pc")
+q("O-SC2_warnings", lambda f: calling.warnings(f.sites), "SELECT sample, count(*) AS sites, count(*) FILTER (WHERE parsed <> depth) AS mismatched, CAST(sum(abs(parsed - depth)) AS BIGINT) AS bases_off FROM pc GROUP BY sample", "pc")
 q("O-SC3", lambda f: f.called_indels.select("sample", "chr", "pos", X.count_text(F.col("alleles"), True).alias("counts")), "SELECT sample, chr, pos, counts FROM ix", "ix")
 q("O-SC4", lambda f: f.genome.select("chr", "chunk", X.reverse_complement(F.col("seq")).alias("rc"), X.complement(F.lower("seq")).alias("c")), "SELECT chr, chunk, reverse(translate(seq, 'ACGT', 'TGCA')) AS rc, translate(lower(seq), 'acgt', 'TGCA') AS c FROM genome", "genome")
 q("O-SC5", lambda f: f.genome.select("chr", "chunk", X.translated(F.col("seq")).alias("protein")), f"SELECT chr, chunk, array_to_string(list_transform(range(0, length(seq) // 3), lambda i: {codon('substring(seq, CAST(i * 3 + 1 AS INT), 3)')}), '') AS protein FROM genome", "genome")
@@ -323,6 +327,15 @@ def _fastq(f):
     return _lines(f, reads.fastq_text(named, "file").select("value", "file"), "fastq", "file")
 
 
+def _pooled_sets(f):
+    """Filtered reads as paired and single sets of each run in files of their own, read back and pooled."""
+    path = made.shared(f.spark, "sets")
+    x = reads.fastq_text(f.routed, "run").select(F.concat_ws(".", "sample", "run", F.when(F.col("out") == "S", "SE").otherwise("PE"), F.lit("fastq")).alias("file"), "value")
+    named.write_named(x, path)
+    every = text.with_sample(text.read_fastq(f.spark, path))
+    return reads.pooled(*(every.where(F.col("read_set") == k) for k in ("PE", "SE"))).select("sample", "run", "read_set", "name", "seq", "qual")
+
+
 def _mate_files(f):
     """A FASTQ file for each mate of each sample and run, in order of the reads."""
     path = made.shared(f.spark, "mates")
@@ -375,7 +388,7 @@ def _report(f):
     return f.spark.read.schema(report.schema).json(path)
 
 
-q("K7", lambda f: _report(f).select("sample", "grp", "gene_id", F.size("transcripts").alias("transcripts"), F.aggregate("transcripts", F.lit(0), lambda a, t: a + F.size(t["variants"])).alias("variants")),
-  "SELECT sample, grp, gene_id, CAST(count(DISTINCT tx_id) AS INT) AS transcripts, CAST(count(*) AS INT) AS variants FROM (SELECT DISTINCT g.sample, g.grp, g.gene_id, g.tx_id, t.var_id FROM gg g JOIN ti t ON t.sample = g.sample AND t.tx_id = g.tx_id AND t.tag = 'candidateGenes' WHERE g.tag = 'candidateGenes' AND g.grp IN ('novel_recessive', 'novel_homozygous')) x GROUP BY ALL", "gg", "ti")
+q("K7", lambda f: _report(f).select("sample", "grp", "gene_id", F.explode("transcripts").alias("t")).select("sample", "grp", "gene_id", "t.tx_id", F.explode("t.variants").alias("v")).select("sample", "grp", "gene_id", "tx_id", "v.var_id", "v.hom_het", F.array_join(F.array_sort("v.alleles"), ",").alias("alleles")),
+  "SELECT DISTINCT g.sample, g.grp, g.gene_id, g.tx_id, t.var_id, v.hom_het, array_to_string(list_sort(v.alleles), ',') AS alleles FROM gg g JOIN ti t ON t.sample = g.sample AND t.tx_id = g.tx_id AND t.tag = 'candidateGenes' JOIN vs v ON v.sample = t.sample AND v.var_id = t.var_id WHERE g.tag = 'candidateGenes' AND g.grp IN ('novel_recessive', 'novel_homozygous')", "gg", "ti", "vs")
 q("K8", lambda f: _named(f, rollup.prediction_input(f.variants, f.ties).select(F.concat("sample", F.lit(".pph")).alias("file"), "value"), "pph"), "SELECT sample || '.pph' AS file, chr || ':' || (v_sta + 1) || ' ' || array_to_string(alleles, '/') || ' #' || var_id || ';candidateGenes;novel' AS value FROM vs WHERE var_type = 'snp' AND status = 'novel' AND (sample, var_id) IN (SELECT sample, var_id FROM ti WHERE tag = 'candidateGenes')", "vs", "ti")
 q("K9", lambda f: _tsv(f, genome.with_total(f.sizes), "sizes"), "SELECT chr, size FROM sizes UNION ALL SELECT 'Total_size', CAST(sum(size) AS BIGINT) FROM sizes", "sizes")

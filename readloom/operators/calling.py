@@ -18,6 +18,13 @@ def parsed(sites: DataFrame) -> DataFrame:
     return s.withColumn("parsed", F.aggregate(F.map_values("alleles"), F.lit(0), lambda a, x: a + x)).withColumn("mismatch", F.col("parsed") != F.col("depth"))
 
 
+def warnings(sites: DataFrame) -> DataFrame:
+    """(sample, sites, mismatched, bases_off): sites whose parsed bases aren't as many as their depth, and how far
+    they are off in all."""
+    off = F.abs(F.col("parsed") - F.col("depth"))
+    return parsed(sites).groupBy("sample").agg(F.count("*").alias("sites"), F.count_if("mismatch").alias("mismatched"), F.sum(off).cast("long").alias("bases_off"))
+
+
 def snvs(sites: DataFrame, max_del_frac: float = CALLS["max_del_frac"]) -> DataFrame:
     """Selected substitutions, with hom_het and the alternative bases."""
     s = parsed(sites).where(F.col("parsed") > 0).where(F.col("deletions") / F.col("parsed") <= max_del_frac)

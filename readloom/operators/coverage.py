@@ -126,7 +126,7 @@ def histogram_report(cube: DataFrame, size: DataFrame, genome_sizes: DataFrame)
 
 def histogram_by_chromosome(cube: DataFrame, genome_sizes: DataFrame) -> DataFrame:
     """A column for each canonical chromosome: 100 at depth 0, then cumulative share of its size."""
-    cum = cumulative(cube).where((F.col("depth") <= MOST_DEPTH) & F.col("scope").isin(*CANONICAL)).withColumnRenamed("scope", "chr").join(F.broadcast(genome_sizes), "chr")
+    cum = cumulative(cube).where((F.col("depth") <= MOST_DEPTH) & F.col("scope").isin(*CANONICAL)).withColumnRenamed("scope", "chr").join(genome_sizes, "chr")
     every = cumulative(cube).where(F.col("depth") <= MOST_DEPTH).select("sample", "depth").distinct()
     wide = cum.groupBy("sample", "depth").pivot("chr", CANONICAL).agg(F.first(F.col("cum") / F.nullif(F.col("size"), F.lit(0))))
     rows = every.join(wide, ["sample", "depth"], "left").na.fill(0.0)

@@ -99,16 +99,26 @@ def rejected(classified: DataFrame) -> DataFrame:
 
 
 def passed(classified: DataFrame) -> DataFrame:
-    """Reads and bases of each output and in all (total last), with shares of passed and of all."""
-    by = routed(classified).rollup("sample", "out").agg(F.count("*").alias("reads"), F.sum("len").cast("long").alias("bases")).where("sample is not null")
-    by = by.withColumn("out", F.coalesce("out", F.lit("total")))
-    sums = by.where("out = 'total'").select("sample", F.col("reads").alias("p_reads"), F.col("bases").alias("p_bases"))
-    every = totals(classified).select("sample", F.col("reads").alias("t_reads"), F.col("bases").alias("t_bases"))
-    x = by.join(sums, "sample").join(every, "sample")
+    """Reads and bases of each output and in all (total last), with shares of passed and of all. One grouping of the
+    reads by sample and output, none included, gives every number."""
+    goes = F.col("reason").isNull() & (F.col("mates") == 2)
+    out = F.when(goes, F.when(F.col("passing") == 2, F.col("dir").cast("string")).otherwise("S"))
+    by = paired(classified).groupBy("sample", out.alias("out")).agg(F.count("*").alias("reads"), F.sum("len").alias("bases"), F.sum("bases").alias("before"))
+    every = Window.partitionBy("sample")
+    by = by.withColumn("t_reads", F.sum("reads").over(every)).withColumn("t_bases", F.sum("before").over(every)).where("out is not null")
+    by = by.select("sample", F.explode(F.array(F.col("out"), F.lit("total"))).alias("out"), "reads", "bases", "t_reads", "t_bases")
+    x = by.groupBy("sample", "out").agg(F.sum("reads").alias("reads"), F.sum("bases").cast("long").alias("bases"), F.max("t_reads").alias("t_reads"), F.max("t_bases").alias("t_bases"))
+    x = x.withColumn("p_reads", F.max("reads").over(every)).withColumn("p_bases", F.max("bases").over(every))
     pct = lambda a, b: (100 * F.col(a) / F.col(b)).alias(f"{a}_pct_{'passed' if b[0] == 'p' else 'all'}")
     return x.select("sample", "out", "reads", pct("reads", "p_reads"), pct("reads", "t_reads"), "bases", pct("bases", "p_bases"), pct("bases", "t_bases")).orderBy("sample", F.when(F.col("out") == "total", 1).otherwise(0), "out")
 
 
+def warnings(classified: DataFrame) -> DataFrame:
+    """(sample, run, reads, incomplete, unequal, unpaired): reads without a name, bases or qualities, reads with other
+    than as many qualities as bases, and reads without a mate."""
+    return paired(classified).groupBy("sample", "run").agg(F.count("*").alias("reads"), F.count_if(~F.col("present")).alias("incomplete"), F.count_if(~F.col("same_length")).alias("unequal"), F.count_if(F.col("mates") != 2).alias("unpaired"))
+
+
 def _share(by: DataFrame, classified: DataFrame) -> DataFrame:
     """pct of the reads in passing outputs."""
     n = routed(classified).groupBy("sample").agg(F.count("*").alias("passed"))

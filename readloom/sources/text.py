@@ -176,10 +176,14 @@ def read_fastq(spark: SparkSession, path: str, head: int | None = None) -> DataF
 
 
 def with_sample(df: DataFrame, path: str = "path") -> DataFrame:
-    """df with sample and run by the name in each row's path."""
+    """df with sample and run by the name in each row's path, and read_set: SE or PE where a part of the name says so,
+    else null."""
     folder = F.regexp_extract(path, r"/file=([^/]+)/", 1)
-    sample, run = sample_of(F.when(folder != "", folder).otherwise(F.col(path)))
-    return df.withColumn("sample", sample).withColumn("run", run)
+    name = F.when(folder != "", folder).otherwise(F.regexp_replace(path, r"\.\d{5}$", ""))
+    sample, run = sample_of(name)
+    parts = F.split(F.regexp_extract(name, r"([^/]+)$", 1), r"\.")
+    kind = F.when(F.array_contains(parts, "SE"), "SE").when(F.array_contains(parts, "PE"), "PE")
+    return df.withColumn("sample", sample).withColumn("run", run).withColumn("read_set", kind)
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
