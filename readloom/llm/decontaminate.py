@@ -298,10 +298,10 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overl
 
 
 def apply(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """docs without those that hold a test item; a null doc_id is judged by its own text's row only
-    through its id, so rows without one are kept."""
-    found = leaks(docs, items).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    """docs without the rows whose text holds a test item, whatever their doc_id."""
+    row = "__readloom_row"
+    found = leaks(docs.select(tables.row_key().alias("doc_id"), "text"), items).select(F.col("doc_id").alias(row)).distinct()
+    return docs.withColumn(row, tables.row_key()).join(found, row, "left_anti").select(docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

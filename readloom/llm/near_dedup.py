@@ -7,7 +7,7 @@ value, down to depth 4, so the depth adapts to how crowded that part of the orde
 
 Two texts of similarity s share a region at depth d in one of the trees with probability
 1 - (1 - s**d)**32: at s = 0.75 a miss has a chance of 3e-12 at depth 2 and 5e-6 at depth 4.
-Candidates whose signatures agree in fewer than ``AGREE`` values are dropped (1e-7 at 0.75). All
+Candidates whose signatures agree in fewer than ``AGREE`` values are dropped (1.9e-7 at 0.75). All
 others are confirmed on the full sets of their whole texts.
 
 Work stays linear in a group of copies: equal sets become one class first; then every document is
@@ -16,11 +16,11 @@ than one component are all pairs between different components compared, in block
 those left are confirmed until a document has one link to a component, with each text sent once to
 its component's task, and a component of many texts to several.
 
-Defined cases: a null, empty or blank text has an empty set and links with nothing; a row with a
-null doc_id is kept and links with nothing; rows that share a doc_id are meant to be one document: of
-different texts under one doc_id some may stay without their links; a very long text is one set;
-repeated rows have one class; an empty table gives no rows; columns besides doc_id and text are kept by
-``apply``, whatever their names.
+Defined cases: a null, empty or blank text has an empty set and links with nothing; in ``groups`` and
+``query`` a row with a null doc_id links with nothing, and rows that share a doc_id are meant to be one document:
+of different texts under one doc_id some may stay without their links (``apply`` goes by rows); a
+very long text is one set; repeated rows have one class; an empty table gives no rows; columns besides
+doc_id and text are kept by ``apply``, whatever their names.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ BLOCK = 2048
 BUCKET_ROWS = 20_000
 #: Rows of trees that a task sorts, and bytes of a component's texts that are compared in one group.
 SORTED_ROWS, GROUP_BYTES = 2_000_000, 8 << 20
-#: Of 128 values, those that must agree: a pair of similarity 0.75 has fewer with a chance of 1e-7.
+#: Of 128 values, those that must agree: a pair of similarity 0.75 has fewer with a chance of 1.9e-7.
 AGREE = 70
 _A = np.random.default_rng(41).integers(1, 2**63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -291,9 +291,22 @@ def groups(docs: DataFrame) -> DataFrame:
 
 
 def apply(docs: DataFrame) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest doc_id."""
-    gone = groups(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One row of each group of near duplicates: that with the smallest doc_id, null last, then with the smallest
+    hash of id and text. Every row counts by its own text: rows without an id and different texts under one id are
+    linked like any others, and of rows equal in id and text one stays. Rows without words all stay."""
+    row = "__readloom_row"
+    rows = docs.withColumn(row, tables.row_key())
+    found = tables.stored(groups(docs.select(tables.row_key().alias("doc_id"), "text")).where("n_shingles > 0").select(F.col("doc_id").alias(row), "component_id"), "rows")
+    linked = found.where(F.col(row) != F.col("component_id")).distinct()
+    members = linked.unionByName(linked.select(F.col("component_id").alias(row), "component_id").distinct())
+    ids = rows.select(row, "doc_id").join(members, row)
+    first = ids.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("first"))
+    chosen = first.select(F.col(f"first.{row}").alias(row))
+    gone = members.select(row).join(chosen, row, "left_anti")
+    twice = found.groupBy(row).agg(F.count("*").alias("n")).where("n > 1").select(row)
+    kept = rows.join(gone, row, "left_anti")
+    once = kept.join(twice, row, "left_anti")
+    return once.unionByName(kept.join(twice, row, "left_semi").dropDuplicates([row])).select(docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -274,7 +274,7 @@ def test_passages_are_searched_for_all_items(spark):
     assert set(one) == set(want) and all(abs(one[k] - want[k]) < 1e-9 for k in want) and {(100 + k, k) for k in range(12)} - {(107, 7)} <= set(one)
     assert decontaminate.leaks(frame_.limit(0), table).count() == 0 and decontaminate.leaks(frame_, table.limit(0)).count() == 0
     kept = decontaminate.apply(frame_, table)
-    assert kept.columns == frame_.columns and kept.where("doc_id is null").count() == 1 and not {r.doc_id for r in kept.collect()} & {i for i, _ in want if i is not None}
+    assert kept.columns == frame_.columns and kept.where("doc_id is null").count() == 0 and not {r.doc_id for r in kept.collect()} & {i for i, _ in want if i is not None}
 
 
 def test_an_index_is_small():
@@ -302,7 +302,10 @@ def test_empty_tables_and_null_ids(spark, apply):
     assert apply(empty).count() == 0
     rows = [(None, "some words " * 30), (1, "some words " * 30), (1, "some words " * 30), (2, None)]
     out = apply(frame(spark, rows).withColumn("key", F.lit(7)).withColumn("score", F.lit(1)))
-    assert out.columns == ["doc_id", "text", "lang", "key", "score"] and out.where("doc_id is null").count() == 1
+    assert out.columns == ["doc_id", "text", "lang", "key", "score"]
+    # Among near duplicates a row without an id is a copy like any other.
+    near = apply is near_dedup.apply
+    assert out.where("doc_id is null").count() == (0 if near else 1) and out.count() == (2 if near else 4)
 
 
 def test_neighbours_with_two_hashes(spark):
