@@ -154,7 +154,7 @@ def _counting(bits, sketch, n_buckets):
     return run
 
 
-def _most(pdf):
+def _often(pdf):
     """A bucket's minimizers of HOT stretches or more, and how many stretches it has."""
     import pandas as pd
 
@@ -166,12 +166,25 @@ def _most(pdf):
     return pd.DataFrame({"mins": [h[often].tobytes()], "counts": [c[often].tobytes()], "n": [int(c.sum())]})
 
 
+def _above(least):
+    """mapInArrow: of each row's minimizers those of ``least`` stretches or more."""
+
+    def run(batches):
+        for batch in batches:
+            rows = [(np.frombuffer(h, np.uint64), np.frombuffer(c, np.int64)) for h, c in zip(batch["mins"].to_pylist(), batch["counts"].to_pylist())]
+            yield pa.RecordBatch.from_pydict({"mins": pa.array([h[c >= least].tobytes() for h, c in rows], pa.binary())})
+
+    return run
+
+
 def hot_minimizers(keyed: DataFrame, bits: int, sketch, n_buckets: int) -> np.ndarray:
-    """Sorted minimizers whose windows are sent one by one; at most SHARE of them."""
+    """Sorted minimizers whose windows are sent one by one: of HOT stretches, and of a SHARE-th of all at least, so
+    that no more than SHARE of them come to the driver."""
     counts = keyed.mapInArrow(_counting(bits, sketch, n_buckets), "bucket int, mins binary, counts binary").withColumn("least", F.lit(HOT))
-    rows = counts.groupBy("bucket").applyInPandas(_most, "mins binary, counts binary, n long").collect()
-    h, c = (np.concatenate([np.frombuffer(r[x], t) for r in rows] or [np.zeros(0, t)]) for x, t in (("mins", np.uint64), ("counts", np.int64)))
-    return np.sort(h[c >= -(-sum(r["n"] for r in rows) // SHARE)])
+    rows = tables.stored(counts.groupBy("bucket").applyInPandas(_often, "mins binary, counts binary, n long"), "minimizers")
+    least = -(-(rows.agg(F.sum("n")).first()[0] or 0) // SHARE)
+    got = rows.select("mins", "counts").mapInArrow(_above(max(least, HOT)), "mins binary").collect()
+    return np.sort(np.concatenate([np.frombuffer(r["mins"], np.uint64) for r in got] or [np.zeros(0, np.uint64)]))
 
 
 def _inside(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
