@@ -12,7 +12,8 @@ probability (c+1)/(N+V+1) of the class's N tokens and V distinct ones, an unseen
 Training: tasks write every training text's (two tokens before, token) with its counts, dealt by
 document over ``ROUNDS`` slices, so this table grows with the corpus. Each round takes the next slice:
 tasks sum observed and, under the broadcast weights, expected feature counts; the sums are merged by
-groups and levels, and the driver makes a scaled gradient step with them. Each text is used once.
+groups and levels, and the driver makes a step along their difference, the gradient, each weight at a
+rate of its own. Each text is used once.
 Weights start at the unigram model; their number is fixed by the parameters above.
 
 Scoring looks up frequent tokens (at least one ``FREQUENT``-th of all, so at most ``FREQUENT`` of
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from . import mindoc, tables
 from .words import Words, chunks, mix, utf8
 
-HEAD, SIZE, TAIL = 16, 32, 24
+HEAD, SIZE, TAIL = 16, 32, 48
 TOP, CLASSES = HEAD * SIZE, HEAD + TAIL
 #: Rows of context features for classes, and within classes; half of them for the most frequent tokens.
 ROWS, PAIRS, WORD_ROWS = 2048, 2048, 512
@@ -42,7 +43,7 @@ START = ROWS - 1
 #: What follows a context: a class and a place in it (SIZE in tail classes).
 TARGETS = CLASSES * (SIZE + 1)
 CLASS_FEATURES, WORD_FEATURES = 1 + 2 * ROWS + PAIRS, 1 + 2 * WORD_ROWS
-ROUNDS, RATE, SMOOTH = 6, 0.4, 2.0
+ROUNDS, RATE, SMOOTH = 6, 0.7, 2.0
 FREQUENT = 1_000_000
 #: Training tokens to a task of a round, and least tasks; contexts whose softmax is made at once.
 TASK_TOKENS, TASKS, AT_ONCE = 20_000_000, 6, 4096
@@ -356,7 +357,8 @@ def train(contexts: DataFrame, vocabulary: Vocabulary, n: int, rounds: int = ROU
             continue
         flat = [mindoc.unsqueeze(r["sums"], np.float32) for r in sorted(got, key=lambda r: r["shard"])]
         seen, guess = np.concatenate(flat[:SHARDS]), np.concatenate(flat[SHARDS:])
-        step = (RATE * np.log((seen + SMOOTH) / (guess + SMOOTH))).astype(np.float32)
+        # The gradient is seen - guess; a weight's rate falls with the occurrences that it stands for.
+        step = (RATE * (seen - guess) / (np.maximum(seen, guess) + SMOOTH)).astype(np.float32)
         model.classes += step[: model.classes.size].reshape(model.classes.shape)
         model.words += step[model.classes.size :].reshape(model.words.shape)
     return model
