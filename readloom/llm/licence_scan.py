@@ -6,7 +6,11 @@ one. Its SHA-256 is joined to the digests of the known texts. Expressions of Spa
 
 Returns a row for each document: doc_id, digest, license_id (null where no known text is equal). A
 null text has a null digest and matches nothing; an empty or blank text has the digest of "" and
-matches nothing. Known texts that share a digest give the smallest id. Repeated rows stay repeated.
+matches nothing. Known texts that share a digest give the smallest id. Repeated rows stay repeated,
+each with its own result. A very long text is normalised whole by Spark's own functions, within a
+few times its size of the executor's heap. An empty table, of documents or of known texts, is no error: no
+rows, or no matches. Other columns aren't read. ``digests`` takes a table of texts (an id column and
+text) where the list of ``licences`` isn't enough.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from readloom.llm import cross_polytope, decontaminate, gsaca, licence_scan, maxent_lm, near_dedup, packing, pfor, quality, substring_dedup, suffix_dedup, token_output
+from readloom.llm import cross_polytope, decontaminate, gsaca, licence_scan, licences, maxent_lm, near_dedup, packing, pfor, quality, substring_dedup, suffix_dedup, token_output
 from readloom.llm.licences import MIT
 
 WORDS = [f"w{i}" for i in range(400)]
@@ -182,6 +182,32 @@ def test_licences(spark):
     assert got == {1: "MIT", 2: None, 3: None, 4: None}
 
 
+def test_every_known_licence_is_found(spark, tmp_path):
+    """Whole texts of each licence, written otherwise, through the query; one word more is no match."""
+    rows, want = [], {}
+    for k, (name, text) in enumerate(licences.KNOWN):
+        other = text.upper().replace(",", " ;").replace("\n", " \n\t ")
+        for good, bad in licences.SPELLINGS:
+            other = other.replace(f" {good.upper()} ", f" {bad.upper()} ")
+        rows += [(10 * k, text), (10 * k + 1, f"Copyright © 2001-2020, Someone Else\n(c) Another\n{other}\n  All rights reserved.  "), (10 * k + 2, f"{text} indeed"), (10 * k + 3, text[: len(text) // 2])]
+        want |= {10 * k: name, 10 * k + 1: name, 10 * k + 2: None, 10 * k + 3: None}
+    rows += [(5000, " \n"), (5001, "words " * 100_000), (None, MIT)]
+    want |= {5000: None, 5001: None, None: "MIT"}
+    docs = frame(spark, rows + rows[:1]).withColumns({c: F.lit("x") for c in ("digest", "license_id", "known_digest")})
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = licence_scan.query(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) + 1 and {r.doc_id: r.license_id for r in got} == want
+
+
+def test_tables_of_licences(spark):
+    texts = spark.createDataFrame([("b", "Same words."), ("a", "same WORDS"), ("c", "other"), ("d", None), ("e", " ")], "id string, text string")
+    known = licence_scan.digests(texts, "id")
+    docs = frame(spark, [(1, "Same, words"), (2, "other!"), (3, ""), (4, None), (5, "none")])
+    assert {r.doc_id: r.license_id for r in licence_scan.scan(docs, known).collect()} == {1: "a", 2: "c", 3: None, 4: None, 5: None}
+    assert licence_scan.scan(docs.limit(0), known).count() == 0
+    assert [r.license_id for r in licence_scan.scan(docs, known.limit(0)).collect()] == [None] * 5
+
+
 def test_buckets(spark, tmp_path):
     r = random.Random(3)
     for _ in range(60):
