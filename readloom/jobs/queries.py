@@ -179,7 +179,8 @@ q("O-SC10", lambda f: f.transcripts.select("tx_id", X.duration(F.col("tx_id") *
 for _id, _tags in {"T1": ["ncGene"], "T2": ["upStr"], "T3": ["dnStr"], "T4": ["cGene"], "T5": ["5pUTR", "3pUTR", "utr5_stranded", "utr3_stranded"], "T6": ["intron"], "T7": ["exon"], "T8": ["ss"], "T9": ["cds", "cIndel"]}.items():
     q(_id, lambda f, t=_tags: f.plain_ties.where(F.col("tag").isin(*t)).drop("status"), "SELECT sample, var_id, tx_id, tag, exon_no, hom_het FROM ti0 WHERE tag IN (" + ", ".join(f"'{t}'" for t in _tags) + ")", "ti0")
 q("T10", lambda f: annotate.effect_ties(f.effects).drop("status"), "SELECT sample, var_id, tx_id, unnest(list_filter(['ns', 'candidateGenes', CASE WHEN alt_aa = 'X' THEN 'nsense' END, CASE WHEN ref_aa = 'X' THEN 'mutStop' END], lambda x: x IS NOT NULL)) AS tag, exon_no, hom_het FROM ef WHERE ref_aa <> alt_aa", "ef")
-q("T11", lambda f: f.effects.drop("called", "mutated"), "SELECT sample, var_id, tx_id, allele, exon_no, rel_start, frame, ref_codon, ref_aa, alt_codon, alt_aa, nt_change, aa_change, ref_ok, hom_het, status FROM ef", "ef")
+q("T11", lambda f: f.effects.drop("called"), "SELECT sample, var_id, tx_id, allele, exon_no, rel_start, frame, ref_codon, ref_aa, alt_codon, alt_aa, nt_change, aa_change, ref_ok, hom_het, status FROM ef", "ef")
+q("T11_mutated", lambda f: annotate.mutated_sequences(f.effects, f.cds).select("sample", "var_id", "tx_id", "allele", "mutated"), "SELECT sample, var_id, tx_id, allele, left(cds, CAST(rel AS INT)) || allele || substring(cds, CAST(rel + 2 AS INT)) AS mutated FROM ef4", "ef4")
 
 
 # Sources and sinks: what was written is read back.

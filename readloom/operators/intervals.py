@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import contig_rank
+from ..sources.ordered import in_order
 
 BIN = 1024
 #: Bases of a range in merging, and of the bins that ranges of a join are made of.
@@ -131,7 +132,5 @@ def overlapping(left: DataFrame, right: DataFrame, l_start: str, l_last: str, r_
 
 
 def in_genomic_order(df: DataFrame, position: str = "pos", partitions: int | None = None) -> DataFrame:
-    """Range-partitioned and sorted by contig rank and position."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranked = df.withColumn("_rank", contig_rank(F.col("chr")))
-    return ranked.repartitionByRange(n, "_rank", position).sortWithinPartitions("_rank", position).drop("_rank")
+    """Range-partitioned and sorted by contig rank and position; ``ordered.write_ordered`` keeps such an order with a manifest."""
+    return in_order(df.withColumn("_rank", contig_rank(F.col("chr"))), ["_rank", position], partitions).drop("_rank")

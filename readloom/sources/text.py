@@ -204,5 +204,6 @@ def write_tsv(df: DataFrame, path: str, header: bool = True) -> None:
 
 
 def write_text(df: DataFrame, path: str, *partition_by: str) -> None:
-    """df: value and the columns it is partitioned by."""
-    (df.write.partitionBy(*partition_by) if partition_by else df.write).text(path)
+    """df: value and the columns it is partitioned by. Rows of a partition meet before they are written, so that it has few
+    files; large partitions are split by Spark's rebalancing."""
+    (df.hint("rebalance", *partition_by).write.partitionBy(*partition_by) if partition_by else df.write).text(path)

@@ -77,3 +77,11 @@ def test_a_long_gene_is_one_row_and_a_hot_place_many_parts(spark):
     right = spark.createDataFrame(genes, "chr string, j int, x int, y int")
     got = sorted((g.i, g.j) for g in intervals.overlapping(left, right, "s", "e", "x", "y", ["chr"], 500).collect())
     assert got == brute(hot + rest, genes)
+
+
+def test_genomic_order(spark):
+    rows = [(c, p) for c in ("chr10", "chr2", "chrM", "chrUn_gl000249", "what", "chr1_gl000191_random", "chr1") for p in (30, 4, 100)]
+    df = spark.createDataFrame(rows, "chr string, pos int").repartition(5)
+    got = [tuple(r) for r in intervals.in_genomic_order(df, partitions=3).collect()]
+    rank = ["chr1", "chr1_gl000191_random", "chr2", "chr10", "chrM", "chrUn_gl000249", "what"]
+    assert got == [(c, p) for c in rank for p in (4, 30, 100)]
