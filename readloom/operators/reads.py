@@ -37,10 +37,11 @@ def offsets_of(heads: DataFrame) -> DataFrame:
     return n.withColumn("offset", F.when(100 * F.col("n33") / F.nullif(total, F.lit(0)) > 99, 33).when(100 * F.col("n64") / F.nullif(total, F.lit(0)) > 99, 64))
 
 
-def classified(reads: DataFrame, offset: int | None = None, **thresholds) -> DataFrame:
-    """reads trimmed, with len, reason (null: passes), qualities' offset, pair_key and valid."""
-    if offset is None:
-        found = offsets(reads).select("sample", "run", F.coalesce("offset", F.raise_error(F.lit("quality offset can't be told")).cast("int")).alias("offset"))
+def classified(reads: DataFrame, offset: int | DataFrame | None = None, **thresholds) -> DataFrame:
+    """reads trimmed, with len, reason (null: passes), qualities' offset, pair_key and valid. offset: a number, a table
+    as from ``offsets_of``, or found in these reads."""
+    if offset is None or isinstance(offset, DataFrame):
+        found = (offsets(reads) if offset is None else offset).select("sample", "run", F.coalesce("offset", F.raise_error(F.lit("quality offset can't be told")).cast("int")).alias("offset"))
         reads = reads.join(found, ["sample", "run"])
     else:
         reads = reads.withColumn("offset", F.lit(offset))
