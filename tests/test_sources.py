@@ -11,7 +11,7 @@ from readloom.sources import lines, text
 from readloom.sources.fastq import FastqReader
 
 
-@pytest.fixture(params=[23, 400, 1 << 27])
+@pytest.fixture(params=[97, 1 << 27])
 def ranges(spark, request):
     """Bytes of a range; several ranges share a task where the cost of opening one is small."""
     for k, v in (("maxPartitionBytes", request.param), ("openCostInBytes", 1 + request.param % 5)):
