@@ -290,20 +290,27 @@ def groups(docs: DataFrame) -> DataFrame:
     return slim.join(changed, ["h1", "h2", "n"], "left").select("doc_id", "key", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
+def row_ids(docs: DataFrame, name: str) -> DataFrame:
+    """docs with a long of its own for each different row (doc_id, text): the doc_id, but for rows without one and for
+    further texts under one, which get hashes above all ids under 2 ** 62."""
+    key = tables.row_key()
+    texts = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(key).alias(f"{name}_first"), F.max(key).alias(f"{name}_last"))
+    several = texts.where(F.col(f"{name}_first") != F.col(f"{name}_last")).select(F.col("doc_id").alias(f"{name}_of"), f"{name}_first")
+    several = tables.stored(several, "several-texts")
+    other = key.bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    own = F.when(F.col("doc_id").isNull() | (key != F.col(f"{name}_first")), other).otherwise(F.col("doc_id"))
+    return docs.join(several, docs["doc_id"] == F.col(f"{name}_of"), "left").withColumn(name, own).select(*docs.columns, name)
+
+
 def apply(docs: DataFrame) -> DataFrame:
-    """One row of each group of near duplicates: that with the smallest doc_id, null last, then with the smallest
-    hash of id and text. Every row counts by its own text: rows without an id and different texts under one id are
-    linked like any others, and of rows equal in id and text one stays. Rows without words all stay."""
+    """One row of each group of near duplicates: that with the smallest doc_id, null last. Every row counts by its own
+    text: rows without an id and different texts under one id are linked like any others, and of rows equal
+    in id and text one stays. Rows without words all stay."""
     row = "__readloom_row"
-    rows = docs.withColumn(row, tables.row_key())
-    found = tables.stored(groups(docs.select(tables.row_key().alias("doc_id"), "text")).where("n_shingles > 0").select(F.col("doc_id").alias(row), "component_id"), "rows")
-    linked = found.where(F.col(row) != F.col("component_id")).distinct()
-    members = linked.unionByName(linked.select(F.col("component_id").alias(row), "component_id").distinct())
-    ids = rows.select(row, "doc_id").join(members, row)
-    first = ids.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("first"))
-    chosen = first.select(F.col(f"first.{row}").alias(row))
-    gone = members.select(row).join(chosen, row, "left_anti")
-    twice = found.groupBy(row).agg(F.count("*").alias("n")).where("n > 1").select(row)
+    rows = row_ids(docs, row)
+    found = tables.stored(groups(rows.select(F.col(row).alias("doc_id"), "text")).where("n_shingles > 0").select(F.col("doc_id").alias(row), "component_id"), "rows")
+    gone = found.where(F.col(row) != F.col("component_id")).select(row).distinct()
+    twice = tables.stored(found.groupBy(row).agg(F.count("*").alias("n")).where("n > 1").select(row), "repeated-rows")
     kept = rows.join(gone, row, "left_anti")
     once = kept.join(twice, row, "left_anti")
     return once.unionByName(kept.join(twice, row, "left_semi").dropDuplicates([row])).select(docs.columns)
