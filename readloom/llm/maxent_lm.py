@@ -48,7 +48,7 @@ FREQUENT = 1_000_000
 #: Training tokens to a task of a round, and least tasks; contexts whose softmax is made at once.
 TASK_TOKENS, TASKS, AT_ONCE = 20_000_000, 6, 4096
 SHARDS = 8
-HELD = 1_200_000
+HELD = 500_000
 END = np.uint64(0x51ED270B7A3C9F55)
 
 
