@@ -311,9 +311,10 @@ def apply(docs: DataFrame) -> DataFrame:
     found = tables.stored(groups(rows.select(F.col(row).alias("doc_id"), "text")).where("n_shingles > 0").select(F.col("doc_id").alias(row), "component_id"), "rows")
     gone = found.where(F.col(row) != F.col("component_id")).select(row).distinct()
     twice = tables.stored(found.groupBy(row).agg(F.count("*").alias("n")).where("n > 1").select(row), "repeated-rows")
-    kept = rows.join(gone, row, "left_anti")
-    once = kept.join(twice, row, "left_anti")
-    return once.unionByName(kept.join(twice, row, "left_semi").dropDuplicates([row])).select(docs.columns)
+    # What goes grows with the corpus: it is merged, never broadcast, and the texts are dealt once.
+    once = rows.join(gone.unionByName(twice).hint("merge"), row, "left_anti")
+    repeated = rows.join(twice, row, "left_semi").join(gone, row, "left_anti").dropDuplicates([row])
+    return once.unionByName(repeated).select(docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
