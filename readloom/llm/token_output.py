@@ -8,8 +8,11 @@ writes to. ``read`` gives each document its place among all ids from the segment
 Where the tokenizer's own first step cuts before every space that a visible character follows (a
 byte-level pre-tokenizer with its usual pattern and no normalizer), texts are cut there too, the
 distinct pieces of a chunk are found by Arrow's dictionary encoding, and only pieces not met before
-are encoded; the ids are those of the whole text. Texts with other white space after a space, texts
-that hold the content of an added token, and all texts of other tokenizers are encoded whole.
+are encoded; the ids are those of the whole text. A piece of plain characters (ASCII without the
+apostrophe, Latin letters, single line breaks) is cut further, where that first step cuts it, and its
+distinct words go to the tokenizer's model as bytes already spelled its way. Texts with other white
+space after a space, texts that hold the content of an added token, and all texts of other tokenizers
+are encoded whole.
 
 Defined cases: a null or empty text is its end id alone; null doc_ids come first; rows that share a
 doc_id keep one place each, in the order of their texts' hashes, equal rows one after the other; a
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import pfor, tables
-from .words import chunks
+from .words import BYTE, chunks, mix, powers
 
 END_ID = 2
 SEGMENT_IDS = 1_000_000
@@ -44,17 +47,49 @@ SMALL = 1_000_000
 #: After these characters' kind a space surely begins a piece: no white space among them.
 _PLAIN = "!-~À-ɏ"
 _ODD = f" (?:[^{_PLAIN}]|$)"
-#: Lines of one text that are encoded together, and texts that the tokenizer gets at once.
-LINES, TEXTS = 64, 256
+#: Pieces whose words _words cuts: between letters, digits and other characters, and at line breaks. The
+#: apostrophe begins words of its own kind, and more line breaks than one are cut by what follows them.
+_LETTERS = "!-&(-~À-ÖØ-öø-ɏ"
+_SIMPLE = f"^ ?[{_LETTERS}]+(\\n[{_LETTERS}]+)*\\n?$"
+_KIND = np.full(256, 3, np.uint8)
+_KIND[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+_KIND[48:58], _KIND[10], _KIND[32] = 2, 4, 0
+#: How a byte-level tokenizer spells each byte: a visible character as itself, others from U+0100.
+_SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SPELLED = np.zeros(256, "<u4")
+_SPELLED[_SEEN] = _SEEN
+_SPELLED[np.setdiff1d(np.arange(256), _SEEN)] = 256 + np.arange(256 - len(_SEEN))
+#: Words of one text that are encoded together, and texts that the tokenizer gets at once.
+WORDS, TEXTS = 256, 256
 _workers: dict = {}
 
 
+def _strings(x: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of an array of strings without nulls."""
+    _, offsets, data = x.buffers()
+    at = np.frombuffer(offsets, np.int32, len(x) + 1, 4 * x.offset).astype(np.int64) if len(x) else np.zeros(1, np.int64)
+    return np.frombuffer(data, np.uint8, int(at[-1] - at[0]), int(at[0])) if at[-1] > at[0] else np.zeros(0, np.uint8), at - at[0]
+
+
+def _inside(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Places begin..begin+size of every string, one string after the other."""
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def _hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    p, inv = powers(len(data))
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(BYTE[data] * p[: len(data)], out=total[1:])
+    return mix((total[at[1:]] - total[at[:-1]]) * inv[at[:-1]] + np.diff(at).astype(np.uint64))
+
+
 class Encoder:
     """Ids of whole texts."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
@@ -64,12 +99,16 @@ class Encoder:
         self.cuts = made.get("normalizer") is None and first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space", True)
         added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.odd = "|".join([_ODD, *added])
-        line_break = self._encoded(["\n"])[0]
-        self.line_break = line_break[0] if len(line_break) == 1 else None
+        if self.cuts:
+            self.model = Tokenizer(self.tokenizer.model)
+            self.model.pre_tokenizer = CharDelimiterSplit("\n")
         self.forget()
 
     def forget(self) -> None:
-        self.known, self.ids, self.at = pa.array([], pa.string()), np.zeros(0, self.dtype), np.zeros(1, np.int64)
+        """Known pieces: ascending hashes, the place of each among ids and bytes of all pieces."""
+        self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.ids, self.at = np.zeros(0, self.dtype), np.zeros(1, np.int64)
+        self.bytes, self.bytes_at = np.zeros(0, np.uint8), np.zeros(1, np.int64)
 
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         out = []
@@ -77,39 +116,79 @@ class Encoder:
             out += [np.asarray(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts[i : i + TEXTS], add_special_tokens=False)]
         return out
 
-    def _lines(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, lengths) of pieces without white space but a leading space: each group of them is
-        encoded as lines of one text, whose line breaks are tokens of their own."""
-        groups = [pieces[i : i + LINES] for i in range(0, len(pieces), LINES)]
-        ids, lengths = [], []
-        for group, x in zip(groups, self._encoded(["\n".join(g) for g in groups])):
-            cut = np.flatnonzero(x == self.line_break)
-            if len(cut) == len(group) - 1:
-                lengths.append(np.diff(np.concatenate([[-1], cut, [len(x)]])) - 1)
-                ids.append(np.delete(x, cut))
-            else:
-                apart = self._encoded(group)
-                lengths.append(np.fromiter(map(len, apart), np.int64, len(apart)))
-                ids += apart
-        return self._joined(ids), np.concatenate(lengths) if lengths else np.zeros(0, np.int64)
+    def _words(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, lengths) of pieces that _SIMPLE holds for: their distinct words are encoded, as the lines of
+        a few texts."""
+        if not len(pieces):
+            return np.zeros(0, self.dtype), np.zeros(0, np.int64)
+        data, at = _strings(pieces)
+        kind = _KIND[data]
+        begins = np.concatenate([[True], (kind[1:] != kind[:-1]) & (kind[:-1] != 0)])
+        begins[at[:-1]] = True
+        start = np.flatnonzero(begins)
+        offsets = pa.py_buffer(np.append(start, len(data)).astype(np.int32))
+        words = pa.Array.from_buffers(pa.binary(), len(start), [None, offsets, pa.py_buffer(data)]).dictionary_encode()
+        data, ends = _strings(words.dictionary)
+        n = len(words.dictionary)
+        spelled = np.full(len(data) + n, ord("\n"), "<u4")
+        spelled[np.arange(len(data)) + np.repeat(np.arange(n), np.diff(ends))] = _SPELLED[data]
+        line = ends + np.arange(n + 1)
+        texts = [spelled[line[i] : line[min(i + WORDS, n)] - 1].tobytes().decode("utf-32-le") for i in range(0, n, WORDS)]
+        ids, owner = [], []
+        for i in range(0, len(texts), TEXTS):
+            for k, e in enumerate(self.model.encode_batch(texts[i : i + TEXTS], add_special_tokens=False), i):
+                ids.append(np.asarray(e.ids, self.dtype))
+                owner.append(np.asarray(e.word_ids, np.int64) + k * WORDS)
+        ids, size = self._joined(ids), np.bincount(np.concatenate(owner), minlength=n)
+        row = words.indices.to_numpy()
+        place = _inside((np.cumsum(size) - size)[row], size[row])
+        return ids[place], np.add.reduceat(size[row], np.searchsorted(start, at[:-1]))
 
     def _joined(self, ids):
         return np.concatenate(ids) if ids else np.zeros(0, self.dtype)
 
+    def _found(self, h: np.ndarray, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Places of strings among the known pieces, -1 for others; of equal hashes the bytes decide."""
+        out = np.full(len(h), -1)
+        if not len(self.known):
+            return out
+        order = np.argsort(h)
+        near = np.empty(len(h), np.int64)
+        near[order] = np.minimum(np.searchsorted(self.known, h[order]), len(self.known) - 1)
+        place, size = self.place[near], np.diff(at)
+        begin = self.bytes_at[place]
+        mine = np.flatnonzero((self.known[near] == h) & (self.bytes_at[place + 1] - begin == size))
+        other = data[_inside(at[mine], size[mine])] != self.bytes[_inside(begin[mine], size[mine])]
+        wrong, end = np.concatenate([[0], np.cumsum(other)]), np.cumsum(size[mine])
+        mine = mine[wrong[end] == wrong[end - size[mine]]]
+        out[mine] = place[mine]
+        return out
+
     def _learn(self, pieces: pa.Array) -> np.ndarray:
         """Places of distinct pieces among the known ones; only new ones are encoded."""
         if len(self.known) > REMEMBERED:
             self.forget()
-        new = pieces.filter(pc.is_null(pc.index_in(pieces, value_set=self.known)))
-        plain = pc.match_substring_regex(new, f"^ ?[{_PLAIN}]+$") if self.line_break is not None else pa.array(np.zeros(len(new), bool))
-        lines, rest = new.filter(plain), new.filter(pc.invert(plain))
-        ids, lengths = self._lines(lines.to_pylist())
-        other = self._encoded(rest.to_pylist())
-        sizes = np.concatenate([np.diff(self.at), lengths, np.fromiter(map(len, other), np.int64, len(other))])
+        data, at = _strings(pieces)
+        h = _hashes(data, at)
+        row = self._found(h, data, at)
+        fresh = np.flatnonzero(row < 0)
+        new = pieces.take(pa.array(fresh))
+        simple = pc.match_substring_regex(new, _SIMPLE)
+        ids, lengths = self._words(new.filter(simple))
+        other = self._encoded(new.filter(pc.invert(simple)).to_pylist())
+        simple = simple.to_numpy(zero_copy_only=False)
+        fresh = np.concatenate([fresh[simple], fresh[~simple]])
+        row[fresh] = len(self.known) + np.arange(len(fresh))
+        sizes = np.concatenate([lengths, np.fromiter(map(len, other), np.int64, len(other))])
         self.ids = np.concatenate([self.ids, ids, *other])
-        self.at = np.concatenate([[0], np.cumsum(sizes)])
-        self.known = pa.concat_arrays([self.known, lines, rest])
-        return pc.index_in(pieces, value_set=self.known).to_numpy(zero_copy_only=False)
+        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
+        sizes = np.diff(at)[fresh]
+        self.bytes = np.concatenate([self.bytes, data[_inside(at[fresh], sizes)]])
+        self.bytes_at = np.concatenate([self.bytes_at, self.bytes_at[-1] + np.cumsum(sizes)])
+        fresh = fresh[np.argsort(h[fresh])]
+        among = np.searchsorted(self.known, h[fresh])
+        self.known, self.place = np.insert(self.known, among, h[fresh]), np.insert(self.place, among, row[fresh])
+        return row
 
     def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, lengths) of texts cut at their spaces."""

@@ -32,6 +32,48 @@ def test_pieces_give_the_ids_of_whole_texts():
             assert ids[at[i] : at[i + 1]].tolist() == tok.encode(t or "", add_special_tokens=False).ids, repr(t)
 
 
+class Counting:
+    """A tokenizer, and how many characters it was given."""
+
+    def __init__(self, inner):
+        self.inner, self.given = inner, 0
+
+    def __getattr__(self, name):
+        method = getattr(self.inner, name)
+
+        def call(texts, **kw):
+            self.given += sum(map(len, texts))
+            return method(texts, **kw)
+
+        return call
+
+
+def test_words_are_encoded_once_whatever_stands_beside_them():
+    tok, encoder, r = tokenizer(), token_output.Encoder(PATH), random.Random(5)
+    encoder.tokenizer = used = Counting(encoder.tokenizer)
+    if hasattr(encoder, "model"):
+        encoder.model = other = Counting(encoder.model)
+    words = ["".join(r.choices("abcdeéßñ", k=20)) for _ in range(50)]
+    text = " ".join(f"{w}{mark}{v}" for w in words for v, mark in zip(r.choices(words, k=20), r.choices([".", ",\n", "&&", "7", "\n", "-"], k=20)))
+    assert encoder.encode(pa.array([text]))[0].tolist() == tok.encode(text, add_special_tokens=False).ids
+    assert used.given + (other.given if hasattr(encoder, "model") else 0) < 6000 < len(text) / 4
+
+
+def test_every_latin_character_in_words():
+    tok, encoder = tokenizer(), token_output.Encoder(PATH)
+    texts = [f"a{chr(c)}b {chr(c)}{chr(c)}1 x.{chr(c)}\n{chr(c)} 9{chr(c)}" for c in range(0x21, 0x260) if not 0x7F <= c < 0xA0] + ["it's 's's\n\nb\n c\n", "1²½ aªº"]
+    ids, lengths = encoder.encode(pa.array(texts))
+    for t, x in zip(texts, np.split(ids, np.cumsum(lengths)[:-1])):
+        assert x.tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_pieces_of_one_hash(monkeypatch):
+    monkeypatch.setattr(token_output, "_hashes", lambda data, at: np.full(len(at) - 1, 7, np.uint64), raising=False)
+    tok, encoder = tokenizer(), token_output.Encoder(PATH)
+    for text in ("one two two three", "two one, four", "ten one two tea"):
+        assert encoder.encode(pa.array([text]))[0].tolist() == tok.encode(text, add_special_tokens=False).ids
+
+
 def test_memory_is_bounded(monkeypatch):
     monkeypatch.setattr(token_output, "REMEMBERED", 10)
     tok, encoder = tokenizer(), token_output.Encoder(PATH)
