@@ -10,6 +10,8 @@ recursion.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 
 
@@ -32,35 +34,65 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     end = n
     while end > 0:
         g = group[order[end - 1]]
-        pointers: dict[int, int] = {}
-        for i in sorted(order[g:end]):
+        if end - g == 1:
+            # A suffix alone in its group moves one other at most.
+            i = order[g]
             j = i - 1
             while j >= 0 and group[j] >= g:
                 j = before[j]
             before[i] = j
+            end = g
             if j >= 0:
-                pointers[j] = pointers.get(j, 0) + 1
-        end = g
-        if not pointers:
+                h = group[j]
+                count = size[h]
+                if count > 1:
+                    last, p = h + count - 1, place[j]
+                    other = order[last]
+                    order[p], order[last] = other, j
+                    place[other], place[j] = p, last
+                    size[h], size[last], group[j] = count - 1, 1, last
             continue
-        by_count: dict[int, list[int]] = {}
-        for j, count in pointers.items():
-            by_count.setdefault(count, []).append(j)
-        for count in sorted(by_count, reverse=True):
+        members = order[g:end]
+        members.sort()
+        targets = []
+        for i in members:
+            j = i - 1
+            while j >= 0 and group[j] >= g:
+                j = before[j]
+            before[i] = j
+            if j >= 0:
+                targets.append(j)
+        end = g
+        once = set(targets)
+        if len(once) == len(targets):
+            levels = [targets] if targets else []
+        else:
+            by_count: dict[int, list[int]] = {}
+            for j, count in Counter(targets).items():
+                by_count.setdefault(count, []).append(j)
+            levels = [by_count[count] for count in sorted(by_count, reverse=True)]
+        for level in levels:
             parts: dict[int, list[int]] = {}
-            for j in by_count[count]:
-                parts.setdefault(group[j], []).append(j)
-            for h, members in parts.items():
+            for j in level:
+                h = group[j]
+                if h in parts:
+                    parts[h].append(j)
+                else:
+                    parts[h] = [j]
+            for h, moved in parts.items():
+                count = size[h] - len(moved)
+                if not count:
+                    continue
                 last = h + size[h] - 1
-                for j in members:
+                for j in moved:
                     p, other = place[j], order[last]
                     order[p], order[last] = other, j
                     place[other], place[j] = p, last
                     last -= 1
-                size[h] -= len(members)
+                size[h] = count
                 new = last + 1
-                size[new] = len(members)
-                for j in members:
+                size[new] = len(moved)
+                for j in moved:
                     group[j] = new
 
     free = list(range(n))

@@ -6,12 +6,12 @@ are. A count-min sketch of minimizers leaves only stretches whose minimizer may
 (it loses none); those go to buckets by minimizer, with their bytes. There, equal stretches are
 pre-aggregated to that of the smallest document, and different stretches of one minimizer are ordered
 by a suffix array: windows with the same first 50 bytes are neighbours in it, and of neighbours that
-are equal the smallest document's stays. (Stretches that share fewer than 37 bytes beside the
-minimizer with any other have no common window and stay out; a minimizer with one stretch left has
-nothing to order.) Suffix arrays are built by linear grouping (``gsaca``) over pieces of a bucket's
-stretches; stretches of one minimizer stay in one piece. They stand there as sequences of symbols:
-the bytes before the minimizer, which windows begin at; the minimizer; and the bytes after it, eight
-to a symbol, whose order is that of the bytes.
+are equal the smallest document's stays. (A window shares the 43 or 44 bytes about the minimizer that its
+place among ``EDGES`` fixes; stretches are cut to the places where they share those with another, and
+stay out without any; a minimizer with one stretch left has nothing to order.) Suffix arrays are built
+by linear grouping (``gsaca``) over pieces of a bucket's stretches; stretches of one minimizer stay in
+one piece. They stand there as sequences of symbols: the bytes before the minimizer, which windows
+begin at, and one for the minimizer and the bytes after it, whose order is that of the bytes.
 
 Hot minimizers, with ``HOT`` stretches or more (counted exactly; on large tables a millionth of all
 at least), would make groups that grow with the corpus. Their windows become stretches of their own,
@@ -42,7 +42,8 @@ from .gsaca import suffix_array
 from .words import BYTE, chunks, mix, powers, utf8
 
 WINDOW, GRAM = 50, 24
-SIDE = GRAM + (WINDOW - GRAM) // 2
+#: Bytes of a window before its minimizer: places that are looked at together lie between two of these.
+EDGES = (0, 7, 13, 20, 26)
 #: Bytes of stretches that a task holds before it sends them.
 HELD_BYTES = 24_000_000
 #: Symbols that one suffix array is built over, and stretches of a minimizer from which it is hot.
@@ -179,10 +180,11 @@ def _inside(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
-def _classes(raw: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """A number for each string, the same for strings of the same bytes."""
-    data, seen = raw.tobytes(), {}
-    return np.fromiter((seen.setdefault(data[b:e], len(seen)) for b, e in zip(begin.tolist(), (begin + size).tolist())), np.int64, len(begin))
+def _classes(raw: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A number for each of the strings that follow each other, the same for strings of the same bytes."""
+    at = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    strings = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(raw))])
+    return strings.dictionary_encode().indices.to_numpy().astype(np.int64)
 
 
 def _send(held, n_buckets):
@@ -191,7 +193,7 @@ def _send(held, n_buckets):
     h, doc, key, start, size = (np.concatenate([x[i] for x in held]) for i in range(5))
     raw = np.concatenate([x[5] for x in held])
     offset = np.cumsum(size) - size
-    opened = mindoc.first_owner(_classes(raw, offset, size), doc) == doc
+    opened = mindoc.first_owner(_classes(raw, size), doc) == doc
     rows = {n: [] for n in _SCHEMA.names}
 
     def add(**kw):
@@ -258,17 +260,22 @@ def _anchors(buf, begin, size, h):
     return owner[hit], at[hit]
 
 
-def _shared_sides(buf, begin, size, owner, at, group):
-    """Which stretches share the SIDE bytes up to or from a minimizer with another of its group; those
-    that hold theirs not once are kept."""
-    keep = np.bincount(owner, minlength=len(begin)) != 1
-    roll = Rolling(buf)
-    for back in (SIDE - GRAM, 0):
-        ok = (at - back >= begin[owner]) & (at - back + SIDE <= begin[owner] + size[owner])
-        o, value = owner[ok], roll.of(at[ok] - back, SIDE) ^ mix(group[owner[ok]].astype(np.uint64))
-        _, inverse, count = np.unique(value, return_inverse=True, return_counts=True)
-        keep[o[count[inverse] > 1]] = True
-    return keep
+def _shared_parts(buf, begin, size, owner, at, group):
+    """(most, fewest) bytes before its minimizer that a window of each stretch has if another of its group
+    has it too; most is -1 where there is no such window. Stretches that hold their minimizer not once
+    are kept whole."""
+    most = np.where(np.bincount(owner, minlength=len(begin)) != 1, EDGES[-1], -1)
+    fewest = np.where(most < 0, EDGES[-1], 0)
+    roll, salt = Rolling(buf), mix(group.astype(np.uint64))
+    for low, high in zip(EDGES, EDGES[1:]):
+        n = WINDOW - (high - low)
+        ok = (at - low >= begin[owner]) & (at - low + n <= begin[owner] + size[owner])
+        o = owner[ok]
+        _, inverse, count = np.unique(roll.of(at[ok] - low, n) ^ salt[o], return_inverse=True, return_counts=True)
+        hit = np.zeros(len(begin), bool)
+        hit[o[count[inverse] > 1]] = True
+        most, fewest = np.where(hit, np.maximum(most, high), most), np.where(hit, np.minimum(fewest, low), fewest)
+    return most, fewest
 
 
 def _settle(n_shards):
@@ -309,7 +316,7 @@ def _slices(h, size, raw):
 def _settled(h, doc, key, start, size, raw):
     """(doc, key, spans) of the bytes of some stretches, of whole minimizers, that smaller documents have."""
     begin = np.cumsum(size) - size
-    string = _classes(raw, begin, size)
+    string = _classes(raw, size)
     late = mindoc.first_owner(string, doc) < doc
     out = list(_by_document(doc[late], key[late], start[late], start[late] + size[late]))
     # One of each string, of its smallest document; repeats in that document follow it.
@@ -324,21 +331,25 @@ def _settled(h, doc, key, start, size, raw):
     buf = raw[_inside(begin[head], size[head])]
     at = np.cumsum(size[head]) - size[head]
     owner, place = _anchors(buf, at, size[head], h[head])
-    keep = _shared_sides(buf, at, size[head], owner, place, group)
+    most, fewest = _shared_parts(buf, at, size[head], owner, place, group)
     anchor = np.full(len(head), -1)
     anchor[owner] = place - at[owner]
     # A group aligns at its minimizer if every stretch holds it once; others go byte by byte.
     once = np.bincount(owner, minlength=len(head)) == 1
     anchor[np.isin(group, group[~once])] = -1
+    # Bytes that no shared window has are cut from both ends.
+    cut = np.where(anchor >= 0, np.maximum(anchor - most, 0), 0)
+    n = np.where(anchor >= 0, np.minimum(size[head], anchor + WINDOW - fewest), size[head]) - cut
+    anchor = np.where(anchor >= 0, anchor - cut, -1)
     found = []
     for aligned in (True, False):
-        m = np.flatnonzero(keep & ((anchor >= 0) == aligned))
-        symbols = anchor[m] + 6 if aligned else size[head[m]] + 1
+        m = np.flatnonzero((most >= 0) & ((anchor >= 0) == aligned))
+        symbols = anchor[m] + 1 if aligned else n[m] + 1
         last = np.flatnonzero(np.append(group[m][1:] != group[m][:-1], True)) + 1 if len(m) else []
         a, done, total = 0, 0, np.cumsum(symbols)
         for c in last:
             if total[c - 1] - done >= PIECE or c == len(m):
-                found += _piece(m[a:c], head, buf, at, size, doc, anchor if aligned else None, group)
+                found += [(int(head[k]), int(cut[k]) + s, int(cut[k]) + e) for k, s, e in _piece(m[a:c], buf, at + cut, n, doc[head], anchor if aligned else None, group)]
                 a, done = int(c), total[c - 1]
     if found:
         # The spans of a head hold for all that equal it in the same document.
@@ -352,10 +363,10 @@ def _settled(h, doc, key, start, size, raw):
     return out
 
 
-def _symbols(mine, head, buf, at, size, anchor, group):
-    """The sequence of symbols of some stretches, each closed by 0, and for every symbol its stretch and
-    byte in it; -1 for symbols that no window begins at."""
-    n = size[head[mine]]
+def _symbols(mine, buf, at, size, anchor, group):
+    """The sequence of symbols of some stretches, and for every symbol its stretch and byte in it; -1 for
+    symbols that no window begins at."""
+    n = size[mine]
     if anchor is None:
         begin = np.cumsum(n + 1) - n - 1
         text, owner, byte = np.zeros(int((n + 1).sum()), np.int64), np.zeros(int((n + 1).sum()), np.int64), np.full(int((n + 1).sum()), -1)
@@ -366,30 +377,28 @@ def _symbols(mine, head, buf, at, size, anchor, group):
         return text, owner, byte
     before = anchor[mine]
     after = n - before - GRAM
-    blocks = -(-after // 8)
-    total = before + 1 + blocks + 1
+    total = before + 1
     begin = np.cumsum(total) - total
     text, owner, byte = np.zeros(int(total.sum()), np.int64), np.zeros(int(total.sum()), np.int64), np.full(int(total.sum()), -1)
     text[_inside(begin, before)] = buf[_inside(at[mine], before)].astype(np.int64) + 1
-    _, rank = np.unique(group[mine], return_inverse=True)
+    # Minimizers and the bytes after them, filled up with zeros, by rank.
+    width = WINDOW - GRAM
+    tail = np.zeros((len(mine), 8 + width), np.uint8)
+    tail[:, :8] = group[mine].astype(">u8").view(np.uint8).reshape(-1, 8)
+    tail.reshape(-1)[_inside(np.arange(len(mine)) * (8 + width) + 8, after)] = buf[_inside(at[mine] + before + GRAM, after)]
+    _, rank = np.unique(tail.view(f"S{8 + width}").ravel(), return_inverse=True)
     text[begin + before] = 257 + rank
-    # Bytes after the minimizer, filled up to whole blocks, as big-endian numbers.
-    tail = np.zeros(int(blocks.sum()) * 8, np.uint8)
-    tail[_inside((np.cumsum(blocks) - blocks) * 8, after)] = buf[_inside(at[mine] + before + GRAM, after)]
-    _, value = np.unique(tail.view(">u8").astype(np.uint64), return_inverse=True)
-    text[_inside(begin + before + 1, blocks)] = 257 + len(mine) + value
     windows = n - WINDOW + 1
     to = _inside(begin, windows)
     owner[to], byte[to] = np.repeat(np.arange(len(mine)), windows), _inside(np.zeros_like(n), windows)
     return text, owner, byte
 
 
-def _piece(mine, head, buf, at, size, doc, anchor, group):
-    """Spans of the stretches ``mine`` of ``head`` that others of smaller documents have: (stretch,
-    start, end)."""
+def _piece(mine, buf, at, size, doc, anchor, group):
+    """Spans of the stretches ``mine`` that others of smaller documents have: (stretch, start, end)."""
     if len(mine) < 2:
         return []
-    text, owner, byte = _symbols(mine, head, buf, at, size, anchor, group)
+    text, owner, byte = _symbols(mine, buf, at, size, anchor, group)
     order = suffix_array(text)
     order = order[byte[order] >= 0]
     owner, byte = owner[order], byte[order]
@@ -400,14 +409,14 @@ def _piece(mine, head, buf, at, size, doc, anchor, group):
         x = buf[place[i - 1 : j, None] + np.arange(WINDOW)]
         same[i:j] = (x[1:] == x[:-1]).all(1)
     begins = np.flatnonzero(~same)
-    own = doc[head[mine]][owner]
+    own = doc[mine][owner]
     least = np.repeat(np.minimum.reduceat(own, begins), np.diff(np.append(begins, len(order))))
     late = least < own
     owner, byte = owner[late], byte[late]
     order = np.lexsort((byte, owner))
     owner, byte = owner[order], byte[order]
     cut = np.flatnonzero((owner[1:] != owner[:-1]) | (byte[1:] > byte[:-1] + 1)) + 1 if len(owner) else np.zeros(0, int)
-    return [(int(head[mine[owner[i]]]), int(byte[i]), int(byte[j - 1]) + WINDOW) for i, j in zip(np.concatenate([[0], cut]).astype(int), np.append(cut, len(owner)).astype(int)) if j > i]
+    return [(int(mine[owner[i]]), int(byte[i]), int(byte[j - 1]) + WINDOW) for i, j in zip(np.concatenate([[0], cut]).astype(int), np.append(cut, len(owner)).astype(int)) if j > i]
 
 
 def with_spans(docs: DataFrame) -> DataFrame:
@@ -458,9 +467,11 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         for batch in batches:
             out = []
             for text, packs in zip(utf8(batch.column("text")), batch.column(mindoc.PACKS).to_pylist()):
-                gone = _removed(len(text), packs)
-                kept = np.frombuffer(text, np.uint8)[~gone].tobytes() if packs else text
-                runs = int(np.count_nonzero(gone[1:] & ~gone[:-1]) + gone[0]) if packs else 0
+                kept, runs = text, 0
+                if packs:
+                    gone = _removed(len(text), packs)
+                    kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
+                    runs = int(np.count_nonzero(gone[1:] & ~gone[:-1]) + gone[0])
                 out.append((len(text), len(text) - len(kept), runs, hashlib.sha256(kept).hexdigest()))
             n, removed, runs, sha = zip(*out) if out else ((),) * 4
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])

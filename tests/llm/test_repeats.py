@@ -59,6 +59,27 @@ def test_settling_is_brute_force(monkeypatch, seed):
     assert settled(rows) == {i: x[1] for i, x in removed(rows).items()}
 
 
+def test_suffix_arrays_get_the_shared_places_of_stretches(monkeypatch):
+    """Borders of passages, and texts that share 40 bytes, which is no window, at many places."""
+    r, symbols = random.Random(8), []
+    made = suffix_dedup.suffix_array
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda text: symbols.append(len(text)) or made(text))
+    text = lambda n: "".join(r.choices("abcdefgh ", k=n))
+    passages, short = [text(90) for _ in range(20)], [text(40) for _ in range(60)]
+    rows = [(i, "".join(text(60) + r.choice(passages if i % 2 else short) for _ in range(4)) + text(60)) for i in range(100)]
+    assert settled(rows) == {i: x[1] for i, x in removed(rows).items()}
+    assert 0 < sum(symbols) < 11000
+
+
+def test_suffix_array_is_the_sorted_order():
+    r = random.Random(4)
+    for n in (0, 1, 2, 3, 50, 400):
+        for k in (1, 2, 3, 200):
+            text = [r.randrange(k) for _ in range(n)]
+            for t in (text, text[:7] * (n // 7)):
+                assert suffix_dedup.suffix_array(np.array(t, np.int64)).tolist() == sorted(range(len(t)), key=lambda i: t[i:])
+
+
 @pytest.mark.parametrize("module", [substring_dedup, suffix_dedup])
 def test_columns_of_any_name(spark, module):
     text = " ".join(f"word{i}" for i in range(60))
