@@ -303,7 +303,7 @@ def _bad_sql(kinds: dict[str, str], letters: dict[str, str], n: str) -> str:
 
 
 _WELL = "{} % 41 NOT IN (7, 11)"
-_LISTS = lambda f: rollup.id_lists(f.variants, f.ties, f.gene_groups)
+_LISTS = lambda f: rollup.id_lists(f.variants, f.ties, f.gene_groups, f.groups)
 q("S1", lambda f: text.read_fastq(f.spark, _fastq(f)).select("name", "seq", "qual"), "SELECT name, seq, qual FROM reads", "reads")
 q("S2", lambda f: text.read_sites(f.spark, _pileup_text(f))[0].select(*_SITE_TEXT), f"SELECT {', '.join(_SITE_TEXT)} FROM sites WHERE {_WELL.format('pos')}", "sites")
 q("S2_bad", lambda f: _bad(text.read_pileup(f.spark, _pileup_text(f))), "SELECT * FROM (" + _bad_sql({"site": "sites", "indel": "indels"}, {"site": "con_q", "indel": "n1"}, "pos") + ") z", "sites", "indels")

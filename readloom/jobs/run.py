@@ -97,7 +97,7 @@ def annotate_variants(spark: SparkSession, vbed: str, known: str, models: str, c
     groups = stored(rollup.inheritance(rollup.transcript_sums(ties)), "groups")
     gene_groups = stored(rollup.with_genes(groups, genes), "gene-groups")
     _tables(out, variants=rollup.variant_report(ties), variant_types=rollup.variant_counts(v), tag_combinations=rollup.tag_combinations(v, ties), models=rollup.model_counts(groups), genes=rollup.gene_counts(gene_groups), candidates=rollup.candidate_genes(gene_groups), without_gene=rollup.without_gene(groups, genes), effects=effects)
-    text.write_text(rollup.id_lines(rollup.id_lists(v, ties, gene_groups), genes), f"{out}/lists", "level", "grp", "tag", "sample")
+    text.write_text(rollup.id_lines(rollup.id_lists(v, ties, gene_groups, groups), genes), f"{out}/lists", "level", "grp", "tag", "sample")
     rollup.gene_report(gene_groups, ties, v).write.json(f"{out}/report")
     named.write_named(rollup.prediction_input(v, ties).select(F.concat("sample", F.lit(".pph")).alias("file"), "value"), f"{out}/predictor")
 

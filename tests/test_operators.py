@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from readloom.functions import calls
 from readloom.functions import exprs as X
 from readloom.functions.constants import CODONS, CONTIGS
-from readloom.operators import annotate, calling, coverage, intervals, reads
+from readloom.operators import annotate, calling, coverage, intervals, reads, rollup
 from readloom.sources import text
 from readloom.sources.fastq import FastqReader, records
 
@@ -194,3 +194,31 @@ def test_rows_are_parsed_once(spark):
 def test_last_of_an_allele_counts(spark):
     rows = [("A:1,C:2",), ("a:1,C:2,A:3,C:x",), ("A:1,A:2,A:3",), ("",)]
     assert col(spark, rows, calls.observed(F.col("a"))) == [{"A": 1, "C": 2}, {"A": 3, "C": 2}, {"A": 3}, {}]
+
+
+def test_pairs_leave_out_what_only_lines_have(spark):
+    v = spark.createDataFrame([("s", "v", 1, "chr1", 5, 6, "A", "C", 9, 40, "snp", "hom", ["C"], {"C": 9}, "novel")], "sample string, var_id string, idx long, chr string, sta int, stop int, ref string, var string, depth int, qual int, var_type string, hom_het string, alleles array<string>, observed map<string,int>, status string")
+    t = spark.createDataFrame([("t", "chr1", "+", 1, 9, 1, 9, [1], [9])], "tx_id string, chr string, strand string, sta int, stop int, c_sta int, c_end int, e_sta array<int>, e_end array<int>")
+    got = annotate.candidates(v, t)
+    assert got.count() == 1 and not {"v_idx", "v_var", "v_depth", "v_qual", "v_observed"} & set(got.columns)
+
+
+def test_ties_are_summed_once(spark):
+    rows = [("s", "t", "cds", "hom", "known"), ("s", "t", "cds", "het", "novel"), ("s", "t", "cds", "het", "novel")]
+    sums = rollup.transcript_sums(spark.createDataFrame(rows, "sample string, tx_id string, tag string, hom_het string, status string"))
+    assert sorted(map(tuple, sums.select("grp", "any", "sum", "hom", "het").collect())) == [("all", 3, 2.0, 1, 2), ("known", 1, 1.0, 1, 0), ("novel", 2, 1.0, 0, 2)]
+    plan = optimized(sums)
+    assert plan.index("Generate") < plan.rindex("Aggregate")
+
+
+def test_lists_describe_transcripts_and_genes(spark):
+    lists = spark.createDataFrame([("variant", "t"), ("transcript", "1"), ("gene", "g")], "level string, id string").selectExpr("level", "'all' as grp", "'cds' as tag", "'s' as sample", "id")
+    genes = spark.createDataFrame([(1, "g", "one"), (2, "g", "two")], "tx_id long, gene_id string, description string")
+    got = rollup.id_lines(lists, genes)
+    assert {r.level: r.value for r in got.collect()} == {"variant": "t", "transcript": "1\tone", "gene": "g\tone\ttwo"}
+
+
+def test_counts_of_letters(spark):
+    assert col(spark, [("AaCAN",), ("",), ("é*.,.",)], X.count_of(F.col("a"), "Aa")) == [3, 0, 0]
+    assert col(spark, [("AaCAN",), ("é*.,.",)], X.count_of(F.col("a"), ".,")) == [0, 3]
+    assert col(spark, [("AaCAN",)], X.count_of(F.col("a"), "ACN")) == [4]
